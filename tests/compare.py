@@ -1,0 +1,56 @@
+"""Spark-vs-DuckDB result comparison used by the oracle tests."""
+
+from __future__ import annotations
+
+import datetime as dt
+import math
+from collections import Counter
+
+import duckdb
+
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
+          "pages benchmark labels conversations").split()
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    return con
+
+
+def _norm(v):
+    if isinstance(v, float):
+        if math.isnan(v):
+            return "NaN"
+        return round(v, 9)
+    if isinstance(v, dt.datetime):
+        return v.replace(tzinfo=None)
+    return v
+
+
+def rows_of_spark(df):
+    cols = sorted(df.columns)
+    return cols, Counter(tuple(_norm(r[c]) for c in cols) for r in df.select(*cols).collect())
+
+
+def rows_of_duck(con, sql):
+    res = con.execute(sql)
+    names = [d[0] for d in res.description]
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    cols = [names[i] for i in order]
+    return cols, Counter(tuple(_norm(row[i]) for i in order) for row in res.fetchall())
+
+
+def compare(spark_df, con, sql):
+    """Return None when equal, else a short description of the difference."""
+    sc, sr = rows_of_spark(spark_df)
+    dc, dr = rows_of_duck(con, sql)
+    if sc != dc:
+        return f"columns differ: spark={sc} duck={dc}"
+    if sr != dr:
+        only_s = list((sr - dr).items())[:3]
+        only_d = list((dr - sr).items())[:3]
+        return (f"rows differ: spark={sum(sr.values())} duck={sum(dr.values())}; "
+                f"spark-only={only_s} duck-only={only_d}")
+    return None
