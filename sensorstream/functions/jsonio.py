@@ -36,8 +36,7 @@ def reading_json(df: DataFrame, key_col: str | None = None) -> DataFrame:
 
 def parse_archive(df: DataFrame, value_col: str = "value") -> DataFrame:
     """Archive JSON back to the nine enriched columns (plus other columns kept)."""
+    from .parse import _parsed_fields
+
     others = [c for c in df.columns if c != value_col]
-    return (
-        df.select(*others, F.from_json(F.col(value_col).cast("string"), ENRICHED_SCHEMA).alias("a"))
-        .select(*others, "a.*")
-    )
+    return df.select(_parsed_fields(value_col, ENRICHED_SCHEMA), *others)

@@ -24,6 +24,17 @@ def value_as_text(col: Column | str = "value") -> Column:
     return c.cast("string")
 
 
+def _parsed_fields(value_col: str, schema) -> Column:
+    """``from_json`` expanded into columns through a one-element ``inline``.
+
+    The generator is a barrier for predicate pushdown: a later filter on a
+    parsed field stays above it instead of being rewritten into
+    ``from_json(value).field`` below it, which would parse every message once
+    per referenced field.
+    """
+    return F.inline(F.array(F.from_json(value_as_text(value_col), schema)))
+
+
 def parse_readings(
     messages: DataFrame,
     value_col: str = "value",
@@ -36,8 +47,7 @@ def parse_readings(
     null on its own. ``keep`` passes source columns through (e.g. an id or the
     Kafka partition/offset used to break ties).
     """
-    data = F.from_json(value_as_text(value_col), READING_SCHEMA).alias("data")
-    out = messages.select(data, *keep).select("data.*", *keep)
+    out = messages.select(_parsed_fields(value_col, READING_SCHEMA), *keep)
     if with_event_time:
         out = out.withColumn(EVENT_TIME, event_time_of("timestamp"))
     return out
