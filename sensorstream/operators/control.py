@@ -262,6 +262,8 @@ def control_state(readings: DataFrame, segment: str = "1 hour", tie_col: str = "
                 *[F.col(ch.measure).cast("double").alias(ch.measure) for ch in CHANNELS])
         .withColumn("_us", epoch_micros(EVENT_TIME))
         .withColumn("_seg", ((F.col("_us") - F.pmod("_us", F.lit(seg_us))) / F.lit(seg_us)).cast("long"))
+        # one shuffle of the readings, shared by pass 1 and pass 3
+        .repartition("sensor_id", "_seg")
     )
     transfers = base.groupBy("sensor_id", "_seg").applyInPandas(_segment_transfers(seg_us), TRANSFER_SCHEMA)
     instates = transfers.groupBy("sensor_id").applyInPandas(_chain, INSTATE_SCHEMA)

@@ -11,11 +11,11 @@ time is cut into cells exactly ``gap`` wide:
   ``gap`` earlier.
 
 So incident counts need only a per-cell aggregate (partial aggregation on the
-map side, skew-proof) and an equi-join of that aggregate with itself shifted by
-one cell. Per-row gaps add a window inside each cell, which holds at most one
-``gap`` of one sensor's alerts. The only sequential step runs over the cell
-summary (one row per non-empty cell, bounded by time span / gap, independent
-of the data volume).
+map side, skew-proof) and a ``lag`` over that compact summary. Per-row gaps
+add a window inside each cell, which holds at most one ``gap`` of one
+sensor's alerts. The only sequential steps run over the cell summary (one row
+per non-empty cell and key, bounded by time span / gap, independent of the
+data volume).
 """
 
 from __future__ import annotations
@@ -54,13 +54,17 @@ def cell_summary(alerts: DataFrame, gap: str = INCIDENT_GAP, keys: Sequence[str]
 
 
 def cell_links(alerts: DataFrame, gap: str = INCIDENT_GAP, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Cell summary plus ``opens``: does the cell's first alert open an incident."""
+    """Cell summary plus ``opens``: does the cell's first alert open an incident.
+
+    The previous *non-empty* cell is enough: if it is older than the cell just
+    before, its last alert is already more than ``gap`` away. ``lag`` runs over
+    the compact summary, so the alerts are read and aggregated once.
+    """
     gap_us = as_interval_micros(gap)
-    cells = cell_summary(alerts, gap, keys)
-    prev = cells.select(*keys, (F.col("_cell") + 1).alias("_cell"), F.col("_last_us").alias("_prev_last_us"))
-    linked = cells.join(prev, [*keys, "_cell"], "left")
-    opens = F.col("_prev_last_us").isNull() | ((F.col("_first_us") - F.col("_prev_last_us")) > F.lit(gap_us))
-    return linked.withColumn("opens", opens)
+    w = Window.partitionBy(*keys).orderBy("_cell")
+    prev = F.lag("_last_us").over(w)
+    opens = prev.isNull() | ((F.col("_first_us") - prev) > F.lit(gap_us))
+    return cell_summary(alerts, gap, keys).withColumn("opens", opens)
 
 
 def incident_counts(alerts: DataFrame, gap: str = INCIDENT_GAP, keys: Sequence[str] = KEYS,
