@@ -183,7 +183,7 @@ def _floats(s: pd.Series) -> np.ndarray:
 
 
 def _segment_transfers(seg_us: int):
-    def fn(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def fn(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         sensor, seg = key
         pdf = _sorted(pdf)
         times = pdf["_us"].to_numpy()
