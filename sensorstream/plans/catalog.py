@@ -127,6 +127,16 @@ def q_incident_total(spark, d):
     return incident_total(recent_alerts(spark, d))
 
 
+def q_incident_counts_from_sessions(spark, d):
+    """Counts over the horizon from whole-history sessions (no trimming): a
+    session counts iff its last alert is inside the horizon."""
+    from ..streaming.jobs import incidents_in_horizon
+
+    k = known(spark, d)
+    alerts = explode_alerts(k).select("event_id", "sensor_id", EVENT_TIME, "alert_type")
+    return incidents_in_horizon(incident_sessions(alerts), as_of=latest_time(k))
+
+
 def q_archive_json(spark, d):
     records = archive_json(enriched(spark, d), key_col="event_id")
     back = parse_archive(records).withColumn("event_id", F.col("key").cast("long"))
@@ -175,6 +185,7 @@ def queries() -> dict[str, Query]:
         "incident_sessions": q_incident_sessions,
         "incident_counts": q_incident_counts,
         "incident_total": q_incident_total,
+        "incident_counts_from_sessions": q_incident_counts_from_sessions,
         "archive_json": q_archive_json,
         "publish_roundtrip": q_publish_roundtrip,
         "control_state": q_control_state,

@@ -202,6 +202,8 @@ FROM s GROUP BY sensor_id, alert_type, sid""",
         + "\nSELECT alert_type, count(*) AS n_incidents FROM gaps2 WHERE opens GROUP BY alert_type",
         "incident_total": _with(*_BASE, KNOWN, RECENT, alerts_recent, GAPS)
         + "\nSELECT count(*) AS n_incidents FROM gaps2 WHERE opens",
+        "incident_counts_from_sessions": _with(*_BASE, KNOWN, RECENT, alerts_recent, GAPS)
+        + "\nSELECT alert_type, count(*) AS n_incidents FROM gaps2 WHERE opens GROUP BY alert_type",
         "archive_json": _with(*_BASE, ENRICHED) + f"\nSELECT event_id, {_ENR_COLS} FROM enriched",
         "publish_roundtrip": _with(READINGS) + f"\nSELECT event_id, {_READ_COLS} FROM readings",
         "control_state": _control_sql(),
