@@ -14,6 +14,25 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Suggested settings for a large cluster (pass to SparkSession.builder.config).
+# Shuffle partitions start high and AQE coalesces them to ~advisory size, so
+# partitions stay well inside executor memory at any scale; skewed partitions
+# of joins are split; streaming state (open sessions, one row per sensor) lives
+# in RocksDB instead of the JVM heap; checkpoints go to a shared folder.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # "spark.checkpoint.dir": "<shared folder, e.g. an object-store or HDFS path>",
+}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "sensorstream") -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cores}]")

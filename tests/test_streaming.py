@@ -55,3 +55,45 @@ def test_failed_batch_is_replayed(spark):
         run()
     run()
     assert spark.read.parquet(out).count() == 1000
+
+
+def test_control_stream_over_batches_equals_batch(spark):
+    from sensorstream.operators import control_state
+    from sensorstream.sources import control_readings
+    from sensorstream.streaming import control_state_stream
+
+    readings = control_readings(spark.read.parquet(f"{SF_SMALL}/events.parquet"))
+    src = scratch_path(spark, "ctl-src")
+    for lo, hi in [(0, 333), (333, 666), (666, 10**9)]:
+        readings.filter((F.col("event_id") >= lo) & (F.col("event_id") < hi)).coalesce(1) \
+            .write.mode("append").parquet(src)
+    stream = spark.readStream.schema(readings.schema).option("maxFilesPerTrigger", "1").parquet(src)
+    out, ck = scratch_path(spark, "ctl-out"), scratch_path(spark, "ctl-ck")
+    q = (control_state_stream(stream).writeStream.format("parquet").option("checkpointLocation", ck)
+         .trigger(availableNow=True).start(out))
+    q.awaitTermination()
+    assert len(q.recentProgress) >= 3
+    got = sorted(tuple(r) for r in spark.read.parquet(out).drop("event_time").collect())
+    want = sorted(tuple(r) for r in control_state(spark.read.parquet(src)).drop("event_time").collect())
+    assert len(got) == 1000 and got == want
+
+
+def test_control_stream_skips_late_rows(spark):
+    import datetime as dt
+
+    from sensorstream.streaming import control_state_stream
+
+    schema = "event_id long, sensor_id string, event_time timestamp_ntz, temperature double, humidity double, waterQuality double"
+    t0 = dt.datetime(2024, 1, 1)
+    src = scratch_path(spark, "late-src")
+    spark.createDataFrame([(1, "sensor_1", t0 + dt.timedelta(seconds=10), 41.0, 50.0, 0.7)], schema) \
+        .coalesce(1).write.mode("append").parquet(src)
+    spark.createDataFrame([(2, "sensor_1", t0, 10.0, 50.0, 0.7), (3, "sensor_1", t0 + dt.timedelta(seconds=15), 35.0, 50.0, 0.7)],
+                          schema).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(src)
+    out, ck = scratch_path(spark, "late-out"), scratch_path(spark, "late-ck")
+    q = (control_state_stream(stream).writeStream.format("parquet").option("checkpointLocation", ck)
+         .trigger(availableNow=True).start(out))
+    q.awaitTermination()
+    rows = {r["event_id"]: r["cooling"] for r in spark.read.parquet(out).collect()}
+    assert rows == {1: True, 3: True}
