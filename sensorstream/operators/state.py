@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.normalise import measure
 from ..functions.time import as_interval_micros
 from ..rules import ACTIVE_LEVEL, ALERT_HORIZON, IDLE_LEVEL, MOTION_SENSOR, PANEL_COLOURS, RULES, VALID_SENSORS
-from ..schema import EVENT_TIME
+from ..schema import EVENT_DATE, EVENT_TIME
 
 
 def known_sensors(df: DataFrame, sensors: Sequence[str] = VALID_SENSORS) -> DataFrame:
@@ -29,7 +29,11 @@ def recent_window(df: DataFrame, as_of: Column | None = None, horizon: str = ALE
     no upper bound). ``as_of`` defaults to the current local wall clock."""
     as_of = F.localtimestamp() if as_of is None else as_of
     start = F.timestamp_add("MICROSECOND", F.lit(-as_interval_micros(horizon)), as_of)
-    return df.filter(F.col(EVENT_TIME) >= start)
+    out = df.filter(F.col(EVENT_TIME) >= start)
+    if EVENT_DATE in df.columns:
+        # implied by the time bound; on a date-partitioned history it prunes files
+        out = out.filter(F.col(EVENT_DATE) >= F.to_date(start))
+    return out
 
 
 def latest_per_sensor(df: DataFrame, tie_col: str = "event_id") -> DataFrame:

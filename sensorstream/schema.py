@@ -33,3 +33,6 @@ ENRICHED_COLUMNS = tuple(f.name for f in ENRICHED_SCHEMA.fields)
 
 # Typed event time derived from the ``timestamp`` text (naive wall clock).
 EVENT_TIME = "event_time"
+
+# Calendar date of ``event_time``: the partition column of stored history.
+EVENT_DATE = "event_date"

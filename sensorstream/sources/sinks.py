@@ -11,7 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from pyspark.sql import functions as F
+
 from ..functions.jsonio import archive_json, reading_json
+from ..schema import EVENT_DATE, EVENT_TIME
 from .config import ARCHIVE_TOPIC, INPUT_TOPIC
 
 
@@ -55,8 +58,11 @@ def write_history(readings: DataFrame, name_or_path: str, fmt: str = "parquet",
                   checkpoint: str | None = None, trigger: dict | None = None,
                   partition_by: tuple[str, ...] = ()):
     """Append raw readings to a table. ``fmt="memory"`` keeps them in the
-    driver under a query name (tests only); use a partitioned parquet path
-    (e.g. by date) for real history so time filters prune files."""
+    driver under a query name (tests only); for real history use a parquet
+    path partitioned by ``event_date`` (added from ``event_time`` when asked
+    for and missing): ``recent_window`` then prunes whole days."""
+    if EVENT_DATE in partition_by and EVENT_DATE not in readings.columns:
+        readings = readings.withColumn(EVENT_DATE, F.to_date(EVENT_TIME))
     if fmt == "memory":
         w = readings.writeStream.format("memory").queryName(name_or_path).outputMode("append")
         if checkpoint:

@@ -97,3 +97,21 @@ def test_control_stream_skips_late_rows(spark):
     q.awaitTermination()
     rows = {r["event_id"]: r["cooling"] for r in spark.read.parquet(out).collect()}
     assert rows == {1: True, 3: True}
+
+
+def test_history_prunes_partitions_and_pushes_filters(spark):
+    from sensorstream.operators import known_sensors, recent_window
+    from sensorstream.sources import history, write_history
+
+    readings = parse_readings(raw_messages(spark.read.parquet("/root/testdata/sf0.01/events.parquet")), keep=("event_id",))
+    path = scratch_path(spark, "history")
+    write_history(readings, path, partition_by=("event_date",))
+    h = history(spark, path)
+    as_of = F.lit("2024-01-01 16:39:30.25").cast("timestamp_ntz")
+    q = recent_window(known_sensors(h), as_of=as_of)
+    plan = spark._jvm.PythonSQLUtils.explainString(q._jdf.queryExecution(), "formatted")
+    scan = plan[plan.index("Scan parquet"):]
+    assert "PartitionFilters: [isnotnull(event_date" in scan and "(event_date" in scan, scan[:2000]
+    assert "In(sensor_id" in scan.split("PushedFilters:")[1].split("\n")[0], scan[:2000]
+    base = recent_window(known_sensors(readings), as_of=as_of)
+    assert q.count() == base.count() > 0
