@@ -25,17 +25,22 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.time import as_interval_micros, epoch_micros
+from ..functions.time import as_interval_micros, epoch_micros, from_epoch_micros
 from ..rules import INCIDENT_GAP
 from ..schema import EVENT_TIME
 
 KEYS = ("sensor_id", "alert_type")
 
 
-def _with_cell(alerts: DataFrame, gap_us: int) -> DataFrame:
+def _with_cell(alerts: DataFrame, gap_us: int, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Alerts with exact micros and cell number; alerts without a time or a
+    key belong to no incident and are dropped."""
     us = epoch_micros(EVENT_TIME)
+    valid = F.col(EVENT_TIME).isNotNull()
+    for k in keys:
+        valid = valid & F.col(k).isNotNull()
     return (
-        alerts.filter(F.col(EVENT_TIME).isNotNull())
+        alerts.filter(valid)
         .withColumn("_us", us)
         .withColumn("_cell", ((F.col("_us") - F.pmod(F.col("_us"), F.lit(gap_us))) / F.lit(gap_us)).cast("long"))
     )
@@ -45,7 +50,7 @@ def cell_summary(alerts: DataFrame, gap: str = INCIDENT_GAP, keys: Sequence[str]
     """First/last alert time and count per (keys, gap-wide cell)."""
     gap_us = as_interval_micros(gap)
     return (
-        _with_cell(alerts, gap_us)
+        _with_cell(alerts, gap_us, keys)
         .groupBy(*keys, "_cell")
         .agg(F.min("_us").alias("_first_us"), F.max("_us").alias("_last_us"),
              F.min(EVENT_TIME).alias("first_time"), F.max(EVENT_TIME).alias("last_time"),
@@ -103,27 +108,34 @@ def incident_sessions(alerts: DataFrame, gap: str = INCIDENT_GAP, keys: Sequence
 
 
 def _gaps(alerts: DataFrame, gap: str, keys: Sequence[str], tie_col: str) -> DataFrame:
-    """Every alert with the time of the previous alert of the same key
-    (``prev_time``) and the gap in seconds (``time_diff``), null for the first.
+    """Every alert with its predecessor's time (see :func:`alert_gaps`).
 
-    Rows are ordered by ``(event_time, tie_col)``; equal times give a gap of 0.
+    One shuffle of the alerts by (keys, cell): a window inside each cell gives
+    the predecessor in the cell and the cell's last time; the first row of
+    each cell then forms the compact cell summary, whose ``lag`` supplies the
+    predecessor of first rows. ``event_time`` travels as exact micros and is
+    rebuilt afterwards, so both branches share the same exchange.
     """
     gap_us = as_interval_micros(gap)
-    rows = _with_cell(alerts, gap_us)
-    in_cell = Window.partitionBy(*keys, "_cell").orderBy("_us", tie_col)
-    rows = rows.withColumn("_prev_us", F.lag("_us").over(in_cell))
-    cells = cell_summary(alerts, gap, keys)
+    others = [c for c in alerts.columns if c not in (*keys, EVENT_TIME, tie_col)]
+    rows = _with_cell(alerts, gap_us, keys).drop(EVENT_TIME)
+    in_cell = Window.partitionBy(*keys, "_cell")
+    rows = rows.withColumns({
+        "_prev_us": F.lag("_us").over(in_cell.orderBy("_us", tie_col)),
+        "_cell_last": F.max("_us").over(in_cell),
+    })
     across = Window.partitionBy(*keys).orderBy("_cell")
-    cells = cells.select(*keys, "_cell", F.lag("_last_us").over(across).alias("_prev_cell_us"))
-    prev_us = F.coalesce(F.col("_prev_us"), F.col("_prev_cell_us"))
-    out = rows.join(cells, [*keys, "_cell"], "left").withColumn("_p", prev_us)
-    return out.withColumns(
-        {
-            "prev_time": F.when(F.col("_p").isNotNull(), F.timestamp_add("MICROSECOND", F.col("_p") - F.col("_us"), F.col(EVENT_TIME))),
-            "time_diff": (F.col("_us") - F.col("_p")) / F.lit(1_000_000.0),
-            "_opens": F.col("_p").isNull() | ((F.col("_us") - F.col("_p")) > F.lit(gap_us)),
-        }
-    ).drop("_prev_us", "_prev_cell_us", "_cell", "_p")
+    cells = (rows.filter(F.col("_prev_us").isNull())
+             .select(*keys, "_cell", F.lag("_cell_last").over(across).alias("_prev_cell_us")))
+    p = F.coalesce(F.col("_prev_us"), F.col("_prev_cell_us"))
+    out = rows.join(cells, [*keys, "_cell"], "left").withColumn("_p", p)
+    return out.select(
+        *keys, tie_col, *others, from_epoch_micros("_us").alias(EVENT_TIME),
+        F.when(F.col("_p").isNotNull(), from_epoch_micros("_p")).alias("prev_time"),
+        ((F.col("_us") - F.col("_p")) / F.lit(1_000_000.0)).alias("time_diff"),
+        (F.col("_p").isNull() | ((F.col("_us") - F.col("_p")) > F.lit(gap_us))).alias("_opens"),
+        "_us",
+    )
 
 
 def alert_gaps(alerts: DataFrame, gap: str = INCIDENT_GAP, keys: Sequence[str] = KEYS,
