@@ -96,3 +96,41 @@ def incidents_in_horizon(sessions: DataFrame, as_of: Column | None = None, horiz
     """
     inside = recent_window(sessions.withColumn(EVENT_TIME, F.col("last_time")), as_of, horizon)
     return inside.groupBy("alert_type").agg(F.count(F.lit(1)).alias("n_incidents"))
+
+
+def start_archive_and_history(messages: DataFrame, history_target: str, checkpoint_root: str,
+                              archive_fmt: str = "kafka", archive_target: str = "IOT_archive",
+                              archive_options: dict | None = None, history_fmt: str = "parquet",
+                              trigger: dict | None = None, keep=("event_id",)) -> list[StreamingQuery]:
+    """Two queries on one parsed stream: raw history and labelled archive.
+
+    Each query has its own checkpoint under ``checkpoint_root`` and reads the
+    source on its own. Returns both handles; stop them with :func:`stop_all`.
+    """
+    from ..functions.parse import parse_readings
+    from ..sources.sinks import write_history
+
+    readings = parse_readings(messages, keep=keep)
+    hist = write_history(readings, history_target, history_fmt,
+                         checkpoint=f"{checkpoint_root}/history", trigger=trigger)
+    arch = write_archive(first_alert(readings), archive_fmt, archive_target, archive_options,
+                         f"{checkpoint_root}/archive", trigger, keep[0] if keep else None)
+    return [hist, arch]
+
+
+def stop_all(queries) -> None:
+    """Stop every query, even if one of them fails to stop."""
+    errors = []
+    for q in queries:
+        try:
+            q.stop()
+        except Exception as e:  # keep stopping the others
+            errors.append(e)
+    if errors:
+        raise errors[0]
+
+
+def rows_dropped_by_watermark(query: StreamingQuery) -> int:
+    """Rows that stateful operators discarded as too late (recent progress)."""
+    return sum(op.get("numRowsDroppedByWatermark", 0) or 0
+               for p in query.recentProgress for op in p.get("stateOperators", []))
