@@ -20,7 +20,15 @@ def known_sensors(df: DataFrame, sensors: Sequence[str] = VALID_SENSORS) -> Data
 
 
 def latest_time(df: DataFrame, col: str = EVENT_TIME) -> Column:
-    """``max(col)`` of ``df`` as a scalar subquery (evaluated once, no join)."""
+    """``max(col)`` of ``df`` as a scalar subquery (evaluated once, no join).
+
+    On a history partitioned by ``event_date`` the last day is found first
+    (partition column only) and the time is taken from that day's files: the
+    outer filter prunes partitions at run time, so the whole table is not read.
+    """
+    if col == EVENT_TIME and EVENT_DATE in df.columns:
+        last_day = df.select(F.max(EVENT_DATE)).scalar()
+        return df.filter(F.col(EVENT_DATE) >= last_day).select(F.max(col)).scalar()
     return df.select(F.max(col)).scalar()
 
 

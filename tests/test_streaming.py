@@ -115,3 +115,28 @@ def test_history_prunes_partitions_and_pushes_filters(spark):
     assert "In(sensor_id" in scan.split("PushedFilters:")[1].split("\n")[0], scan[:2000]
     base = recent_window(known_sensors(readings), as_of=as_of)
     assert q.count() == base.count() > 0
+
+
+def test_latest_time_reads_only_last_partition(spark):
+    from sensorstream.operators import known_sensors, latest_time, recent_window
+    from sensorstream.sources import history, write_history
+
+    readings = parse_readings(raw_messages(spark.read.parquet("/root/testdata/sf0.1/events.parquet")), keep=("event_id",))
+    path = scratch_path(spark, "history-days")
+    write_history(readings, path, partition_by=("event_date",))
+    h = known_sensors(history(spark, path))
+    assert len(h.select("event_date").distinct().collect()) > 3
+    as_of = h.select(latest_time(h).alias("t"))
+    inner = spark._jvm.PythonSQLUtils.explainString(as_of._jdf.queryExecution(), "formatted")
+    import re
+
+    # every scan that reads event_time is limited to the last day at run time
+    scans = [blk for blk in re.findall(r"\(\d+\) Scan parquet.*?(?:\n\n|$)", inner, re.S)
+             if re.search(r"Output \[\d+\]: \[[^\]]*event_time", blk)]
+    assert scans, inner[:3000]
+    for blk in scans:
+        filters = re.search(r"PartitionFilters: (.*)", blk).group(1)
+        assert "event_date" in filters and "Subquery" in filters, blk
+    want = known_sensors(readings).agg(F.max("event_time")).collect()[0][0]
+    assert as_of.limit(1).collect()[0]["t"] == want
+    assert recent_window(h, latest_time(h)).count() == recent_window(known_sensors(readings), latest_time(known_sensors(readings))).count()
