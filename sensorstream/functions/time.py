@@ -37,8 +37,19 @@ def _epoch() -> Column:
 
 
 def epoch_micros(col: Column | str) -> Column:
-    """Microseconds since 1970-01-01 of a naive timestamp (as if UTC)."""
-    return F.timestamp_diff("MICROSECOND", _epoch(), F.col(col) if isinstance(col, str) else col)
+    """Microseconds since 1970-01-01 of a naive timestamp (as if UTC).
+
+    Built from calendar fields, which are zone-free for ``TIMESTAMP_NTZ``.
+    (``timestamp_diff`` would cast to ``TIMESTAMP`` through the session time
+    zone and be an hour off around daylight-saving changes.)
+    """
+    c = F.col(col) if isinstance(col, str) else col
+    return (
+        F.unix_date(F.to_date(c)).cast("long") * F.lit(86_400_000_000)
+        + F.hour(c).cast("long") * F.lit(3_600_000_000)
+        + F.minute(c).cast("long") * F.lit(60_000_000)
+        + (F.date_part(F.lit("SECOND"), c) * F.lit(1_000_000)).cast("long")
+    )
 
 
 def from_epoch_micros(col: Column | str) -> Column:

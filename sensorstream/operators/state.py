@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.normalise import measure
-from ..functions.time import as_interval_micros
+from ..functions.time import as_interval_micros, epoch_micros
 from ..rules import ACTIVE_LEVEL, ALERT_HORIZON, IDLE_LEVEL, MOTION_SENSOR, PANEL_COLOURS, RULES, VALID_SENSORS
 from ..schema import EVENT_DATE, EVENT_TIME
 
@@ -44,6 +47,20 @@ def recent_window(df: DataFrame, as_of: Column | None = None, horizon: str = ALE
     return out
 
 
+_FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+_TWO_63 = Decimal(2 ** 63)
+_TWO_64 = Decimal(2 ** 64)
+
+
+def _order_key(tie_col: str) -> Column:
+    """(event time, tie) packed into one exact ``decimal(38,0)``:
+    micros * 2^64 + (tie + 2^63). Order-preserving, and a fixed-width
+    aggregation buffer."""
+    us = epoch_micros(EVENT_TIME).cast("decimal(38,0)")
+    tie = F.coalesce(F.col(tie_col).cast("long"), F.lit(-(2 ** 63))).cast("decimal(38,0)")
+    return us * F.lit(_TWO_64) + (tie + F.lit(_TWO_63))
+
+
 def latest_per_sensor(df: DataFrame, tie_col: str = "event_id") -> DataFrame:
     """The most recent reading of every sensor.
 
@@ -51,12 +68,21 @@ def latest_per_sensor(df: DataFrame, tie_col: str = "event_id") -> DataFrame:
     one per sensor before the shuffle, so a sensor that owns most rows costs
     no more than any other. Ties on ``event_time`` go to the larger
     ``tie_col``. Rows without a sensor id or a valid time are ignored.
+
+    When every column is fixed-width, each column is a ``max_by`` over one
+    packed decimal key, which plans as ``HashAggregate``. A string column
+    (e.g. the raw ``timestamp`` text) makes it one ``max_by`` over a struct,
+    which Spark runs as ``SortAggregate`` (a local sort before the partial
+    aggregate).
     """
     cols = [c for c in df.columns if c != "sensor_id"]
+    rows = df.filter(F.col("sensor_id").isNotNull() & F.col(EVENT_TIME).isNotNull())
+    if all(isinstance(df.schema[c].dataType, _FIXED_WIDTH) for c in cols):
+        key = _order_key(tie_col)
+        return rows.groupBy("sensor_id").agg(*[F.max_by(c, key).alias(c) for c in cols])
     order = F.struct(F.col(EVENT_TIME), F.col(tie_col))
     return (
-        df.filter(F.col("sensor_id").isNotNull() & F.col(EVENT_TIME).isNotNull())
-        .groupBy("sensor_id")
+        rows.groupBy("sensor_id")
         .agg(F.max_by(F.struct(*cols), order).alias("_last"))
         .select("sensor_id", "_last.*")
     )

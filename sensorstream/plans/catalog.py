@@ -50,7 +50,8 @@ def recent_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latest_per_sensor(known(spark, sf_dir))
+    # the current state holds the parsed event time, not the raw text
+    return latest_per_sensor(known(spark, sf_dir).drop("timestamp"))
 
 
 _READING_OUT = ["event_id", *READING_COLUMNS, EVENT_TIME]
@@ -99,8 +100,11 @@ def q_recent_window(spark, d):
     return recent(spark, d).select(*_READING_OUT)
 
 
+STATE_COLUMNS = ["sensor_id", *READING_COLUMNS[2:], EVENT_TIME, "event_id"]
+
+
 def q_latest_per_sensor(spark, d):
-    return state(spark, d).select("sensor_id", *READING_COLUMNS[1:], EVENT_TIME, "event_id")
+    return state(spark, d).select(*STATE_COLUMNS)
 
 
 def q_recent_alerts(spark, d):

@@ -56,7 +56,7 @@ def dashboard(readings: DataFrame, as_of: Column | None = None, horizon: str = A
     horizon to the data.
     """
     known = known_sensors(readings)
-    state = latest_per_sensor(known, tie_col)
+    state = latest_per_sensor(known.drop("timestamp"), tie_col)
     recent = recent_window(known, as_of, horizon)
     alerts = explode_alerts(recent)
     return Dashboard(

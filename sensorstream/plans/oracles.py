@@ -71,7 +71,7 @@ gaps2 AS (
 
 LATEST = """,
 latest AS (
-  SELECT sensor_id, "timestamp", temperature, humidity, "waterQuality", "insectPresence", motion, event_time, event_id
+  SELECT sensor_id, temperature, humidity, "waterQuality", "insectPresence", motion, event_time, event_id
   FROM (SELECT *, row_number() OVER (PARTITION BY sensor_id ORDER BY event_time DESC, event_id DESC) AS rn
         FROM known WHERE event_time IS NOT NULL)
   WHERE rn = 1

@@ -45,7 +45,7 @@ def stream_latest_per_sensor(spark: SparkSession, d: str) -> DataFrame:
     path, ck = scratch_path(spark, "latest"), scratch_path(spark, "latest-checkpoint")
     readings = parse_readings(raw_messages(event_stream(spark, d)), keep=("event_id",))
     latest_state_stream(readings, path, ck, NOW).awaitTermination()
-    return read_latest_state(spark, path).select("sensor_id", *READING_COLUMNS[1:], EVENT_TIME, "event_id")
+    return read_latest_state(spark, path).select(*batch.STATE_COLUMNS)
 
 
 def _stream_sessions(spark: SparkSession, d: str) -> DataFrame:

@@ -149,3 +149,22 @@ def test_properties_and_kafka_options():
     assert opts["kafka.bootstrap.servers"] == "localhost:9092"
     assert opts["kafka.security.protocol"] == "SASL_SSL" and opts["kafka.sasl.mechanism"] == "PLAIN"
     assert 'username="u" password="p";' in opts["kafka.sasl.jaas.config"]
+
+
+def test_time_arithmetic_ignores_session_zone(spark):
+    import datetime as dt
+
+    from sensorstream.functions import epoch_micros, from_epoch_micros
+
+    vals = [dt.datetime(2024, 3, 10, 2, 30, 0, 123456), dt.datetime(2024, 11, 3, 1, 30), dt.datetime(2024, 7, 1, 12),
+            dt.datetime(1969, 12, 31, 23, 59, 59, 999999)]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([(v,) for v in vals], "t timestamp_ntz")
+        rows = df.select(epoch_micros("t").alias("us"), from_epoch_micros(epoch_micros("t")).alias("back")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    for r, v in zip(rows, vals):
+        assert r["us"] == (v - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
+        assert r["back"] == v
