@@ -28,12 +28,25 @@ def event_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None)
     return reader.parquet(f"{sf_dir.rstrip('/')}/event[s].parquet")
 
 
+def append_closing(spark: SparkSession, path: str) -> None:
+    """Append two closing-message files to a message folder (after its data).
+
+    Read the folder with ``maxFilesPerTrigger=1``: the first closing file moves
+    the watermark past all data, the second makes the stream run one more
+    batch in which every open session is emitted (an ``availableNow`` trigger
+    runs no trailing empty batch by itself).
+    """
+    for _ in range(2):
+        spark.createDataFrame([(-1, CLOSING_MESSAGE)], MESSAGE_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+
+
 def closing_stream(spark: SparkSession) -> DataFrame:
-    """Two closing messages, one per micro-batch.
+    """Two closing messages as a separate source, one per micro-batch.
 
-    The first moves the watermark past all data; the second makes the stream
-    run one more batch, in which every open session is emitted (an
-    ``availableNow`` trigger runs no trailing empty batch by itself).
+    Union it with a source that delivers all its data in the first batch
+    (e.g. one file without ``maxFilesPerTrigger``); otherwise its first
+    message would make later data late. For multi-batch replays use
+    :func:`append_closing` on the data folder instead.
     """
     path = scratch_path(spark, "closing")
     for _ in range(2):

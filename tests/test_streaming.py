@@ -140,3 +140,25 @@ def test_latest_time_reads_only_last_partition(spark):
     want = known_sensors(readings).agg(F.max("event_time")).collect()[0][0]
     assert as_of.limit(1).collect()[0]["t"] == want
     assert recent_window(h, latest_time(h)).count() == recent_window(known_sensors(readings), latest_time(known_sensors(readings))).count()
+
+
+def test_sessions_stream_over_batches_equals_batch(spark):
+    from sensorstream.operators import explode_alerts, incident_sessions, known_sensors
+    from sensorstream.streaming import append_closing, incident_sessions_stream, with_event_ts
+
+    msgs = raw_messages(spark.read.parquet(f"{SF_SMALL}/events.parquet"))
+    src = scratch_path(spark, "sess-src")
+    for lo, hi in [(0, 300), (300, 700), (700, 10**9)]:  # time order: event_id grows with time
+        msgs.filter((F.col("event_id") >= lo) & (F.col("event_id") < hi)).coalesce(1).write.mode("append").parquet(src)
+    data = parse_readings(spark.read.parquet(src), keep=("event_id",))
+    append_closing(spark, src)
+    stream = spark.readStream.schema(MESSAGE_SCHEMA).option("maxFilesPerTrigger", "1").parquet(src)
+    readings = with_event_ts(parse_readings(stream, keep=("event_id",)))
+    out, ck = scratch_path(spark, "sess-out"), scratch_path(spark, "sess-ck")
+    q = (incident_sessions_stream(readings).writeStream.format("parquet").option("checkpointLocation", ck)
+         .outputMode("append").trigger(availableNow=True).start(out))
+    q.awaitTermination()
+    got = sorted(tuple(r) for r in spark.read.parquet(out).select("sensor_id", "alert_type", "start_time", "last_time", "n_alerts").collect())
+    alerts = explode_alerts(known_sensors(data.filter(F.col("event_id") >= 0)))
+    want = sorted(tuple(r) for r in incident_sessions(alerts).select("sensor_id", "alert_type", "start_time", "last_time", "n_alerts").collect())
+    assert len(q.recentProgress) >= 3 and got == want
