@@ -105,7 +105,7 @@ def step(ch: Channel, mode: int, end: int | None, x: float, t: int, before_end:
     return 0, None
 
 
-def _transfer(ch: Channel, times: np.ndarray, xs: np.ndarray, seg_start: int) -> list[tuple]:
+def _transfer(ch: Channel, times: np.ndarray, xs: np.ndarray) -> list[tuple]:
     """Exit state of one segment for every incoming state of one channel.
 
     Rows: (in_mode, lo, hi, out_mode, out_end, out_pass); an active incoming
@@ -122,8 +122,9 @@ def _transfer(ch: Channel, times: np.ndarray, xs: np.ndarray, seg_start: int) ->
     memo: dict[tuple, tuple] = {}
     rows = [(0, None, None, exit_idle[0], exit_idle[1], False)]
     for m in range(1, len(ch.names) + 1):
-        # an incoming end is before seg_start + duration (it was set before the segment)
-        limit = seg_start + ch.durations[m - 1]
+        # an incoming end was set at a reading before the segment's first one,
+        # so it lies before that first reading + duration
+        limit = int(times[0]) + ch.durations[m - 1]
         prev = None
         for k in range(n + 1):
             lo = int(times[k - 1]) if k > 0 else None
@@ -182,17 +183,15 @@ def _floats(s: pd.Series) -> np.ndarray:
     return s.astype("float64").to_numpy()
 
 
-def _segment_transfers(seg_us: int):
-    def fn(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        sensor, seg = key
-        pdf = _sorted(pdf)
-        times = pdf["_us"].to_numpy()
-        out = []
-        for c, ch in enumerate(CHANNELS):
-            for row in _transfer(ch, times, _floats(pdf[ch.measure]), int(seg) * seg_us):
-                out.append((sensor, int(seg), c, *row))
-        return pd.DataFrame(out, columns=TRANSFER_SCHEMA.fieldNames())
-    return fn
+def _segment_transfers(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    sensor, seg = key
+    pdf = _sorted(pdf)
+    times = pdf["_us"].to_numpy()
+    out = []
+    for c, ch in enumerate(CHANNELS):
+        for row in _transfer(ch, times, _floats(pdf[ch.measure])):
+            out.append((sensor, int(seg), c, *row))
+    return pd.DataFrame(out, columns=TRANSFER_SCHEMA.fieldNames())
 
 
 def _chain(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -247,12 +246,43 @@ def _replay(readings: pd.DataFrame, instate: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(res)[OUTPUT_SCHEMA.fieldNames()]
 
 
-def control_state(readings: DataFrame, segment: str = "1 hour", tie_col: str = "event_id") -> DataFrame:
+MAX_LEVELS = 20  # a segment is split into at most 2^20 parts
+HOT_BROADCAST_LIMIT = 200_000  # hot-segment list entries broadcast at most
+
+
+def _segments(base: DataFrame, seg_us: int, max_rows: int | None) -> DataFrame:
+    """Add ``_seg``: a time-ordered segment number per sensor.
+
+    Segments are ``seg_us`` wide; one holding more than ``max_rows`` readings
+    (a busy sensor) is cut into 2^L equal parts. The list of such hot segments
+    has at most rows / ``max_rows`` entries; it is broadcast only after its
+    size is checked, else joined normally.
+    """
+    base = base.withColumn("_hour", F.floor(F.col("_us") / F.lit(seg_us)).cast("long"))
+    levels = "0"
+    if max_rows:
+        hot = (base.groupBy("sensor_id", "_hour").agg(F.count(F.lit(1)).alias("_n"))
+               .filter(F.col("_n") > max_rows)
+               .select("sensor_id", "_hour",
+                       F.least(F.lit(MAX_LEVELS), F.ceil(F.log2(F.col("_n") / F.lit(max_rows)))).cast("int").alias("_levels")))
+        n_hot = hot.count()
+        if n_hot:
+            base = base.join(F.broadcast(hot) if n_hot <= HOT_BROADCAST_LIMIT else hot, ["sensor_id", "_hour"], "left")
+            levels = "coalesce(_levels, 0)"
+    part = f"cast(floor(shiftleft(_us - _hour * {seg_us}L, {levels}) / {seg_us}L) as bigint)"
+    seg = F.expr(f"_hour * {1 << MAX_LEVELS}L + shiftleft({part}, {MAX_LEVELS} - {levels})")
+    return base.withColumn("_seg", seg).drop("_hour", "_levels")
+
+
+def control_state(readings: DataFrame, segment: str = "1 hour", tie_col: str = "event_id",
+                  max_rows_per_segment: int | None = 1_000_000) -> DataFrame:
     """Actuator flags and commands after every environment reading.
 
     ``readings`` needs ``sensor_id``, ``event_time``, ``temperature``,
     ``humidity``, ``waterQuality`` and ``tie_col`` (orders equal times).
     Motion-sensor rows and rows without sensor or time are not controlled.
+    Segments hold at most about ``max_rows_per_segment`` readings (a count
+    over the readings finds busier ones first); ``None`` skips that pass.
     """
     seg_us = as_interval_micros(segment)
     base = (
@@ -261,11 +291,10 @@ def control_state(readings: DataFrame, segment: str = "1 hour", tie_col: str = "
         .select(F.col(tie_col).cast("long").alias("event_id"), "sensor_id", EVENT_TIME,
                 *[F.col(ch.measure).cast("double").alias(ch.measure) for ch in CHANNELS])
         .withColumn("_us", epoch_micros(EVENT_TIME))
-        .withColumn("_seg", ((F.col("_us") - F.pmod("_us", F.lit(seg_us))) / F.lit(seg_us)).cast("long"))
-        # one shuffle of the readings, shared by pass 1 and pass 3
-        .repartition("sensor_id", "_seg")
     )
-    transfers = base.groupBy("sensor_id", "_seg").applyInPandas(_segment_transfers(seg_us), TRANSFER_SCHEMA)
+    # one shuffle of the readings, shared by pass 1 and pass 3
+    base = _segments(base, seg_us, max_rows_per_segment).repartition("sensor_id", "_seg")
+    transfers = base.groupBy("sensor_id", "_seg").applyInPandas(_segment_transfers, TRANSFER_SCHEMA)
     instates = transfers.groupBy("sensor_id").applyInPandas(_chain, INSTATE_SCHEMA)
     return (
         base.groupBy("sensor_id", "_seg")

@@ -97,3 +97,5 @@ def test_matches_sequential_reference_for_any_segment_width(spark, seed):
     df = _readings(spark, rows)
     for segment in ["7 seconds", "1 minute", "10 minutes", "1 day"]:
         assert _flags(control_state(df, segment=segment)) == want, segment
+    # busy segments cut into 2^L parts must give the same answer
+    assert _flags(control_state(df, segment="1 day", max_rows_per_segment=7)) == want
