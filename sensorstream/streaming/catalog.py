@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from ..functions.jsonio import parse_archive
 from ..functions.parse import parse_readings
 from ..plans import catalog as batch
-from ..plans.oracles import GAPS, KNOWN, LATEST, _BASE, _exploded, _with, oracle_sql
+from ..plans.oracles import GAPS, KNOWN, _BASE, _exploded, _with, oracle_sql
 from ..operators.state import latest_time
-from ..schema import ENRICHED_COLUMNS, EVENT_TIME, READING_COLUMNS
+from ..schema import ENRICHED_COLUMNS
 from ..session import scratch_path
 from ..sources.fixtures import control_readings, raw_messages
 from .control import control_state_stream

@@ -3,7 +3,6 @@
 import json
 import math
 
-import pytest
 from pyspark.sql import functions as F
 
 from sensorstream.functions import archive_json, normalise_readings, parse_readings, display_time

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sensorstream.functions import parse_archive, parse_readings
 from sensorstream.operators import first_alert
 from sensorstream.session import scratch_path
-from sensorstream.sources import history, publish_readings, raw_messages, readings_from_events, write_archive, write_history
+from sensorstream.sources import history, publish_readings, raw_messages, readings_from_events, write_archive
 from sensorstream.sources.readers import MESSAGE_SCHEMA
 from sensorstream.streaming import (incident_sessions_stream, rows_dropped_by_watermark, start_archive_and_history,
                                     stop_all, with_event_ts)
