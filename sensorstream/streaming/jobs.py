@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.time import from_instant, to_instant
 from ..operators.alerts import explode_alerts, first_alert
-from ..operators.state import known_sensors, recent_window
+from ..operators.state import known_sensors, latest_per_sensor, recent_window
 from ..rules import ALERT_HORIZON, INCIDENT_GAP
 from ..schema import EVENT_TIME
 from ..sources.sinks import write_archive
@@ -46,14 +46,13 @@ def latest_state_stream(readings: DataFrame, path: str, checkpoint: str, trigger
                         tie_col: str = "event_id") -> StreamingQuery:
     """Keep the latest reading per sensor as streaming state (update mode).
 
-    Each micro-batch writes only the sensors that changed, to ``path/epoch=N``
-    (overwritten on replay, so idempotent). Read with :func:`read_latest_state`.
+    The same aggregate as the batch :func:`latest_per_sensor` (state: one row
+    per sensor, holding the parsed time). Each micro-batch writes only the
+    sensors that changed, to ``path/epoch=N`` (overwritten on replay, so
+    idempotent). Read with :func:`read_latest_state`.
     """
-    known = known_sensors(readings).filter(F.col(EVENT_TIME).isNotNull())
-    cols = [c for c in known.columns if c not in ("sensor_id", EVENT_TS)]
-    agg = known.groupBy("sensor_id").agg(
-        F.max_by(F.struct(*cols), F.struct(F.col(EVENT_TIME), F.col(tie_col))).alias("_last")
-    ).select("sensor_id", "_last.*")
+    known = known_sensors(readings).drop("timestamp", EVENT_TS)
+    agg = latest_per_sensor(known, tie_col)
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/epoch={epoch_id}")
