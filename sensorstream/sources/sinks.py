@@ -85,18 +85,25 @@ def write_history(readings: DataFrame, name_or_path: str, fmt: str = "parquet",
 
 
 def for_each_batch(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str,
-                   trigger: dict | None = None, mode: str = "append") -> StreamingQuery:
+                   trigger: dict | None = None, mode: str = "append", persist: bool = False) -> StreamingQuery:
     """Run ``fn(batch_df, epoch_id)`` per micro-batch; empty batches skipped.
 
     Errors raised by ``fn`` fail the query, so the batch is replayed from the
-    checkpoint on restart instead of being lost.
+    checkpoint on restart instead of being lost. ``persist`` caches the batch
+    around ``fn`` (worth it only when ``fn`` runs more than one action on it).
     """
     if not checkpoint:
         raise ValueError("foreachBatch needs a checkpoint location")
 
     def guarded(batch: DataFrame, epoch_id: int) -> None:
-        if not batch.isEmpty():
-            fn(batch, epoch_id)
+        if persist:
+            batch.persist()
+        try:
+            if not batch.isEmpty():
+                fn(batch, epoch_id)
+        finally:
+            if persist:
+                batch.unpersist()
 
     w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(guarded)
     if trigger:

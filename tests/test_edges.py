@@ -167,3 +167,26 @@ def test_time_arithmetic_ignores_session_zone(spark):
     for r, v in zip(rows, vals):
         assert r["us"] == (v - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
         assert r["back"] == v
+
+
+def test_json_keys_case_duplicates_and_trailing_text(spark):
+    rows = {r["event_id"]: r["sensor_id"] for r in _parse(spark, [
+        '{"sensor_id":"a","sensor_id":"b"}', '{"Sensor_id":"a"}', '{"sensor_id":"a"} trailing']).collect()}
+    assert rows == {0: "b", 1: None, 2: "a"}
+
+
+def test_for_each_batch_with_persist(spark):
+    from sensorstream.session import scratch_path
+    from sensorstream.sources import for_each_batch
+    from sensorstream.sources.readers import MESSAGE_SCHEMA
+
+    src, ck = scratch_path(spark, "feb-src"), scratch_path(spark, "feb-ck")
+    _msgs(spark, ['{"sensor_id":"a"}', '{"sensor_id":"b"}']).write.mode("append").parquet(src)
+    seen = []
+
+    def twice(batch, epoch_id):
+        seen.append((batch.count(), batch.filter("value like '%a%'").count()))
+
+    q = for_each_batch(spark.readStream.schema(MESSAGE_SCHEMA).parquet(src), twice, ck, {"availableNow": True}, persist=True)
+    q.awaitTermination()
+    assert seen == [(2, 1)]
