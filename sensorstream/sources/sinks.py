@@ -18,13 +18,19 @@ from ..schema import EVENT_DATE, EVENT_TIME
 from .config import ARCHIVE_TOPIC, INPUT_TOPIC
 
 
+def kafka_sink_options(options: dict | None, topic: str) -> dict:
+    """Source options (from :func:`kafka_options`) turned into sink options:
+    the topic is set, subscription settings are dropped."""
+    out = {k: v for k, v in (options or {}).items() if k not in ("subscribe", "startingOffsets")}
+    out.setdefault("topic", topic)
+    return out
+
+
 def _write(df: DataFrame, fmt: str, path_or_topic: str | None, options: dict | None,
            checkpoint: str | None, trigger: dict | None, mode: str = "append") -> StreamingQuery | None:
     options = dict(options or {})
     if fmt == "kafka":
-        options.setdefault("topic", path_or_topic)
-        options.pop("subscribe", None)
-        options.pop("startingOffsets", None)
+        options = kafka_sink_options(options, path_or_topic)
     if df.isStreaming:
         if not checkpoint:
             raise ValueError("a streaming sink needs a checkpoint location")

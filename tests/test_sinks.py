@@ -77,3 +77,20 @@ def test_late_alerts_are_counted_as_dropped(spark):
     assert rows_dropped_by_watermark(q) == 1
     got = sorted((r["start_time"], r["n_alerts"]) for r in spark.read.parquet(out).collect())
     assert got == [(t0, 1), (t0 + dt.timedelta(hours=1), 1)]
+
+
+def test_text_message_source(spark):
+    from sensorstream.sources import read_readings
+
+    path = scratch_path(spark, "text-src")
+    raw_messages(_events(spark)).select("value").coalesce(1).write.mode("append").text(path)
+    rows = read_readings(spark, path, fmt="text")
+    assert rows.count() == 1000 and rows.filter(F.col("sensor_id").isNull()).count() == 11
+
+
+def test_kafka_sink_options():
+    from sensorstream.sources import kafka_options
+    from sensorstream.sources.sinks import kafka_sink_options
+
+    opts = kafka_sink_options(kafka_options({"bootstrap.servers": "b:9092"}), "IOT_archive")
+    assert opts == {"kafka.bootstrap.servers": "b:9092", "topic": "IOT_archive"}
