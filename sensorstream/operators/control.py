@@ -112,11 +112,14 @@ def _transfer(ch: Channel, times: np.ndarray, xs: np.ndarray) -> list[tuple]:
     state with end ``e`` uses the row with ``lo < e <= hi`` (None = unbounded).
     ``out_pass`` means the incoming state (and its end) is still running.
     """
+    # plain Python values loop faster than numpy scalars
+    times = times.tolist() if hasattr(times, "tolist") else [int(t) for t in times]
+    xs = xs.tolist() if hasattr(xs, "tolist") else list(xs)
     n = len(times)
     idle = []
     mode, end = 0, None
     for i in range(n):
-        mode, end = step(ch, mode, end, xs[i], int(times[i]))
+        mode, end = step(ch, mode, end, xs[i], times[i])
         idle.append((mode, end))
     exit_idle = (mode, end)
     memo: dict[tuple, tuple] = {}
@@ -124,11 +127,11 @@ def _transfer(ch: Channel, times: np.ndarray, xs: np.ndarray) -> list[tuple]:
     for m in range(1, len(ch.names) + 1):
         # an incoming end was set at a reading before the segment's first one,
         # so it lies before that first reading + duration
-        limit = int(times[0]) + ch.durations[m - 1]
+        limit = times[0] + ch.durations[m - 1]
         prev = None
         for k in range(n + 1):
-            lo = int(times[k - 1]) if k > 0 else None
-            hi = int(times[k]) if k < n else None
+            lo = times[k - 1] if k > 0 else None
+            hi = times[k] if k < n else None
             if lo is not None and lo >= limit:
                 break
             if lo is not None and hi is not None and lo == hi:
@@ -136,7 +139,7 @@ def _transfer(ch: Channel, times: np.ndarray, xs: np.ndarray) -> list[tuple]:
             mode, end = m, INCOMING
             path, result = [], None
             for i in range(n):
-                mode, end = step(ch, mode, end, xs[i], int(times[i]), i < k)
+                mode, end = step(ch, mode, end, xs[i], times[i], i < k)
                 if end != INCOMING:
                     state = (i, mode, end)
                     if (mode, end) == idle[i]:
@@ -224,7 +227,7 @@ def _replay(readings: pd.DataFrame, instate: pd.DataFrame) -> pd.DataFrame:
     if readings.empty:
         return pd.DataFrame(columns=OUTPUT_SCHEMA.fieldNames())
     pdf = _sorted(readings)
-    times = pdf["_us"].to_numpy()
+    times = pdf["_us"].tolist()
     n = len(pdf)
     res = {"event_id": pdf["event_id"].to_numpy(), "sensor_id": pdf["sensor_id"].to_numpy(),
            EVENT_TIME: pdf[EVENT_TIME].to_numpy()}
@@ -232,11 +235,12 @@ def _replay(readings: pd.DataFrame, instate: pd.DataFrame) -> pd.DataFrame:
               for r in instate.itertuples()}
     for c, ch in enumerate(CHANNELS):
         mode, end = starts.get(c, (0, None))
-        xs = _floats(pdf[ch.measure])
-        modes = np.zeros(n, dtype=np.int8)
+        xs = _floats(pdf[ch.measure]).tolist()
+        out = [0] * n
         for i in range(n):
-            mode, end = step(ch, mode, end, xs[i], int(times[i]))
-            modes[i] = mode
+            mode, end = step(ch, mode, end, xs[i], times[i])
+            out[i] = mode
+        modes = np.array(out, dtype=np.int8)
         for j, name in enumerate(ch.names):
             res[name] = modes == j + 1
         cmd = np.full(n, np.nan)

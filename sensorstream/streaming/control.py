@@ -43,17 +43,18 @@ def _advance(key, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator
     if pdf.empty:
         return
     pdf = pdf.sort_values(["_us", "event_id"], kind="mergesort")
-    times = pdf["_us"].to_numpy()
+    times = pdf["_us"].tolist()
     n = len(pdf)
     res = {"event_id": pdf["event_id"].to_numpy(), "sensor_id": pdf["sensor_id"].to_numpy(),
            EVENT_TIME: pdf[EVENT_TIME].to_numpy()}
     for c, ch in enumerate(CHANNELS):
         mode, end = modes[c], ends[c]
-        xs = pdf[ch.measure].astype("float64").to_numpy()
-        out = np.zeros(n, dtype=np.int8)
+        xs = pdf[ch.measure].astype("float64").tolist()
+        out = [0] * n
         for i in range(n):
-            mode, end = step(ch, mode, end, xs[i], int(times[i]))
+            mode, end = step(ch, mode, end, xs[i], times[i])
             out[i] = mode
+        out = np.array(out, dtype=np.int8)
         modes[c], ends[c] = mode, end
         for j, name in enumerate(ch.names):
             res[name] = out == j + 1
@@ -62,7 +63,7 @@ def _advance(key, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator
             cmd[out == j + 1] = value
         res[COMMAND_COLUMNS[ch.measure]] = cmd
     state.update(tuple(v for c in range(len(CHANNELS)) for v in (modes[c], ends[c]))
-                 + (int(times[-1]), int(pdf["event_id"].iloc[-1])))
+                 + (times[-1], int(pdf["event_id"].iloc[-1])))
     yield pd.DataFrame(res)[OUTPUT_SCHEMA.fieldNames()]
 
 
