@@ -133,3 +133,32 @@ def rows_dropped_by_watermark(query: StreamingQuery) -> int:
     """Rows that stateful operators discarded as too late (recent progress)."""
     return sum(op.get("numRowsDroppedByWatermark", 0) or 0
                for p in query.recentProgress for op in p.get("stateOperators", []))
+
+
+def start_dashboard_job(messages: DataFrame, root: str, archive_fmt: str = "kafka",
+                        archive_target: str = "IOT_archive", archive_options: dict | None = None,
+                        trigger: dict | None = None, delay: str = DEFAULT_DELAY, gap: str = INCIDENT_GAP,
+                        keep=("event_id",)) -> dict[str, StreamingQuery]:
+    """The dashboard job as streaming queries on one message stream.
+
+    ``history`` (raw readings, parquet), ``archive`` (labelled JSON),
+    ``latest`` (state per sensor, change log) and ``sessions`` (incidents,
+    append after the watermark), each with its own checkpoint under ``root``.
+    Panels and horizon counts are batch reads of these tables
+    (:func:`read_latest_state`, :func:`incidents_in_horizon`).
+    """
+    from ..functions.parse import parse_readings
+
+    readings = parse_readings(messages, keep=keep)
+    queries = dict(zip(("history", "archive"), start_archive_and_history(
+        messages, f"{root}/history", f"{root}/checkpoints", archive_fmt, archive_target, archive_options,
+        trigger=trigger, keep=keep)))
+    queries["latest"] = latest_state_stream(readings, f"{root}/latest", f"{root}/checkpoints/latest", trigger,
+                                            keep[0] if keep else "event_id")
+    sessions = incident_sessions_stream(with_event_ts(readings, delay), gap)
+    w = (sessions.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoints/sessions")
+         .outputMode("append"))
+    if trigger:
+        w = w.trigger(**trigger)
+    queries["sessions"] = w.start(f"{root}/sessions")
+    return queries

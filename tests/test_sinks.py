@@ -94,3 +94,31 @@ def test_kafka_sink_options():
 
     opts = kafka_sink_options(kafka_options({"bootstrap.servers": "b:9092"}), "IOT_archive")
     assert opts == {"kafka.bootstrap.servers": "b:9092", "topic": "IOT_archive"}
+
+
+def test_dashboard_job(spark):
+    from sensorstream.operators import explode_alerts, incident_sessions, known_sensors, latest_per_sensor
+    from sensorstream.streaming import append_closing, read_latest_state, start_dashboard_job
+
+    src = scratch_path(spark, "dash-src")
+    raw_messages(_events(spark)).coalesce(1).write.mode("append").parquet(src)
+    append_closing(spark, src)
+    root = scratch_path(spark, "dash")
+    stream = spark.readStream.schema(MESSAGE_SCHEMA).option("maxFilesPerTrigger", "1").parquet(src)
+    qs = start_dashboard_job(stream, root, archive_fmt="parquet", archive_target=f"{root}/archive",
+                             trigger={"availableNow": True})
+    try:
+        for q in qs.values():
+            q.awaitTermination()
+    finally:
+        stop_all(qs.values())
+    batch = parse_readings(spark.read.parquet(src), keep=("event_id",)).filter(F.col("event_id") >= 0)
+    assert spark.read.parquet(f"{root}/history").filter(F.col("event_id") >= 0).count() == 1000
+    assert spark.read.parquet(f"{root}/archive").filter(F.col("key") != "-1").count() == 1000
+    latest = sorted(tuple(r) for r in read_latest_state(spark, f"{root}/latest").select("sensor_id", "event_id").collect())
+    # the closing message is the latest reading of sensor_1 in the stream
+    want = {r["sensor_id"]: r["event_id"] for r in latest_per_sensor(known_sensors(batch).drop("timestamp")).collect()}
+    want["sensor_1"] = -1
+    assert latest == sorted(want.items())
+    n_sessions = spark.read.parquet(f"{root}/sessions").count()
+    assert n_sessions == incident_sessions(explode_alerts(known_sensors(batch))).count()
