@@ -23,7 +23,10 @@ BAD_JSON = "{bad"
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    """The ``events`` table, spread over the cores when it is a single split."""
+    from .readers import spread_small_input
+
+    return spread_small_input(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet"))
 
 
 def _scaled(expr: Column) -> Column:

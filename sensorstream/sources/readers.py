@@ -50,6 +50,18 @@ def read_readings(spark: SparkSession, path: str | None = None, fmt: str = "kafk
     return parse_readings(msgs, keep=keep)
 
 
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Spread an input read as fewer splits than the session has cores.
+
+    Parquet splits at row-group boundaries, so a small file with one row
+    group is a single task. A round-robin repartition then lets all cores
+    share the parsing. A large input has far more splits than cores and is
+    returned unchanged (no shuffle).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def history(spark: SparkSession, name_or_path: str, fmt: str = "parquet") -> DataFrame:
     """Raw reading history: a table/view name, or a path written by
     :func:`write_history`."""
