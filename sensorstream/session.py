@@ -27,6 +27,8 @@ CLUSTER_CONF = {
     "spark.sql.shuffle.partitions": "4000",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+    # merge a hot sensor's alerts into sessions before the shuffle
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # "spark.checkpoint.dir": "<shared folder, e.g. an object-store or HDFS path>",
@@ -45,6 +47,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
         .config("spark.driver.memory", "16g")
         .getOrCreate()
     )

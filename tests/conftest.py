@@ -22,6 +22,7 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="sensorstream-test-"))
         .getOrCreate()
     )
