@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import os
 
+# Fixed values (kept so existing deployments work unchanged): default broker,
+# topic names and properties file name.
 DEFAULT_BOOTSTRAP = "localhost:9092"
 INPUT_TOPIC = "IOT_sensor"
 ARCHIVE_TOPIC = "IOT_archive"
+PROPERTIES_FILE = "./working.properties"
 
 
 def parse_properties(text: str) -> dict[str, str]:
@@ -25,7 +28,7 @@ def parse_properties(text: str) -> dict[str, str]:
     return conf
 
 
-def read_config(path: str = "./working.properties") -> dict[str, str]:
+def read_config(path: str = PROPERTIES_FILE) -> dict[str, str]:
     """Properties file -> dict; a missing file gives ``{}``."""
     if not os.path.exists(path):
         return {}

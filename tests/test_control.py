@@ -1,4 +1,4 @@
-"""Controller: hand trace, segment-width invariance, sequential reference."""
+"""Controller: hand trace, segment-width invariance, sequential model."""
 
 import datetime as dt
 import math
@@ -20,7 +20,7 @@ def _readings(spark, rows):
               "waterQuality double")
 
 
-def _reference(rows):
+def _sequential_model(rows):
     """Straight per-sensor walk of the rules with one dict of flags per sensor."""
     out = {}
     state = {}
@@ -91,9 +91,9 @@ def _random_rows(seed, n=400):
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_matches_sequential_reference_for_any_segment_width(spark, seed):
+def test_matches_sequential_model_for_any_segment_width(spark, seed):
     rows = _random_rows(seed)
-    want = _reference(rows)
+    want = _sequential_model(rows)
     df = _readings(spark, rows)
     for segment in ["7 seconds", "1 minute", "10 minutes", "1 day"]:
         assert _flags(control_state(df, segment=segment)) == want, segment
