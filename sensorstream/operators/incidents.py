@@ -22,12 +22,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.time import as_interval_micros, epoch_micros, from_epoch_micros
-from ..rules import INCIDENT_GAP
+from ..rules import ALERT_HORIZON, INCIDENT_GAP
 from ..schema import EVENT_TIME
+from .state import recent_window
 
 KEYS = ("sensor_id", "alert_type")
 
@@ -149,3 +150,13 @@ def incident_starts(alerts: DataFrame, gap: str = INCIDENT_GAP, keys: Sequence[s
                     tie_col: str = "event_id") -> DataFrame:
     """Alerts that open an incident: no previous alert, or gap > ``gap``."""
     return _gaps(alerts, gap, keys, tie_col).filter("_opens").drop("_opens", "_us")
+
+
+def incidents_in_horizon(sessions: DataFrame, as_of: Column | None = None, horizon: str = ALERT_HORIZON) -> DataFrame:
+    """Incident counts over a horizon from whole-history sessions.
+
+    A session counts iff its last alert is inside the horizon: trimming the
+    alerts first would leave a non-empty tail of exactly those sessions.
+    """
+    inside = recent_window(sessions.withColumn(EVENT_TIME, F.col("last_time")), as_of, horizon)
+    return inside.groupBy("alert_type").agg(F.count(F.lit(1)).alias("n_incidents"))

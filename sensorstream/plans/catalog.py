@@ -19,7 +19,7 @@ from ..functions.parse import parse_readings
 from ..operators.alerts import alert_counts, alert_messages, alert_table, all_alerts, explode_alerts, first_alert
 from ..operators.control import control_state
 from ..operators.incidents import (alert_gaps, incident_counts, incident_sessions, incident_starts,
-                                   incident_total)
+                                   incident_total, incidents_in_horizon)
 from ..operators.state import (known_sensors, latest_per_sensor, latest_time, panel_humidity, panel_insects,
                                panel_motion, panel_temperature, panel_water, recent_window)
 from ..schema import ENRICHED_COLUMNS, EVENT_TIME, READING_COLUMNS
@@ -134,8 +134,6 @@ def q_incident_total(spark, d):
 def q_incident_counts_from_sessions(spark, d):
     """Counts over the horizon from whole-history sessions (no trimming): a
     session counts iff its last alert is inside the horizon."""
-    from ..streaming.jobs import incidents_in_horizon
-
     k = known(spark, d)
     alerts = explode_alerts(k).select("event_id", "sensor_id", EVENT_TIME, "alert_type")
     return incidents_in_horizon(incident_sessions(alerts), as_of=latest_time(k))

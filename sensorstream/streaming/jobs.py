@@ -12,8 +12,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.time import from_instant, to_instant
 from ..operators.alerts import explode_alerts, first_alert
-from ..operators.state import known_sensors, latest_per_sensor, recent_window
-from ..rules import ALERT_HORIZON, INCIDENT_GAP
+from ..operators.incidents import incidents_in_horizon  # noqa: F401  (re-exported)
+from ..operators.state import known_sensors, latest_per_sensor
+from ..rules import INCIDENT_GAP
 from ..schema import EVENT_TIME
 from ..sources.sinks import write_archive
 
@@ -87,16 +88,6 @@ def incident_sessions_stream(readings: DataFrame, gap: str = INCIDENT_GAP) -> Da
     )
 
 
-def incidents_in_horizon(sessions: DataFrame, as_of: Column | None = None, horizon: str = ALERT_HORIZON) -> DataFrame:
-    """Incident counts over a horizon from whole-history sessions.
-
-    A session counts iff its last alert is inside the horizon: trimming the
-    alerts first would leave a non-empty tail of exactly those sessions.
-    """
-    inside = recent_window(sessions.withColumn(EVENT_TIME, F.col("last_time")), as_of, horizon)
-    return inside.groupBy("alert_type").agg(F.count(F.lit(1)).alias("n_incidents"))
-
-
 def start_archive_and_history(messages: DataFrame, history_target: str, checkpoint_root: str,
                               archive_fmt: str = "kafka", archive_target: str = "IOT_archive",
                               archive_options: dict | None = None, history_fmt: str = "parquet",
