@@ -5,6 +5,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from sensorstream.operators import control_state
 
@@ -99,3 +100,27 @@ def test_matches_sequential_model_for_any_segment_width(spark, seed):
         assert _flags(control_state(df, segment=segment)) == want, segment
     # busy segments cut into 2^L parts must give the same answer
     assert _flags(control_state(df, segment="1 day", max_rows_per_segment=7)) == want
+
+
+@pytest.mark.parametrize("seed", [7, 8])
+def test_stream_matches_sequential_model_across_batches(spark, seed):
+    from sensorstream.session import scratch_path
+    from sensorstream.streaming import control_state_stream
+
+    rows = _random_rows(seed, n=300)
+    want = _sequential_model(rows)
+    df = _readings(spark, rows)
+    src = scratch_path(spark, "ctl-rand")
+    # time-ordered files: cut at three instants so actuator end times straddle batches
+    order = sorted(range(len(rows)), key=lambda i: rows[i][1])
+    cuts = [rows[order[len(order) * k // 4]][1] for k in (1, 2, 3)]
+    bounds = [float("-inf"), *cuts, float("inf")]
+    secs = (F.unix_micros(F.col("event_time").cast("timestamp")) - F.lit(1704067200000000)) / 1e6
+    for lo, hi in zip(bounds, bounds[1:]):
+        df.filter((secs >= lo) & (secs < hi)).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", "1").parquet(src)
+    out, ck = scratch_path(spark, "ctl-rand-out"), scratch_path(spark, "ctl-rand-ck")
+    q = (control_state_stream(stream).writeStream.format("parquet").option("checkpointLocation", ck)
+         .trigger(availableNow=True).start(out))
+    q.awaitTermination()
+    assert _flags(spark.read.parquet(out)) == want

@@ -122,3 +122,13 @@ def test_dashboard_job(spark):
     assert latest == sorted(want.items())
     n_sessions = spark.read.parquet(f"{root}/sessions").count()
     assert n_sessions == incident_sessions(explode_alerts(known_sensors(batch))).count()
+
+
+def test_spread_small_input(spark):
+    from sensorstream.sources import spread_small_input
+
+    many = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism * 2)
+    assert spread_small_input(many) is many
+    one = spark.range(0, 1000, numPartitions=1)
+    spread = spread_small_input(one)
+    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and spread.count() == 1000
