@@ -88,6 +88,16 @@ def latest_per_sensor(df: DataFrame, tie_col: str = "event_id") -> DataFrame:
     )
 
 
+def update_latest_state(previous: DataFrame, new_readings: DataFrame, tie_col: str = "event_id") -> DataFrame:
+    """Fold new readings into a stored latest state (one row per sensor).
+
+    Same answer as :func:`latest_per_sensor` over the whole history, but reads
+    only the new readings (e.g. the latest partition) plus the small previous
+    state, so a refresh does not rescan the history.
+    """
+    return latest_per_sensor(previous.unionByName(new_readings.select(*previous.columns)), tie_col)
+
+
 def _in_alarm(col: str) -> Column:
     conds = []
     for r in RULES:

@@ -50,3 +50,15 @@ def test_archive_job(spark):
     doc = json.loads(out.archive.filter(F.col("key") == "13").collect()[0]["value"])
     assert set(doc) == {"sensor_id", "timestamp", "temperature", "humidity", "waterQuality", "insectPresence",
                         "motion", "alert_type", "alert_value"} and all(v is None for v in doc.values())
+
+
+def test_incremental_latest_state_equals_full(spark):
+    from sensorstream.operators import known_sensors, latest_per_sensor, update_latest_state
+
+    readings = known_sensors(parse_readings(raw_messages(spark.read.parquet(f"{SF_SMALL}/events.parquet")),
+                                            keep=("event_id",))).drop("timestamp")
+    full = latest_per_sensor(readings)
+    state = latest_per_sensor(readings.filter(F.col("event_id") < 400))
+    for lo, hi in [(400, 700), (700, 10**9)]:
+        state = update_latest_state(state, readings.filter((F.col("event_id") >= lo) & (F.col("event_id") < hi)))
+    assert sorted(tuple(r) for r in state.collect()) == sorted(tuple(r) for r in full.select(*state.columns).collect())
