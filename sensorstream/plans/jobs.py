@@ -49,14 +49,19 @@ class Dashboard:
 
 
 def dashboard(readings: DataFrame, as_of: Column | None = None, horizon: str = ALERT_HORIZON,
-              gap: str = INCIDENT_GAP, tie_col: str = "event_id") -> Dashboard:
+              gap: str = INCIDENT_GAP, tie_col: str = "event_id", state: DataFrame | None = None) -> Dashboard:
     """All dashboard outputs from typed readings (known sensors only).
 
     ``as_of`` defaults to the wall clock; pass ``latest_time(...)`` to anchor the
-    horizon to the data.
+    horizon to the data. Pass a stored ``state`` (streaming state or
+    ``update_latest_state``) so a refresh reads only the horizon: on a
+    date-partitioned history that is the last day's partitions.
     """
     known = known_sensors(readings)
-    state = latest_per_sensor(known.drop("timestamp"), tie_col)
+    if state is None:
+        state = latest_per_sensor(known.drop("timestamp"), tie_col)
+    else:
+        state = known_sensors(state)
     recent = recent_window(known, as_of, horizon)
     alerts = explode_alerts(recent)
     return Dashboard(

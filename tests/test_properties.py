@@ -41,6 +41,16 @@ def test_dashboard_job(spark):
     assert dash.temperature.count() == 4 and dash.motion.count() == 1 and dash.insects.count() == 4
 
 
+def test_dashboard_with_stored_state(spark):
+    from sensorstream.operators import latest_per_sensor
+    from sensorstream.plans import dashboard
+
+    readings = parse_readings(raw_messages(spark.read.parquet(f"{SF_SMALL}/events.parquet")), keep=("event_id",))
+    stored = latest_per_sensor(readings.drop("timestamp"))  # includes unknown sensors; the job filters them
+    dash = dashboard(readings, state=stored)
+    assert sorted(r["sensor_id"] for r in dash.temperature.collect()) == ["sensor_1", "sensor_2", "sensor_3", "sensor_4"]
+
+
 def test_archive_job(spark):
     msgs = raw_messages(spark.read.parquet(f"{SF_SMALL}/events.parquet"))
     out = archive_plan(msgs)
