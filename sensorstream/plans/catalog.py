@@ -73,7 +73,9 @@ def q_first_alert(spark, d):
 def q_all_alerts_list(spark, d):
     lists = all_alerts(parsed(spark, d))
     return lists.select("event_id", F.array_join("alert_list", "|").alias("alert_list"),
-                        F.coalesce(F.size("alert_list"), F.lit(0)).cast("int").alias("n_alerts"))
+                        # explicit: without ANSI mode size(NULL) is -1, not NULL
+                        F.when(F.col("alert_list").isNull(), F.lit(0)).otherwise(F.size("alert_list"))
+                        .cast("int").alias("n_alerts"))
 
 
 def q_all_alerts_exploded(spark, d):
