@@ -198,27 +198,37 @@ def _segment_transfers(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def _chain(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Per sensor: walk segments in time order and resolve incoming states."""
-    out = []
+    """Per sensor: walk segments in time order and resolve incoming states.
+
+    One linear pass over the transfer rows sorted by (channel, segment).
+    """
     sensor = pdf["sensor_id"].iloc[0]
-    for c, rows in pdf.groupby("channel", sort=False):
-        mode, end = 0, None
-        rows = rows.sort_values(["_seg", "in_mode", "lo"], na_position="first", kind="mergesort")
-        for seg, seg_rows in rows.groupby("_seg", sort=True):
-            out.append((sensor, int(seg), int(c), mode, end))
-            if mode == 0:
-                r = seg_rows[seg_rows["in_mode"] == 0].iloc[0]
-            else:
-                cand = seg_rows[seg_rows["in_mode"] == mode]
-                ok = (cand["lo"].isna() | (cand["lo"] < end)) & (cand["hi"].isna() | (end <= cand["hi"]))
-                r = cand[ok].iloc[0]
-            if bool(r["out_pass"]):
-                mode = int(r["out_mode"])
-            else:
-                mode = int(r["out_mode"])
-                end = None if pd.isna(r["out_end"]) else int(r["out_end"])
-            if mode == 0:
-                end = None
+    pdf = pdf.sort_values(["channel", "_seg", "in_mode", "lo"], na_position="first", kind="mergesort")
+    chan, seg, in_mode = (pdf[c].tolist() for c in ("channel", "_seg", "in_mode"))
+    lo, hi, out_mode, out_end = ([None if v is None or v != v else int(v) for v in pdf[c].tolist()]
+                                 for c in ("lo", "hi", "out_mode", "out_end"))
+    out_pass = pdf["out_pass"].tolist()
+    out, n, i = [], len(chan), 0
+    state: dict[int, tuple] = {}
+    while i < n:
+        c, sg = int(chan[i]), int(seg[i])
+        j = i
+        while j < n and chan[j] == c and seg[j] == sg:
+            j += 1
+        mode, end = state.get(c, (0, None))
+        out.append((sensor, sg, c, mode, end))
+        for r in range(i, j):
+            if in_mode[r] != mode:
+                continue
+            if mode == 0 or ((lo[r] is None or lo[r] < end) and (hi[r] is None or end <= hi[r])):
+                break
+        else:
+            raise AssertionError(f"no transfer row for {sensor} segment {sg} channel {c} state {(mode, end)}")
+        mode = out_mode[r]
+        if not out_pass[r]:
+            end = out_end[r]
+        state[c] = (mode, end if mode else None)
+        i = j
     return pd.DataFrame(out, columns=INSTATE_SCHEMA.fieldNames())
 
 
