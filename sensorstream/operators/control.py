@@ -105,12 +105,18 @@ def step(ch: Channel, mode: int, end: int | None, x: float, t: int, before_end:
     return 0, None
 
 
-def _transfer(ch: Channel, times: np.ndarray, xs: np.ndarray) -> list[tuple]:
+def _transfer(ch: Channel, times, xs) -> list[tuple]:
     """Exit state of one segment for every incoming state of one channel.
 
     Rows: (in_mode, lo, hi, out_mode, out_end, out_pass); an active incoming
     state with end ``e`` uses the row with ``lo < e <= hi`` (None = unbounded).
     ``out_pass`` means the incoming state (and its end) is still running.
+
+    Hypothesis k = "the first k readings are before the incoming end". All
+    hypotheses share the trajectory while the end is ahead, so that prefix is
+    run once; each hypothesis branches at its own reading k and continues
+    until it joins the idle run or an already finished run (memo). Cost is
+    about linear in the segment, not quadratic.
     """
     # plain Python values loop faster than numpy scalars
     times = times.tolist() if hasattr(times, "tolist") else [int(t) for t in times]
@@ -123,8 +129,43 @@ def _transfer(ch: Channel, times: np.ndarray, xs: np.ndarray) -> list[tuple]:
         idle.append((mode, end))
     exit_idle = (mode, end)
     memo: dict[tuple, tuple] = {}
+
+    def run_from(i: int, mode: int, end) -> tuple:
+        """Exit state given the known (not symbolic) state after reading i - 1."""
+        path = []
+        if i > 0:
+            if (mode, end) == idle[i - 1]:
+                return exit_idle
+            if (i - 1, mode, end) in memo:
+                return memo[(i - 1, mode, end)]
+            path.append((i - 1, mode, end))
+        result = None
+        for r in range(i, n):
+            mode, end = step(ch, mode, end, xs[r], times[r])
+            if (mode, end) == idle[r]:
+                result = exit_idle
+                break
+            if (r, mode, end) in memo:
+                result = memo[(r, mode, end)]
+                break
+            path.append((r, mode, end))
+        if result is None:
+            result = (mode, end)
+        for key in path:
+            memo[key] = result
+        return result
+
     rows = [(0, None, None, exit_idle[0], exit_idle[1], False)]
     for m in range(1, len(ch.names) + 1):
+        # shared prefix: the incoming end is still ahead for readings 0..i0
+        mode, end, i0, shared = m, INCOMING, None, None
+        for i in range(n):
+            mode, end = step(ch, mode, end, xs[i], times[i], True)
+            if end != INCOMING:
+                i0, shared = i, run_from(i + 1, mode, end)
+                break
+        if i0 is None:
+            shared = (m, INCOMING)  # runs through the whole segment
         # an incoming end was set at a reading before the segment's first one,
         # so it lies before that first reading + duration
         limit = times[0] + ch.durations[m - 1]
@@ -136,23 +177,12 @@ def _transfer(ch: Channel, times: np.ndarray, xs: np.ndarray) -> list[tuple]:
                 break
             if lo is not None and hi is not None and lo == hi:
                 continue
-            mode, end = m, INCOMING
-            path, result = [], None
-            for i in range(n):
-                mode, end = step(ch, mode, end, xs[i], times[i], i < k)
-                if end != INCOMING:
-                    state = (i, mode, end)
-                    if (mode, end) == idle[i]:
-                        result = exit_idle
-                        break
-                    if state in memo:
-                        result = memo[state]
-                        break
-                    path.append(state)
-            if result is None:
-                result = (mode, end)
-            for s in path:
-                memo[s] = result
+            if k == n or (i0 is not None and k > i0):
+                result = shared
+            else:
+                # readings before k keep the incoming state; reading k is at or after its end
+                mode, end = step(ch, m, INCOMING, xs[k], times[k], False)
+                result = run_from(k + 1, mode, end)
             out = (result[0], None if result[1] == INCOMING else result[1], result[1] == INCOMING)
             if prev is not None and prev[3:] == out:
                 prev = (m, prev[1], hi, *out)

@@ -124,3 +124,31 @@ def test_stream_matches_sequential_model_across_batches(spark, seed):
          .trigger(availableNow=True).start(out))
     q.awaitTermination()
     assert _flags(spark.read.parquet(out)) == want
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_transfer_table_equals_full_replay_per_hypothesis(seed):
+    """Every possible incoming state, replayed in full, lands on the row the
+    transfer table gives for it."""
+    from sensorstream.operators.control import CHANNELS, INCOMING, _transfer, step
+
+    rnd = random.Random(seed)
+    n = 60
+    times, t = [], 0
+    for _ in range(n):
+        t += rnd.choice([0, 100_000, 250_000, 1_000_000, 3_000_000])  # dense: many readings in 10 s
+        times.append(t)
+    for ch in CHANNELS:
+        lo_v, hi_v = (0.0, 1.0) if ch.measure == "waterQuality" else (5.0, 90.0)
+        xs = [float("nan") if rnd.random() < 0.05 else round(rnd.uniform(lo_v, hi_v), 2) for _ in range(n)]
+        rows = _transfer(ch, times, xs)
+        for m in range(1, len(ch.names) + 1):
+            for e in sorted({tt + d for tt in times for d in (0, 1)} | {times[0] - 5}):
+                if e >= times[0] + ch.durations[m - 1]:
+                    continue
+                mode, end = m, INCOMING
+                for i in range(n):
+                    mode, end = step(ch, mode, end, xs[i], times[i], times[i] < e)
+                want = (mode, None if end == INCOMING else end, end == INCOMING)
+                row = next(r for r in rows if r[0] == m and (r[1] is None or r[1] < e) and (r[2] is None or e <= r[2]))
+                assert row[3:] == want, (ch.measure, m, e)
