@@ -10,13 +10,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.parse import parse_readings
 from ..functions.time import from_instant, to_instant
 from ..operators.alerts import explode_alerts, first_alert
 from ..operators.incidents import incidents_in_horizon  # noqa: F401  (re-exported)
 from ..operators.state import known_sensors, latest_per_sensor
 from ..rules import INCIDENT_GAP
 from ..schema import EVENT_TIME
-from ..sources.sinks import write_archive
+from ..sources.config import ARCHIVE_TOPIC
+from ..sources.sinks import write_archive, write_history
 
 EVENT_TS = "event_ts"  # event time as TIMESTAMP: watermarks reject TIMESTAMP_NTZ
 DEFAULT_DELAY = "10 minutes"  # >= expected lateness + incident gap
@@ -33,12 +35,10 @@ def with_event_ts(readings: DataFrame, delay: str | None = DEFAULT_DELAY) -> Dat
     return out.withWatermark(EVENT_TS, delay) if delay else out
 
 
-def archive_stream(messages: DataFrame, fmt: str = "kafka", target: str = "IOT_archive", options=None,
+def archive_stream(messages: DataFrame, fmt: str = "kafka", target: str = ARCHIVE_TOPIC, options=None,
                    checkpoint: str | None = None, trigger: dict | None = None, keep=("event_id",),
                    key_col: str | None = "event_id") -> StreamingQuery:
     """Parse, label and archive every reading; executors write the sink."""
-    from ..functions.parse import parse_readings
-
     enriched = first_alert(parse_readings(messages, keep=keep))
     return write_archive(enriched, fmt, target, options, checkpoint, trigger, key_col)
 
@@ -65,11 +65,11 @@ def latest_state_stream(readings: DataFrame, path: str, checkpoint: str, trigger
 
 
 def read_latest_state(spark: SparkSession, path: str) -> DataFrame:
-    """Current state from the change log: per sensor, the row of the last epoch."""
+    """Current state from the change log: per sensor, the row of the last epoch
+    (fixed-width columns, so a hash aggregate)."""
     log = spark.read.parquet(path)
     cols = [c for c in log.columns if c not in ("sensor_id", "epoch")]
-    return (log.groupBy("sensor_id").agg(F.max_by(F.struct(*cols), F.col("epoch")).alias("_s"))
-            .select("sensor_id", "_s.*"))
+    return log.groupBy("sensor_id").agg(*[F.max_by(c, "epoch").alias(c) for c in cols])
 
 
 def incident_sessions_stream(readings: DataFrame, gap: str = INCIDENT_GAP) -> DataFrame:
@@ -89,7 +89,7 @@ def incident_sessions_stream(readings: DataFrame, gap: str = INCIDENT_GAP) -> Da
 
 
 def start_archive_and_history(messages: DataFrame, history_target: str, checkpoint_root: str,
-                              archive_fmt: str = "kafka", archive_target: str = "IOT_archive",
+                              archive_fmt: str = "kafka", archive_target: str = ARCHIVE_TOPIC,
                               archive_options: dict | None = None, history_fmt: str = "parquet",
                               trigger: dict | None = None, keep=("event_id",)) -> list[StreamingQuery]:
     """Two queries on one parsed stream: raw history and labelled archive.
@@ -97,9 +97,6 @@ def start_archive_and_history(messages: DataFrame, history_target: str, checkpoi
     Each query has its own checkpoint under ``checkpoint_root`` and reads the
     source on its own. Returns both handles; stop them with :func:`stop_all`.
     """
-    from ..functions.parse import parse_readings
-    from ..sources.sinks import write_history
-
     readings = parse_readings(messages, keep=keep)
     hist = write_history(readings, history_target, history_fmt,
                          checkpoint=f"{checkpoint_root}/history", trigger=trigger)
@@ -127,7 +124,7 @@ def rows_dropped_by_watermark(query: StreamingQuery) -> int:
 
 
 def start_dashboard_job(messages: DataFrame, root: str, archive_fmt: str = "kafka",
-                        archive_target: str = "IOT_archive", archive_options: dict | None = None,
+                        archive_target: str = ARCHIVE_TOPIC, archive_options: dict | None = None,
                         trigger: dict | None = None, delay: str = DEFAULT_DELAY, gap: str = INCIDENT_GAP,
                         keep=("event_id",)) -> dict[str, StreamingQuery]:
     """The dashboard job as streaming queries on one message stream.
@@ -138,8 +135,6 @@ def start_dashboard_job(messages: DataFrame, root: str, archive_fmt: str = "kafk
     Panels and horizon counts are batch reads of these tables
     (:func:`read_latest_state`, :func:`incidents_in_horizon`).
     """
-    from ..functions.parse import parse_readings
-
     readings = parse_readings(messages, keep=keep)
     queries = dict(zip(("history", "archive"), start_archive_and_history(
         messages, f"{root}/history", f"{root}/checkpoints", archive_fmt, archive_target, archive_options,
