@@ -132,3 +132,21 @@ def test_spread_small_input(spark):
     one = spark.range(0, 1000, numPartitions=1)
     spread = spread_small_input(one)
     assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and spread.count() == 1000
+
+
+def test_command_line_archive_job(spark):
+    from sensorstream.__main__ import main
+
+    src = scratch_path(spark, "cli-src")
+    raw_messages(_events(spark)).coalesce(1).write.mode("append").parquet(src)
+    ck, out, alerts = scratch_path(spark, "cli-ck"), scratch_path(spark, "cli-out"), scratch_path(spark, "cli-alerts")
+    qs = main(["archive", "--config", "/nonexistent.properties", "--source-format", "parquet", "--source", src,
+               "--sink-format", "parquet", "--sink", out, "--checkpoint", ck, "--alerts", alerts, "--once"], spark)
+    try:
+        for q in qs.values():
+            q.awaitTermination()
+    finally:
+        stop_all(qs.values())
+    assert spark.read.parquet(out).count() == 1000
+    table = spark.read.parquet(alerts)
+    assert table.columns == ["Timestamp", "Sensor", "Alert Type", "Value"] and table.count() > 0
