@@ -1,7 +1,7 @@
 """Run the two jobs from the command line.
 
     python -m sensorstream archive   --checkpoint DIR [--config FILE] [--source-format F --source PATH]
-                                     [--sink-format F --sink TARGET] [--alerts PATH] [--once]
+                                     [--sink-format F --sink TARGET] [--alerts PATH] [--messages PATH] [--once]
     python -m sensorstream dashboard --root DIR [--config FILE] [--source-format F --source PATH]
                                      [--sink-format F --sink TARGET] [--once]
 
@@ -30,6 +30,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--sink", default=ARCHIVE_TOPIC, help="archive topic or folder")
     p.add_argument("--checkpoint", help="archive job: checkpoint folder (shared storage)")
     p.add_argument("--alerts", help="archive job: also write the alert table rows here (parquet)")
+    p.add_argument("--messages", help="archive job: also write one notification per alert here (parquet)")
     p.add_argument("--root", help="dashboard job: folder for tables and checkpoints (shared storage)")
     p.add_argument("--once", action="store_true", help="process what is available, then stop")
     return p
@@ -38,7 +39,7 @@ def _parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict:
     """Start the chosen job; waits for it unless a session is passed in."""
     from .functions.parse import parse_readings
-    from .operators.alerts import alert_table, first_alert
+    from .operators.alerts import alert_messages, alert_table, first_alert
     from .streaming.jobs import archive_stream, start_dashboard_job, stop_all
 
     args = _parser().parse_args(argv)
@@ -56,10 +57,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
             raise SystemExit("--checkpoint is required")
         queries = {"archive": archive_stream(messages, args.sink_format, args.sink, sink_opts,
                                              f"{args.checkpoint}/archive", trigger, keep, keep[-1])}
-        if args.alerts:
-            table = alert_table(first_alert(parse_readings(messages, keep=keep)))
-            w = table.writeStream.format("parquet").option("checkpointLocation", f"{args.checkpoint}/alerts")
-            queries["alerts"] = (w.trigger(**trigger) if trigger else w).start(args.alerts)
+        enriched = first_alert(parse_readings(messages, keep=keep))
+        for name, path, df in (("alerts", args.alerts, alert_table(enriched)),
+                               ("messages", args.messages, alert_messages(enriched, keep=keep))):
+            if path:
+                w = df.writeStream.format("parquet").option("checkpointLocation", f"{args.checkpoint}/{name}")
+                queries[name] = (w.trigger(**trigger) if trigger else w).start(path)
     else:
         if not args.root:
             raise SystemExit("--root is required")

@@ -140,8 +140,10 @@ def test_command_line_archive_job(spark):
     src = scratch_path(spark, "cli-src")
     raw_messages(_events(spark)).coalesce(1).write.mode("append").parquet(src)
     ck, out, alerts = scratch_path(spark, "cli-ck"), scratch_path(spark, "cli-out"), scratch_path(spark, "cli-alerts")
+    msgs = scratch_path(spark, "cli-msgs")
     qs = main(["archive", "--config", "/nonexistent.properties", "--source-format", "parquet", "--source", src,
-               "--sink-format", "parquet", "--sink", out, "--checkpoint", ck, "--alerts", alerts, "--once"], spark)
+               "--sink-format", "parquet", "--sink", out, "--checkpoint", ck, "--alerts", alerts,
+               "--messages", msgs, "--once"], spark)
     try:
         for q in qs.values():
             q.awaitTermination()
@@ -150,3 +152,5 @@ def test_command_line_archive_job(spark):
     assert spark.read.parquet(out).count() == 1000
     table = spark.read.parquet(alerts)
     assert table.columns == ["Timestamp", "Sensor", "Alert Type", "Value"] and table.count() > 0
+    notes = spark.read.parquet(msgs)
+    assert notes.count() == table.count() and notes.filter(F.col("message").startswith("Alerte ! ")).count() == notes.count()
