@@ -36,8 +36,13 @@ def append_closing(spark: SparkSession, path: str) -> None:
     batch in which every open session is emitted (an ``availableNow`` trigger
     runs no trailing empty batch by itself).
     """
-    for _ in range(2):
-        spark.createDataFrame([(-1, CLOSING_MESSAGE)], MESSAGE_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    _write_closing(spark, path)
+
+
+def _write_closing(spark: SparkSession, path: str) -> None:
+    """Two one-message files in one write job (identical, so their order is irrelevant)."""
+    one_per_slice = spark.sparkContext.parallelize([(-1, CLOSING_MESSAGE)] * 2, 2)
+    spark.createDataFrame(one_per_slice, MESSAGE_SCHEMA).write.mode("append").parquet(path)
 
 
 def closing_stream(spark: SparkSession) -> DataFrame:
@@ -49,6 +54,5 @@ def closing_stream(spark: SparkSession) -> DataFrame:
     :func:`append_closing` on the data folder instead.
     """
     path = scratch_path(spark, "closing")
-    for _ in range(2):
-        spark.createDataFrame([(-1, CLOSING_MESSAGE)], MESSAGE_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    _write_closing(spark, path)
     return spark.readStream.schema(MESSAGE_SCHEMA).option("maxFilesPerTrigger", "1").parquet(path)
