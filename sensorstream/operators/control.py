@@ -262,24 +262,26 @@ def _chain(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=INSTATE_SCHEMA.fieldNames())
 
 
-def _replay(readings: pd.DataFrame, instate: pd.DataFrame) -> pd.DataFrame:
-    """Replay one segment from its known incoming states; one row per reading."""
-    if readings.empty:
-        return pd.DataFrame(columns=OUTPUT_SCHEMA.fieldNames())
-    pdf = _sorted(readings)
+def replay_rows(pdf: pd.DataFrame, starts: list[tuple]) -> tuple[pd.DataFrame, list[tuple]]:
+    """Run the rules over time-sorted readings from known start states.
+
+    ``starts`` holds one (mode, end) per channel. Returns one output row per
+    reading and the final state of each channel. Shared by the batch replay
+    and the streaming state function.
+    """
     times = pdf["_us"].tolist()
     n = len(pdf)
     res = {"event_id": pdf["event_id"].to_numpy(), "sensor_id": pdf["sensor_id"].to_numpy(),
            EVENT_TIME: pdf[EVENT_TIME].to_numpy()}
-    starts = {int(r.channel): (int(r.in_mode), None if pd.isna(r.in_end) else int(r.in_end))
-              for r in instate.itertuples()}
+    finals = []
     for c, ch in enumerate(CHANNELS):
-        mode, end = starts.get(c, (0, None))
+        mode, end = starts[c]
         xs = _floats(pdf[ch.measure]).tolist()
         out = [0] * n
         for i in range(n):
             mode, end = step(ch, mode, end, xs[i], times[i])
             out[i] = mode
+        finals.append((mode, end))
         modes = np.array(out, dtype=np.int8)
         for j, name in enumerate(ch.names):
             res[name] = modes == j + 1
@@ -287,7 +289,17 @@ def _replay(readings: pd.DataFrame, instate: pd.DataFrame) -> pd.DataFrame:
         for j, value in enumerate(ch.commands):
             cmd[modes == j + 1] = value
         res[COMMAND_COLUMNS[ch.measure]] = cmd
-    return pd.DataFrame(res)[OUTPUT_SCHEMA.fieldNames()]
+    return pd.DataFrame(res)[OUTPUT_SCHEMA.fieldNames()], finals
+
+
+def _replay(readings: pd.DataFrame, instate: pd.DataFrame) -> pd.DataFrame:
+    """Replay one segment from its known incoming states; one row per reading."""
+    if readings.empty:
+        return pd.DataFrame(columns=OUTPUT_SCHEMA.fieldNames())
+    known = {int(r.channel): (int(r.in_mode), None if pd.isna(r.in_end) else int(r.in_end))
+             for r in instate.itertuples()}
+    out, _ = replay_rows(_sorted(readings), [known.get(c, (0, None)) for c in range(len(CHANNELS))])
+    return out
 
 
 MAX_LEVELS = 20  # a segment is split into at most 2^20 parts

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.time import epoch_micros
-from ..operators.control import CHANNELS, COMMAND_COLUMNS, OUTPUT_SCHEMA, step
+from ..operators.control import CHANNELS, OUTPUT_SCHEMA, replay_rows
 from ..rules import MOTION_SENSOR
 from ..schema import EVENT_TIME
 
@@ -33,38 +32,19 @@ def _advance(key, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator
     pdf = pd.concat(list(chunks), ignore_index=True)
     if state.exists:
         s = state.get
-        modes = [int(s[2 * c]) for c in range(len(CHANNELS))]
-        ends = [None if s[2 * c + 1] is None else int(s[2 * c + 1]) for c in range(len(CHANNELS))]
+        starts = [(int(s[2 * c]), None if s[2 * c + 1] is None else int(s[2 * c + 1])) for c in range(len(CHANNELS))]
         last = (int(s[-2]), int(s[-1]))
         newer = (pdf["_us"] > last[0]) | ((pdf["_us"] == last[0]) & (pdf["event_id"] > last[1]))
-        pdf = pdf[newer]
+        pdf = pdf[newer]  # older rows are late: the state has moved past them
     else:
-        modes, ends = [0] * len(CHANNELS), [None] * len(CHANNELS)
+        starts = [(0, None)] * len(CHANNELS)
     if pdf.empty:
         return
     pdf = pdf.sort_values(["_us", "event_id"], kind="mergesort")
-    times = pdf["_us"].tolist()
-    n = len(pdf)
-    res = {"event_id": pdf["event_id"].to_numpy(), "sensor_id": pdf["sensor_id"].to_numpy(),
-           EVENT_TIME: pdf[EVENT_TIME].to_numpy()}
-    for c, ch in enumerate(CHANNELS):
-        mode, end = modes[c], ends[c]
-        xs = pdf[ch.measure].astype("float64").tolist()
-        out = [0] * n
-        for i in range(n):
-            mode, end = step(ch, mode, end, xs[i], times[i])
-            out[i] = mode
-        out = np.array(out, dtype=np.int8)
-        modes[c], ends[c] = mode, end
-        for j, name in enumerate(ch.names):
-            res[name] = out == j + 1
-        cmd = np.full(n, np.nan)
-        for j, value in enumerate(ch.commands):
-            cmd[out == j + 1] = value
-        res[COMMAND_COLUMNS[ch.measure]] = cmd
-    state.update(tuple(v for c in range(len(CHANNELS)) for v in (modes[c], ends[c]))
-                 + (times[-1], int(pdf["event_id"].iloc[-1])))
-    yield pd.DataFrame(res)[OUTPUT_SCHEMA.fieldNames()]
+    out, finals = replay_rows(pdf, starts)
+    state.update(tuple(v for mode, end in finals for v in (mode, end))
+                 + (int(pdf["_us"].iloc[-1]), int(pdf["event_id"].iloc[-1])))
+    yield out
 
 
 def control_state_stream(readings: DataFrame, tie_col: str = "event_id") -> DataFrame:
