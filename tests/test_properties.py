@@ -72,3 +72,60 @@ def test_incremental_latest_state_equals_full(spark):
     for lo, hi in [(400, 700), (700, 10**9)]:
         state = update_latest_state(state, readings.filter((F.col("event_id") >= lo) & (F.col("event_id") < hi)))
     assert sorted(tuple(r) for r in state.collect()) == sorted(tuple(r) for r in full.select(*state.columns).collect())
+
+
+measure = st.one_of(st.none(), st.just(float("nan")), st.sampled_from([0.0, 1.0, 15.0, 35.0, 40.0, 75.0, 0.6]),
+                    st.floats(min_value=-10, max_value=120, allow_nan=False).map(lambda v: round(v, 2)))
+full_reading = st.fixed_dictionaries({c: measure for c in ("temperature", "humidity", "waterQuality",
+                                                           "insectPresence", "motion")})
+
+
+def _model_first(r):
+    """Plain-Python model of the first-match rule chain (NaN and null break no rule)."""
+    def ok(v):
+        return v is not None and v == v
+    checks = [("High_temperature", "temperature", lambda v: v > 40.0), ("Low_temperature", "temperature", lambda v: v < 15.0),
+              ("Low_humidity", "humidity", lambda v: v < 35.0), ("High_humidity", "humidity", lambda v: v > 75.0),
+              ("Low_Water_Quality", "waterQuality", lambda v: v < 0.6), ("Insect_Detected", "insectPresence", lambda v: v == 1.0),
+              ("Motion_Detected", "motion", lambda v: v == 1.0)]
+    for code, col, test in checks:
+        if ok(r[col]) and test(r[col]):
+            return code, r[col]
+    return None, None
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(full_reading, min_size=1, max_size=30))
+def test_first_alert_matches_python_model(spark, rows):
+    from pyspark.sql import types as T
+
+    cols = ("temperature", "humidity", "waterQuality", "insectPresence", "motion")
+    schema = T.StructType([T.StructField("event_id", T.LongType())] + [T.StructField(c, T.DoubleType()) for c in cols])
+    df = spark.createDataFrame([(i, *(r[c] for c in cols)) for i, r in enumerate(rows)], schema)
+    got = {r["event_id"]: (r["alert_type"], r["alert_value"]) for r in first_alert(df).collect()}
+    for i, r in enumerate(rows):
+        code, value = _model_first(r)
+        assert got[i][0] == code
+        if code is not None:
+            assert float(got[i][1]) == value  # the value as text parses back to the measurement
+
+
+def _half_up(v, lo, hi):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    if v is None or v != v:
+        return v
+    c = max(lo, min(hi, v))
+    return float(Decimal(repr(c)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(*[st.one_of(st.none(), st.floats(min_value=-50, max_value=150, allow_nan=False))] * 3),
+                min_size=1, max_size=30))
+def test_normalise_matches_python_model(spark, rows):
+    from sensorstream.functions import normalise_readings
+
+    df = spark.createDataFrame(rows, "temperature double, humidity double, waterQuality double")
+    got = [tuple(r) for r in normalise_readings(df).collect()]
+    want = [(_half_up(t, 10.0, 50.0), _half_up(h, 10.0, 90.0), _half_up(w, 0.0, 1.0)) for t, h, w in rows]
+    assert got == want
