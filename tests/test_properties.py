@@ -129,3 +129,27 @@ def test_normalise_matches_python_model(spark, rows):
     got = [tuple(r) for r in normalise_readings(df).collect()]
     want = [(_half_up(t, 10.0, 50.0), _half_up(h, 10.0, 90.0), _half_up(w, 0.0, 1.0)) for t, h, w in rows]
     assert got == want
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="T0123456789:-. x", max_size=40)), min_size=1, max_size=40))
+def test_display_time_matches_text_model(spark, texts):
+    from sensorstream.functions import display_time
+
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, t string")
+    got = {r["i"]: r["d"] for r in df.select("i", display_time("t").alias("d")).collect()}
+    for i, t in enumerate(texts):
+        want = None if t is None else (t.split("T")[1][:8] if "T" in t else "")
+        assert got[i] == want
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.one_of(st.none(), st.text(max_size=60),
+                          st.dictionaries(st.sampled_from(["sensor_id", "temperature", "humidity", "motion", "x"]),
+                                          st.one_of(st.none(), st.floats(allow_nan=False, allow_infinity=False),
+                                                    st.text(max_size=5), st.integers(-5, 5))).map(json.dumps)),
+                min_size=1, max_size=40))
+def test_parsing_never_fails_or_drops_rows(spark, values):
+    msgs = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "event_id long, value string")
+    rows = all_alerts(first_alert(parse_readings(msgs, keep=("event_id",)))).collect()
+    assert sorted(r["event_id"] for r in rows) == list(range(len(values)))
