@@ -50,16 +50,20 @@ def read_readings(spark: SparkSession, path: str | None = None, fmt: str = "kafk
     return parse_readings(msgs, keep=keep)
 
 
-def spread_small_input(df: DataFrame) -> DataFrame:
+def spread_small_input(df: DataFrame, max_parts: int = 256) -> DataFrame:
     """Spread an input read as fewer splits than the session has cores.
 
     Parquet splits at row-group boundaries, so a small file with one row
-    group is a single task. A round-robin repartition then lets all cores
-    share the parsing. A large input has far more splits than cores and is
-    returned unchanged (no shuffle).
+    group is a single task. A round-robin repartition then lets the cores
+    share the parsing (at most ``max_parts`` partitions: a fixed-number
+    repartition is not coalesced by AQE, and a tiny input on a large cluster
+    should not become thousands of empty tasks). An input with at least as
+    many splits as cores is returned unchanged (no shuffle).
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(min(cores, max_parts))
 
 
 def history(spark: SparkSession, name_or_path: str, fmt: str = "parquet") -> DataFrame:
