@@ -339,6 +339,8 @@ def control_state(readings: DataFrame, segment: str = "1 hour", tie_col: str = "
     Motion-sensor rows and rows without sensor or time are not controlled.
     Segments hold at most about ``max_rows_per_segment`` readings (a count
     over the readings finds busier ones first); ``None`` skips that pass.
+    The count reads only ``sensor_id`` and ``event_time``: cheap on a stored,
+    typed history, but on raw messages it parses them a second time.
     """
     seg_us = as_interval_micros(segment)
     base = (
