@@ -64,14 +64,35 @@ def latest_state_stream(readings: DataFrame, path: str, checkpoint: str, trigger
     return w.start()
 
 
-def read_latest_state(spark: SparkSession, path: str) -> DataFrame:
+def read_latest_state(spark: SparkSession, path: str, snapshot: str | None = None) -> DataFrame:
     """Current state from the change log: per sensor, the row of the last epoch
-    (fixed-width columns, so a hash aggregate)."""
+    (fixed-width columns, so a hash aggregate).
+
+    With ``snapshot`` (written by :func:`compact_latest_state`) only the
+    epochs after the snapshot's are read from the log.
+    """
     log = spark.read.parquet(path)
+    if snapshot:
+        snap = spark.read.parquet(snapshot)
+        newer = log.filter(F.col("epoch") > snap.select(F.max("epoch")).scalar())
+        log = snap.unionByName(newer.select(*snap.columns))
     cols = [c for c in log.columns if c not in ("sensor_id", "epoch")]
     return log.groupBy("sensor_id").agg(*[F.max_by(c, "epoch").alias(c) for c in cols])
 
 
+def compact_latest_state(spark: SparkSession, path: str, snapshot: str, previous: str | None = None) -> None:
+    """Write the current state (one row per sensor, with the epoch it came
+    from) to ``snapshot``. Later reads pass ``snapshot=`` and skip older epoch
+    folders, which a retention policy can then expire."""
+    log = spark.read.parquet(path)
+    if previous:
+        prev = spark.read.parquet(previous)
+        log = prev.unionByName(log.filter(F.col("epoch") > prev.select(F.max("epoch")).scalar()).select(*prev.columns))
+    cols = [c for c in log.columns if c not in ("sensor_id", "epoch")]
+    state = log.groupBy("sensor_id").agg(*[F.max_by(c, "epoch").alias(c) for c in cols], F.max("epoch").alias("epoch"))
+    state.write.mode("overwrite").parquet(snapshot)
+
+
 def incident_sessions_stream(readings: DataFrame, gap: str = INCIDENT_GAP) -> DataFrame:
     """Incidents as session windows per (sensor, alert type), append mode.
 
