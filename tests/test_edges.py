@@ -190,3 +190,18 @@ def test_for_each_batch_with_persist(spark):
     q = for_each_batch(spark.readStream.schema(MESSAGE_SCHEMA).parquet(src), twice, ck, {"availableNow": True}, persist=True)
     q.awaitTermination()
     assert seen == [(2, 1)]
+
+
+def test_operators_accept_empty_input(spark):
+    from sensorstream.operators import (alert_gaps, control_state, explode_alerts, incident_counts,
+                                        incident_sessions, incident_starts, incident_total, known_sensors)
+
+    readings = parse_readings(_msgs(spark, ['{"sensor_id":"x"}']), keep=("event_id",)).filter("false")
+    enriched = first_alert(readings)
+    alerts = explode_alerts(known_sensors(readings)).select("event_id", "sensor_id", "event_time", "alert_type")
+    assert enriched.count() == 0 and alerts.count() == 0
+    assert latest_per_sensor(readings.drop("timestamp")).count() == 0
+    for op in (alert_gaps, incident_starts, incident_sessions, incident_counts):
+        assert op(alerts).count() == 0
+    assert incident_total(alerts).collect()[0]["n_incidents"] == 0
+    assert control_state(readings).count() == 0
