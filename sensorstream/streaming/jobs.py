@@ -54,6 +54,9 @@ def latest_state_stream(readings: DataFrame, path: str, checkpoint: str, trigger
     """
     known = known_sensors(readings).drop("timestamp", EVENT_TS)
     agg = latest_per_sensor(known, tie_col)
+    # an empty epoch carries the schema, so the log is readable before the first batch
+    spark = readings.sparkSession
+    spark.createDataFrame([], agg.schema).write.mode("overwrite").parquet(f"{path}/epoch=-1")
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/epoch={epoch_id}")

@@ -200,3 +200,11 @@ def test_control_stream_restart_keeps_state(spark):
     got = sorted(tuple(r) for r in spark.read.parquet(out).drop("event_time").collect())
     want = sorted(tuple(r) for r in control_state(readings).drop("event_time").collect())
     assert len(got) == 1000 and got == want
+
+
+def test_latest_state_readable_before_any_batch(spark):
+    src, path, ck = scratch_path(spark, "empty-src"), scratch_path(spark, "empty-latest"), scratch_path(spark, "empty-ck")
+    stream = spark.readStream.schema(MESSAGE_SCHEMA).parquet(src)
+    latest_state_stream(parse_readings(stream, keep=("event_id",)), path, ck, {"availableNow": True}).awaitTermination()
+    state = read_latest_state(spark, path)
+    assert state.count() == 0 and "temperature" in state.columns
