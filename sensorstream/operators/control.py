@@ -317,10 +317,10 @@ def _segments(base: DataFrame, seg_us: int, max_rows: int | None) -> DataFrame:
     base = base.withColumn("_hour", F.floor(F.col("_us") / F.lit(seg_us)).cast("long"))
     levels = "0"
     if max_rows:
+        levels_needed = F.least(F.lit(MAX_LEVELS), F.ceil(F.log2(F.col("_n") / F.lit(max_rows)))).cast("int")
         hot = (base.groupBy("sensor_id", "_hour").agg(F.count(F.lit(1)).alias("_n"))
                .filter(F.col("_n") > max_rows)
-               .select("sensor_id", "_hour",
-                       F.least(F.lit(MAX_LEVELS), F.ceil(F.log2(F.col("_n") / F.lit(max_rows)))).cast("int").alias("_levels")))
+               .select("sensor_id", "_hour", levels_needed.alias("_levels")))
         n_hot = hot.count()
         if n_hot:
             base = base.join(F.broadcast(hot) if n_hot <= HOT_BROADCAST_LIMIT else hot, ["sensor_id", "_hour"], "left")

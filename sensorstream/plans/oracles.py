@@ -145,8 +145,10 @@ c AS (
 SELECT c.event_id, 'sensor_' || CAST(c.s AS VARCHAR) AS sensor_id,
        TIMESTAMP '2024-01-01 00:00:00' + INTERVAL 1 SECOND * r.t AS event_time,
        c.c AS cooling, c.h AS heating, c.u AS humidifying, c.d AS dehumidifying, c.p AS purifying,
-       CASE WHEN c.c THEN {step_size('cooling')}::DOUBLE WHEN c.h THEN {step_size('heating')}::DOUBLE END AS temperature_command,
-       CASE WHEN c.u THEN {step_size('humidifying')}::DOUBLE WHEN c.d THEN {step_size('dehumidifying')}::DOUBLE END AS humidity_command,
+       CASE WHEN c.c THEN {step_size('cooling')}::DOUBLE
+            WHEN c.h THEN {step_size('heating')}::DOUBLE END AS temperature_command,
+       CASE WHEN c.u THEN {step_size('humidifying')}::DOUBLE
+            WHEN c.d THEN {step_size('dehumidifying')}::DOUBLE END AS humidity_command,
        CASE WHEN c.p THEN {step_size('purifying')}::DOUBLE END AS water_command
 FROM c JOIN r ON r.event_id = c.event_id
 WHERE c.event_id >= 0"""
@@ -162,7 +164,8 @@ def oracle_sql() -> dict[str, str]:
         "parse_readings": _with(*_BASE) + f"\nSELECT event_id, {_READ_COLS}, event_time FROM parsed",
         "normalise_readings": _with(*_BASE) + "\nSELECT event_id, sensor_id, \"timestamp\", "
         + ", ".join(
-            f'CASE WHEN "{c}" IS NULL OR isnan("{c}") THEN "{c}" ELSE round(greatest({lo}::DOUBLE, least({hi}::DOUBLE, "{c}")), 2) END AS "{c}"'
+            f'CASE WHEN "{c}" IS NULL OR isnan("{c}") THEN "{c}" '
+            f'ELSE round(greatest({lo}::DOUBLE, least({hi}::DOUBLE, "{c}")), 2) END AS "{c}"'
             for c, (lo, hi) in (("temperature", (10.0, 50.0)), ("humidity", (10.0, 90.0)), ("waterQuality", (0.0, 1.0)))
         ) + ', "insectPresence", motion, event_time FROM parsed',
         "first_alert": _with(*_BASE, ENRICHED) + f"\nSELECT event_id, {_ENR_COLS} FROM enriched",
