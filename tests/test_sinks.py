@@ -154,3 +154,18 @@ def test_command_line_archive_job(spark):
     assert table.columns == ["Timestamp", "Sensor", "Alert Type", "Value"] and table.count() > 0
     notes = spark.read.parquet(msgs)
     assert notes.count() == table.count() and notes.filter(F.col("message").startswith("Alerte ! ")).count() == notes.count()
+
+
+def test_streaming_history_partitioned_by_day(spark):
+    from sensorstream.sources import write_history
+
+    src = scratch_path(spark, "hist-src")
+    raw_messages(spark.read.parquet("/root/testdata/sf0.01/events.parquet")).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(MESSAGE_SCHEMA).parquet(src)
+    path, ck = scratch_path(spark, "hist"), scratch_path(spark, "hist-ck")
+    q = write_history(parse_readings(stream, keep=("event_id",)), path, checkpoint=ck,
+                      trigger={"availableNow": True}, partition_by=("event_date",))
+    q.awaitTermination()
+    h = history(spark, path)
+    days = sorted(r[0] for r in h.select("event_date").distinct().collect() if r[0] is not None)
+    assert h.count() == 10000 and len(days) == 1 and str(days[0]) == "2024-01-01"
