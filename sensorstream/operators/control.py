@@ -209,7 +209,13 @@ INSTATE_SCHEMA = T.StructType(
 
 
 def _sorted(pdf: pd.DataFrame) -> pd.DataFrame:
-    return pdf.sort_values(["_us", "event_id"], kind="mergesort")
+    return pdf.sort_values(["_us", "_tie"], kind="mergesort")
+
+
+def tie_column(tie_col: str):
+    """The tie-breaker as a non-null long (a missing id sorts first); the
+    output keeps the original, possibly null, id."""
+    return F.coalesce(F.col(tie_col).cast("long"), F.lit(-(2 ** 63))).alias("_tie")
 
 
 def _floats(s: pd.Series) -> np.ndarray:
@@ -346,7 +352,7 @@ def control_state(readings: DataFrame, segment: str = "1 hour", tie_col: str = "
     base = (
         readings.filter(F.col("sensor_id").isNotNull() & (F.col("sensor_id") != MOTION_SENSOR)
                         & F.col(EVENT_TIME).isNotNull())
-        .select(F.col(tie_col).cast("long").alias("event_id"), "sensor_id", EVENT_TIME,
+        .select(F.col(tie_col).cast("long").alias("event_id"), tie_column(tie_col), "sensor_id", EVENT_TIME,
                 *[F.col(ch.measure).cast("double").alias(ch.measure) for ch in CHANNELS])
         .withColumn("_us", epoch_micros(EVENT_TIME))
     )

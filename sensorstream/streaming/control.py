@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.time import epoch_micros
-from ..operators.control import CHANNELS, OUTPUT_SCHEMA, replay_rows
+from ..operators.control import CHANNELS, OUTPUT_SCHEMA, replay_rows, tie_column
 from ..rules import MOTION_SENSOR
 from ..schema import EVENT_TIME
 
@@ -34,16 +34,16 @@ def _advance(key, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator
         s = state.get
         starts = [(int(s[2 * c]), None if s[2 * c + 1] is None else int(s[2 * c + 1])) for c in range(len(CHANNELS))]
         last = (int(s[-2]), int(s[-1]))
-        newer = (pdf["_us"] > last[0]) | ((pdf["_us"] == last[0]) & (pdf["event_id"] > last[1]))
+        newer = (pdf["_us"] > last[0]) | ((pdf["_us"] == last[0]) & (pdf["_tie"] > last[1]))
         pdf = pdf[newer]  # older rows are late: the state has moved past them
     else:
         starts = [(0, None)] * len(CHANNELS)
     if pdf.empty:
         return
-    pdf = pdf.sort_values(["_us", "event_id"], kind="mergesort")
+    pdf = pdf.sort_values(["_us", "_tie"], kind="mergesort")
     out, finals = replay_rows(pdf, starts)
     state.update(tuple(v for mode, end in finals for v in (mode, end))
-                 + (int(pdf["_us"].iloc[-1]), int(pdf["event_id"].iloc[-1])))
+                 + (int(pdf["_us"].iloc[-1]), int(pdf["_tie"].iloc[-1])))
     yield out
 
 
@@ -52,7 +52,7 @@ def control_state_stream(readings: DataFrame, tie_col: str = "event_id") -> Data
     base = (
         readings.filter(F.col("sensor_id").isNotNull() & (F.col("sensor_id") != MOTION_SENSOR)
                         & F.col(EVENT_TIME).isNotNull())
-        .select(F.col(tie_col).cast("long").alias("event_id"), "sensor_id", EVENT_TIME,
+        .select(F.col(tie_col).cast("long").alias("event_id"), tie_column(tie_col), "sensor_id", EVENT_TIME,
                 *[F.col(ch.measure).cast("double").alias(ch.measure) for ch in CHANNELS])
         .withColumn("_us", epoch_micros(EVENT_TIME))
     )

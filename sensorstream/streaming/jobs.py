@@ -158,13 +158,16 @@ def start_dashboard_job(messages: DataFrame, root: str, archive_fmt: str = "kafk
     append after the watermark), each with its own checkpoint under ``root``.
     Panels and horizon counts are batch reads of these tables
     (:func:`read_latest_state`, :func:`incidents_in_horizon`).
+    ``keep`` must name a unique message id (the tie-breaker for equal times).
     """
+    if not keep:
+        raise ValueError("keep must name a unique message id, e.g. ('offset',) for Kafka")
     readings = parse_readings(messages, keep=keep)
     queries = dict(zip(("history", "archive"), start_archive_and_history(
         messages, f"{root}/history", f"{root}/checkpoints", archive_fmt, archive_target, archive_options,
         trigger=trigger, keep=keep)))
     queries["latest"] = latest_state_stream(readings, f"{root}/latest", f"{root}/checkpoints/latest", trigger,
-                                            keep[0] if keep else "event_id")
+                                            keep[0])
     sessions = incident_sessions_stream(with_event_ts(readings, delay), gap)
     w = (sessions.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoints/sessions")
          .outputMode("append"))

@@ -152,3 +152,21 @@ def test_transfer_table_equals_full_replay_per_hypothesis(seed):
                 want = (mode, None if end == INCOMING else end, end == INCOMING)
                 row = next(r for r in rows if r[0] == m and (r[1] is None or r[1] < e) and (r[2] is None or e <= r[2]))
                 assert row[3:] == want, (ch.measure, m, e)
+
+
+def test_null_tie_does_not_fail_batch_or_stream(spark):
+    from sensorstream.session import scratch_path
+    from sensorstream.streaming import control_state_stream
+
+    schema = "event_id long, sensor_id string, event_time timestamp_ntz, temperature double, humidity double, waterQuality double"
+    rows = [(None, "sensor_1", T0, 41.0, 50.0, 0.7), (2, "sensor_1", T0 + dt.timedelta(seconds=5), 36.0, 50.0, 0.7),
+            (None, "sensor_1", T0 + dt.timedelta(seconds=5), 36.0, 50.0, 0.7)]
+    df = spark.createDataFrame(rows, schema)
+    batch = sorted((r["event_id"] or -1, r["cooling"]) for r in control_state(df).collect())
+    src, out, ck = scratch_path(spark, "nt-src"), scratch_path(spark, "nt-out"), scratch_path(spark, "nt-ck")
+    df.coalesce(1).write.mode("append").parquet(src)
+    q = (control_state_stream(spark.readStream.schema(df.schema).parquet(src)).writeStream.format("parquet")
+         .option("checkpointLocation", ck).trigger(availableNow=True).start(out))
+    q.awaitTermination()
+    stream = sorted((r["event_id"] or -1, r["cooling"]) for r in spark.read.parquet(out).collect())
+    assert batch == stream == [(-1, True), (-1, True), (2, True)]
