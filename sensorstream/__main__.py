@@ -56,7 +56,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         if not args.checkpoint:
             raise SystemExit("--checkpoint is required")
         queries = {"archive": archive_stream(messages, args.sink_format, args.sink, sink_opts,
-                                             f"{args.checkpoint}/archive", trigger, keep, keep[-1])}
+                                             f"{args.checkpoint}/archive", trigger, keep)}
         enriched = first_alert(parse_readings(messages, keep=keep))
         for name, path, df in (("alerts", args.alerts, alert_table(enriched)),
                                ("messages", args.messages, alert_messages(enriched, keep=keep))):
@@ -67,11 +67,17 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         if not args.root:
             raise SystemExit("--root is required")
         queries = start_dashboard_job(messages, args.root, args.sink_format, args.sink, sink_opts, trigger,
-                                      keep=(keep[-1],))
+                                      keep=keep)
     if own:
         try:
-            for q in queries.values():
-                q.awaitTermination()
+            if args.once:  # every query ends by itself; a failure raises here
+                for q in queries.values():
+                    q.awaitTermination()
+            else:  # the first query to stop (or fail) ends the job
+                spark.streams.awaitAnyTermination()
+                for q in queries.values():
+                    if q.exception() is not None:
+                        raise q.exception()
         finally:
             stop_all(queries.values())
     return queries

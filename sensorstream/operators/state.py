@@ -60,7 +60,7 @@ def _order_key(tie_col: str) -> Column:
     return us * F.lit(_TWO_64) + (tie + F.lit(_TWO_63))
 
 
-def latest_per_sensor(df: DataFrame, tie_col: str = "event_id") -> DataFrame:
+def latest_per_sensor(df: DataFrame, tie_col: str | Sequence[str] = "event_id") -> DataFrame:
     """The most recent reading of every sensor.
 
     One aggregate with partial + final phases: each task reduces its rows to
@@ -68,18 +68,20 @@ def latest_per_sensor(df: DataFrame, tie_col: str = "event_id") -> DataFrame:
     no more than any other. Ties on ``event_time`` go to the larger
     ``tie_col``. Rows without a sensor id or a valid time are ignored.
 
-    When every column is fixed-width, each column is a ``max_by`` over one
-    packed decimal key, which plans as ``HashAggregate``. A string column
-    (e.g. the raw ``timestamp`` text) makes it one ``max_by`` over a struct,
-    which Spark runs as ``SortAggregate`` (a local sort before the partial
-    aggregate).
+    When every column is fixed-width and the tie is one column, each column
+    is a ``max_by`` over one packed decimal key, which plans as
+    ``HashAggregate``. A string column (e.g. the raw ``timestamp`` text) or a
+    tie of several columns (Kafka: partition and offset) makes it one
+    ``max_by`` over a struct, which Spark runs as ``SortAggregate`` (a local
+    sort before the partial aggregate).
     """
+    ties = [tie_col] if isinstance(tie_col, str) else list(tie_col)
     cols = [c for c in df.columns if c != "sensor_id"]
     rows = df.filter(F.col("sensor_id").isNotNull() & F.col(EVENT_TIME).isNotNull())
-    if all(isinstance(df.schema[c].dataType, _FIXED_WIDTH) for c in cols):
-        key = _order_key(tie_col)
+    if len(ties) == 1 and all(isinstance(df.schema[c].dataType, _FIXED_WIDTH) for c in cols):
+        key = _order_key(ties[0])
         return rows.groupBy("sensor_id").agg(*[F.max_by(c, key).alias(c) for c in cols])
-    order = F.struct(F.col(EVENT_TIME), F.col(tie_col))
+    order = F.struct(F.col(EVENT_TIME), *[F.col(t) for t in ties])
     return (
         rows.groupBy("sensor_id")
         .agg(F.max_by(F.struct(*cols), order).alias("_last"))
@@ -87,7 +89,8 @@ def latest_per_sensor(df: DataFrame, tie_col: str = "event_id") -> DataFrame:
     )
 
 
-def update_latest_state(previous: DataFrame, new_readings: DataFrame, tie_col: str = "event_id") -> DataFrame:
+def update_latest_state(previous: DataFrame, new_readings: DataFrame,
+                        tie_col: str | Sequence[str] = "event_id") -> DataFrame:
     """Fold new readings into a stored latest state (one row per sensor).
 
     Same answer as :func:`latest_per_sensor` over the whole history, but reads

@@ -36,6 +36,11 @@ def read_config(path: str = PROPERTIES_FILE) -> dict[str, str]:
         return parse_properties(fh.read())
 
 
+def _jaas_quote(value: str) -> str:
+    """Escape a value for a double-quoted JAAS option."""
+    return value.replace("\\", "\\\\").replace('"', '\\"')
+
+
 def kafka_options(conf: dict[str, str], topic: str | None = INPUT_TOPIC, starting: str | None = "latest") -> dict[str, str]:
     """Spark Kafka source/sink options.
 
@@ -50,6 +55,7 @@ def kafka_options(conf: dict[str, str], topic: str | None = INPUT_TOPIC, startin
         opts["startingOffsets"] = starting
     user, password = conf.get("sasl.username"), conf.get("sasl.password")
     if user and password:
+        user, password = _jaas_quote(user), _jaas_quote(password)
         opts["kafka.security.protocol"] = "SASL_SSL"
         opts["kafka.sasl.mechanism"] = "PLAIN"
         opts["kafka.sasl.jaas.config"] = (

@@ -6,6 +6,8 @@ an optional trigger; tests use ``{"availableNow": True}``.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -35,16 +37,27 @@ def with_event_ts(readings: DataFrame, delay: str | None = DEFAULT_DELAY) -> Dat
     return out.withWatermark(EVENT_TS, delay) if delay else out
 
 
+MESSAGE_KEY = "_message_key"
+
+
+def with_message_key(df: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """A unique message key from the id columns (Kafka: ``partition:offset``)."""
+    return df.withColumn(MESSAGE_KEY, F.concat_ws(":", *[F.col(c).cast("string") for c in keep]))
+
+
 def archive_stream(messages: DataFrame, fmt: str = "kafka", target: str = ARCHIVE_TOPIC, options=None,
-                   checkpoint: str | None = None, trigger: dict | None = None, keep=("event_id",),
-                   key_col: str | None = "event_id") -> StreamingQuery:
-    """Parse, label and archive every reading; executors write the sink."""
+                   checkpoint: str | None = None, trigger: dict | None = None,
+                   keep: Sequence[str] = ("event_id",)) -> StreamingQuery:
+    """Parse, label and archive every reading; executors write the sink. The
+    message key joins the ``keep`` id columns (none when ``keep`` is empty)."""
     enriched = first_alert(parse_readings(messages, keep=keep))
-    return write_archive(enriched, fmt, target, options, checkpoint, trigger, key_col)
+    if not keep:
+        return write_archive(enriched, fmt, target, options, checkpoint, trigger)
+    return write_archive(with_message_key(enriched, keep), fmt, target, options, checkpoint, trigger, MESSAGE_KEY)
 
 
 def latest_state_stream(readings: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
-                        tie_col: str = "event_id") -> StreamingQuery:
+                        tie_col: str | Sequence[str] = "event_id") -> StreamingQuery:
     """Keep the latest reading per sensor as streaming state (update mode).
 
     The same aggregate as the batch :func:`latest_per_sensor` (state: one row
@@ -115,7 +128,7 @@ def incident_sessions_stream(readings: DataFrame, gap: str = INCIDENT_GAP) -> Da
 def start_archive_and_history(messages: DataFrame, history_target: str, checkpoint_root: str,
                               archive_fmt: str = "kafka", archive_target: str = ARCHIVE_TOPIC,
                               archive_options: dict | None = None, history_fmt: str = "parquet",
-                              trigger: dict | None = None, keep=("event_id",)) -> list[StreamingQuery]:
+                              trigger: dict | None = None, keep: Sequence[str] = ("event_id",)) -> list[StreamingQuery]:
     """Two queries on one parsed stream: raw history and labelled archive.
 
     Each query has its own checkpoint under ``checkpoint_root`` and reads the
@@ -124,8 +137,9 @@ def start_archive_and_history(messages: DataFrame, history_target: str, checkpoi
     readings = parse_readings(messages, keep=keep)
     hist = write_history(readings, history_target, history_fmt,
                          checkpoint=f"{checkpoint_root}/history", trigger=trigger)
-    arch = write_archive(first_alert(readings), archive_fmt, archive_target, archive_options,
-                         f"{checkpoint_root}/archive", trigger, keep[0] if keep else None)
+    enriched = with_message_key(first_alert(readings), keep) if keep else first_alert(readings)
+    arch = write_archive(enriched, archive_fmt, archive_target, archive_options,
+                         f"{checkpoint_root}/archive", trigger, MESSAGE_KEY if keep else None)
     return [hist, arch]
 
 
@@ -150,7 +164,7 @@ def rows_dropped_by_watermark(query: StreamingQuery) -> int:
 def start_dashboard_job(messages: DataFrame, root: str, archive_fmt: str = "kafka",
                         archive_target: str = ARCHIVE_TOPIC, archive_options: dict | None = None,
                         trigger: dict | None = None, delay: str = DEFAULT_DELAY, gap: str = INCIDENT_GAP,
-                        keep=("event_id",)) -> dict[str, StreamingQuery]:
+                        keep: Sequence[str] = ("event_id",)) -> dict[str, StreamingQuery]:
     """The dashboard job as streaming queries on one message stream.
 
     ``history`` (raw readings, parquet), ``archive`` (labelled JSON),
@@ -158,16 +172,17 @@ def start_dashboard_job(messages: DataFrame, root: str, archive_fmt: str = "kafk
     append after the watermark), each with its own checkpoint under ``root``.
     Panels and horizon counts are batch reads of these tables
     (:func:`read_latest_state`, :func:`incidents_in_horizon`).
-    ``keep`` must name a unique message id (the tie-breaker for equal times).
+    ``keep`` must name columns that identify a message (the tie-breaker for
+    equal times): ``("partition", "offset")`` for Kafka.
     """
     if not keep:
-        raise ValueError("keep must name a unique message id, e.g. ('offset',) for Kafka")
+        raise ValueError("keep must identify a message, e.g. ('partition', 'offset') for Kafka")
     readings = parse_readings(messages, keep=keep)
     queries = dict(zip(("history", "archive"), start_archive_and_history(
         messages, f"{root}/history", f"{root}/checkpoints", archive_fmt, archive_target, archive_options,
         trigger=trigger, keep=keep)))
     queries["latest"] = latest_state_stream(readings, f"{root}/latest", f"{root}/checkpoints/latest", trigger,
-                                            keep[0])
+                                            keep[0] if len(keep) == 1 else tuple(keep))
     sessions = incident_sessions_stream(with_event_ts(readings, delay), gap)
     w = (sessions.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoints/sessions")
          .outputMode("append"))

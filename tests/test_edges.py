@@ -205,3 +205,15 @@ def test_operators_accept_empty_input(spark):
         assert op(alerts).count() == 0
     assert incident_total(alerts).collect()[0]["n_incidents"] == 0
     assert control_state(readings).count() == 0
+
+
+def test_jaas_values_are_escaped():
+    opts = kafka_options({"sasl.username": 'u"x', "sasl.password": 'p\\"; evil'})
+    assert opts["kafka.sasl.jaas.config"].endswith('username="u\\"x" password="p\\\\\\"; evil";')
+
+
+def test_latest_with_two_column_tie(spark):
+    df = _parse(spark, [json.dumps({"sensor_id": "sensor_1", "timestamp": "2024-01-01T00:00:01", "temperature": v})
+                        for v in (1.0, 2.0, 3.0)]).withColumn("partition", F.col("event_id") % 2)
+    r = latest_per_sensor(df.drop("timestamp"), tie_col=("partition", "event_id")).collect()
+    assert len(r) == 1 and r[0]["temperature"] == 2.0  # partition 1 beats partition 0
