@@ -341,7 +341,9 @@ def control_state(readings: DataFrame, segment: str = "1 hour", tie_col: str = "
     """Actuator flags and commands after every environment reading.
 
     ``readings`` needs ``sensor_id``, ``event_time``, ``temperature``,
-    ``humidity``, ``waterQuality`` and ``tie_col`` (orders equal times).
+    ``humidity``, ``waterQuality`` and ``tie_col``: one integer column that
+    orders equal times and is unique per sensor (a stored message id; a Kafka
+    offset alone is unique only within a partition).
     Motion-sensor rows and rows without sensor or time are not controlled.
     Segments hold at most about ``max_rows_per_segment`` readings (a count
     over the readings finds busier ones first); ``None`` skips that pass.
