@@ -208,3 +208,48 @@ def test_latest_state_readable_before_any_batch(spark):
     latest_state_stream(parse_readings(stream, keep=("event_id",)), path, ck, {"availableNow": True}).awaitTermination()
     state = read_latest_state(spark, path)
     assert state.count() == 0 and "temperature" in state.columns
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_sessions_stream_with_late_rows_within_delay_equals_batch(spark, seed):
+    import datetime as dt
+    import json
+    import random
+
+    from sensorstream.operators import explode_alerts, incident_sessions, known_sensors
+    from sensorstream.streaming import append_closing, incident_sessions_stream, rows_dropped_by_watermark, with_event_ts
+
+    rnd = random.Random(seed)
+    t0, rows, t = dt.datetime(2024, 1, 1), [], {"sensor_1": 0.0, "sensor_2": 0.0}
+    for i in range(240):
+        s = rnd.choice(list(t))
+        t[s] += rnd.choice([5, 20, 45, 60, 61, 90, 200])
+        rows.append((i, s, t[s]))
+    rows.sort(key=lambda r: r[2])
+    files = [rows[len(rows) * k // 3:len(rows) * (k + 1) // 3] for k in range(3)]
+    # move a few rows of each chunk into the next file: they arrive one batch late, < 2 min late
+    for k in range(2):
+        late = [r for r in files[k] if r[2] > files[k][-1][2] - 120 and rnd.random() < 0.5]
+        files[k] = [r for r in files[k] if r not in late]
+        files[k + 1] = late + files[k + 1]
+
+    def msg(r):
+        return (r[0], json.dumps({"sensor_id": r[1], "temperature": 45.0,
+                                  "timestamp": (t0 + dt.timedelta(seconds=r[2])).isoformat()}))
+
+    src = scratch_path(spark, "late-sess")
+    for part in files:
+        spark.createDataFrame([msg(r) for r in part], MESSAGE_SCHEMA).coalesce(1).write.mode("append").parquet(src)
+    data = parse_readings(spark.read.parquet(src), keep=("event_id",))
+    want = sorted(tuple(r) for r in incident_sessions(explode_alerts(known_sensors(data)).select(
+        "event_id", "sensor_id", "event_time", "alert_type")).collect())
+    append_closing(spark, src)
+    stream = spark.readStream.schema(MESSAGE_SCHEMA).option("maxFilesPerTrigger", "1").parquet(src)
+    out, ck = scratch_path(spark, "late-sess-out"), scratch_path(spark, "late-sess-ck")
+    q = (incident_sessions_stream(with_event_ts(parse_readings(stream, keep=("event_id",)), "10 minutes"))
+         .writeStream.format("parquet").option("checkpointLocation", ck).outputMode("append")
+         .trigger(availableNow=True).start(out))
+    q.awaitTermination()
+    got = sorted(tuple(r) for r in spark.read.parquet(out).select(
+        "sensor_id", "alert_type", "start_time", "last_time", "n_alerts").collect())
+    assert rows_dropped_by_watermark(q) == 0 and got == want
