@@ -33,6 +33,7 @@ operator (``streaming.control``).
 from __future__ import annotations
 
 import operator
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -209,13 +210,20 @@ INSTATE_SCHEMA = T.StructType(
 
 
 def _sorted(pdf: pd.DataFrame) -> pd.DataFrame:
-    return pdf.sort_values(["_us", "_tie"], kind="mergesort")
+    return pdf.sort_values(["_us", "_tie", "_tie2"], kind="mergesort")
 
 
-def tie_column(tie_col: str):
-    """The tie-breaker as a non-null long (a missing id sorts first); the
-    output keeps the original, possibly null, id."""
-    return F.coalesce(F.col(tie_col).cast("long"), F.lit(-(2 ** 63))).alias("_tie")
+def tie_columns(tie_col: str | Sequence[str]) -> list:
+    """``event_id`` (the last id column, as output) and the tie-breakers
+    ``_tie``, ``_tie2`` as non-null longs (a missing id sorts first). Two
+    columns cover ids unique only together, e.g. Kafka partition and offset."""
+    ties = [tie_col] if isinstance(tie_col, str) else list(tie_col)
+    if not 1 <= len(ties) <= 2:
+        raise ValueError("tie_col: one or two id columns")
+    low = F.lit(-(2 ** 63))
+    tie = F.coalesce(F.col(ties[0]).cast("long"), low)
+    tie2 = F.coalesce(F.col(ties[1]).cast("long"), low) if len(ties) == 2 else F.lit(0).cast("long")
+    return [F.col(ties[-1]).cast("long").alias("event_id"), tie.alias("_tie"), tie2.alias("_tie2")]
 
 
 def _floats(s: pd.Series) -> np.ndarray:
@@ -336,14 +344,14 @@ def _segments(base: DataFrame, seg_us: int, max_rows: int | None) -> DataFrame:
     return base.withColumn("_seg", seg).drop("_hour", "_levels")
 
 
-def control_state(readings: DataFrame, segment: str = "1 hour", tie_col: str = "event_id",
+def control_state(readings: DataFrame, segment: str = "1 hour", tie_col: str | Sequence[str] = "event_id",
                   max_rows_per_segment: int | None = 1_000_000) -> DataFrame:
     """Actuator flags and commands after every environment reading.
 
     ``readings`` needs ``sensor_id``, ``event_time``, ``temperature``,
-    ``humidity``, ``waterQuality`` and ``tie_col``: one integer column that
-    orders equal times and is unique per sensor (a stored message id; a Kafka
-    offset alone is unique only within a partition).
+    ``humidity``, ``waterQuality`` and ``tie_col``: one integer id column,
+    or two that are unique together (Kafka: ``("partition", "offset")``), to
+    order equal times. The output ``event_id`` is the last id column.
     Motion-sensor rows and rows without sensor or time are not controlled.
     Segments hold at most about ``max_rows_per_segment`` readings (a count
     over the readings finds busier ones first); ``None`` skips that pass.
@@ -354,7 +362,7 @@ def control_state(readings: DataFrame, segment: str = "1 hour", tie_col: str = "
     base = (
         readings.filter(F.col("sensor_id").isNotNull() & (F.col("sensor_id") != MOTION_SENSOR)
                         & F.col(EVENT_TIME).isNotNull())
-        .select(F.col(tie_col).cast("long").alias("event_id"), tie_column(tie_col), "sensor_id", EVENT_TIME,
+        .select(*tie_columns(tie_col), "sensor_id", EVENT_TIME,
                 *[F.col(ch.measure).cast("double").alias(ch.measure) for ch in CHANNELS])
         .withColumn("_us", epoch_micros(EVENT_TIME))
     )

@@ -8,7 +8,7 @@ checkpoint give the same answer.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -17,14 +17,15 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.time import epoch_micros
-from ..operators.control import CHANNELS, OUTPUT_SCHEMA, replay_rows, tie_column
+from ..operators.control import CHANNELS, OUTPUT_SCHEMA, replay_rows, tie_columns
 from ..rules import MOTION_SENSOR
 from ..schema import EVENT_TIME
 
 STATE_SCHEMA = T.StructType(
     [f for c in range(len(CHANNELS)) for f in (T.StructField(f"mode{c}", T.IntegerType()),
                                                T.StructField(f"end{c}", T.LongType()))]
-    + [T.StructField("last_us", T.LongType()), T.StructField("last_id", T.LongType())]
+    + [T.StructField("last_us", T.LongType()), T.StructField("last_tie", T.LongType()),
+       T.StructField("last_tie2", T.LongType())]
 )
 
 
@@ -33,26 +34,28 @@ def _advance(key, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator
     if state.exists:
         s = state.get
         starts = [(int(s[2 * c]), None if s[2 * c + 1] is None else int(s[2 * c + 1])) for c in range(len(CHANNELS))]
-        last = (int(s[-2]), int(s[-1]))
-        newer = (pdf["_us"] > last[0]) | ((pdf["_us"] == last[0]) & (pdf["_tie"] > last[1]))
+        last_us, last_tie, last_tie2 = int(s[-3]), int(s[-2]), int(s[-1])
+        same_us, same_tie = pdf["_us"] == last_us, pdf["_tie"] == last_tie
+        newer = ((pdf["_us"] > last_us) | (same_us & (pdf["_tie"] > last_tie))
+                 | (same_us & same_tie & (pdf["_tie2"] > last_tie2)))
         pdf = pdf[newer]  # older rows are late: the state has moved past them
     else:
         starts = [(0, None)] * len(CHANNELS)
     if pdf.empty:
         return
-    pdf = pdf.sort_values(["_us", "_tie"], kind="mergesort")
+    pdf = pdf.sort_values(["_us", "_tie", "_tie2"], kind="mergesort")
     out, finals = replay_rows(pdf, starts)
     state.update(tuple(v for mode, end in finals for v in (mode, end))
-                 + (int(pdf["_us"].iloc[-1]), int(pdf["_tie"].iloc[-1])))
+                 + (int(pdf["_us"].iloc[-1]), int(pdf["_tie"].iloc[-1]), int(pdf["_tie2"].iloc[-1])))
     yield out
 
 
-def control_state_stream(readings: DataFrame, tie_col: str = "event_id") -> DataFrame:
+def control_state_stream(readings: DataFrame, tie_col: str | Sequence[str] = "event_id") -> DataFrame:
     """Streaming twin of :func:`sensorstream.operators.control_state` (append)."""
     base = (
         readings.filter(F.col("sensor_id").isNotNull() & (F.col("sensor_id") != MOTION_SENSOR)
                         & F.col(EVENT_TIME).isNotNull())
-        .select(F.col(tie_col).cast("long").alias("event_id"), tie_column(tie_col), "sensor_id", EVENT_TIME,
+        .select(*tie_columns(tie_col), "sensor_id", EVENT_TIME,
                 *[F.col(ch.measure).cast("double").alias(ch.measure) for ch in CHANNELS])
         .withColumn("_us", epoch_micros(EVENT_TIME))
     )

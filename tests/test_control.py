@@ -170,3 +170,26 @@ def test_null_tie_does_not_fail_batch_or_stream(spark):
     q.awaitTermination()
     stream = sorted((r["event_id"] or -1, r["cooling"]) for r in spark.read.parquet(out).collect())
     assert batch == stream == [(-1, True), (-1, True), (2, True)]
+
+
+def test_two_column_tie_keeps_rows_from_other_partitions(spark):
+    from sensorstream.session import scratch_path
+    from sensorstream.streaming import control_state_stream
+
+    schema = ("partition int, offset long, sensor_id string, event_time timestamp_ntz, temperature double, "
+              "humidity double, waterQuality double")
+    t = T0 + dt.timedelta(seconds=5)
+    first = [(0, 5, "sensor_1", T0, 41.0, 50.0, 0.7), (0, 6, "sensor_1", t, 41.0, 50.0, 0.7)]
+    second = [(1, 6, "sensor_1", t, 20.0, 50.0, 0.7)]  # same time and offset, other partition, next batch
+    batch = control_state(spark.createDataFrame(first + second, schema), tie_col=("partition", "offset"))
+    assert batch.count() == 3
+    src, out, ck = scratch_path(spark, "tie2-src"), scratch_path(spark, "tie2-out"), scratch_path(spark, "tie2-ck")
+    for rows in (first, second):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(src)
+    q = (control_state_stream(stream, tie_col=("partition", "offset")).writeStream.format("parquet")
+         .option("checkpointLocation", ck).trigger(availableNow=True).start(out))
+    q.awaitTermination()
+    got = sorted((r["event_time"], r["event_id"], r["cooling"]) for r in spark.read.parquet(out).collect())
+    want = sorted((r["event_time"], r["event_id"], r["cooling"]) for r in batch.collect())
+    assert len(got) == 3 and got == want
