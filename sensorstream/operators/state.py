@@ -15,9 +15,16 @@ from ..rules import ACTIVE_LEVEL, ALERT_HORIZON, IDLE_LEVEL, MOTION_SENSOR, PANE
 from ..schema import EVENT_DATE, EVENT_TIME
 
 
-def known_sensors(df: DataFrame, sensors: Sequence[str] = VALID_SENSORS) -> DataFrame:
-    """Whitelist filter (a null id is dropped). Pushed to the scan when the
-    source is a table."""
+def known_sensors(df: DataFrame, sensors: Sequence[str] | DataFrame = VALID_SENSORS) -> DataFrame:
+    """Whitelist filter (a null id is dropped).
+
+    A list becomes an ``IN`` predicate, pushed to the scan when the source is
+    a table. A registry DataFrame with a ``sensor_id`` column (a fleet too big
+    for a literal list) becomes a left-semi join; Spark chooses broadcast or
+    shuffle from its size.
+    """
+    if isinstance(sensors, DataFrame):
+        return df.join(sensors.select("sensor_id").distinct(), "sensor_id", "left_semi")
     return df.filter(F.col("sensor_id").isin(list(sensors)))
 
 

@@ -217,3 +217,12 @@ def test_latest_with_two_column_tie(spark):
                         for v in (1.0, 2.0, 3.0)]).withColumn("partition", F.col("event_id") % 2)
     r = latest_per_sensor(df.drop("timestamp"), tie_col=("partition", "event_id")).collect()
     assert len(r) == 1 and r[0]["temperature"] == 2.0  # partition 1 beats partition 0
+
+
+def test_known_sensors_from_a_registry_table(spark):
+    from sensorstream.operators import known_sensors
+
+    df = _parse(spark, [json.dumps({"sensor_id": s}) for s in ("sensor_1", "sensor_9", "sensor_1", None)])
+    registry = spark.createDataFrame([("sensor_1",), ("sensor_2",), ("sensor_1",)], "sensor_id string")
+    assert sorted(r["event_id"] for r in known_sensors(df, registry).collect()) == [0, 2]
+    assert sorted(r["event_id"] for r in known_sensors(df, ["sensor_1"]).collect()) == [0, 2]
