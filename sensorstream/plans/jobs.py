@@ -15,7 +15,7 @@ from ..operators.alerts import alert_messages, alert_table, explode_alerts, firs
 from ..operators.incidents import incident_counts, incident_total
 from ..operators.state import (known_sensors, latest_per_sensor, latest_time, panel_humidity, panel_insects,
                                panel_motion, panel_temperature, panel_water, recent_window)
-from ..rules import ALERT_HORIZON, INCIDENT_GAP
+from ..rules import ALERT_HORIZON, INCIDENT_GAP, VALID_SENSORS
 
 
 def enrich(messages: DataFrame, keep=("event_id",)) -> DataFrame:
@@ -49,19 +49,21 @@ class Dashboard:
 
 
 def dashboard(readings: DataFrame, as_of: Column | None = None, horizon: str = ALERT_HORIZON,
-              gap: str = INCIDENT_GAP, tie_col: str = "event_id", state: DataFrame | None = None) -> Dashboard:
+              gap: str = INCIDENT_GAP, tie_col: str = "event_id", state: DataFrame | None = None,
+              sensors=VALID_SENSORS) -> Dashboard:
     """All dashboard outputs from typed readings (known sensors only).
 
     ``as_of`` defaults to the wall clock; pass ``latest_time(...)`` to anchor the
     horizon to the data. Pass a stored ``state`` (streaming state or
     ``update_latest_state``) so a refresh reads only the horizon: on a
-    date-partitioned history that is the last day's partitions.
+    date-partitioned history that is the last day's partitions. ``sensors`` is
+    the whitelist: a list, or a registry DataFrame with ``sensor_id``.
     """
-    known = known_sensors(readings)
+    known = known_sensors(readings, sensors)
     if state is None:
         state = latest_per_sensor(known.drop("timestamp"), tie_col)
     else:
-        state = known_sensors(state)
+        state = known_sensors(state, sensors)
     recent = recent_window(known, as_of, horizon)
     alerts = explode_alerts(recent)
     return Dashboard(
@@ -72,4 +74,4 @@ def dashboard(readings: DataFrame, as_of: Column | None = None, horizon: str = A
 
 def data_anchored_dashboard(readings: DataFrame, **kw) -> Dashboard:
     """Dashboard with the horizon ending at the latest known-sensor reading."""
-    return dashboard(readings, as_of=latest_time(known_sensors(readings)), **kw)
+    return dashboard(readings, as_of=latest_time(known_sensors(readings, kw.get("sensors", VALID_SENSORS))), **kw)

@@ -17,7 +17,7 @@ from ..functions.time import from_instant, to_instant
 from ..operators.alerts import explode_alerts, first_alert
 from ..operators.incidents import incidents_in_horizon  # noqa: F401  (re-exported)
 from ..operators.state import known_sensors, latest_per_sensor
-from ..rules import INCIDENT_GAP
+from ..rules import INCIDENT_GAP, VALID_SENSORS
 from ..schema import EVENT_TIME
 from ..sources.config import ARCHIVE_TOPIC
 from ..sources.sinks import write_archive, write_history
@@ -57,7 +57,7 @@ def archive_stream(messages: DataFrame, fmt: str = "kafka", target: str = ARCHIV
 
 
 def latest_state_stream(readings: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
-                        tie_col: str | Sequence[str] = "event_id") -> StreamingQuery:
+                        tie_col: str | Sequence[str] = "event_id", sensors=VALID_SENSORS) -> StreamingQuery:
     """Keep the latest reading per sensor as streaming state (update mode).
 
     The same aggregate as the batch :func:`latest_per_sensor` (state: one row
@@ -65,7 +65,7 @@ def latest_state_stream(readings: DataFrame, path: str, checkpoint: str, trigger
     sensors that changed, to ``path/epoch=N`` (overwritten on replay, so
     idempotent). Read with :func:`read_latest_state`.
     """
-    known = known_sensors(readings).drop("timestamp", EVENT_TS)
+    known = known_sensors(readings, sensors).drop("timestamp", EVENT_TS)
     agg = latest_per_sensor(known, tie_col)
     # an empty epoch carries the schema, so the log is readable before the first batch
     spark = readings.sparkSession
@@ -109,14 +109,14 @@ def compact_latest_state(spark: SparkSession, path: str, snapshot: str, previous
     state.write.mode("overwrite").parquet(snapshot)
 
 
-def incident_sessions_stream(readings: DataFrame, gap: str = INCIDENT_GAP) -> DataFrame:
+def incident_sessions_stream(readings: DataFrame, gap: str = INCIDENT_GAP, sensors=VALID_SENSORS) -> DataFrame:
     """Incidents as session windows per (sensor, alert type), append mode.
 
     ``readings`` must carry a watermark on ``event_ts`` (:func:`with_event_ts`).
     A session is emitted once the watermark passes its end (last alert + gap);
     state holds only open sessions.
     """
-    alerts = explode_alerts(known_sensors(readings))
+    alerts = explode_alerts(known_sensors(readings, sensors))
     return (
         alerts.groupBy(F.session_window(EVENT_TS, gap).alias("w"), "sensor_id", "alert_type")
         .agg(F.min(EVENT_TS).alias("_start"), F.max(EVENT_TS).alias("_last"), F.count(F.lit(1)).alias("n_alerts"))
@@ -164,7 +164,7 @@ def rows_dropped_by_watermark(query: StreamingQuery) -> int:
 def start_dashboard_job(messages: DataFrame, root: str, archive_fmt: str = "kafka",
                         archive_target: str = ARCHIVE_TOPIC, archive_options: dict | None = None,
                         trigger: dict | None = None, delay: str = DEFAULT_DELAY, gap: str = INCIDENT_GAP,
-                        keep: Sequence[str] = ("event_id",)) -> dict[str, StreamingQuery]:
+                        keep: Sequence[str] = ("event_id",), sensors=VALID_SENSORS) -> dict[str, StreamingQuery]:
     """The dashboard job as streaming queries on one message stream.
 
     ``history`` (raw readings, parquet), ``archive`` (labelled JSON),
@@ -182,8 +182,8 @@ def start_dashboard_job(messages: DataFrame, root: str, archive_fmt: str = "kafk
         messages, f"{root}/history", f"{root}/checkpoints", archive_fmt, archive_target, archive_options,
         trigger=trigger, keep=keep)))
     queries["latest"] = latest_state_stream(readings, f"{root}/latest", f"{root}/checkpoints/latest", trigger,
-                                            keep[0] if len(keep) == 1 else tuple(keep))
-    sessions = incident_sessions_stream(with_event_ts(readings, delay), gap)
+                                            keep[0] if len(keep) == 1 else tuple(keep), sensors)
+    sessions = incident_sessions_stream(with_event_ts(readings, delay), gap, sensors)
     w = (sessions.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoints/sessions")
          .outputMode("append"))
     if trigger:

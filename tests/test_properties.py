@@ -153,3 +153,13 @@ def test_parsing_never_fails_or_drops_rows(spark, values):
     msgs = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "event_id long, value string")
     rows = all_alerts(first_alert(parse_readings(msgs, keep=("event_id",)))).collect()
     assert sorted(r["event_id"] for r in rows) == list(range(len(values)))
+
+
+def test_dashboard_with_sensor_registry(spark):
+    from sensorstream.plans import dashboard
+
+    readings = parse_readings(raw_messages(spark.read.parquet(f"{SF_SMALL}/events.parquet")), keep=("event_id",))
+    registry = spark.createDataFrame([("sensor_1",), ("motion_sensor",)], "sensor_id string")
+    dash = dashboard(readings, sensors=registry)
+    assert sorted(r["sensor_id"] for r in dash.state.collect()) == ["motion_sensor", "sensor_1"]
+    assert [r["sensor_id"] for r in dash.temperature.collect()] == ["sensor_1"]
