@@ -169,3 +169,15 @@ def test_streaming_history_partitioned_by_day(spark):
     h = history(spark, path)
     days = sorted(r[0] for r in h.select("event_date").distinct().collect() if r[0] is not None)
     assert h.count() == 10000 and len(days) == 1 and str(days[0]) == "2024-01-01"
+
+
+def test_streaming_publish(spark):
+    events_dir = scratch_path(spark, "pub-ev")
+    _events(spark).write.mode("append").parquet(events_dir)
+    stream = readings_from_events(spark.readStream.schema(_events(spark).schema).parquet(events_dir))
+    out, ck = scratch_path(spark, "pub-out"), scratch_path(spark, "pub-ck")
+    q = publish_readings(stream, fmt="parquet", target=out, checkpoint=ck, trigger={"availableNow": True},
+                         key_col="event_id")
+    q.awaitTermination()
+    back = parse_readings(spark.read.parquet(out), keep=("key",))
+    assert back.count() == 1000 and back.filter(F.col("sensor_id").isNull()).count() == 0
