@@ -181,3 +181,23 @@ def test_streaming_publish(spark):
     q.awaitTermination()
     back = parse_readings(spark.read.parquet(out), keep=("key",))
     assert back.count() == 1000 and back.filter(F.col("sensor_id").isNull()).count() == 0
+
+
+def test_command_line_dashboard_job(spark):
+    from sensorstream.__main__ import main
+    from sensorstream.streaming import append_closing, read_latest_state
+
+    src = scratch_path(spark, "cli-dash-src")
+    raw_messages(_events(spark)).coalesce(1).write.mode("append").parquet(src)
+    append_closing(spark, src)
+    root = scratch_path(spark, "cli-dash")
+    qs = main(["dashboard", "--config", "/nonexistent.properties", "--source-format", "parquet", "--source", src,
+               "--sink-format", "parquet", "--sink", f"{root}/archive", "--root", root, "--once"], spark)
+    try:
+        for q in qs.values():
+            q.awaitTermination()
+    finally:
+        stop_all(qs.values())
+    assert set(qs) == {"history", "archive", "latest", "sessions"}
+    assert read_latest_state(spark, f"{root}/latest").count() == 5
+    assert spark.read.parquet(f"{root}/sessions").count() > 0
