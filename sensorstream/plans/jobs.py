@@ -75,3 +75,10 @@ def dashboard(readings: DataFrame, as_of: Column | None = None, horizon: str = A
 def data_anchored_dashboard(readings: DataFrame, **kw) -> Dashboard:
     """Dashboard with the horizon ending at the latest known-sensor reading."""
     return dashboard(readings, as_of=latest_time(known_sensors(readings, kw.get("sensors", VALID_SENSORS))), **kw)
+
+
+def write_dashboard(dash: Dashboard, root: str) -> None:
+    """Write every panel and the incident tables under ``root`` (one parquet
+    table each, replaced on every refresh) for a BI tool to plot."""
+    for name in ("state", "temperature", "humidity", "water", "motion", "insects", "incidents", "total"):
+        getattr(dash, name).write.mode("overwrite").parquet(f"{root}/{name}")

@@ -163,3 +163,15 @@ def test_dashboard_with_sensor_registry(spark):
     dash = dashboard(readings, sensors=registry)
     assert sorted(r["sensor_id"] for r in dash.state.collect()) == ["motion_sensor", "sensor_1"]
     assert [r["sensor_id"] for r in dash.temperature.collect()] == ["sensor_1"]
+
+
+def test_write_dashboard_tables(spark):
+    from sensorstream.plans import write_dashboard
+    from sensorstream.session import scratch_path
+
+    readings = parse_readings(raw_messages(spark.read.parquet(f"{SF_SMALL}/events.parquet")), keep=("event_id",))
+    root = scratch_path(spark, "dash-tables")
+    write_dashboard(data_anchored_dashboard(readings), root)
+    assert spark.read.parquet(f"{root}/temperature").count() == 4
+    assert spark.read.parquet(f"{root}/total").collect()[0]["n_incidents"] == \
+        sum(r["n_incidents"] for r in spark.read.parquet(f"{root}/incidents").collect())
