@@ -4,6 +4,7 @@
                                      [--sink-format F --sink TARGET] [--alerts PATH] [--messages PATH] [--once]
     python -m sensorstream dashboard --root DIR [--config FILE] [--source-format F --source PATH]
                                      [--sink-format F --sink TARGET] [--once]
+    python -m sensorstream panels    --root DIR [--out DIR] [--as-of data]
 
 Kafka is the default source and sink (connection settings from the
 properties file); ``parquet``/``json`` folders of messages work the same way.
@@ -22,7 +23,7 @@ from .sources.readers import read_messages
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="python -m sensorstream")
-    p.add_argument("job", choices=("archive", "dashboard"))
+    p.add_argument("job", choices=("archive", "dashboard", "panels"))
     p.add_argument("--config", default=PROPERTIES_FILE)
     p.add_argument("--source-format", default="kafka")
     p.add_argument("--source", default=None, help="message folder (file formats)")
@@ -33,6 +34,9 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--messages", help="archive job: also write one notification per alert here (parquet)")
     p.add_argument("--root", help="dashboard job: folder for tables and checkpoints (shared storage)")
     p.add_argument("--once", action="store_true", help="process what is available, then stop")
+    p.add_argument("--out", help="panels job: output folder (default ROOT/panels)")
+    p.add_argument("--as-of", choices=("now", "data"), default="now",
+                   help="panels job: end the 12 h horizon now, or at the latest session")
     return p
 
 
@@ -45,6 +49,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     args = _parser().parse_args(argv)
     own = spark is None
     spark = spark or SparkSession.builder.appName(f"sensorstream-{args.job}").getOrCreate()
+    if args.job == "panels":
+        _write_panels(spark, args)
+        return {}
     conf = read_config(args.config)
     kafka = args.source_format == "kafka"
     messages = read_messages(spark, None if kafka else args.source, args.source_format,
@@ -83,5 +90,26 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     return queries
 
 
+def _write_panels(spark: SparkSession, args) -> None:
+    """Batch refresh: panel and incident tables from the dashboard job's tables."""
+    from pyspark.sql import functions as F
+
+    from .operators import (incidents_in_horizon, known_sensors, panel_humidity, panel_insects, panel_motion,
+                            panel_temperature, panel_water)
+    from .streaming.jobs import read_latest_state
+
+    if not args.root:
+        raise SystemExit("--root is required")
+    out = args.out or f"{args.root}/panels"
+    state = known_sensors(read_latest_state(spark, f"{args.root}/latest"))
+    sessions = spark.read.parquet(f"{args.root}/sessions")
+    as_of = sessions.select(F.max("last_time")).scalar() if args.as_of == "data" else None
+    tables = {"state": state, "temperature": panel_temperature(state), "humidity": panel_humidity(state),
+              "water": panel_water(state), "motion": panel_motion(state), "insects": panel_insects(state),
+              "incidents": incidents_in_horizon(sessions, as_of)}
+    for name, df in tables.items():
+        df.write.mode("overwrite").parquet(f"{out}/{name}")
+
+
 if __name__ == "__main__":
     main()

@@ -201,3 +201,6 @@ def test_command_line_dashboard_job(spark):
     assert set(qs) == {"history", "archive", "latest", "sessions"}
     assert read_latest_state(spark, f"{root}/latest").count() == 5
     assert spark.read.parquet(f"{root}/sessions").count() > 0
+    main(["panels", "--root", root, "--as-of", "data"], spark)
+    assert spark.read.parquet(f"{root}/panels/temperature").count() == 4
+    assert spark.read.parquet(f"{root}/panels/incidents").count() > 0
