@@ -253,3 +253,28 @@ def test_sessions_stream_with_late_rows_within_delay_equals_batch(spark, seed):
     got = sorted(tuple(r) for r in spark.read.parquet(out).select(
         "sensor_id", "alert_type", "start_time", "last_time", "n_alerts").collect())
     assert rows_dropped_by_watermark(q) == 0 and got == want
+
+
+def test_chained_compaction_with_new_epochs(spark):
+    from sensorstream.streaming import compact_latest_state
+
+    msgs = raw_messages(spark.read.parquet(f"{SF_SMALL}/events.parquet"))
+    src, path, ck = scratch_path(spark, "cc-src"), scratch_path(spark, "cc-latest"), scratch_path(spark, "cc-ck")
+
+    def run():
+        stream = spark.readStream.schema(MESSAGE_SCHEMA).option("maxFilesPerTrigger", "1").parquet(src)
+        latest_state_stream(parse_readings(stream, keep=("event_id",)), path, ck, {"availableNow": True}).awaitTermination()
+
+    msgs.filter(F.col("event_id") < 500).coalesce(1).write.mode("append").parquet(src)
+    run()
+    snap1 = scratch_path(spark, "cc-snap") + "/s1"
+    compact_latest_state(spark, path, snap1)
+    msgs.filter(F.col("event_id") >= 500).coalesce(1).write.mode("append").parquet(src)
+    run()  # new epochs after the first snapshot
+    snap2 = scratch_path(spark, "cc-snap") + "/s2"
+    compact_latest_state(spark, path, snap2, previous=snap1)
+    full = sorted(tuple(r) for r in read_latest_state(spark, path).collect())
+    cols = read_latest_state(spark, path).columns
+    via1 = sorted(tuple(r) for r in read_latest_state(spark, path, snapshot=snap1).select(*cols).collect())
+    via2 = sorted(tuple(r) for r in read_latest_state(spark, path, snapshot=snap2).select(*cols).collect())
+    assert full == via1 == via2 and max(r[0] for r in spark.read.parquet(snap2).select("epoch").collect()) >= 1
