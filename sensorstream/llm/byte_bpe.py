@@ -39,7 +39,7 @@ SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u
 #: Coarser than the vocabulary's pattern: a word with the blank before it, or white space. Pieces never cross units.
 UNITS = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 LONG = 256
-SLICE_CHARS = 1 << 20
+SLICE_CHARS = 1 << 21
 SLICE_PIECES = 1 << 16
 MOST_PIECES, MOST_UNITS = 400_000, 300_000
 
@@ -107,8 +107,8 @@ class Codec:
     def _forget(self) -> None:
         self.pieces: dict[str, tuple[np.ndarray, bytes]] = {}
         self.units: dict[str, int] = {}
-        self.unit_ids: list[np.ndarray] = []
         self.unit_bytes: list[bytes] = []
+        self.flat, self.size, self.start = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def _contract_long(self, piece: bytes) -> np.ndarray:
         toks = self.single[np.frombuffer(piece, np.uint8)]
@@ -166,25 +166,31 @@ class Codec:
             part = new[at : at + SLICE_PIECES]
             ids = self.encode_pieces([p.encode() for p in part])
             self.pieces.update(zip(part, zip(ids, self.decode(ids), strict=True), strict=True))
+        ids = [self.flat]
         for u, s in zip(units, split, strict=True):
-            self.units[u] = len(self.unit_ids)
+            self.units[u] = len(self.units)
             found = [self.pieces[p] for p in s]
-            self.unit_ids.append(found[0][0] if len(found) == 1 else np.concatenate([x[0] for x in found]))
+            ids.extend(x[0] for x in found)
             self.unit_bytes.append(b"".join(x[1] for x in found))
-
-    def text(self, text: str) -> tuple[list[np.ndarray], list[bytes]]:
-        """Ids and decoded bytes of a text, in parts."""
-        ids, out = [], []
-        for units in _unit_slices(text):
+        size = [sum(len(self.pieces[p][0]) for p in s) for s in split]
+        self.flat = np.concatenate(ids)
+        self.size = np.concatenate([self.size, np.array(size, np.int64)])
+        self.start = np.cumsum(self.size) - self.size
+
+    def encode_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """All ids of the units in order, the number of ids of each unit, and each unit's decoded bytes."""
+        codes = list(map(self.units.get, units))
+        if None in codes:
+            if len(self.units) > MOST_UNITS or len(self.pieces) > MOST_PIECES:
+                self._forget()
+                codes = [None] * len(units)
+            self._learn(list(dict.fromkeys(u for u, c in zip(units, codes, strict=True) if c is None)))
             codes = list(map(self.units.get, units))
-            if None in codes:
-                if len(self.units) > MOST_UNITS or len(self.pieces) > MOST_PIECES:
-                    self._forget()
-                self._learn(list(dict.fromkeys(u for u in units if u not in self.units)))
-                codes = list(map(self.units.get, units))
-            ids.extend(map(self.unit_ids.__getitem__, codes))
-            out.extend(map(self.unit_bytes.__getitem__, codes))
-        return ids, out
+        at = np.array(codes, np.int64)
+        size = self.size[at]
+        ends = np.cumsum(size)
+        ids = self.flat[np.repeat(self.start[at] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
+        return ids, size, list(map(self.unit_bytes.__getitem__, codes))
 
 
 def _unit_slices(text: str) -> Iterator[list[str]]:
@@ -220,27 +226,42 @@ def _round_trip(path: str, pattern: str):
             for at in np.split(np.arange(len(sizes)), np.flatnonzero(ends[1:] != ends[:-1]) + 1):  # about a slice of text at a time
                 if len(at):
                     part = batch.slice(at[0], len(at))
-                    texts = part.column("text").to_pylist()
-                    # what the slice needs is learned in one query
-                    new = dict.fromkeys(u for t in texts if t and len(t) <= SLICE_CHARS for u in UNITS.findall(t) if u not in c.units)
-                    if new:
-                        if len(c.units) > MOST_UNITS or len(c.pieces) > MOST_PIECES:
-                            c._forget()
-                            new = dict.fromkeys(u for t in texts if t and len(t) <= SLICE_CHARS for u in UNITS.findall(t))
-                        c._learn(list(new))
-                    ids, counts, back = [], [], []
-                    for t in texts:
-                        i, b = c.text(t or "")
-                        ids.append(np.concatenate(i) if i else np.zeros(0, np.int32))
-                        counts.append(len(ids[-1]))
-                        back.append(b"".join(b))
+                    ids, counts, back = _encoded(c, part.column("text").to_pylist())
                     offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-                    lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids), pa.int32()))
+                    lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))
                     yield pa.RecordBatch.from_arrays([part.column("row"), lists, pa.array(back, pa.binary())], names=["row", "ids", "decoded"])
 
     return run
 
 
+def _encoded(c: Codec, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """All ids of the texts, ids per text, decoded bytes per text."""
+    ids, counts, back = [np.zeros(0, np.int32)], np.zeros(len(texts), np.int64), [b""] * len(texts)
+    waiting: list[tuple[int, list[str]]] = []
+
+    def flush() -> None:
+        found, size, out = c.encode_units([u for _, units in waiting for u in units])
+        ids.append(found)
+        upto, at = np.concatenate([[0], np.cumsum(size)]), 0
+        for k, units in waiting:
+            counts[k] += upto[at + len(units)] - upto[at]
+            back[k] += b"".join(out[at : at + len(units)])
+            at += len(units)
+        waiting.clear()
+
+    chars = 0
+    for k, text in enumerate(texts):
+        for units in _unit_slices(text or ""):
+            waiting.append((k, units))
+            chars += SLICE_CHARS if len(text) > SLICE_CHARS else len(text)
+            if chars >= 2 * SLICE_CHARS:
+                flush()
+                chars = 0
+    if waiting:
+        flush()
+    return np.concatenate(ids), counts, back
+
+
 def encode_decode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns (default all) + a struct ``__bpe``: ids array<int>, decoded binary."""
     keep = docs.columns if keep is None else keep

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, mixing, ngram_join, quality_rules
+from . import (
+    byte_bpe, context_tree, license_scan, metric_search, mixing, ngram_join, quality_rules, sharding, token_files, url_filter,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +23,51 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *(F.col(f"__verdict.{n}").alias(n) for n in names))
 
 
+def op2_best_fit_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards of near equal bytes, equal texts together."""
+    out = sharding.shard(_table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return out.select(
+        "doc_id", "__shard.size", "__shard.text_crc32", F.lit("bytes").alias("law"), "__shard.shard",
+        F.col("__shard.slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's URL judged by listed and mined rules."""
+    return url_filter.judge(_table(spark, sf_dir, "pages"))
+
+
+def op4_metric_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 highest scores of every query vector (vec_id divisible by 20) among all others."""
+    vectors = metric_search.integer_vectors(_table(spark, sf_dir, "embeddings"))
+    return metric_search.top_k(metric_search.build_index(vectors), vectors.where(F.col("id") % 20 == 0), 20)
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses stated in every document."""
+    out = license_scan.scan(_table(spark, sf_dir, "documents"))
+    return out.select(
+        F.col("id").alias("doc_id"), F.array_join("licenses", ",").alias("licenses"), F.size("spans").cast("long").alias("n_spans"),
+        F.col("spans")[0]["at"].cast("long").alias("first_sentence"),
+    )
+
+
+OP5_SQL = """
+WITH sentence AS (
+  SELECT doc_id, unnest(regexp_split_to_array(regexp_replace(coalesce(text, ''), '([.!?])[ \t\r]+', '\1' || chr(10), 'g'), chr(10))) AS s,
+         generate_subscripts(regexp_split_to_array(regexp_replace(coalesce(text, ''), '([.!?])[ \t\r]+', '\1' || chr(10), 'g'), chr(10)), 1) - 1 AS pos
+  FROM documents),
+known AS (
+  SELECT doc_id, pos, CASE trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g'))
+    WHEN 'licensed under the apache license version 2 0' THEN 'Apache-2.0'
+    WHEN 'this work is licensed under the gnu general public license version 3' THEN 'GPL-3.0-only'
+    WHEN 'released under the mit license' THEN 'MIT' END AS license
+  FROM sentence)
+SELECT doc_id, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses, count(*) AS n_spans, min(pos)::BIGINT AS first_sentence
+FROM known WHERE license IS NOT NULL GROUP BY doc_id
+"""
+
+
 def tokenizer_file(name: str) -> str:
     import public_tokenizers
 
@@ -50,6 +97,18 @@ def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *(F.col(f"__mix.{n}").alias(n) for n in ("size", "source_size", "target", "taken", "copies")))
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token-id files of every document, read back."""
+    path = token_files.fresh_path(spark)
+    token_files.write_tokens(_table(spark, sf_dir, "documents"), path, tokenizer_file("word_bpe_49k.json"), end=2)
+    return token_files.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op9_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Context-tree and unigram log10 probabilities of every document."""
+    return context_tree.score(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes and link counts of all documents."""
     return ngram_join.classes(_table(spark, sf_dir, "documents")).select(
@@ -65,10 +124,11 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
-        op1_quality_rules, op6_byte_bpe, op7_source_mix, op10_ngram_jaccard, pipeline,
+        op1_quality_rules, op2_best_fit_shards, op3_url_filter, op4_metric_topk, op5_license_scan, op6_byte_bpe,
+        op7_source_mix, op8_token_files, op9_context_tree, op10_ngram_jaccard, pipeline,
     )
     return {f.__name__: f for f in named}
 
 
 def llm_oracles() -> dict[str, str]:
-    return {}
+    return {"op5_license_scan": OP5_SQL}
