@@ -39,7 +39,7 @@ from pyspark.sql.window import Window as W
 
 from .common import cut, text_of
 
-DEPTH = 4
+DEPTH = 5
 FOLDS = 10
 EDGE = 0xFF
 ALPHA = 0.1
