@@ -44,8 +44,6 @@ FOLDS = 10
 EDGE = 0xFF
 ALPHA = 0.1
 _CHUNK = 1 << 22  # bytes counted at a time
-_ENTRIES = "part int, word binary, gram long, n long"
-_SCORES = "id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
 def ngrams(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -66,59 +64,54 @@ def ngrams(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
     return out, size
 
 
-def _collect(depth: int):
-    """Distinct words and n-grams of a partition with their training counts."""
+def _lowered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bool, list[bytes]]]:
+    """(partition, trains, some texts in lower case), about _CHUNK bytes at a time."""
+    part, waiting, size = None, {True: [], False: []}, {True: 0, False: 0}
+    for batch in batches:
+        part = batch.column("part")[0].as_py() if batch.num_rows else part
+        for text, held in zip(batch.column("text"), batch.column("held_out").to_pylist(), strict=True):
+            waiting[not held].append(text.as_py().lower())
+            size[not held] += len(waiting[not held][-1]) + 1
+            if size[not held] > _CHUNK:
+                yield part, not held, waiting[not held]
+                waiting[not held], size[not held] = [], 0
+    for train, texts in waiting.items():
+        if texts:
+            yield part, train, texts
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: Counter = Counter()
-        seen: set = set()
-        found, count = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        part = None
-
-        def add(texts: list[bytes], train: bool) -> None:
-            nonlocal found, count
-            for t in texts:
-                (words.update if train else seen.update)(t.split())
-            g, _ = ngrams(texts, depth)
-            u, c = np.unique(g, return_counts=True)
-            merged, at = np.unique(np.concatenate([found, u]), return_inverse=True)
-            total = np.zeros(len(merged), np.int64)
-            np.add.at(total, at, np.concatenate([count, c if train else np.zeros_like(c)]))
-            found, count = merged, total
-
-        waiting: dict[bool, list[bytes]] = {True: [], False: []}
-        size = {True: 0, False: 0}
-        for batch in batches:
-            part = batch.column("part")[0].as_py() if batch.num_rows else part
-            for text, held in zip(batch.column("text"), batch.column("held_out").to_pylist(), strict=True):
-                raw = text.as_py().lower()
-                waiting[not held].append(raw)
-                size[not held] += len(raw) + 1
-                if size[not held] > _CHUNK:
-                    add(waiting[not held], not held)
-                    waiting[not held], size[not held] = [], 0
-        for train, texts in waiting.items():
-            if texts:
-                add(texts, train)
-        if part is not None:
-            for w in seen:
-                words.setdefault(w, 0)
-            items = list(words.items())
-            for at in range(0, len(items), 1 << 17):
-                some = items[at : at + (1 << 17)]
-                yield _entries(part, [w for w, _ in some], None, [n for _, n in some])
-            for at in range(0, len(found), 1 << 17):
-                yield _entries(part, None, found[at : at + (1 << 17)], count[at : at + (1 << 17)])
 
-    return run
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct words of a partition with their training counts."""
+    words: Counter = Counter()
+    seen: set = set()
+    part = None
+    for part, train, texts in _lowered(batches):
+        for t in texts:
+            (words.update if train else seen.update)(t.split())
+    for w in seen:
+        words.setdefault(w, 0)
+    items = list(words.items())
+    for at in range(0, len(items), 1 << 17):
+        some = items[at : at + (1 << 17)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(some), part, np.int32)), pa.array([w for w, _ in some], pa.binary()), pa.array([n for _, n in some], pa.int64())], names=["part", "word", "n"]
+        )
 
 
-def _entries(part: int, words: list | None, grams: np.ndarray | None, n) -> pa.RecordBatch:
-    m = len(n)
-    return pa.RecordBatch.from_arrays([
-        pa.array(np.full(m, part, np.int32)), pa.nulls(m, pa.binary()) if words is None else pa.array(words, pa.binary()),
-        pa.nulls(m, pa.int64()) if grams is None else pa.array(grams, pa.int64()), pa.array(n, pa.int64()),
-    ], names=["part", "word", "gram", "n"])
+def _grams(depth: int):
+    """Distinct n-grams of a partition with their training counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, count, part = np.zeros(0, np.int64), np.zeros(0, np.int64), None
+        for part, train, texts in _lowered(batches):
+            u, c = np.unique(ngrams(texts, depth)[0], return_counts=True)
+            found, at = np.unique(np.concatenate([found, u]), return_inverse=True)
+            count = np.bincount(at, np.concatenate([count, c * train])).astype(np.int64)
+        for at in range(0, len(found), 1 << 17):
+            some = found[at : at + (1 << 17)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), part, np.int32)), pa.array(some), pa.array(count[at : at + (1 << 17)])], names=["part", "gram", "n"])
+
+    return run
 
 
 def _lgamma(x: Column) -> Column:
@@ -131,55 +124,130 @@ def _lgamma(x: Column) -> Column:
     return (z - 0.5) * F.log(z) - z + 0.5 * math.log(2 * math.pi) + series - F.log(steps)
 
 
-def _bits() -> Column:
-    """The eight (node, bit) decisions of the byte in ``gram``."""
-    byte = F.col("gram").bitwiseAND(F.lit(255))
-    return F.array(*(
-        F.struct((F.lit(1 << b) + F.shiftright(byte, 8 - b)).cast("int").alias("node"), F.shiftright(byte, 7 - b).bitwiseAND(F.lit(1)).cast("int").alias("bit"))
-        for b in range(8)
-    ))
+def _lgamma_np(x: np.ndarray) -> np.ndarray:
+    z = x + 7
+    steps = x.copy()
+    for k in range(1, 7):
+        steps *= x + k
+    return (z - 0.5) * np.log(z) - z + 0.5 * math.log(2 * math.pi) + 1 / (12 * z) - 1 / (360 * z**3) + 1 / (1260 * z**5) - np.log(steps)
+
+
+class _Levels:
+    """Counts and weighted probabilities of a set of n-grams, from the longest contexts up to ``split`` bytes.
+
+    A level's rows are (context, node) as context << 8 | node; ``up[d]`` leads
+    from a row of level d to its row of level d - 1.
+    """
+
+    def __init__(self, gram: np.ndarray, n: np.ndarray, depth: int, split: int) -> None:
+        byte, b = gram & 255, np.arange(8)
+        self.bit = byte[:, None] >> (7 - b) & 1
+        keys = (gram >> 8 << 8)[:, None] | (1 << b) + (byte[:, None] >> (8 - b))
+        self.key, self.n0, self.n1, self.lpe, self.lpw, self.up = {}, {}, {}, {}, {}, {}
+        self.key[depth], at = np.unique(keys, return_inverse=True)
+        self.leaf = at.reshape(keys.shape)
+        weight = np.broadcast_to(n[:, None], keys.shape).ravel()
+        ones = self.bit.ravel()
+        self.n0[depth] = np.bincount(at.ravel(), weight * (1 - ones), len(self.key[depth]))
+        self.n1[depth] = np.bincount(at.ravel(), weight * ones, len(self.key[depth]))
+        for d in range(depth, split - 1, -1):
+            n0, n1 = self.n0[d], self.n1[d]
+            self.lpe[d] = _lgamma_np(n0 + 0.5) + _lgamma_np(n1 + 0.5) - _lgamma_np(n0 + n1 + 1) - math.log(math.pi)
+            self.lpw[d] = self.lpe[d] if d == depth else np.logaddexp(self.lpe[d], below) - math.log(2)
+            if d > split:
+                k = self.key[d]
+                self.key[d - 1], self.up[d] = np.unique((k >> 8 & (1 << 8 * (d - 1)) - 1) << 8 | k & 255, return_inverse=True)
+                size = len(self.key[d - 1])
+                self.n0[d - 1], self.n1[d - 1], below = (np.bincount(self.up[d], v, size) for v in (n0, n1, self.lpw[d]))
+
+
+_NODES = "ctx long, node int, n0 double, n1 double, lpe double, lpw double"
+
+
+def _upward(depth: int, split: int):
+    """The nodes of level ``split`` from a cell's n-grams."""
+
+    def run(table: pa.Table) -> pa.Table:
+        v = _Levels(table.column("gram").to_numpy(), table.column("n").to_numpy(), depth, split)
+        key = v.key[split]
+        return pa.table({
+            "ctx": pa.array(key >> 8), "node": pa.array((key & 255).astype(np.int32)), "n0": pa.array(v.n0[split]),
+            "n1": pa.array(v.n1[split]), "lpe": pa.array(v.lpe[split]), "lpw": pa.array(v.lpw[split]),
+        })
+
+    return run
+
+
+def _downward(depth: int, split: int):
+    """log10 probability of each n-gram's byte, given the mixture down to level ``split``."""
+
+    def run(table: pa.Table, state: pa.Table) -> pa.Table:
+        gram = table.column("gram").to_numpy()
+        if not len(gram):
+            return pa.table({"gram": pa.array([], pa.int64()), "lp": pa.array([], pa.float64())})
+        v = _Levels(gram, table.column("n").to_numpy(), depth, split)
+        key = state.column("ctx").to_numpy() << 8 | state.column("node").to_numpy()
+        order = np.argsort(key)
+        at = order[np.searchsorted(key[order], v.key[split])]
+        w, a, p, stop = (state.column(c).to_numpy()[at] for c in ("w", "a", "p", "stop"))
+        for d in range(split + 1, depth + 1):
+            up, total = v.up[d], v.n0[d] + v.n1[d]
+            a, w = (a + w * stop * p)[up], (w * (1 - stop))[up]
+            p = np.where(total > 0, (v.n1[d] + 0.5) / (total + 1), p[up])
+            stop = np.exp(v.lpe[d] - v.lpw[d] - math.log(2))
+        one = (a + w * p)[v.leaf]
+        return pa.table({"gram": pa.array(gram), "lp": pa.array(np.log10(np.where(v.bit == 1, one, 1 - one)).sum(1))})
+
+    return run
 
 
 def gram_scores(grams: DataFrame, depth: int) -> DataFrame:
-    """log10 probability of every n-gram's byte given its context; ``grams``: gram, n (training count, may be 0)."""
-    decisions = grams.select("gram", "n", F.shiftright("gram", 8).alias("ctx"), F.explode(_bits()).alias("d")).select("gram", "n", "ctx", "d.node", "d.bit")
+    """log10 probability of every n-gram's byte given its context; ``grams``: gram (distinct), n (training count, may be 0).
+
+    Contexts of up to two bytes are handled as tables; longer ones by cells of
+    n-grams whose contexts end in the same two bytes, so that a cell holds
+    whole subtrees. The number of cells follows the number of n-grams.
+    """
+    split = min(2, depth)
+    cells = max(1, grams.count() >> 18)
+    cell = lambda ctx: F.pmod(F.xxhash64(ctx.bitwiseAND(F.lit((1 << 8 * split) - 1))), F.lit(cells)).alias("cell")
+    dealt = grams.select(cell(F.shiftright("gram", 8)), "gram", "n")
+    levels = [cut(dealt.groupBy("cell").applyInArrow(_upward(depth, split), _NODES), "ctw-level")]
     kt = _lgamma(F.col("n0") + 0.5) + _lgamma(F.col("n1") + 0.5) - _lgamma(F.col("n0") + F.col("n1") + 1) - math.log(math.pi)
-    ones = [F.sum(F.when(F.col("bit") == b, F.col("n")).otherwise(0)).cast("double").alias(f"n{b}") for b in (0, 1)]
-    level = decisions.groupBy("ctx", "node").agg(*ones).withColumn("lpe", kt).withColumn("lpw", F.col("lpe"))
-    levels = [cut(level, "ctw-level")]
-    for d in range(depth - 1, -1, -1):
+    for d in range(split - 1, -1, -1):
         parent = F.col("ctx").bitwiseAND(F.lit((1 << 8 * d) - 1)).alias("ctx")
         sums = levels[0].select(parent, "node", "n0", "n1", "lpw").groupBy("ctx", "node").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("lpw").alias("below"))
         high = F.greatest("lpe", "below")
         sums = sums.withColumn("lpe", kt).withColumn("lpw", high + F.log(F.exp(F.col("lpe") - high) + F.exp(F.col("below") - high)) - math.log(2))
         levels.insert(0, cut(sums.drop("below"), "ctw-level"))
     own = (F.col("n1") + 0.5) / (F.col("n0") + F.col("n1") + 1)
-    state = levels[0].select("ctx", "node", F.lit(1.0).alias("w"), F.lit(0.0).alias("a"), own.alias("p"), F.exp(F.col("lpe") - F.col("lpw") - math.log(2)).alias("stop"))
-    for d in range(1, depth + 1):
+    stop = lambda d: F.exp(F.col("lpe") - F.col("lpw") - math.log(2)) if d < depth else F.lit(1.0)
+    state = levels[0].select("ctx", "node", F.lit(1.0).alias("w"), F.lit(0.0).alias("a"), own.alias("p"), stop(0).alias("stop"))
+    for d in range(1, split + 1):
         up = state.select(F.col("ctx").alias("c"), F.col("node").alias("m"), (F.col("w") * (1 - F.col("stop"))).alias("w"), (F.col("a") + F.col("w") * F.col("stop") * F.col("p")).alias("a"), F.col("p").alias("handed"))
         here = levels[d].join(up, (F.col("ctx").bitwiseAND(F.lit((1 << 8 * (d - 1)) - 1)) == F.col("c")) & (F.col("node") == F.col("m")))
         p = F.when(F.col("n0") + F.col("n1") > 0, own).otherwise(F.col("handed"))
-        stop = F.exp(F.col("lpe") - F.col("lpw") - math.log(2)) if d < depth else F.lit(1.0)
-        state = here.select("ctx", "node", "w", "a", p.alias("p"), stop.alias("stop"))
-    leaf = state.select(F.col("ctx").alias("c"), F.col("node").alias("m"), (F.col("a") + F.col("w") * F.col("p")).alias("one"))
-    joined = decisions.select("gram", "ctx", "node", "bit").join(leaf, (F.col("ctx") == F.col("c")) & (F.col("node") == F.col("m")))
-    return joined.groupBy("gram").agg(F.sum(F.log10(F.when(F.col("bit") == 1, F.col("one")).otherwise(1 - F.col("one")))).alias("lp"))
+        state = here.select("ctx", "node", "w", "a", p.alias("p"), stop(d).alias("stop"))
+    state = state.select(cell(F.col("ctx")), "ctx", "node", "w", "a", "p", "stop")
+    return dealt.groupBy("cell").cogroup(state.groupBy("cell")).applyInArrow(_downward(depth, split), "gram long, lp double")
 
 
-def _score(depth: int, n: int, v: int, ends: int):
-    denominator = n + ALPHA * (v + 1)
-    base = lambda c: np.log10((c + ALPHA) / denominator)
+_SUMS = "id long, held_out boolean, n_tokens long, n_known long, logs double, score double, words_n long, words_v long"
+
+
+def _score(depth: int, ends: int):
+    """Sums over each text's words and n-grams; and one row with null score for what the partition adds to N and V."""
 
     def run(key: tuple, docs: pa.Table, tables: pa.Table) -> pa.Table:
         words = tables.filter(pc.is_valid(tables.column("word")))
         code = dict(zip(words.column("word").to_pylist(), range(words.num_rows), strict=True))
         c = words.column("n").to_numpy()
-        word_score, known = base(c), (c > 0).astype(np.int64)
+        logs, known = np.log10(c + ALPHA), (c > 0).astype(np.int64)
         grams = tables.filter(pc.is_valid(tables.column("gram")))
         gram, lp = grams.column("gram").to_numpy(), grams.column("lp").to_numpy()
         order = np.argsort(gram)
         gram, lp = gram[order], lp[order]
-        n_tokens, n_known, base_score, score = [], [], [], []
+        n_tokens, n_known, base, score = [], [], [], []
         at, texts = 0, docs.column("text")
         while at < len(texts):
             part, size = [], 0
@@ -191,12 +259,17 @@ def _score(depth: int, n: int, v: int, ends: int):
                 w = np.fromiter(map(code.__getitem__, t.split()), np.int64)
                 n_tokens.append(len(w) + 1)
                 n_known.append(int(known[w].sum()) + (ends > 0))
-                base_score.append(float(word_score[w].sum() + base(np.float64(ends))))
+                base.append(float(logs[w].sum() + math.log10(ends + ALPHA)))
             g, sizes = ngrams(part, depth)
             score.extend(np.add.reduceat(lp[np.searchsorted(gram, g)], np.cumsum(sizes) - sizes).tolist())
+        nulls, m = [None], len(n_tokens)
+        first = words.column("first").to_numpy(zero_copy_only=False).astype(bool)
         return pa.table({
-            "id": docs.column("id"), "held_out": docs.column("held_out"), "n_tokens": pa.array(n_tokens, pa.int64()),
-            "n_known": pa.array(n_known, pa.int64()), "base_score": pa.array(base_score, pa.float64()), "score": pa.array(score, pa.float64()),
+            "id": pa.array(docs.column("id").to_pylist() + nulls, pa.int64()), "held_out": pa.array(docs.column("held_out").to_pylist() + nulls, pa.bool_()),
+            "n_tokens": pa.array(n_tokens + nulls, pa.int64()), "n_known": pa.array(n_known + nulls, pa.int64()),
+            "logs": pa.array(base + nulls, pa.float64()), "score": pa.array(score + nulls, pa.float64()),
+            "words_n": pa.array([None] * m + [int(words.column("own").to_numpy().sum())], pa.int64()),
+            "words_v": pa.array([None] * m + [int((known.astype(bool) & first).sum())], pa.int64()),
         })
 
     return run
@@ -206,21 +279,30 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth
     """id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10 probabilities) of every text."""
     held = (F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % folds == 0).alias("held_out")
     rows = docs.select(F.spark_partition_id().alias("part"), F.col(id_col).cast("long").alias("id"), held, text_of(text_col).cast("binary").alias("text"))
-    entries = cut(rows.mapInArrow(_collect(depth), _ENTRIES), "ctw-entries")
-    words = entries.where("word is not null").select("part", "word", "n")
-    word = W.partitionBy("word")
-    words = words.select("part", "word", F.sum("n").over(word).alias("n"), F.col("n").alias("own"), (F.min("part").over(word) == F.col("part")).alias("first"))
-    words = cut(words, "ctw-words")
-    totals = words.agg(F.sum("own"), F.sum(F.when(F.col("first") & (F.col("n") > 0), 1).otherwise(0))).first()
+
+    # a slice of partitions shares a row per n-gram, so that no list grows with the number of partitions
+    listed = rows.mapInArrow(_grams(depth), "part int, gram long, n long").groupBy("gram", F.shiftright("part", 10).alias("slice"))
+    listed = cut(listed.agg(F.sum("n").alias("n"), F.collect_list("part").alias("parts")).select("gram", "n", "parts"), "ctw-listed")
     # every text ends with the edge byte, which words never hold: training texts are counted by their ends
-    ends = entries.where(F.col("gram").bitwiseAND(F.lit(255)) == EDGE).agg(F.sum("n")).first()[0] or 0
-    n, v = (totals[0] or 0) + ends, (totals[1] or 0) + (ends > 0)
-    grams = entries.where("gram is not null").select("part", "gram", "n")
-    scores = gram_scores(cut(grams.groupBy("gram").agg(F.sum("n").alias("n")), "ctw-grams"), depth)
-    listed = grams.select("part", "gram").join(scores.withColumnRenamed("gram", "g"), F.col("gram") == F.col("g"))
+    ends = listed.where(F.col("gram").bitwiseAND(F.lit(255)) == EDGE).agg(F.sum("n")).first()[0] or 0
+    grams = cut(listed.groupBy("gram").agg(F.sum("n").alias("n")), "ctw-grams")
+    scores = gram_scores(grams, depth).withColumnRenamed("gram", "g")
+
+    word = W.partitionBy("word")
+    words = rows.mapInArrow(_words, "part int, word binary, n long").select(
+        "part", "word", F.sum("n").over(word).alias("n"), F.col("n").alias("own"), (F.min("part").over(word) == F.col("part")).alias("first")
+    )
     none = lambda t, c: F.lit(None).cast(t).alias(c)
-    tables = words.select("part", "word", none("long", "gram"), "n", none("double", "lp")).unionByName(
-        listed.select("part", none("binary", "word"), "gram", none("long", "n"), "lp")
+    tables = words.select("part", "word", none("long", "gram"), "n", "own", "first", none("double", "lp")).unionByName(
+        listed.join(scores, F.col("gram") == F.col("g")).select(
+            F.explode("parts").alias("part"), none("binary", "word"), "gram", none("long", "n"), none("long", "own"), none("boolean", "first"), "lp"
+        )
+    )
+    sums = cut(rows.groupBy("part").cogroup(tables.groupBy("part")).applyInArrow(_score(depth, ends), _SUMS), "ctw-scores")
+    total = sums.agg(F.sum("words_n"), F.sum("words_v")).first()
+    n, v = (total[0] or 0) + ends, (total[1] or 0) + (ends > 0)
+    each = math.log10(n + ALPHA * (v + 1))
+    return sums.where("score is not null").select(
+        "id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"),
+        (F.col("logs") - F.col("n_tokens") * each).alias("base_score"), "score",
     )
-    out = rows.groupBy("part").cogroup(tables.groupBy("part")).applyInArrow(_score(depth, n, v, ends), _SCORES)
-    return out.withColumn("train_tokens", F.lit(n).cast("long"))
