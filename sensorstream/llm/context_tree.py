@@ -43,7 +43,7 @@ DEPTH = 5
 FOLDS = 10
 EDGE = 0xFF
 ALPHA = 0.1
-_CHUNK = 1 << 22  # bytes counted at a time
+_CHUNK = 1 << 20  # bytes counted at a time
 
 
 def ngrams(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -247,6 +247,9 @@ def _score(depth: int, ends: int):
         gram, lp = grams.column("gram").to_numpy(), grams.column("lp").to_numpy()
         order = np.argsort(gram)
         gram, lp = gram[order], lp[order]
+        own, first = int(words.column("own").to_numpy().sum()), words.column("first").to_numpy(zero_copy_only=False).astype(bool)
+        new = int((known.astype(bool) & first).sum())
+        del tables, words, grams, order, first  # the group's tables are no longer needed beside what was made of them
         n_tokens, n_known, base, score = [], [], [], []
         at, texts = 0, docs.column("text")
         while at < len(texts):
@@ -263,13 +266,12 @@ def _score(depth: int, ends: int):
             g, sizes = ngrams(part, depth)
             score.extend(np.add.reduceat(lp[np.searchsorted(gram, g)], np.cumsum(sizes) - sizes).tolist())
         nulls, m = [None], len(n_tokens)
-        first = words.column("first").to_numpy(zero_copy_only=False).astype(bool)
         return pa.table({
             "id": pa.array(docs.column("id").to_pylist() + nulls, pa.int64()), "held_out": pa.array(docs.column("held_out").to_pylist() + nulls, pa.bool_()),
             "n_tokens": pa.array(n_tokens + nulls, pa.int64()), "n_known": pa.array(n_known + nulls, pa.int64()),
             "logs": pa.array(base + nulls, pa.float64()), "score": pa.array(score + nulls, pa.float64()),
-            "words_n": pa.array([None] * m + [int(words.column("own").to_numpy().sum())], pa.int64()),
-            "words_v": pa.array([None] * m + [int((known.astype(bool) & first).sum())], pa.int64()),
+            "words_n": pa.array([None] * m + [own], pa.int64()),
+            "words_v": pa.array([None] * m + [new], pa.int64()),
         })
 
     return run

@@ -24,6 +24,8 @@ matter. An id must be below 2^32.
 
 from __future__ import annotations
 
+import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -39,7 +41,8 @@ from sensorstream.session import checkpoint_root
 
 from .common import cut, session, text_of
 
-MOST_WORDS = 400_000
+MOST_WORDS = 800_000
+_STOP = re.compile(r"(?<=[a-z])([,.])(?=[ \n])")
 SLICE_CHARS = 1 << 20
 BLOCK_IDS = 1 << 16
 #: Lengths of the four codes that a control byte describes, and their sum.
@@ -65,29 +68,50 @@ def unpack_codes(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out.view("<u4").reshape(-1)
 
 
+_MARK = "\x01"  # between words that are tokenised together; words that hold it are tokenised alone
+
+
 class _Words:
     """Ids of words, tokenised once each within bounds."""
 
     def __init__(self, path: str) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a worker per core already
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.mark = self._ids(_MARK)
         self.known: dict[str, bytes] = {}
 
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def _learn(self, new: list[str]) -> None:
+        """Tokenise words many at a time; a mark of one id that no other word ends in keeps them apart."""
+        plain = [w for w in new if _MARK not in w] if len(self.mark) == 1 else []
+        for at in range(0, len(plain), 1024):
+            part = plain[at : at + 1024]
+            ids = self._ids(f" {_MARK} ".join(part))
+            ends = np.append(np.flatnonzero(ids == self.mark[0]), len(ids)) if len(self.mark) == 1 else []
+            if len(ends) == len(part):
+                raw, start = ids.tobytes(), 0
+                for w, e in zip(part, ends.tolist(), strict=True):
+                    self.known[w] = raw[4 * start : 4 * e]
+                    start = e + 1
+        for w in new:
+            if w not in self.known:
+                self.known[w] = self._ids(w).tobytes()
+
     def encode(self, texts: list[str], end: int) -> list[bytes]:
         """Each text's ids and the end id, as little-endian 32-bit numbers."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        for attempt in range(2):
-            new = list({w for s in split for w in s}.difference(self.known))
-            if attempt == 0 and len(new) + len(self.known) > MOST_WORDS:
-                self.known.clear()
-                continue
-            for at in range(0, len(new), 4096):
-                part = new[at : at + 4096]
-                for w, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                    self.known[w] = np.array(e.ids, "<u4").tobytes()
-            break
+        # fewer different words: ASCII capitals as the normaliser has them, and a comma or full stop that ends a word apart
+        split = [_STOP.sub(r" \1", t.encode().lower().decode()).replace("\n", " ").split(" ") for t in texts]
+        needed = {w for s in split for w in s}
+        new = needed.difference(self.known)
+        if len(new) + len(self.known) > MOST_WORDS:
+            self.known.clear()
+            new = needed
+        self._learn(list(new))
         tail = np.array([end], "<u4").tobytes()
         return [b"".join(map(self.known.__getitem__, s)) + tail for s in split]
 
@@ -96,6 +120,8 @@ _WORDS: dict[str, _Words] = {}
 
 
 def _tokenise(path: str, end: int):
+    """Each text's ids, in the variable-length code already, so that what is written and shuffled is small."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _WORDS:
             _WORDS[path] = _Words(path)
@@ -107,21 +133,27 @@ def _tokenise(path: str, end: int):
                 chars += len(waiting[-1])
                 if chars > SLICE_CHARS or k == len(texts) - 1:
                     out = _WORDS[path].encode(waiting, end)
-                    yield pa.RecordBatch.from_arrays(
-                        [ids.slice(done, len(out)), pa.array([zlib.crc32(x) for x in out], pa.int64()), pa.array([len(x) // 4 for x in out], pa.int64()), pa.array(out, pa.binary())],
-                        names=["id", "crc", "n", "ids"],
-                    )
+                    packed = [pack_codes(np.frombuffer(x, "<u4")) for x in out]
+                    yield pa.RecordBatch.from_arrays([
+                        ids.slice(done, len(out)), pa.array([zlib.crc32(x) for x in out], pa.int64()), pa.array([len(x) // 4 for x in out], pa.int64()),
+                        pa.array([c for c, _ in packed], pa.binary()), pa.array([d for _, d in packed], pa.binary()),
+                    ], names=["id", "crc", "n", "control", "data"])
                     done, waiting, chars = k + 1, [], 0
 
     return run
 
 
+def _unpacked(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    for c, d, n in zip(batch.column("control"), batch.column("data"), batch.column("n").to_pylist(), strict=True):
+        yield unpack_codes(c.as_py(), d.as_py(), n)
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Occurrences of each id in the partition (as many rows as it has distinct ids)."""
     total = np.zeros(0, np.int64)
     for batch in batches:
-        for x in batch.column("ids"):
-            c = np.bincount(np.frombuffer(x.as_py(), "<u4"))
+        for x in _unpacked(batch):
+            c = np.bincount(x)
             if len(c) > len(total):
                 c[: len(total)] += total
                 total = c
@@ -156,9 +188,9 @@ def _write(rank_of: np.ndarray):
 
         waiting = 0
         for frame in batches:
-            for d, raw in zip(frame.column("id").to_pylist(), frame.column("ids"), strict=True):
+            for d, found in zip(frame.column("id").to_pylist(), _unpacked(frame), strict=True):
                 docs.append(d)
-                ids.append(np.frombuffer(raw.as_py(), "<u4"))
+                ids.append(found)
                 waiting += len(ids[-1])
                 if waiting >= BLOCK_IDS:
                     yield pa.RecordBatch.from_pandas(flush(), schema=_SCHEMA, preserve_index=False)
@@ -176,8 +208,8 @@ _BLOCKS = "part long, block long, before long, doc_ids array<long>, counts array
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end: int, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Write every text's ids and its end id under ``path`` (folders blocks and ranks)."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
-    ids = cut(rows.mapInArrow(_tokenise(tokenizer, end), "id long, crc long, n long, ids binary"), "tokens")
-    counts = ids.select("ids").mapInArrow(_count, "token long, times long").groupBy("token").agg(F.sum("times").alias("times"))
+    ids = cut(rows.mapInArrow(_tokenise(tokenizer, end), "id long, crc long, n long, control binary, data binary"), "tokens")
+    counts = ids.select("n", "control", "data").mapInArrow(_count, "token long, times long").groupBy("token").agg(F.sum("times").alias("times"))
     # a row per id of the vocabulary that occurs: bounded by the vocabulary, not by the corpus
     ranks = counts.select("token", (F.row_number().over(W.orderBy(F.desc("times"), "token")) - 1).alias("rank"))
     ranks.write.parquet(f"{path}/ranks")
@@ -185,7 +217,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end: int, id_col: s
     back = np.zeros(int(rank_of.max()) + 1 if len(rank_of) else 1, np.int64)
     back[rank_of] = np.arange(len(rank_of))
     ordered = ids.repartitionByRange("id", "crc").sortWithinPartitions("id", "crc")
-    ordered.select("id", "ids").mapInArrow(_write(back), _BLOCKS).write.parquet(f"{path}/blocks")
+    ordered.select("id", "n", "control", "data").mapInArrow(_write(back), _BLOCKS).write.parquet(f"{path}/blocks")
 
 
 def read_ranks(spark: SparkSession, path: str) -> np.ndarray:
