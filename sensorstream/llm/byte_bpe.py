@@ -118,7 +118,7 @@ class Codec:
         while True:
             self.db.execute(_LONG_STEP)
             self.db.execute("CREATE OR REPLACE TEMP TABLE long_rows AS SELECT * FROM long_next")
-            now = self.db.execute("SELECT count(*) FROM long_rows").fetchone()[0]
+            now = self.db.execute("SELECT count(*) FROM long_rows").fetchall()[0][0]
             if now == n:
                 return np.asarray(self.db.sql("SELECT tok FROM long_rows ORDER BY pos").to_arrow_table().column("tok"), np.int32)
             n = now
