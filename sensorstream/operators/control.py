@@ -317,7 +317,6 @@ def _replay(readings: pd.DataFrame, instate: pd.DataFrame) -> pd.DataFrame:
 
 
 MAX_LEVELS = 20  # a segment is split into at most 2^20 parts
-HOT_BROADCAST_LIMIT = 200_000  # hot-segment list entries broadcast at most
 
 
 def _segments(base: DataFrame, seg_us: int, max_rows: int | None) -> DataFrame:
@@ -325,8 +324,7 @@ def _segments(base: DataFrame, seg_us: int, max_rows: int | None) -> DataFrame:
 
     Segments are ``seg_us`` wide; one holding more than ``max_rows`` readings
     (a busy sensor) is cut into 2^L equal parts. The list of such hot segments
-    has at most rows / ``max_rows`` entries; it is broadcast only after its
-    size is checked, else joined normally.
+    has at most rows / ``max_rows`` entries and is joined as Spark sees fit.
     """
     base = base.withColumn("_hour", F.floor(F.col("_us") / F.lit(seg_us)).cast("long"))
     levels = "0"
@@ -335,10 +333,9 @@ def _segments(base: DataFrame, seg_us: int, max_rows: int | None) -> DataFrame:
         hot = (base.groupBy("sensor_id", "_hour").agg(F.count(F.lit(1)).alias("_n"))
                .filter(F.col("_n") > max_rows)
                .select("sensor_id", "_hour", levels_needed.alias("_levels")))
-        n_hot = hot.count()
-        if n_hot:
-            base = base.join(F.broadcast(hot) if n_hot <= HOT_BROADCAST_LIMIT else hot, ["sensor_id", "_hour"], "left")
-            levels = "coalesce(_levels, 0)"
+        # the join strategy is Spark's choice: nothing is counted while the plan is built
+        base = base.join(hot, ["sensor_id", "_hour"], "left")
+        levels = "coalesce(_levels, 0)"
     part = f"cast(floor(shiftleft(_us - _hour * {seg_us}L, {levels}) / {seg_us}L) as bigint)"
     seg = F.expr(f"_hour * {1 << MAX_LEVELS}L + shiftleft({part}, {MAX_LEVELS} - {levels})")
     return base.withColumn("_seg", seg).drop("_hour", "_levels")

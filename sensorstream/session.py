@@ -7,7 +7,6 @@ session and must name a shared ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -84,6 +83,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder name under the checkpoint root."""
     root = checkpoint_root(spark)
     path = f"{root}/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
+    # made on the path's own file system, which need not be the driver's disk
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
     return path

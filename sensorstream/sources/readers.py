@@ -57,13 +57,12 @@ def spread_small_input(df: DataFrame, max_parts: int = 256) -> DataFrame:
     group is a single task. A round-robin repartition then lets the cores
     share the parsing (at most ``max_parts`` partitions: a fixed-number
     repartition is not coalesced by AQE, and a tiny input on a large cluster
-    should not become thousands of empty tasks). An input with at least as
-    many splits as cores is returned unchanged (no shuffle).
+    should not become thousands of empty tasks). The number of partitions only
+    ever grows: an input with as many splits is returned unchanged (no shuffle).
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(min(cores, max_parts))
+    wanted = min(cores, max_parts)
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
 
 
 def history(spark: SparkSession, name_or_path: str, fmt: str = "parquet") -> DataFrame:

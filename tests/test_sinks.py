@@ -129,6 +129,7 @@ def test_spread_small_input(spark):
 
     many = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism * 2)
     assert spread_small_input(many) is many
+    assert spread_small_input(spark.range(0, 1000, numPartitions=3), max_parts=2).rdd.getNumPartitions() == 3  # never fewer
     one = spark.range(0, 1000, numPartitions=1)
     spread = spread_small_input(one)
     assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and spread.count() == 1000
