@@ -239,17 +239,21 @@ def _score(depth: int, ends: int):
     """Sums over each text's words and n-grams; and one row with null score for what the partition adds to N and V."""
 
     def run(key: tuple, docs: pa.Table, tables: pa.Table) -> pa.Table:
-        words = tables.filter(pc.is_valid(tables.column("word")))
+        is_word = pc.is_valid(tables.column("word"))
+        words = tables.filter(is_word)
         code = dict(zip(words.column("word").to_pylist(), range(words.num_rows), strict=True))
-        c = words.column("n").to_numpy()
+        c, own = words.column("number").to_numpy(), words.column("lp").to_numpy()
         logs, known = np.log10(c + ALPHA), (c > 0).astype(np.int64)
-        grams = tables.filter(pc.is_valid(tables.column("gram")))
-        gram, lp = grams.column("gram").to_numpy(), grams.column("lp").to_numpy()
+        new = int(((c > 0) & (own >= 0)).sum())
+        own = int(np.where(own < 0, -own - 1, own).sum())
+        grams = tables.select(["number", "lp"]).filter(pc.invert(is_word))
+        del tables, words, is_word  # the group's tables are no longer needed beside what is made of them
+        gram, lp = grams.column("number").to_numpy(), grams.column("lp").to_numpy()
+        del grams
         order = np.argsort(gram)
-        gram, lp = gram[order], lp[order]
-        own, first = int(words.column("own").to_numpy().sum()), words.column("first").to_numpy(zero_copy_only=False).astype(bool)
-        new = int((known.astype(bool) & first).sum())
-        del tables, words, grams, order, first  # the group's tables are no longer needed beside what was made of them
+        gram = gram[order]
+        lp = lp[order]
+        del order
         n_tokens, n_known, base, score = [], [], [], []
         at, texts = 0, docs.column("text")
         while at < len(texts):
@@ -294,11 +298,11 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth
     words = rows.mapInArrow(_words, "part int, word binary, n long").select(
         "part", "word", F.sum("n").over(word).alias("n"), F.col("n").alias("own"), (F.min("part").over(word) == F.col("part")).alias("first")
     )
-    none = lambda t, c: F.lit(None).cast(t).alias(c)
-    tables = words.select("part", "word", none("long", "gram"), "n", "own", "first", none("double", "lp")).unionByName(
-        listed.join(scores, F.col("gram") == F.col("g")).select(
-            F.explode("parts").alias("part"), none("binary", "word"), "gram", none("long", "n"), none("long", "own"), none("boolean", "first"), "lp"
-        )
+    # one narrow table for both: a word's row has its count as number, and as lp the partition's own
+    # occurrences k, or -k - 1 where an earlier partition already counts the word as distinct
+    own = F.when(F.col("first"), F.col("own")).otherwise(-F.col("own") - 1).cast("double")
+    tables = words.select("part", "word", F.col("n").alias("number"), own.alias("lp")).unionByName(
+        listed.join(scores, F.col("gram") == F.col("g")).select(F.explode("parts").alias("part"), F.lit(None).cast("binary").alias("word"), F.col("gram").alias("number"), "lp")
     )
     sums = cut(rows.groupBy("part").cogroup(tables.groupBy("part")).applyInArrow(_score(depth, ends), _SUMS), "ctw-scores")
     total = sums.agg(F.sum("words_n"), F.sum("words_v")).first()
