@@ -209,7 +209,7 @@ def gram_scores(grams: DataFrame, depth: int) -> DataFrame:
     whole subtrees. The number of cells follows the number of n-grams.
     """
     split = min(2, depth)
-    cells = max(1, grams.count() >> 18)
+    cells = max(1, grams.count() >> 16)
     cell = lambda ctx: F.pmod(F.xxhash64(ctx.bitwiseAND(F.lit((1 << 8 * split) - 1))), F.lit(cells)).alias("cell")
     dealt = grams.select(cell(F.shiftright("gram", 8)), "gram", "n")
     levels = [cut(dealt.groupBy("cell").applyInArrow(_upward(depth, split), _NODES), "ctw-level")]
@@ -254,6 +254,7 @@ def _score(depth: int, ends: int):
         gram = gram[order]
         lp = lp[order]
         del order
+        pa.default_memory_pool().release_unused()
         n_tokens, n_known, base, score = [], [], [], []
         at, texts = 0, docs.column("text")
         while at < len(texts):
