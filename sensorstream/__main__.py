@@ -3,7 +3,7 @@
     python -m sensorstream archive   --checkpoint DIR [--config FILE] [--source-format F --source PATH]
                                      [--sink-format F --sink TARGET] [--alerts PATH] [--messages PATH] [--once]
     python -m sensorstream dashboard --root DIR [--config FILE] [--source-format F --source PATH]
-                                     [--sink-format F --sink TARGET] [--once]
+                                     [--sink-format F --sink TARGET] [--once] [--max-per-trigger N]
     python -m sensorstream panels    --root DIR [--out DIR] [--as-of data]
 
 Kafka is the default source and sink (connection settings from the
@@ -15,8 +15,10 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
+from .session import CLUSTER_CONF
 from .sources.config import ARCHIVE_TOPIC, INPUT_TOPIC, PROPERTIES_FILE, kafka_options, read_config
 from .sources.readers import read_messages
 
@@ -36,7 +38,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--once", action="store_true", help="process what is available, then stop")
     p.add_argument("--out", help="panels job: output folder (default ROOT/panels)")
     p.add_argument("--as-of", choices=("now", "data"), default="now",
-                   help="panels job: end the 12 h horizon now, or at the latest session")
+                   help="panels job: end the 12 h horizon now, or at the latest known reading")
+    p.add_argument("--max-per-trigger", type=int, help="most Kafka offsets (or files) of one micro-batch")
     return p
 
 
@@ -48,14 +51,16 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
 
     args = _parser().parse_args(argv)
     own = spark is None
-    spark = spark or SparkSession.builder.appName(f"sensorstream-{args.job}").getOrCreate()
+    spark = spark or _session(f"sensorstream-{args.job}")
     if args.job == "panels":
         _write_panels(spark, args)
         return {}
     conf = read_config(args.config)
     kafka = args.source_format == "kafka"
-    messages = read_messages(spark, None if kafka else args.source, args.source_format,
-                             kafka_options(conf, INPUT_TOPIC) if kafka else None, stream=True)
+    source = kafka_options(conf, INPUT_TOPIC) if kafka else {}
+    if args.max_per_trigger:
+        source["maxOffsetsPerTrigger" if kafka else "maxFilesPerTrigger"] = str(args.max_per_trigger)
+    messages = read_messages(spark, None if kafka else args.source, args.source_format, source, stream=True)
     keep = ("partition", "offset") if kafka else ("event_id",)
     sink_opts = kafka_options(conf, None, None) if args.sink_format == "kafka" else None
     trigger = {"availableNow": True} if args.once else None
@@ -90,25 +95,28 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     return queries
 
 
-def _write_panels(spark: SparkSession, args) -> None:
-    """Batch refresh: panel and incident tables from the dashboard job's tables."""
-    from pyspark.sql import functions as F
+def _session(name: str) -> SparkSession:
+    """A session with the suggested cluster settings wherever spark-submit sets none."""
+    conf = SparkConf()
+    for k, v in CLUSTER_CONF.items():
+        conf.setIfMissing(k, str(v))
+    return SparkSession.builder.appName(name).config(conf=conf).getOrCreate()
+
 
-    from .operators import (incidents_in_horizon, known_sensors, panel_humidity, panel_insects, panel_motion,
-                            panel_temperature, panel_water)
-    from .streaming.jobs import read_latest_state
+def _write_panels(spark: SparkSession, args) -> None:
+    """Batch refresh of the panel and incident tables from the dashboard job's
+    tables. Incidents are counted over the history inside the horizon (its last
+    days' partitions), so open ones and late rows count too."""
+    from .operators import known_sensors, latest_time
+    from .plans import dashboard, write_dashboard
+    from .streaming.jobs import refresh_latest_state
 
     if not args.root:
         raise SystemExit("--root is required")
-    out = args.out or f"{args.root}/panels"
-    state = known_sensors(read_latest_state(spark, f"{args.root}/latest"))
-    sessions = spark.read.parquet(f"{args.root}/sessions")
-    as_of = sessions.select(F.max("last_time")).scalar() if args.as_of == "data" else None
-    tables = {"state": state, "temperature": panel_temperature(state), "humidity": panel_humidity(state),
-              "water": panel_water(state), "motion": panel_motion(state), "insects": panel_insects(state),
-              "incidents": incidents_in_horizon(sessions, as_of)}
-    for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{out}/{name}")
+    state = refresh_latest_state(spark, f"{args.root}/latest", f"{args.root}/latest-snapshots")
+    readings = spark.read.parquet(f"{args.root}/history")
+    as_of = latest_time(known_sensors(readings)) if args.as_of == "data" else None
+    write_dashboard(dashboard(readings, as_of, state=state), args.out or f"{args.root}/panels")
 
 
 if __name__ == "__main__":

@@ -19,8 +19,8 @@ and parallel over time: readings are cut into (sensor, segment) groups.
 
 * pass 1, per segment: the exit state for *every* possible incoming state. An
   incoming end time only matters through which of the segment's first
-  readings fall before it, so the possibilities are finite and small; runs
-  are stopped as soon as they join an already-known run.
+  readings fall before it, so the possibilities are finite; one backward pass
+  finds the exits of them all.
 * pass 2, per sensor: chain the segments' transfer tables in time order to get
   each segment's true incoming state (a few rows per segment, no readings).
 * pass 3, per segment: replay the readings from the known incoming state.
@@ -106,6 +106,13 @@ def step(ch: Channel, mode: int, end: int | None, x: float, t: int, before_end:
     return 0, None
 
 
+def _next_true(mask: np.ndarray) -> list[int]:
+    """Per position the next one (itself included) where ``mask`` holds, ``len(mask)`` if none."""
+    n = len(mask)
+    at = np.where(mask, np.arange(n), n)
+    return [*np.minimum.accumulate(at[::-1])[::-1].tolist(), n]
+
+
 def _transfer(ch: Channel, times, xs) -> list[tuple]:
     """Exit state of one segment for every incoming state of one channel.
 
@@ -113,77 +120,57 @@ def _transfer(ch: Channel, times, xs) -> list[tuple]:
     state with end ``e`` uses the row with ``lo < e <= hi`` (None = unbounded).
     ``out_pass`` means the incoming state (and its end) is still running.
 
-    Hypothesis k = "the first k readings are before the incoming end". All
-    hypotheses share the trajectory while the end is ahead, so that prefix is
-    run once; each hypothesis branches at its own reading k and continues
-    until it joins the idle run or an already finished run (memo). Cost is
-    about linear in the segment, not quadratic.
+    A running actuator changes only at its stop value, at another actuator's
+    start or at its end, so a state is known by (actuator, reading that started
+    it). One backward pass over the readings that can start an actuator finds
+    the exit of every such state from the exits after it: linear in the
+    segment, whatever the values.
     """
-    # plain Python values loop faster than numpy scalars
-    times = times.tolist() if hasattr(times, "tolist") else [int(t) for t in times]
-    xs = xs.tolist() if hasattr(xs, "tolist") else list(xs)
+    times, xs = np.asarray(times, np.int64), np.asarray(xs, np.float64)
     n = len(times)
-    idle = []
-    mode, end = 0, None
-    for i in range(n):
-        mode, end = step(ch, mode, end, xs[i], times[i])
-        idle.append((mode, end))
-    exit_idle = (mode, end)
-    memo: dict[tuple, tuple] = {}
-
-    def run_from(i: int, mode: int, end) -> tuple:
-        """Exit state given the known (not symbolic) state after reading i - 1."""
-        path = []
-        if i > 0:
-            if (mode, end) == idle[i - 1]:
-                return exit_idle
-            if (i - 1, mode, end) in memo:
-                return memo[(i - 1, mode, end)]
-            path.append((i - 1, mode, end))
-        result = None
-        for r in range(i, n):
-            mode, end = step(ch, mode, end, xs[r], times[r])
-            if (mode, end) == idle[r]:
-                result = exit_idle
-                break
-            if (r, mode, end) in memo:
-                result = memo[(r, mode, end)]
-                break
-            path.append((r, mode, end))
-        if result is None:
-            result = (mode, end)
-        for key in path:
-            memo[key] = result
-        return result
-
-    rows = [(0, None, None, exit_idle[0], exit_idle[1], False)]
+    starts = [op(xs, thr) for op, thr in ch.starts]
+    stops = [op(xs, thr) for op, thr in ch.stops]
+    any_start = np.logical_or.reduce(starts)
+    next_start = _next_true(any_start)
+    # readings that end actuator j's run before its time
+    next_event = [_next_true(np.logical_or.reduce([stops[j], *starts[:j], *starts[j + 1:]])) for j in range(len(starts))]
+    expiry = [np.searchsorted(times, times + d, "left").tolist() for d in ch.durations]
+    begins = [s.tolist() for s in starts]
+    t, x = times.tolist(), xs.tolist()
+    idle_exit: list = [None] * n + [(0, None)]  # idle before a starting reading (or after the last one)
+    run_exit: list[dict] = [{} for _ in starts]  # actuator started at a reading and still running after it
+
+    def after(r: int, mode: int) -> tuple:
+        """Exit given the mode after reading ``r``, which has just stopped or started it."""
+        return run_exit[mode - 1][r] if mode else idle_exit[next_start[r + 1]]
+
+    for s in np.flatnonzero(any_start)[::-1].tolist():
+        for j, begin in enumerate(begins):
+            if begin[s]:
+                end = t[s] + ch.durations[j]
+                r = min(next_event[j][s + 1], max(expiry[j][s], s + 1))
+                run_exit[j][s] = (j + 1, end) if r == n else after(r, step(ch, j + 1, end, x[r], t[r])[0])
+        idle_exit[s] = after(s, step(ch, 0, None, x[s], t[s])[0])
+
+    idle = idle_exit[next_start[0]]
+    rows = [(0, None, None, *idle, False)]
     for m in range(1, len(ch.names) + 1):
-        # shared prefix: the incoming end is still ahead for readings 0..i0
-        mode, end, i0, shared = m, INCOMING, None, None
-        for i in range(n):
-            mode, end = step(ch, mode, end, xs[i], times[i], True)
-            if end != INCOMING:
-                i0, shared = i, run_from(i + 1, mode, end)
-                break
-        if i0 is None:
-            shared = (m, INCOMING)  # runs through the whole segment
+        # shared prefix: the incoming end is still ahead for readings 0..first
+        first = next_event[m - 1][0]
+        shared = (m, INCOMING) if first == n else after(first, step(ch, m, INCOMING, x[first], t[first], True)[0])
         # an incoming end was set at a reading before the segment's first one,
         # so it lies before that first reading + duration
-        limit = times[0] + ch.durations[m - 1]
+        limit = t[0] + ch.durations[m - 1]
         prev = None
         for k in range(n + 1):
-            lo = times[k - 1] if k > 0 else None
-            hi = times[k] if k < n else None
+            # the first k readings are before the incoming end
+            lo = t[k - 1] if k > 0 else None
+            hi = t[k] if k < n else None
             if lo is not None and lo >= limit:
                 break
             if lo is not None and hi is not None and lo == hi:
                 continue
-            if k == n or (i0 is not None and k > i0):
-                result = shared
-            else:
-                # readings before k keep the incoming state; reading k is at or after its end
-                mode, end = step(ch, m, INCOMING, xs[k], times[k], False)
-                result = run_from(k + 1, mode, end)
+            result = shared if k == n or k > first else after(k, step(ch, m, INCOMING, x[k], t[k], False)[0])
             out = (result[0], None if result[1] == INCOMING else result[1], result[1] == INCOMING)
             if prev is not None and prev[3:] == out:
                 prev = (m, prev[1], hi, *out)
@@ -191,6 +178,9 @@ def _transfer(ch: Channel, times, xs) -> list[tuple]:
             else:
                 prev = (m, lo, hi, *out)
                 rows.append(prev)
+            if k > first:  # the rest is the shared run
+                rows[-1] = (m, prev[1], None, *out)
+                break
     return rows
 
 

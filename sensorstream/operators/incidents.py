@@ -43,7 +43,7 @@ def _with_cell(alerts: DataFrame, gap_us: int, keys: Sequence[str] = KEYS) -> Da
     return (
         alerts.filter(valid)
         .withColumn("_us", us)
-        .withColumn("_cell", ((F.col("_us") - F.pmod(F.col("_us"), F.lit(gap_us))) / F.lit(gap_us)).cast("long"))
+        .withColumn("_cell", F.expr(f"(_us - pmod(_us, {gap_us}L)) div {gap_us}L"))
     )
 
 
@@ -76,12 +76,10 @@ def cell_links(alerts: DataFrame, gap: str = INCIDENT_GAP, keys: Sequence[str] =
 def incident_counts(alerts: DataFrame, gap: str = INCIDENT_GAP, keys: Sequence[str] = KEYS,
                     by: str = "alert_type") -> DataFrame:
     """Distinct incidents per ``by`` column (``n_incidents``), largest first."""
-    # the result has one row per alert type: sort it in one partition after a
-    # tiny shuffle (no range-partition sampling job; the aggregate stays parallel)
     return (
         cell_links(alerts, gap, keys).filter("opens")
         .groupBy(by).agg(F.count(F.lit(1)).alias("n_incidents"))
-        .repartition(1).sortWithinPartitions(F.desc("n_incidents"), F.asc(by))
+        .orderBy(F.desc("n_incidents"), F.asc(by))
     )
 
 
@@ -155,10 +153,11 @@ def incident_starts(alerts: DataFrame, gap: str = INCIDENT_GAP, keys: Sequence[s
 
 
 def incidents_in_horizon(sessions: DataFrame, as_of: Column | None = None, horizon: str = ALERT_HORIZON) -> DataFrame:
-    """Incident counts over a horizon from whole-history sessions.
+    """Incident counts over a horizon from whole-history sessions, largest first.
 
     A session counts iff its last alert is inside the horizon: trimming the
     alerts first would leave a non-empty tail of exactly those sessions.
     """
     inside = recent_window(sessions.withColumn(EVENT_TIME, F.col("last_time")), as_of, horizon)
-    return inside.groupBy("alert_type").agg(F.count(F.lit(1)).alias("n_incidents"))
+    counts = inside.groupBy("alert_type").agg(F.count(F.lit(1)).alias("n_incidents"))
+    return counts.orderBy(F.desc("n_incidents"), F.asc("alert_type"))

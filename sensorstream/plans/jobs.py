@@ -79,6 +79,9 @@ def data_anchored_dashboard(readings: DataFrame, **kw) -> Dashboard:
 
 def write_dashboard(dash: Dashboard, root: str) -> None:
     """Write every panel and the incident tables under ``root`` (one parquet
-    table each, replaced on every refresh) for a BI tool to plot."""
-    for name in ("state", "temperature", "humidity", "water", "motion", "insects", "incidents", "total"):
+    table each, replaced on every refresh) for a BI tool to plot. State and
+    panels, a row per sensor, are sorted by sensor."""
+    for name in ("state", "temperature", "humidity", "water", "motion", "insects"):
+        getattr(dash, name).orderBy("sensor_id").write.mode("overwrite").parquet(f"{root}/{name}")
+    for name in ("alerts", "incidents", "total"):
         getattr(dash, name).write.mode("overwrite").parquet(f"{root}/{name}")

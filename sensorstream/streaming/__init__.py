@@ -2,13 +2,13 @@
 
 from .control import control_state_stream
 from .jobs import (archive_stream, compact_latest_state, incident_sessions_stream, incidents_in_horizon,
-                   latest_state_stream, read_latest_state, rows_dropped_by_watermark, start_archive_and_history,
+                   latest_state_stream, read_latest_state, refresh_latest_state, rows_dropped_by_watermark, start_archive_and_history,
                    start_dashboard_job, stop_all, with_event_ts)
 from .replay import append_closing, closing_stream, event_stream
 
 __all__ = [
     "control_state_stream", "compact_latest_state", "archive_stream", "incident_sessions_stream",
-    "incidents_in_horizon", "latest_state_stream", "read_latest_state", "rows_dropped_by_watermark",
+    "incidents_in_horizon", "latest_state_stream", "read_latest_state", "refresh_latest_state", "rows_dropped_by_watermark",
     "start_archive_and_history", "start_dashboard_job", "stop_all", "with_event_ts",
     "append_closing", "closing_stream", "event_stream",
 ]

@@ -6,9 +6,12 @@ an optional trigger; tests use ``{"availableNow": True}``.
 
 from __future__ import annotations
 
+import json
+import time
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -18,7 +21,7 @@ from ..operators.alerts import explode_alerts, first_alert
 from ..operators.incidents import incidents_in_horizon  # noqa: F401  (re-exported)
 from ..operators.state import known_sensors, latest_per_sensor
 from ..rules import INCIDENT_GAP, VALID_SENSORS
-from ..schema import EVENT_TIME
+from ..schema import EVENT_DATE, EVENT_TIME
 from ..sources.config import ARCHIVE_TOPIC
 from ..sources.sinks import write_archive, write_history
 
@@ -62,17 +65,27 @@ def latest_state_stream(readings: DataFrame, path: str, checkpoint: str, trigger
 
     The same aggregate as the batch :func:`latest_per_sensor` (state: one row
     per sensor, holding the parsed time). Each micro-batch writes only the
-    sensors that changed, to ``path/epoch=N`` (overwritten on replay, so
-    idempotent). Read with :func:`read_latest_state`.
+    sensors that changed, to ``path/run=ID/epoch=N`` (overwritten on replay, so
+    idempotent); ID is the checkpoint's own, so a new checkpoint on the same
+    log replaces nothing. Batches without changes write nothing. Read with
+    :func:`read_latest_state`.
     """
     known = known_sensors(readings, sensors).drop("timestamp", EVENT_TS)
     agg = latest_per_sensor(known, tie_col)
     # an empty epoch carries the schema, so the log is readable before the first batch
     spark = readings.sparkSession
-    spark.createDataFrame([], agg.schema).write.mode("overwrite").parquet(f"{path}/epoch=-1")
+    spark.createDataFrame([], agg.schema).write.mode("overwrite").parquet(f"{path}/run=none/epoch=-1")
+    run: list[str] = []
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/epoch={epoch_id}")
+        batch.persist()  # one row per changed sensor
+        try:
+            if not batch.isEmpty():
+                if not run:
+                    run.append(json.loads(batch.sparkSession.read.text(f"{checkpoint}/metadata").first()[0])["id"])
+                batch.write.mode("overwrite").parquet(f"{path}/run={run[0]}/epoch={epoch_id}")
+        finally:
+            batch.unpersist()
 
     w = agg.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(upsert)
     if trigger:
@@ -80,33 +93,66 @@ def latest_state_stream(readings: DataFrame, path: str, checkpoint: str, trigger
     return w.start()
 
 
-def read_latest_state(spark: SparkSession, path: str, snapshot: str | None = None) -> DataFrame:
-    """Current state from the change log: per sensor, the row of the last epoch
-    (fixed-width columns, so a hash aggregate).
+def _change_log(spark: SparkSession, path: str, snapshot: str | DataFrame | None) -> DataFrame:
+    """The change log, or a snapshot and the epochs after those it holds.
+
+    The snapshot's last epoch of each run is read on the driver (a row per
+    checkpoint ever used), so that the filter prunes folders."""
+    log = spark.read.parquet(path)
+    if snapshot is None:
+        return log
+    snap = spark.read.parquet(snapshot) if isinstance(snapshot, str) else snapshot
+    newer = F.lit(True)
+    for run, epoch in snap.groupBy("run").agg(F.max("epoch")).collect():
+        newer = newer & ((F.col("run") != run) | (F.col("epoch") > epoch))
+    return snap.unionByName(log.filter(newer).select(*snap.columns))
+
+
+def _newest(log: DataFrame, tie_col: str | Sequence[str] | None) -> DataFrame:
+    """Per sensor the log's row of the latest reading, whichever run or epoch wrote it."""
+    if tie_col is None:
+        tie_col = ("partition", "offset") if "offset" in log.columns else "event_id"
+    return latest_per_sensor(log, tie_col)
+
+
+def read_latest_state(spark: SparkSession, path: str, snapshot: str | None = None,
+                      tie_col: str | Sequence[str] | None = None) -> DataFrame:
+    """Current state from the change log: per sensor, its latest reading by
+    event time, then ids (``tie_col``; default: the log's partition and offset,
+    else event_id).
 
     With ``snapshot`` (written by :func:`compact_latest_state`) only the
     epochs after the snapshot's are read from the log.
     """
-    log = spark.read.parquet(path)
-    if snapshot:
-        snap = spark.read.parquet(snapshot)
-        newer = log.filter(F.col("epoch") > snap.select(F.max("epoch")).scalar())
-        log = snap.unionByName(newer.select(*snap.columns))
-    cols = [c for c in log.columns if c not in ("sensor_id", "epoch")]
-    return log.groupBy("sensor_id").agg(*[F.max_by(c, "epoch").alias(c) for c in cols])
+    return _newest(_change_log(spark, path, snapshot), tie_col).drop("run", "epoch")
 
 
-def compact_latest_state(spark: SparkSession, path: str, snapshot: str, previous: str | None = None) -> None:
-    """Write the current state (one row per sensor, with the epoch it came
-    from) to ``snapshot``. Later reads pass ``snapshot=`` and skip older epoch
+def compact_latest_state(spark: SparkSession, path: str, snapshot: str, previous: str | None = None,
+                         tie_col: str | Sequence[str] | None = None) -> None:
+    """Write the current state (one row per sensor, with the run and epoch it
+    came from) to ``snapshot``. Later reads pass ``snapshot=`` and skip older epoch
     folders, which a retention policy can then expire."""
-    log = spark.read.parquet(path)
-    if previous:
-        prev = spark.read.parquet(previous)
-        log = prev.unionByName(log.filter(F.col("epoch") > prev.select(F.max("epoch")).scalar()).select(*prev.columns))
-    cols = [c for c in log.columns if c not in ("sensor_id", "epoch")]
-    state = log.groupBy("sensor_id").agg(*[F.max_by(c, "epoch").alias(c) for c in cols], F.max("epoch").alias("epoch"))
-    state.write.mode("overwrite").parquet(snapshot)
+    if previous is not None and previous.rstrip("/") == snapshot.rstrip("/"):
+        raise ValueError("a snapshot cannot replace the one it is made from: write it to a new folder")
+    _newest(_change_log(spark, path, previous), tie_col).write.mode("overwrite").parquet(snapshot)
+
+
+def refresh_latest_state(spark: SparkSession, path: str, snapshots: str,
+                         tie_col: str | Sequence[str] | None = None) -> DataFrame:
+    """Current state, compacted on the way: a new snapshot is written under
+    ``snapshots`` from the newest one there and the epochs after it, so each
+    refresh reads only what changed since the last. Returns the snapshot."""
+    previous = None
+    try:
+        known = spark.read.parquet(snapshots)
+        last = known.agg(F.max("at")).first()[0]
+        previous = known.filter(F.col("at") == last).drop("at") if last is not None else None
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    target = f"{snapshots}/at={time.time_ns()}"
+    _newest(_change_log(spark, path, previous), tie_col).write.parquet(target)
+    return spark.read.parquet(target).drop("run", "epoch")
 
 
 def incident_sessions_stream(readings: DataFrame, gap: str = INCIDENT_GAP, sensors=VALID_SENSORS) -> DataFrame:
@@ -128,15 +174,19 @@ def incident_sessions_stream(readings: DataFrame, gap: str = INCIDENT_GAP, senso
 def start_archive_and_history(messages: DataFrame, history_target: str, checkpoint_root: str,
                               archive_fmt: str = "kafka", archive_target: str = ARCHIVE_TOPIC,
                               archive_options: dict | None = None, history_fmt: str = "parquet",
-                              trigger: dict | None = None, keep: Sequence[str] = ("event_id",)) -> list[StreamingQuery]:
+                              trigger: dict | None = None, keep: Sequence[str] = ("event_id",),
+                              history_partition: tuple[str, ...] = (EVENT_DATE,)) -> list[StreamingQuery]:
     """Two queries on one parsed stream: raw history and labelled archive.
 
     Each query has its own checkpoint under ``checkpoint_root`` and reads the
-    source on its own. Returns both handles; stop them with :func:`stop_all`.
+    source on its own. History files are partitioned by ``history_partition``
+    (none for the memory sink). Returns both handles; stop them with
+    :func:`stop_all`.
     """
     readings = parse_readings(messages, keep=keep)
     hist = write_history(readings, history_target, history_fmt,
-                         checkpoint=f"{checkpoint_root}/history", trigger=trigger)
+                         checkpoint=f"{checkpoint_root}/history", trigger=trigger,
+                         partition_by=() if history_fmt == "memory" else history_partition)
     enriched = with_message_key(first_alert(readings), keep) if keep else first_alert(readings)
     arch = write_archive(enriched, archive_fmt, archive_target, archive_options,
                          f"{checkpoint_root}/archive", trigger, MESSAGE_KEY if keep else None)
@@ -167,11 +217,12 @@ def start_dashboard_job(messages: DataFrame, root: str, archive_fmt: str = "kafk
                         keep: Sequence[str] = ("event_id",), sensors=VALID_SENSORS) -> dict[str, StreamingQuery]:
     """The dashboard job as streaming queries on one message stream.
 
-    ``history`` (raw readings, parquet), ``archive`` (labelled JSON),
-    ``latest`` (state per sensor, change log) and ``sessions`` (incidents,
-    append after the watermark), each with its own checkpoint under ``root``.
-    Panels and horizon counts are batch reads of these tables
-    (:func:`read_latest_state`, :func:`incidents_in_horizon`).
+    ``history`` (raw readings, parquet by day), ``archive`` (labelled JSON),
+    ``latest`` (state per sensor, change log) and ``sessions`` (closed
+    incidents by day of their last alert, append after the watermark), each
+    with its own checkpoint under ``root``. Panels are batch reads of
+    ``latest`` and of the history inside the horizon, which also holds late
+    rows and incidents still open; ``sessions`` is the record of closed ones.
     ``keep`` must name columns that identify a message (the tie-breaker for
     equal times): ``("partition", "offset")`` for Kafka.
     """
@@ -184,7 +235,7 @@ def start_dashboard_job(messages: DataFrame, root: str, archive_fmt: str = "kafk
     queries["latest"] = latest_state_stream(readings, f"{root}/latest", f"{root}/checkpoints/latest", trigger,
                                             keep[0] if len(keep) == 1 else tuple(keep), sensors)
     sessions = incident_sessions_stream(with_event_ts(readings, delay), gap, sensors)
-    w = (sessions.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoints/sessions")
+    w = (sessions.withColumn(EVENT_DATE, F.to_date("last_time")).writeStream.format("parquet").partitionBy(EVENT_DATE).option("checkpointLocation", f"{root}/checkpoints/sessions")
          .outputMode("append"))
     if trigger:
         w = w.trigger(**trigger)

@@ -193,3 +193,14 @@ def test_two_column_tie_keeps_rows_from_other_partitions(spark):
     got = sorted((r["event_time"], r["event_id"], r["cooling"]) for r in spark.read.parquet(out).collect())
     want = sorted((r["event_time"], r["event_id"], r["cooling"]) for r in batch.collect())
     assert len(got) == 3 and got == want
+
+
+def test_transfer_is_linear_on_a_sensor_stuck_in_alarm():
+    import time
+
+    from sensorstream.operators.control import CHANNELS, _transfer
+
+    n = 40_000
+    t0 = time.perf_counter()
+    rows = _transfer(CHANNELS[0], list(range(0, 1000 * n, 1000)), [41.0] * n)  # 1 kHz for 40 seconds
+    assert time.perf_counter() - t0 < 5 and len(rows) <= n + 3

@@ -202,6 +202,36 @@ def test_command_line_dashboard_job(spark):
     assert set(qs) == {"history", "archive", "latest", "sessions"}
     assert read_latest_state(spark, f"{root}/latest").count() == 5
     assert spark.read.parquet(f"{root}/sessions").count() > 0
-    main(["panels", "--root", root, "--as-of", "data"], spark)
+    for _ in range(2):  # the second refresh starts from the first one's snapshot
+        main(["panels", "--root", root, "--as-of", "data"], spark)
     assert spark.read.parquet(f"{root}/panels/temperature").count() == 4
-    assert spark.read.parquet(f"{root}/panels/incidents").count() > 0
+    state = [r[0] for r in spark.read.parquet(f"{root}/panels/state").select("sensor_id").collect()]
+    assert len(state) == 5 and state == sorted(state)
+
+
+def test_panels_count_open_incidents(spark):
+    """No closing message: the last incidents are still open, and counted."""
+    from sensorstream.__main__ import main
+    from sensorstream.operators import known_sensors
+    from sensorstream.plans import data_anchored_dashboard
+
+    src = scratch_path(spark, "open-src")
+    raw_messages(_events(spark)).coalesce(1).write.mode("append").parquet(src)
+    root = scratch_path(spark, "open-dash")
+    qs = main(["dashboard", "--config", "/nonexistent.properties", "--source-format", "parquet", "--source", src,
+               "--sink-format", "parquet", "--sink", f"{root}/archive", "--root", root, "--once"], spark)
+    try:
+        for q in qs.values():
+            q.awaitTermination()
+    finally:
+        stop_all(qs.values())
+    main(["panels", "--root", root, "--as-of", "data"], spark)
+    want = data_anchored_dashboard(parse_readings(spark.read.parquet(src), keep=("event_id",)))
+    got = [tuple(r) for r in spark.read.parquet(f"{root}/panels/incidents").collect()]
+    assert sorted(got) == sorted(tuple(r) for r in want.incidents.collect()) and len(got) > 0
+    assert spark.read.parquet(f"{root}/panels/total").first()[0] == want.total.first()[0] == sum(n for _, n in got)
+    assert spark.read.parquet(f"{root}/panels/alerts").count() == want.alerts.count()
+    day = spark.read.parquet(f"{root}/history").filter(F.col("event_date") == F.lit("2024-01-01").cast("date"))
+    assert "PartitionFilters: [isnotnull(event_date" in day._jdf.queryExecution().toString()
+    assert "event_date" in spark.read.parquet(f"{root}/sessions").columns
+    assert known_sensors(day).count() > 0

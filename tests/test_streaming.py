@@ -278,3 +278,32 @@ def test_chained_compaction_with_new_epochs(spark):
     via1 = sorted(tuple(r) for r in read_latest_state(spark, path, snapshot=snap1).select(*cols).collect())
     via2 = sorted(tuple(r) for r in read_latest_state(spark, path, snapshot=snap2).select(*cols).collect())
     assert full == via1 == via2 and max(r[0] for r in spark.read.parquet(snap2).select("epoch").collect()) >= 1
+
+
+def test_latest_state_log_orders_by_event_time(spark):
+    """A new checkpoint on an old log: the newest reading wins, and no folder of the old run is replaced."""
+    import json
+
+    from sensorstream.streaming import compact_latest_state, refresh_latest_state
+
+    path = scratch_path(spark, "latest-runs")
+
+    def feed(name: str, rows: list[tuple]) -> None:
+        src = scratch_path(spark, name)
+        msgs = [(i, json.dumps({"sensor_id": s, "timestamp": t, "temperature": v})) for i, s, t, v in rows]
+        spark.createDataFrame(msgs, MESSAGE_SCHEMA).coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(MESSAGE_SCHEMA).parquet(src)
+        latest_state_stream(parse_readings(stream, keep=("event_id",)), path, scratch_path(spark, f"{name}-ck"),
+                            {"availableNow": True}).awaitTermination()
+
+    feed("run-a", [(1, "sensor_1", "2024-01-02T00:00:00", 20.0), (2, "sensor_2", "2024-01-01T00:00:00", 21.0)])
+    feed("run-b", [(3, "sensor_1", "2024-01-01T00:00:00", 22.0)])
+    want = {"sensor_1": 1, "sensor_2": 2}
+    assert {r["sensor_id"]: r["event_id"] for r in read_latest_state(spark, path).collect()} == want
+    snaps = scratch_path(spark, "snaps") + "/s"
+    assert {r["sensor_id"]: r["event_id"] for r in refresh_latest_state(spark, path, snaps).collect()} == want
+    feed("run-c", [(4, "sensor_2", "2024-01-03T00:00:00", 23.0)])
+    want["sensor_2"] = 4
+    assert {r["sensor_id"]: r["event_id"] for r in refresh_latest_state(spark, path, snaps).collect()} == want
+    with pytest.raises(ValueError):
+        compact_latest_state(spark, path, snaps, previous=snaps)
