@@ -42,7 +42,18 @@ SENTENCES = {
     "bsd-endorse": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
     "cc-by-notice": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "mpl2-notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "all-rights-reserved": "All rights reserved.",
 }
+# The Creative Commons 4.0 licenses that add to CC BY, by code and by name.
+_CC = {
+    "BY-SA": "Attribution-ShareAlike",
+    "BY-ND": "Attribution-NoDerivatives",
+    "BY-NC": "Attribution-NonCommercial",
+    "BY-NC-SA": "Attribution-NonCommercial-ShareAlike",
+    "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives",
+}
+SENTENCES |= {f"cc-{c.lower()}-notice": f"This work is licensed under a Creative Commons {name} 4.0 International License." for c, name in _CC.items()}
+SENTENCES |= {f"cc-{c.lower()}-short": f"Licensed under CC {c} 4.0." for c in ("BY", *_CC)}
 # Rules, as (license, identifiers in order).
 RULES = [
     ("Apache-2.0", ["apache-notice"]),
@@ -56,6 +67,9 @@ RULES = [
     ("BSD-3-Clause", ["bsd-redistribution", "bsd-endorse"]),
     ("CC-BY-4.0", ["cc-by-notice"]),
     ("MPL-2.0", ["mpl2-notice"]),
+    ("All-Rights-Reserved", ["all-rights-reserved"]),
+    ("CC-BY-4.0", ["cc-by-short"]),
+    *((f"CC-{c}-4.0", [f"cc-{c.lower()}-{form}"]) for c in _CC for form in ("notice", "short")),
 ]
 
 

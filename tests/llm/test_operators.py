@@ -148,6 +148,24 @@ def test_license_scan(docs, no_docs):
     assert license_scan.scan(no_docs).count() == 0
 
 
+def test_license_scan_knows_the_planted_lines(spark):
+    """The license lines of the test tables, and the other Creative Commons variants in both forms."""
+    lines = {
+        "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
+        "Released under the MIT License.": "MIT",
+        "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0-only",
+        "All rights reserved.": "All-Rights-Reserved",
+        "Licensed under CC BY 4.0.": "CC-BY-4.0",
+        "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+        "Licensed under CC BY-NC-ND 4.0.": "CC-BY-NC-ND-4.0",
+        "This work is licensed under a Creative Commons Attribution 4.0 International License.": "CC-BY-4.0",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": "CC-BY-SA-4.0",
+    }
+    rows = [(k, f"some words\n{line}\nmore words") for k, line in enumerate(lines)]
+    got = license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["id"]: (r["licenses"], [tuple(s) for s in r["spans"]]) for r in got} == {k: ([x], [(1, 1, x)]) for k, x in enumerate(lines.values())}
+
+
 def test_byte_bpe(docs, no_docs):
     import public_tokenizers
     import tiktoken
