@@ -2,9 +2,11 @@
 
 A text is cut into sentences (at line ends and after a full stop, question or
 exclamation mark before white space); sentences are normalised to lower-case
-ASCII letters and digits with single blanks between them. Known license
-sentences carry identifiers; a rule is a license and the ordered identifiers
-that state it. A rule matches where its identifiers follow each other among
+ASCII letters and digits with single blanks between them. A known sentence is
+found where its normal form is that of one sentence or of several that follow
+each other, blank ones aside: lines wrapped anywhere, comment marks and full
+stops inside it do not matter. Known license sentences carry identifiers; a
+rule is a license and the ordered identifiers that state it. A rule matches where its identifiers follow each other among
 the text's recognised sentences with nothing known between them; longer rules
 win over rules whose match lies inside theirs.
 
@@ -15,12 +17,15 @@ text's matches are found inside the rows of that text.
 
 Defined results: a text (or null, or empty) without a known sentence gives no
 row; repeated sentences match each time and the spans list every match in
-order; equal rows are reported each; a null id is reported as null; an empty
+order; a known sentence inside a longer known one is part of that one; equal
+rows are reported each; a null id is reported as null; an empty
 table gives an empty result; extra columns do not matter.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -73,24 +78,20 @@ RULES = [
 ]
 
 
-def sentences(text: Column) -> Column:
-    """The text's sentences, in order (array)."""
-    return F.split(text, r"\n|(?<=[.!?])[ \t\r]+")
-
+#: Ends of sentences: a line feed, or white space after a full stop, question or exclamation mark.
+ENDS = r"\n|(?<=[.!?])[ \t\r]+"
 
-def normalised(sentence: Column) -> Column:
-    return F.btrim(F.regexp_replace(F.translate(sentence, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), "[^a-z0-9]+", " "))
 
+def sentences(text: Column) -> Column:
+    """The text's sentences, normalised, in order (array)."""
+    lines = F.translate(F.regexp_replace(text, ENDS, "\n"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return F.split(F.regexp_replace(F.regexp_replace(lines, r"[^a-z0-9\n]+", " "), "(?m)^ | $", ""), "\n")
 
-def _normal_forms(table: dict[str, str]) -> dict[str, list[str]]:
-    """Normalised sentences of each identifier's text (a listed sentence may itself hold several)."""
-    import re
 
-    out = {}
-    for name, text in table.items():
-        parts = re.split(r"\n|(?<=[.!?])[ \t\r]+", text)
-        out[name] = [re.sub("[^a-z0-9]+", " ", p.lower()).strip() for p in parts]
-    return out
+def _normal_form(text: str) -> str:
+    """The normalised sentences of a listed text, one after the other."""
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+    return re.sub("[^a-z0-9]+", " ", low).strip()
 
 
 def scan(
@@ -100,24 +101,46 @@ def scan(
     """One row per text with a match: id, licenses (sorted, distinct), spans (license, first and last sentence number)."""
     spark = session(docs)
     table, rules = SENTENCES if table is None else table, RULES if rules is None else rules
-    forms = _normal_forms(table)
-    known = spark.createDataFrame([(s[0], name) for name, s in forms.items() if len(s) == 1], "norm string, sid string")
-    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("id"), F.posexplode(sentences(text_of(text_col))).alias("at", "sentence"))
-    found = rows.select("rid", "id", "at", normalised(F.col("sentence")).alias("n")).join(F.broadcast(known), F.col("n") == F.col("norm"))
-    # identifiers in order, with their number among the text's recognised sentences
-    order = W.partitionBy("rid").orderBy("at")
-    longest = max(len(r[1]) for r in rules)
+    forms = {name: form for name, text in table.items() if (form := _normal_form(text))}
+    # a known sentence is told by its normal form, so entries of one form are one sentence; rules of one sequence are one rule
+    sequences: dict[tuple[str, ...], set[str]] = {}
+    for license_, ids in rules:
+        if all(i in forms for i in ids):
+            sequences.setdefault(tuple(forms[i] for i in ids), set()).add(license_)
+    most = max((form.count(" ") + 1 for form in forms.values()), default=1)  # a sentence has a word at least
+    known = spark.createDataFrame([(form.split(" ")[0], form) for form in sorted(set(forms.values()))], "first string, norm string")
+    numbered = F.transform(sentences(text_of(text_col)), lambda n, at: F.struct(at.alias("at"), n.alias("n")))
+    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("id"), F.filter(numbered, lambda s: s["n"] != "").alias("all"))
+    rows = rows.select("rid", "id", "all", F.posexplode("all").alias("pos", "s"))
+    starts = (F.substring_index("s.n", " ", 1) == F.col("first")) & F.startswith(F.concat("norm", F.lit(" ")), F.concat("s.n", F.lit(" ")))
+    rows = rows.join(F.broadcast(known), starts)
+    # a known sentence may go on over the next ones (wrapped lines, a full stop inside it): as many as have its words in all
+    rows = rows.select("rid", "id", "pos", "norm", F.slice("all", F.col("pos") + 1, most).alias("next"))
+    rows = rows.where(F.startswith(F.array_join(F.col("next")["n"], " "), "norm"))
+    whole = F.filter(F.sequence(F.lit(1), F.size("next")), lambda m: F.array_join(F.slice(F.col("next")["n"], F.lit(1), m), " ") == F.col("norm"))
+    rows = rows.select("rid", "id", "pos", "norm", "next", F.get(whole, F.lit(0)).alias("m"))
+    rows = rows.where("m is not null").select("rid", "id", "pos", "m", F.col("norm").alias("sid"), F.col("next")[0]["at"].alias("at"), F.get("next", F.col("m") - 1)["at"].alias("end"))
+    # a known sentence inside a longer one is part of that one
+    found = _not_inside(rows, "pos")
+    # sentences in order, with their number among the text's recognised ones
+    order = W.partitionBy("rid").orderBy("pos")
+    longest = max((len(ids) for ids in sequences), default=1)
     ahead = F.array(*(F.lead("sid", k).over(order) for k in range(longest)))
-    last = F.array(*(F.lead("at", k).over(order) for k in range(longest)))
+    last = F.array(*(F.lead("end", k).over(order) for k in range(longest)))
     here = found.select("rid", "id", "at", F.row_number().over(order).alias("k"), ahead.alias("ahead"), last.alias("ends"))
-    ruled = spark.createDataFrame([(n, lic, ids, len(ids), ids[0]) for n, (lic, ids) in enumerate(rules)], "rule int, license string, ids array<string>, m int, head string")
+    ruled = spark.createDataFrame([(sorted(names), list(ids), len(ids), ids[0]) for ids, names in sequences.items()], "names array<string>, ids array<string>, m int, head string")
     hits = here.join(F.broadcast(ruled), F.col("ahead")[0] == F.col("head")).where(F.slice("ahead", 1, F.col("m")) == F.col("ids"))
-    hits = hits.select("rid", "id", "at", "k", "license", "m", F.element_at("ends", F.col("m")).alias("end"))
+    hits = hits.select("rid", "id", "at", "k", "names", "m", F.element_at("ends", F.col("m")).alias("end"))
     # a match inside a longer one that starts at or before it is dropped
-    reach = W.partitionBy("rid").orderBy("k", F.desc("m")).rowsBetween(W.unboundedPreceding, -1)
-    hits = hits.withColumn("covered", F.coalesce(F.max(F.col("k") + F.col("m")).over(reach) >= F.col("k") + F.col("m"), F.lit(False)))
-    return hits.where("not covered").groupBy("rid").agg(
+    return _not_inside(hits, "k").select("rid", "id", "at", "end", F.explode("names").alias("license")).groupBy("rid").agg(
         F.first("id").alias("id"),
         F.array_sort(F.collect_set("license")).alias("licenses"),
         F.array_sort(F.collect_list(F.struct("at", "end", "license"))).alias("spans"),
     ).drop("rid")
+
+
+def _not_inside(rows: DataFrame, start: str) -> DataFrame:
+    """Rows (``m`` long from ``start``) that do not lie inside another row of their text."""
+    reach = W.partitionBy("rid").orderBy(start, F.desc("m")).rowsBetween(W.unboundedPreceding, -1)
+    end = F.col(start) + F.col("m")
+    return rows.withColumn("covered", F.coalesce(F.max(end).over(reach) >= end, F.lit(False))).where("not covered").drop("covered")

@@ -166,6 +166,30 @@ def test_license_scan_knows_the_planted_lines(spark):
     assert {r["id"]: (r["licenses"], [tuple(s) for s in r["spans"]]) for r in got} == {k: ([x], [(1, 1, x)]) for k, x in enumerate(lines.values())}
 
 
+def test_license_scan_finds_every_entry_and_rule(spark):
+    """Each listed sentence by its own text, also those with a full stop inside, and each rule by its sentences."""
+    names = list(license_scan.SENTENCES)
+    rows = [(k, "x y.\n" + license_scan.SENTENCES[n]) for k, n in enumerate(names)]
+    one = spark.createDataFrame(rows, "doc_id long, text string")
+    got = license_scan.scan(one, rules=[(n, [n]) for n in names]).collect()
+    assert {(r["id"], *r["licenses"]) for r in got} == set(enumerate(names)) and len(got) == len(names)
+    assert {r["licenses"][0]: (r["spans"][0]["at"], r["spans"][0]["end"]) for r in got}["mpl2-notice"] == (1, 2)
+    rows = [(k, "\n".join(license_scan.SENTENCES[i] for i in ids)) for k, (_, ids) in enumerate(license_scan.RULES)]
+    got = license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["id"]: r["licenses"] for r in got} == {k: [name] for k, (name, _) in enumerate(license_scan.RULES)}
+
+
+def test_license_scan_with_an_own_table(spark):
+    """Entries of several sentences, entries of one normal form, and a sentence inside a longer one."""
+    table = {"a": "One two. Three!", "b": "Four.", "c": "FOUR", "d": "Four. Five.", "none": "..."}
+    rules = [("A", ["a"]), ("AB", ["a", "b"]), ("B", ["b"]), ("C", ["c"]), ("D", ["d"]), ("N", ["none"])]
+    texts = ["One two. Three!", "One two.\nThree!\nother\nfour.", "four", "Four. Five. Four.", "One two.", "...", "Three! One two."]
+    got = license_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), table=table, rules=rules).collect()
+    assert {r["id"]: [tuple(s) for s in r["spans"]] for r in got} == {
+        0: [(0, 1, "A")], 1: [(0, 3, "AB")], 2: [(0, 0, "B"), (0, 0, "C")], 3: [(0, 1, "D"), (2, 2, "B"), (2, 2, "C")],
+    }
+
+
 def test_byte_bpe(docs, no_docs):
     import public_tokenizers
     import tiktoken
