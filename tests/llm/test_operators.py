@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -179,6 +180,67 @@ def test_license_scan_finds_every_entry_and_rule(spark):
     assert {r["id"]: r["licenses"] for r in got} == {k: [name] for k, (name, _) in enumerate(license_scan.RULES)}
 
 
+MIT_BODY = """/*
+ * Copyright (c) 2020 Some Body
+ *
+ * Permission is hereby granted, free of charge, to any person obtaining a copy
+ * of this software and associated documentation files (the "Software"), to deal
+ * in the Software without restriction, including without limitation the rights
+ * to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+ * copies of the Software, and to permit persons to whom the Software is
+ * furnished to do so, subject to the following conditions:
+ *
+ * The above copyright notice and this permission notice shall be included in all
+ * copies or substantial portions of the Software.
+ */
+code"""
+BSD_BODY = """# Redistribution and use in source and binary forms, with or without
+# modification, are permitted provided that the following conditions are met:
+#
+# 1. Some condition.
+# 2. Neither the name of the copyright holder nor the names of its
+#    contributors may be used to endorse or promote products derived from
+#    this software without specific prior written permission."""
+
+
+def test_license_scan_of_wrapped_bodies(spark):
+    """License bodies over several lines, with comment marks, blank lines and carriage returns."""
+    texts = [MIT_BODY, BSD_BODY, MIT_BODY.replace("\n", "\r\n"), "\n".join(BSD_BODY.split()), MIT_BODY.replace("charge,", "charge, or")]
+    got = license_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    found = {r["id"]: [tuple(s) for s in r["spans"]] for r in got}
+    assert sorted(found) == [0, 1, 2, 3]
+    assert found[0] == found[2] == [(3, 11, "MIT")]
+    assert {k: r["licenses"] for k, r in ((r["id"], r) for r in got)}[3] == ["BSD-3-Clause"]
+    assert [s[2] for s in found[1]] == ["BSD-3-Clause"] and found[1][0][0] == 0
+
+
+def _scan_by_hand(text):
+    """Licenses and spans of a text, by trying every run of sentences."""
+    parts = [re.sub("[^a-z0-9]+", " ", p.lower()).strip() for p in re.split(r"\n|(?<=[.!?])[ \t\r]+", text)]
+    full = [(k, p) for k, p in enumerate(parts) if p]
+    form = {re.sub("[^a-z0-9]+", " ", t.lower()).strip(): n for n, t in license_scan.SENTENCES.items()}
+    runs = [(i, j, form[" ".join(p for _, p in full[i:j])]) for i in range(len(full)) for j in range(i + 1, min(len(full), i + 30) + 1) if " ".join(p for _, p in full[i:j]) in form]
+    hits = [(k, k + len(ids), name) for k in range(len(runs)) for name, ids in license_scan.RULES if [n for _, _, n in runs[k : k + len(ids)]] == ids]
+    hits = [h for h in hits if not any(o[0] <= h[0] and h[1] <= o[1] and o[:2] != h[:2] for o in hits)]
+    return sorted((full[runs[a][0]][0], full[runs[b - 1][1] - 1][0], name) for a, b, name in hits)
+
+
+def test_license_scan_by_hand(spark):
+    """Texts of all sentences in any order, wrapped or not, against a plain search over every rule."""
+    rng = random.Random(11)
+    lines = [*license_scan.SENTENCES.values()]
+    starts = ["\n".join(license_scan.SENTENCES[i] for i in ids) for _, ids in license_scan.RULES]
+    texts = []
+    for _ in range(150):
+        some = [rng.choice(rng.choice((lines, starts, ["other words here.", "", "2.0."]))) for _ in range(rng.randint(1, 9))]
+        some = [textwrap.fill(x, rng.choice((20, 60, 500)), initial_indent="# ", subsequent_indent="# ") for part in some for x in part.split("\n")]
+        texts.append(rng.choice(("\n", "\n\n", "\r\n")).join(some))
+    got = license_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r["id"]: [tuple(s) for s in r["spans"]] for r in got} == {k: w for k, t in enumerate(texts) if (w := _scan_by_hand(t))}
+    assert all(r["licenses"] == sorted({s["license"] for s in r["spans"]}) for r in got)
+    assert {s["license"] for r in got for s in r["spans"]} == {name for name, _ in license_scan.RULES}
+
+
 def test_license_scan_with_an_own_table(spark):
     """Entries of several sentences, entries of one normal form, and a sentence inside a longer one."""
     table = {"a": "One two. Three!", "b": "Four.", "c": "FOUR", "d": "Four. Five.", "none": "..."}
