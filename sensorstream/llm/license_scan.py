@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .common import session, text_of
+from .common import let, session, text_of
 
 # Sentences of public licenses and notices, each with its identifier.
 SENTENCES = {
@@ -109,13 +109,17 @@ def scan(
             sequences.setdefault(tuple(forms[i] for i in ids), set()).add(license_)
     most = max((form.count(" ") + 1 for form in forms.values()), default=1)  # a sentence has a word at least
     known = spark.createDataFrame([(form.split(" ")[0], form) for form in sorted(set(forms.values()))], "first string, norm string")
-    numbered = F.transform(sentences(text_of(text_col)), lambda n, at: F.struct(at.alias("at"), n.alias("n")))
-    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("id"), F.filter(numbered, lambda s: s["n"] != "").alias("all"))
-    rows = rows.select("rid", "id", "all", F.posexplode("all").alias("pos", "s"))
-    starts = (F.substring_index("s.n", " ", 1) == F.col("first")) & F.startswith(F.concat("norm", F.lit(" ")), F.concat("s.n", F.lit(" ")))
-    rows = rows.join(F.broadcast(known), starts)
     # a known sentence may go on over the next ones (wrapped lines, a full stop inside it): as many as have its words in all
-    rows = rows.select("rid", "id", "pos", "norm", F.slice("all", F.col("pos") + 1, most).alias("next"))
+    begins = sorted({" ".join(form.split(" ")[: k + 1]) for form in forms.values() for k in range(form.count(" ") + 1)})
+    full = F.filter(F.transform(sentences(text_of(text_col)), lambda n, at: F.struct(at.alias("at"), n.alias("n"))), lambda s: s["n"] != "")
+    starts = let(full, lambda all_: F.filter(
+        F.transform(all_, lambda s, k: F.when(s["n"].isin(begins), F.struct(k.alias("pos"), F.slice(all_, k + 1, most).alias("next")))),
+        lambda c: c.isNotNull(),
+    ))
+    # numbered before the explode: in one select, Spark would number the exploded rows
+    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("id"), starts.alias("starts"))
+    rows = rows.select("rid", "id", F.explode("starts").alias("c")).select("rid", "id", "c.*")
+    rows = rows.join(F.broadcast(known), F.substring_index(F.col("next")[0]["n"], " ", 1) == F.col("first"))
     rows = rows.where(F.startswith(F.array_join(F.col("next")["n"], " "), "norm"))
     whole = F.filter(F.sequence(F.lit(1), F.size("next")), lambda m: F.array_join(F.slice(F.col("next")["n"], F.lit(1), m), " ") == F.col("norm"))
     rows = rows.select("rid", "id", "pos", "norm", "next", F.get(whole, F.lit(0)).alias("m"))
