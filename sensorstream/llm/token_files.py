@@ -71,6 +71,11 @@ def unpack_codes(control: bytes, data: bytes, n: int) -> np.ndarray:
 _MARK = "\x01"  # between words that are tokenised together; words that hold it are tokenised alone
 
 
+def _lower(text: str) -> str:
+    """ASCII capitals as small letters."""
+    return text.encode().lower().decode()
+
+
 class _Words:
     """Ids of words, tokenised once each within bounds."""
 
@@ -79,7 +84,9 @@ class _Words:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # as in the library's plain call, an added token's string in a text is that token; any case, as some are matched after the normaliser
+        added = sorted((_lower(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
+        self.added = re.compile("|".join(map(re.escape, added)) or "(?!)")
         self.mark = self._ids(_MARK)
         self.known: dict[str, bytes] = {}
 
@@ -88,7 +95,7 @@ class _Words:
 
     def _learn(self, new: list[str]) -> None:
         """Tokenise words many at a time; a mark of one id that no other word ends in keeps them apart."""
-        plain = [w for w in new if _MARK not in w] if len(self.mark) == 1 else []
+        plain = [w for w in new if _MARK not in w and not self.added.search(_lower(w))] if len(self.mark) == 1 else []
         for at in range(0, len(plain), 1024):
             part = plain[at : at + 1024]
             ids = self._ids(f" {_MARK} ".join(part))
@@ -102,10 +109,18 @@ class _Words:
             if w not in self.known:
                 self.known[w] = self._ids(w).tobytes()
 
+    def _split(self, text: str) -> list[str]:
+        """The text's words; one that holds an added token's string stays as it is."""
+        low = _lower(text)
+        if self.added.search(low):
+            pairs = zip(text.replace("\n", " ").split(" "), low.replace("\n", " ").split(" "), strict=True)
+            return [w if self.added.search(x) else x for w, x in pairs]
+        return _STOP.sub(r" \1", low).replace("\n", " ").split(" ")
+
     def encode(self, texts: list[str], end: int) -> list[bytes]:
         """Each text's ids and the end id, as little-endian 32-bit numbers."""
         # fewer different words: ASCII capitals as the normaliser has them, and a comma or full stop that ends a word apart
-        split = [_STOP.sub(r" \1", t.encode().lower().decode()).replace("\n", " ").split(" ") for t in texts]
+        split = [self._split(t) for t in texts]
         needed = {w for s in split for w in s}
         new = needed.difference(self.known)
         if len(new) + len(self.known) > MOST_WORDS:

@@ -324,6 +324,22 @@ def test_token_files(spark, docs, no_docs):
     assert token_files.read_tokens(spark, path).count() == 0
 
 
+def test_token_files_with_special_strings(spark):
+    """Texts that hold the strings of special tokens, against the library's plain call."""
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(tokenizer_file("word_bpe_49k.json"))
+    texts = [
+        "see <|endoftext|> here", "A<|endoftext|>B. C", "<|startoftext|>", "x <|ENDOFTEXT|> y", "<|StartOfText|>Word, next", "a\n<|endoftext|><|startoftext|>.\nEnd. of",
+        "<|endoftext |>", "Plain Text, here. End.", "\x01<|endoftext|> \x01 z", "<|endoftext|>\u0338 <|endoftext|\u226f",
+    ]
+    assert 49407 in own.encode(texts[0], add_special_tokens=False).ids
+    path = token_files.fresh_path(spark)
+    token_files.write_tokens(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), path, tokenizer_file("word_bpe_49k.json"), end=2)
+    got = {r["doc_id"]: np.frombuffer(r["ids"], "<u4").tolist() for r in token_files.read_tokens(spark, path).collect()}
+    assert got == {k: own.encode(t, add_special_tokens=False).ids + [2] for k, t in enumerate(texts)}
+
+
 def test_codes_round_trip():
     v = np.array([0, 255, 256, 65535, 65536, 2**24 - 1, 2**24, 2**32 - 1, 7], np.int64)
     assert token_files.unpack_codes(*token_files.pack_codes(v), len(v)).tolist() == v.tolist()
