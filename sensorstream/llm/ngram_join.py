@@ -167,11 +167,12 @@ def _verify(n: int, threshold: Fraction):
     """One cell: whole small groups, or one block against another of a large group."""
     num, den = threshold.numerator, threshold.denominator
 
-    def links(keys: list, copies: np.ndarray, sets: list, side: np.ndarray) -> tuple:
+    def links(keys: list, copies: np.ndarray, sets: list, side: np.ndarray, whole: bool) -> tuple:
         order = sorted(range(len(keys)), key=lambda x: (side[x], keys[x]))
         keys, sets, copies, side = [keys[x] for x in order], [sets[x] for x in order], copies[order], side[order]
         split = int((side == side[0]).sum())
-        whole = split == len(keys)
+        if not whole and split == len(keys):  # the other block got no text; this one's pairs are counted in its own cell
+            return keys, keys, np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
         i, j = (len(keys), 0) if whole else (split, split)
         m = _linked(sets, i, j, num, den)
         if whole:
@@ -194,11 +195,12 @@ def _verify(n: int, threshold: Fraction):
         g, count = grams(*_flat(words_), n)
         ends = np.cumsum(count)
         keys, copies, side = table.column("key").to_pylist(), table.column("copies").to_numpy(), table.column("side").to_numpy()
+        whole = table.column("whole").to_pylist()
         order = np.argsort(group.astype(str), kind="stable")
         cuts = np.flatnonzero(np.append(True, group[order][1:] != group[order][:-1])) if len(order) else []
         for rows in np.split(order, cuts[1:]) if len(order) else []:
             sets = [np.unique(g[ends[r] - count[r] : ends[r]]) for r in rows]
-            found = links([keys[r] for r in rows], copies[rows], sets, side[rows])
+            found = links([keys[r] for r in rows], copies[rows], sets, side[rows], whole[rows[0]])
             for o, f in zip(out, found, strict=True):
                 o.extend(f if isinstance(f, list) else f.tolist())
         return pa.table({"key": pa.array(out[0], pa.string()), "root": pa.array(out[1], pa.string()), "n_links": pa.array(out[2], pa.int64()), "n_text_links": pa.array(out[3], pa.int64())})
@@ -304,14 +306,14 @@ def _links(rows: DataFrame, texts: DataFrame, groups: DataFrame, n: int, thresho
         "grp", "key", "copies", "rep_rid", "side", "n_blocks",
         F.explode(F.when(F.col("n_blocks") > 1, F.sequence(F.lit(0), F.col("n_blocks") - 1)).otherwise(F.array(F.lit(0)))).alias("other"),
     ).select(
-        "grp", "key", "copies", "rep_rid", "side", (F.col("n_blocks") > 1).alias("large"),
+        "grp", "key", "copies", "rep_rid", "side", (F.col("n_blocks") > 1).alias("large"), (F.col("side") == F.col("other")).alias("whole"),
         F.when(F.col("n_blocks") == 1, F.concat(F.lit("s"), F.pmod(F.xxhash64("grp"), F.lit(cells)).cast("string")))
         .otherwise(F.concat_ws("/", "grp", F.least("side", "other").cast("string"), F.greatest("side", "other").cast("string"))).alias("cell"),
     )
     # the text is fetched once for each candidate text, hashed, and only then dealt to its cells
     wanted = placed.select("rep_rid")
     fetched = rows.select("rid", "text").join(wanted, F.col("rid") == F.col("rep_rid"), "left_semi").select("rid", _hashed_words(F.col("text")).alias("words"))
-    ready = dealt.join(fetched, F.col("rep_rid") == F.col("rid")).select("cell", "grp", "key", "copies", "side", "words", "large")
+    ready = dealt.join(fetched, F.col("rep_rid") == F.col("rid")).select("cell", "grp", "key", "copies", "side", "whole", "words", "large")
     wide = Fraction(threshold).limit_denominator(10_000)
     out = lambda df: df.groupBy("cell").applyInArrow(_verify(n, wide), _LINKS)
     return out(ready.where("not large").drop("large")).withColumn("large", F.lit(False)).unionByName(

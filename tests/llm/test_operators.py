@@ -401,6 +401,15 @@ def test_ngram_join_in_blocks(spark, monkeypatch, tmp_path):
     assert {(r["class_id"], r["n_links"]) for r in got} == {(0, 29)}
 
 
+def test_ngram_join_in_blocks_of_few_texts(spark, monkeypatch, tmp_path):
+    """Groups of two long near copies, cut into several blocks by their n-grams, some of them empty: each link is counted once."""
+    monkeypatch.setattr(ngram_join, "BLOCK_GRAMS", 60)
+    rows = [(2 * g + k, " ".join([f"g{g}w{x}" for x in range(100)] + [f"own{k}"])) for g in range(8) for k in range(2)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "d"))
+    got = ngram_join.classes(spark.read.parquet(str(tmp_path / "d"))).collect()
+    assert {(r["id"], r["class_id"], r["n_links"], r["n_text_links"]) for r in got} == {(k, k - k % 2, 1, 1) for k in range(16)}
+
+
 def test_bands_reach_the_recall():
     bands, rows = ngram_join.bands_and_rows(0.8, 0.9995)
     assert 1 - (1 - 0.8**rows) ** bands >= 0.9995
