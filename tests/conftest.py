@@ -8,8 +8,6 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-SF_SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -34,5 +32,6 @@ def spark():
 @pytest.fixture(scope="session")
 def con():
     from compare import duck
+    from paths import SF_SMALL
 
     return duck(SF_SMALL)

@@ -12,7 +12,7 @@ from sensorstream.plans import archive_plan, data_anchored_dashboard
 from sensorstream.rules import RULES
 from sensorstream.sources import raw_messages
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 value = st.one_of(st.none(), st.sampled_from([0.0, 1.0, 15.0, 35.0, 40.0, 75.0, 0.6, 14.99, 40.01, 80.0]),
                   st.floats(min_value=0, max_value=100, allow_nan=False))

@@ -13,7 +13,7 @@ from sensorstream.sources.readers import MESSAGE_SCHEMA
 from sensorstream.streaming import (incident_sessions_stream, rows_dropped_by_watermark, start_archive_and_history,
                                     stop_all, with_event_ts)
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def _events(spark):

@@ -10,7 +10,7 @@ from sensorstream.sources import for_each_batch, raw_messages
 from sensorstream.sources.readers import MESSAGE_SCHEMA
 from sensorstream.streaming import latest_state_stream, read_latest_state
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def _split_messages(spark, parts=3):
