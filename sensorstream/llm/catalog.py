@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    byte_bpe, context_tree, license_scan, metric_search, mixing, ngram_join, quality_rules, sharding, token_files, url_filter,
+    byte_bpe, context_tree, hard_negatives, html_extract, license_scan, merkle, metric_search, mixing, ngram_join, quality_rules,
+    sharding, token_files, url_filter,
 )
 
 
@@ -116,6 +117,29 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_extract.extract(_table(spark, sf_dir, "pages"), keep=["page_id", "url"]).select("page_id", "url", "__main.text", "__main.n_chars")
+
+
+def op12_segment_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor (vec_id divisible by 100) and positive among all rows of other labels."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.usable(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", label, 256, F.col("vec_id") % 100 == 0)
+    return hard_negatives.mine(rows)
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle manifest of all documents; every second one is presented without its line feeds."""
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    docs = _table(spark, sf_dir, "documents")
+    out = merkle.manifest(docs, ["doc_id", "source", "lang", "n_chars", "text"], keep=["doc_id"], presented={"text": tampered})
+    return out.select(
+        "doc_id", "__merkle.leaf", "__merkle.subroot", "__merkle.root", merkle.proof_hash(F.col("__merkle.proof")).alias("proof_sha256"),
+        "__merkle.folded_root", "__merkle.verified",
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -125,7 +149,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
         op1_quality_rules, op2_best_fit_shards, op3_url_filter, op4_metric_topk, op5_license_scan, op6_byte_bpe,
-        op7_source_mix, op8_token_files, op9_context_tree, op10_ngram_jaccard, pipeline,
+        op7_source_mix, op8_token_files, op9_context_tree, op10_ngram_jaccard, op11_site_style_tree,
+        op12_segment_negatives, op13_merkle_manifest, pipeline,
     )
     return {f.__name__: f for f in named}
 
