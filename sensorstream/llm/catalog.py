@@ -53,22 +53,6 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-OP5_SQL = """
-WITH sentence AS (
-  SELECT doc_id, unnest(regexp_split_to_array(regexp_replace(coalesce(text, ''), '([.!?])[ \t\r]+', '\1' || chr(10), 'g'), chr(10))) AS s,
-         generate_subscripts(regexp_split_to_array(regexp_replace(coalesce(text, ''), '([.!?])[ \t\r]+', '\1' || chr(10), 'g'), chr(10)), 1) - 1 AS pos
-  FROM documents),
-known AS (
-  SELECT doc_id, pos, CASE trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g'))
-    WHEN 'licensed under the apache license version 2 0' THEN 'Apache-2.0'
-    WHEN 'this work is licensed under the gnu general public license version 3' THEN 'GPL-3.0-only'
-    WHEN 'released under the mit license' THEN 'MIT' END AS license
-  FROM sentence)
-SELECT doc_id, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses, count(*) AS n_spans, min(pos)::BIGINT AS first_sentence
-FROM known WHERE license IS NOT NULL GROUP BY doc_id
-"""
-
-
 def tokenizer_file(name: str) -> str:
     import public_tokenizers
 
@@ -155,5 +139,80 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in named}
 
 
+_USABLE = "embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0"
+
+OP4_SQL = f"""
+WITH v AS (SELECT vec_id, row_number() OVER () AS row, [floor(x::DOUBLE * 64) FOR x IN embedding] AS x FROM embeddings WHERE {_USABLE}),
+scored AS (
+  SELECT q.row, q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.row <> q.row)
+SELECT query_id, (row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id NULLS LAST))::INTEGER AS rank, vec_id, score
+FROM scored QUALIFY rank <= 20
+"""
+
+OP12_SQL = f"""
+WITH v AS (
+  SELECT vec_id, row_number() OVER () AS row, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(x::DOUBLE * 256) FOR x IN embedding] AS x
+  FROM embeddings WHERE label IS NOT NULL AND {_USABLE}),
+scored AS (
+  SELECT a.row, a.vec_id AS anchor_id, c.vec_id, c.row AS other, a.label = c.label AS same, list_inner_product(a.x, c.x)::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND c.row <> a.row),
+positive AS (SELECT * FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id NULLS LAST) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+       (row_number() OVER (PARTITION BY p.row, p.other ORDER BY n.score DESC, n.vec_id NULLS LAST))::INTEGER AS rank,
+       n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positive p JOIN scored n ON n.row = p.row AND NOT n.same AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+QUALIFY rank <= 5
+"""
+
+#: A leaf of OP13_SQL: each field's UTF-8 byte count, a colon and the field, or ``-``.
+_LEAF = "sha256(" + " || ".join(f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "source", "lang", "n_chars", "{text}")) + ")"
+
+OP13_SQL = f"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i))),
+doc AS (
+  SELECT doc_id, coalesce('=' || source, '') AS grp, {_LEAF.format(text="text")} AS leaf,
+         CASE WHEN xor(list_reduce([4294967295::BIGINT] || [ascii(x)::BIGINT FOR x IN string_split(doc_id::VARCHAR, '')],
+                                   lambda c, x: xor(t[(xor(c, x) & 255) + 1], c >> 8)), 4294967295) % 2 = 0
+              THEN {_LEAF.format(text="replace(text, chr(10), '')")} ELSE {_LEAF.format(text="text")} END AS shown
+  FROM documents, crc_table),
+placed AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r, count(*) OVER (PARTITION BY grp) AS n FROM doc),
+node AS (
+  SELECT grp, 0 AS level, r, n, leaf AS h FROM placed
+  UNION ALL
+  SELECT grp, level + 1, r // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY r)) FROM node WHERE n > 1 GROUP BY grp, level, n, r // 3),
+sub AS (SELECT grp, h AS subroot, row_number() OVER (ORDER BY grp) - 1 AS r, count(*) OVER () AS n FROM node WHERE n = 1),
+high AS (
+  SELECT 0 AS level, r, n, subroot AS h FROM sub
+  UNION ALL
+  SELECT level + 1, r // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY r)) FROM high WHERE n > 1 GROUP BY level, n, r // 3),
+inner_step AS (
+  SELECT p.grp, p.r AS leaf_rank, node.level, coalesce(string_agg(h, '' ORDER BY node.r) FILTER (node.r < p.r // (3 ** level)::BIGINT), '') AS before,
+         coalesce(string_agg(h, '' ORDER BY node.r) FILTER (node.r > p.r // (3 ** level)::BIGINT), '') AS after
+  FROM placed p JOIN node ON node.grp = p.grp AND node.n > 1 AND node.r // 3 = p.r // (3 ** (level + 1))::BIGINT GROUP BY p.grp, p.r, node.level),
+outer_step AS (
+  SELECT s.grp, level, coalesce(string_agg(h, '' ORDER BY high.r) FILTER (high.r < s.r // (3 ** level)::BIGINT), '') AS before,
+         coalesce(string_agg(h, '' ORDER BY high.r) FILTER (high.r > s.r // (3 ** level)::BIGINT), '') AS after
+  FROM sub s JOIN high ON high.n > 1 AND high.r // 3 = s.r // (3 ** (level + 1))::BIGINT GROUP BY s.grp, level),
+step AS (
+  SELECT grp, leaf_rank, row_number() OVER (PARTITION BY grp, leaf_rank ORDER BY part, level) AS k, before, after FROM (
+    SELECT grp, leaf_rank, 0 AS part, level, before, after FROM inner_step
+    UNION ALL SELECT p.grp, p.r, 1, o.level, o.before, o.after FROM placed p JOIN outer_step o ON o.grp = p.grp)),
+folded AS (
+  SELECT grp, r, 0 AS k, shown AS h FROM placed
+  UNION ALL
+  SELECT f.grp, f.r, s.k, sha256(s.before || f.h || s.after) FROM folded f JOIN step s ON s.grp = f.grp AND s.leaf_rank = f.r AND s.k = f.k + 1),
+proof AS (SELECT grp, leaf_rank, string_agg(before || after, '' ORDER BY k) AS p FROM step GROUP BY grp, leaf_rank)
+SELECT p.doc_id, p.leaf, sub.subroot, (SELECT h FROM high WHERE n = 1) AS root, sha256(coalesce(proof.p, '')) AS proof_sha256,
+       f.h AS folded_root, f.h = (SELECT h FROM high WHERE n = 1) AS verified
+FROM placed p JOIN sub ON sub.grp = p.grp
+JOIN (SELECT * FROM folded QUALIFY row_number() OVER (PARTITION BY grp, r ORDER BY k DESC) = 1) f ON f.grp = p.grp AND f.r = p.r
+LEFT JOIN proof ON proof.grp = p.grp AND proof.leaf_rank = p.r
+"""
+
+
 def llm_oracles() -> dict[str, str]:
-    return {"op5_license_scan": OP5_SQL}
+    return {"op4_metric_topk": OP4_SQL, "op12_segment_negatives": OP12_SQL, "op13_merkle_manifest": OP13_SQL}

@@ -203,10 +203,10 @@ class Page:
                 edge = tag in BLOCK
                 if edge:
                     flush(main)
-                if self.kind[kid] == NOISE or kid in gone:
-                    continue
                 if tag == "br" or tag in CELLS:
                     run.append(" ")
+                if self.kind[kid] == NOISE or kid in gone:
+                    continue
                 if self.kids[kid]:
                     walk.append((kid, iter(self.kids[kid])))
                     break
@@ -252,8 +252,8 @@ class Page:
                 continue
             kids = [k for k in self.kids[n] if not isinstance(k, str)]
             below = texts.get(n, []) + [whole[k] for k in kids]
-            weight = G ** len(below)
-            whole[n] = (1 - weight) * own[n] + (weight * sum(below) / len(below) if below else 0.0)
+            weight = G ** len(below) if below else 0.0
+            whole[n] = (1 - weight) * own[n] + weight * sum(below) / max(len(below), 1)
             if whole[n] < THRESHOLD and all(v < THRESHOLD for v in texts.get(n, ())) and all(k in gone for k in kids):
                 gone.add(n)
         return gone
