@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..schema import ENRICHED_COLUMNS, ENRICHED_SCHEMA, READING_COLUMNS
 
 
-def _payload(cols, keep_nulls: bool) -> Column:
+def payload(cols, keep_nulls: bool) -> Column:
+    """The columns as one JSON object."""
     opts = {"ignoreNullFields": "false"} if keep_nulls else {}
     return F.to_json(F.struct(*[F.col(c) for c in cols]), opts)
 
@@ -19,7 +20,7 @@ def archive_json(df: DataFrame, key_col: str | None = None) -> DataFrame:
     Runs on the executors; a ``key`` column is added when ``key_col`` is given
     (a Kafka message key, e.g. the source offset).
     """
-    out = [_payload(ENRICHED_COLUMNS, keep_nulls=True).alias("value")]
+    out = [payload(ENRICHED_COLUMNS, keep_nulls=True).alias("value")]
     if key_col:
         out.insert(0, F.col(key_col).cast("string").alias("key"))
     return df.select(*out)
@@ -28,7 +29,7 @@ def archive_json(df: DataFrame, key_col: str | None = None) -> DataFrame:
 def reading_json(df: DataFrame, key_col: str | None = None) -> DataFrame:
     """Reading -> ``value`` JSON text. Absent measurements are left out, as
     sensors send them (a motion sensor sends three keys)."""
-    out = [_payload(READING_COLUMNS, keep_nulls=False).alias("value")]
+    out = [payload(READING_COLUMNS, keep_nulls=False).alias("value")]
     if key_col:
         out.insert(0, F.col(key_col).cast("string").alias("key"))
     return df.select(*out)

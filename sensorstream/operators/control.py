@@ -15,23 +15,26 @@ humidity, purifying on water quality. Rules (fixed values in ``rules.py``):
 A missing or NaN measurement meets no threshold.
 
 The three measurement channels are independent machines. Processing is exact
-and parallel over time: readings are cut into (sensor, segment) groups.
-
-* pass 1, per segment: the exit state for *every* possible incoming state. An
-  incoming end time only matters through which of the segment's first
-  readings fall before it, so the possibilities are finite; one backward pass
-  finds the exits of them all.
-* pass 2, per sensor: chain the segments' transfer tables in time order to get
-  each segment's true incoming state (a few rows per segment, no readings).
+and parallel over a sensor's readings, ranked by (time, id) and cut into
+segments of ``max_rows_per_segment`` readings, so a burst in one instant is cut
+like anything else:
+
+* pass 1, per segment: its transfer function, the exit state for *every*
+  possible incoming state. An incoming end time only matters through which of
+  the segment's first readings fall before it, so the possibilities are finite;
+  one backward pass finds the exits of them all.
+* pass 2, a prefix scan: the functions of ``GROUP`` neighbouring segments
+  compose into one of the same kind, and so on up to one per sensor; the
+  incoming states then go down the same tiers.
 * pass 3, per segment: replay the readings from the known incoming state.
 
-Only segments (time span ``segment``) and transfer tables go to one task,
-never a sensor's whole history. The same step function drives the streaming
-operator (``streaming.control``).
+No group holds more than ``GROUP`` functions or one segment's readings. The
+same step function drives the streaming operator (``streaming.control``).
 """
 
 from __future__ import annotations
 
+import bisect
 import operator
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -42,11 +45,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.time import as_interval_micros, epoch_micros
+from ..functions.time import epoch_micros
 from ..rules import ACTUATOR_CHANNELS, ACTUATORS, MOTION_SENSOR, step_size
 from ..schema import EVENT_TIME
+from .runs import sorted_runs, with_rank, written
 
 _OPS = {">": operator.gt, "<": operator.lt, ">=": operator.ge, "<=": operator.le}
+SEGMENT_ROWS = 16_384
+GROUP = 64  # neighbouring segments whose functions are composed in one task
 INCOMING = -1  # symbolic end time: "the incoming state's end"
 
 
@@ -76,7 +82,7 @@ COMMAND_COLUMNS = {"temperature": "temperature_command", "humidity": "humidity_c
 FLAG_COLUMNS = tuple(n for _, names in ACTUATOR_CHANNELS for n in names)
 
 OUTPUT_SCHEMA = T.StructType(
-    [T.StructField("event_id", T.LongType()), T.StructField("sensor_id", T.StringType()),
+    [T.StructField("_id", T.LongType()), T.StructField("_id2", T.LongType()), T.StructField("sensor_id", T.StringType()),
      T.StructField(EVENT_TIME, T.TimestampNTZType())]
     + [T.StructField(n, T.BooleanType()) for n in FLAG_COLUMNS]
     + [T.StructField(COMMAND_COLUMNS[c.measure], T.DoubleType()) for c in CHANNELS]
@@ -200,20 +206,27 @@ INSTATE_SCHEMA = T.StructType(
 
 
 def _sorted(pdf: pd.DataFrame) -> pd.DataFrame:
-    return pdf.sort_values(["_us", "_tie", "_tie2"], kind="mergesort")
+    return pdf.sort_values("_rank" if "_rank" in pdf else ["_us", "_tie", "_tie2"], kind="mergesort")
 
 
 def tie_columns(tie_col: str | Sequence[str]) -> list:
-    """``event_id`` (the last id column, as output) and the tie-breakers
-    ``_tie``, ``_tie2`` as non-null longs (a missing id sorts first). Two
-    columns cover ids unique only together, e.g. Kafka partition and offset."""
+    """The id columns as output (``_id``, ``_id2``) and the tie-breakers ``_tie``,
+    ``_tie2`` as non-null longs (a missing id sorts first). Two columns cover
+    ids unique only together, e.g. Kafka partition and offset."""
     ties = [tie_col] if isinstance(tie_col, str) else list(tie_col)
     if not 1 <= len(ties) <= 2:
         raise ValueError("tie_col: one or two id columns")
     low = F.lit(-(2 ** 63))
     tie = F.coalesce(F.col(ties[0]).cast("long"), low)
     tie2 = F.coalesce(F.col(ties[1]).cast("long"), low) if len(ties) == 2 else F.lit(0).cast("long")
-    return [F.col(ties[-1]).cast("long").alias("event_id"), tie.alias("_tie"), tie2.alias("_tie2")]
+    ids = [F.col(t).cast("long") for t in ties] + [F.lit(None).cast("long")]
+    return [ids[0].alias("_id"), ids[1].alias("_id2"), tie.alias("_tie"), tie2.alias("_tie2")]
+
+
+def named_ties(out: DataFrame, tie_col: str | Sequence[str]) -> DataFrame:
+    """Output with the reading's id columns under their own names."""
+    ties = [tie_col] if isinstance(tie_col, str) else list(tie_col)
+    return out.select(*(F.col(c).alias(t) for c, t in zip(("_id", "_id2"), ties)), *OUTPUT_SCHEMA.fieldNames()[2:])
 
 
 def _floats(s: pd.Series) -> np.ndarray:
@@ -231,41 +244,97 @@ def _segment_transfers(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=TRANSFER_SCHEMA.fieldNames())
 
 
-def _chain(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Per sensor: walk segments in time order and resolve incoming states.
+_LOW, _HIGH = -(2**62), 2**62  # stand for an unbounded end time
+
+
+class _Transfer:
+    """One channel's transfer function: rows (in_mode, lo, hi, out_mode, out_end, out_pass)."""
+
+    def __init__(self, rows: list[tuple]) -> None:
+        self.rows = sorted((m, _LOW if lo is None else lo, _HIGH if hi is None else hi, om, oe, op) for m, lo, hi, om, oe, op in rows)
+        self.of_mode: dict[int, list[tuple]] = {}
+        for r in self.rows:
+            self.of_mode.setdefault(r[0], []).append(r)
+        self.his = {m: [r[2] for r in rows_] for m, rows_ in self.of_mode.items()}
+
+    def at(self, mode: int, end: int | None) -> tuple[int, int | None]:
+        """Exit state for one incoming state."""
+        rows = self.of_mode[mode]
+        row = rows[0] if mode == 0 else rows[bisect.bisect_left(self.his[mode], end)]
+        return row[3], (end if row[5] else row[4]) if row[3] else None
+
+    def then(self, after: _Transfer) -> _Transfer:
+        """This function followed by ``after``."""
+        out: list[tuple] = []
+        for m, lo, hi, om, oe, passes in self.rows:
+            if not passes:
+                found = [(m, lo, hi, *after.at(om, oe), False)]
+            else:  # the incoming end is still ahead: it meets the next segment
+                found = [(m, max(lo, l2), min(hi, h2), om2, oe2, p2) for _, l2, h2, om2, oe2, p2 in after.of_mode[om] if max(lo, l2) < min(hi, h2)]
+            for r in found:
+                if out and out[-1][0] == m and out[-1][3:] == r[3:]:
+                    out[-1] = (m, out[-1][1], r[2], *r[3:])
+                else:
+                    out.append(r)
+        return _Transfer([(m, None if lo == _LOW else lo, None if hi == _HIGH else hi, *rest) for m, lo, hi, *rest in out])
+
+
+def _functions(pdf: pd.DataFrame) -> dict[int, list[tuple[int, _Transfer]]]:
+    """Per channel the segments' functions, in segment order."""
+    whole = lambda v: None if v is None or v != v else int(v)
+    rows: dict[tuple, list] = {}
+    for c, seg, m, lo, hi, om, oe, op in zip(*(pdf[n].tolist() for n in ("channel", "_seg", "in_mode", "lo", "hi", "out_mode", "out_end", "out_pass"))):
+        rows.setdefault((int(c), int(seg)), []).append((int(m), whole(lo), whole(hi), int(om), whole(oe), bool(op)))
+    out: dict[int, list] = {}
+    for c, seg in sorted(rows):
+        out.setdefault(c, []).append((seg, _Transfer(rows[c, seg])))
+    return out
 
-    One linear pass over the transfer rows sorted by (channel, segment).
-    """
-    sensor = pdf["sensor_id"].iloc[0]
-    pdf = pdf.sort_values(["channel", "_seg", "in_mode", "lo"], na_position="first", kind="mergesort")
-    chan, seg, in_mode = (pdf[c].tolist() for c in ("channel", "_seg", "in_mode"))
-    lo, hi, out_mode, out_end = ([None if v is None or v != v else int(v) for v in pdf[c].tolist()]
-                                 for c in ("lo", "hi", "out_mode", "out_end"))
-    out_pass = pdf["out_pass"].tolist()
-    out, n, i = [], len(chan), 0
-    state: dict[int, tuple] = {}
-    while i < n:
-        c, sg = int(chan[i]), int(seg[i])
-        j = i
-        while j < n and chan[j] == c and seg[j] == sg:
-            j += 1
-        mode, end = state.get(c, (0, None))
-        out.append((sensor, sg, c, mode, end))
-        for r in range(i, j):
-            if in_mode[r] != mode:
-                continue
-            if mode == 0 or ((lo[r] is None or lo[r] < end) and (hi[r] is None or end <= hi[r])):
-                break
-        else:
-            raise AssertionError(f"no transfer row for {sensor} segment {sg} channel {c} state {(mode, end)}")
-        mode = out_mode[r]
-        if not out_pass[r]:
-            end = out_end[r]
-        state[c] = (mode, end if mode else None)
-        i = j
+
+def _composed(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    """The function of a group of neighbouring segments."""
+    sensor, group = key
+    out = []
+    for c, parts in _functions(pdf).items():
+        whole = parts[0][1]
+        for _, f in parts[1:]:
+            whole = whole.then(f)
+        out += [(sensor, int(group), c, m, None if lo == _LOW else lo, None if hi == _HIGH else hi, om, oe, op) for m, lo, hi, om, oe, op in whole.rows]
+    return pd.DataFrame(out, columns=TRANSFER_SCHEMA.fieldNames())
+
+
+def _entered(key: tuple, pdf: pd.DataFrame, above: pd.DataFrame) -> pd.DataFrame:
+    """Incoming state of each segment of a group from the group's own."""
+    start = _states(above)
+    out = []
+    if len(pdf):
+        for c, parts in _functions(pdf).items():
+            mode, end = start.get(c, (0, None))
+            for seg, f in parts:
+                out.append((key[0], seg, c, mode, end))
+                mode, end = f.at(mode, end)
     return pd.DataFrame(out, columns=INSTATE_SCHEMA.fieldNames())
 
 
+def _states(instate: pd.DataFrame) -> dict[int, tuple]:
+    return {int(r.channel): (int(r.in_mode), None if pd.isna(r.in_end) else int(r.in_end)) for r in instate.itertuples()}
+
+
+def _instates(transfers: DataFrame) -> DataFrame:
+    """Incoming state of every segment: functions composed upwards, states handed downwards."""
+    group = F.expr(f"_seg div {GROUP}").alias("_group")
+    tiers = [written(transfers, "control-transfers")]
+    while (tiers[-1].agg(F.max("_seg")).first()[0] or 0) > 0:
+        groups = tiers[-1].groupBy("sensor_id", group).applyInPandas(_composed, TRANSFER_SCHEMA)
+        tiers.append(written(groups, "control-transfers"))
+    top = tiers[-1].select("sensor_id", "_seg", "channel").distinct()
+    states = top.select("*", F.lit(0).alias("in_mode"), F.lit(None).cast("long").alias("in_end"))
+    for tier in reversed(tiers[:-1]):
+        above = states.withColumnRenamed("_seg", "_group")
+        states = tier.groupBy("sensor_id", group).cogroup(above.groupBy("sensor_id", "_group")).applyInPandas(_entered, INSTATE_SCHEMA)
+    return states
+
+
 def replay_rows(pdf: pd.DataFrame, starts: list[tuple]) -> tuple[pd.DataFrame, list[tuple]]:
     """Run the rules over time-sorted readings from known start states.
 
@@ -275,7 +344,7 @@ def replay_rows(pdf: pd.DataFrame, starts: list[tuple]) -> tuple[pd.DataFrame, l
     """
     times = pdf["_us"].tolist()
     n = len(pdf)
-    res = {"event_id": pdf["event_id"].to_numpy(), "sensor_id": pdf["sensor_id"].to_numpy(),
+    res = {"_id": pdf["_id"].array, "_id2": pdf["_id2"].array, "sensor_id": pdf["sensor_id"].to_numpy(),
            EVENT_TIME: pdf[EVENT_TIME].to_numpy()}
     finals = []
     for c, ch in enumerate(CHANNELS):
@@ -300,52 +369,23 @@ def _replay(readings: pd.DataFrame, instate: pd.DataFrame) -> pd.DataFrame:
     """Replay one segment from its known incoming states; one row per reading."""
     if readings.empty:
         return pd.DataFrame(columns=OUTPUT_SCHEMA.fieldNames())
-    known = {int(r.channel): (int(r.in_mode), None if pd.isna(r.in_end) else int(r.in_end))
-             for r in instate.itertuples()}
+    known = _states(instate)
     out, _ = replay_rows(_sorted(readings), [known.get(c, (0, None)) for c in range(len(CHANNELS))])
     return out
 
 
-MAX_LEVELS = 20  # a segment is split into at most 2^20 parts
-
-
-def _segments(base: DataFrame, seg_us: int, max_rows: int | None) -> DataFrame:
-    """Add ``_seg``: a time-ordered segment number per sensor.
-
-    Segments are ``seg_us`` wide; one holding more than ``max_rows`` readings
-    (a busy sensor) is cut into 2^L equal parts. The list of such hot segments
-    has at most rows / ``max_rows`` entries and is joined as Spark sees fit.
-    """
-    base = base.withColumn("_hour", F.floor(F.col("_us") / F.lit(seg_us)).cast("long"))
-    levels = "0"
-    if max_rows:
-        levels_needed = F.least(F.lit(MAX_LEVELS), F.ceil(F.log2(F.col("_n") / F.lit(max_rows)))).cast("int")
-        hot = (base.groupBy("sensor_id", "_hour").agg(F.count(F.lit(1)).alias("_n"))
-               .filter(F.col("_n") > max_rows)
-               .select("sensor_id", "_hour", levels_needed.alias("_levels")))
-        # the join strategy is Spark's choice: nothing is counted while the plan is built
-        base = base.join(hot, ["sensor_id", "_hour"], "left")
-        levels = "coalesce(_levels, 0)"
-    part = f"cast(floor(shiftleft(_us - _hour * {seg_us}L, {levels}) / {seg_us}L) as bigint)"
-    seg = F.expr(f"_hour * {1 << MAX_LEVELS}L + shiftleft({part}, {MAX_LEVELS} - {levels})")
-    return base.withColumn("_seg", seg).drop("_hour", "_levels")
-
-
-def control_state(readings: DataFrame, segment: str = "1 hour", tie_col: str | Sequence[str] = "event_id",
-                  max_rows_per_segment: int | None = 1_000_000) -> DataFrame:
+def control_state(readings: DataFrame, tie_col: str | Sequence[str] = "event_id",
+                  max_rows_per_segment: int = SEGMENT_ROWS) -> DataFrame:
     """Actuator flags and commands after every environment reading.
 
     ``readings`` needs ``sensor_id``, ``event_time``, ``temperature``,
     ``humidity``, ``waterQuality`` and ``tie_col``: one integer id column,
     or two that are unique together (Kafka: ``("partition", "offset")``), to
-    order equal times. The output ``event_id`` is the last id column.
+    order equal times. The output names a reading by these columns.
     Motion-sensor rows and rows without sensor or time are not controlled.
-    Segments hold at most about ``max_rows_per_segment`` readings (a count
-    over the readings finds busier ones first); ``None`` skips that pass.
-    The count reads only ``sensor_id`` and ``event_time``: cheap on a stored,
-    typed history, but on raw messages it parses them a second time.
+    A segment holds exactly ``max_rows_per_segment`` readings of one sensor
+    (its last one fewer), however they lie in time.
     """
-    seg_us = as_interval_micros(segment)
     base = (
         readings.filter(F.col("sensor_id").isNotNull() & (F.col("sensor_id") != MOTION_SENSOR)
                         & F.col(EVENT_TIME).isNotNull())
@@ -353,12 +393,14 @@ def control_state(readings: DataFrame, segment: str = "1 hour", tie_col: str | S
                 *[F.col(ch.measure).cast("double").alias(ch.measure) for ch in CHANNELS])
         .withColumn("_us", epoch_micros(EVENT_TIME))
     )
+    runs = sorted_runs(base, ["sensor_id"], ["_us", "_tie", "_tie2"], "control-readings")
+    ranked = with_rank(runs, ["sensor_id"]).withColumn("_seg", F.expr(f"_rank div {max_rows_per_segment}"))
     # one shuffle of the readings, shared by pass 1 and pass 3
-    base = _segments(base, seg_us, max_rows_per_segment).repartition("sensor_id", "_seg")
+    base = ranked.select(*base.columns, "_rank", "_seg").repartition("sensor_id", "_seg")
     transfers = base.groupBy("sensor_id", "_seg").applyInPandas(_segment_transfers, TRANSFER_SCHEMA)
-    instates = transfers.groupBy("sensor_id").applyInPandas(_chain, INSTATE_SCHEMA)
-    return (
+    out = (
         base.groupBy("sensor_id", "_seg")
-        .cogroup(instates.groupBy("sensor_id", "_seg"))
+        .cogroup(_instates(transfers).groupBy("sensor_id", "_seg"))
         .applyInPandas(_replay, OUTPUT_SCHEMA)
     )
+    return named_ties(out, tie_col)

@@ -1,33 +1,37 @@
 """Incidents: alerts of one (sensor, type) merged while gaps stay <= ``gap``.
 
-Spark's ``lag`` window or batch ``session_window`` would send every alert of
-one (sensor, type) key to a single task; with a handful of sensors that is a
-handful of tasks, and one busy sensor can own a third of the data. Instead
-time is cut into cells exactly ``gap`` wide:
+A ``lag`` window or a batch ``session_window`` would send every alert of one
+(sensor, type) key to a single task; with a handful of sensors that is a
+handful of tasks, and one busy sensor can own a third of the data.
+
+Per-row gaps are a segmented scan: the alerts are range-sorted by key and time
+into runs, a window works inside (run, key), and one row per run carries the
+last alert to the next run (see ``runs``). No step holds a key whole, whatever
+the gap.
+
+Counts and sessions first cut time into cells exactly ``gap`` wide:
 
 * two alerts in the same cell are less than ``gap`` apart, so only the first
   alert of a cell can open an incident;
 * it opens one iff the previous cell is empty or its last alert is more than
   ``gap`` earlier.
 
-So incident counts need only a per-cell aggregate (partial aggregation on the
-map side, skew-proof) and a ``lag`` over that compact summary. Per-row gaps
-add a window inside each cell, which holds at most one ``gap`` of one
-sensor's alerts. The only sequential steps run over the cell summary (one row
-per non-empty cell and key, bounded by time span / gap, independent of the
-data volume).
+So they need a per-cell aggregate (partial aggregation on the map side,
+skew-proof) and the same scan over that summary, which a wide gap makes small
+and a narrow one leaves distributed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.time import as_interval_micros, epoch_micros, from_epoch_micros
 from ..rules import ALERT_HORIZON, INCIDENT_GAP
 from ..schema import EVENT_TIME
+from .runs import sorted_runs, with_owner, with_previous
 from .state import recent_window
 
 KEYS = ("sensor_id", "alert_type")
@@ -63,14 +67,13 @@ def cell_links(alerts: DataFrame, gap: str = INCIDENT_GAP, keys: Sequence[str] =
     """Cell summary plus ``opens``: does the cell's first alert open an incident.
 
     The previous *non-empty* cell is enough: if it is older than the cell just
-    before, its last alert is already more than ``gap`` away. ``lag`` runs over
-    the compact summary, so the alerts are read and aggregated once.
+    before, its last alert is already more than ``gap`` away. The alerts are
+    read and aggregated once; the scan runs over the compact summary.
     """
-    gap_us = as_interval_micros(gap)
-    w = Window.partitionBy(*keys).orderBy("_cell")
-    prev = F.lag("_last_us").over(w)
-    opens = prev.isNull() | ((F.col("_first_us") - prev) > F.lit(gap_us))
-    return cell_summary(alerts, gap, keys).withColumn("opens", opens)
+    runs = sorted_runs(cell_summary(alerts, gap, keys), keys, ["_cell"], "incident-cells", shuffled=True)
+    linked = with_previous(runs, keys, "_last_us", "_prev_us")
+    opens = F.col("_prev_us").isNull() | ((F.col("_first_us") - F.col("_prev_us")) > F.lit(as_interval_micros(gap)))
+    return linked.withColumn("opens", opens).drop("_prev_us")
 
 
 def incident_counts(alerts: DataFrame, gap: str = INCIDENT_GAP, keys: Sequence[str] = KEYS,
@@ -94,14 +97,11 @@ def incident_sessions(alerts: DataFrame, gap: str = INCIDENT_GAP, keys: Sequence
     """One row per incident: first and last alert time and alert count.
 
     Cells of one incident are consecutive, so each cell belongs to the latest
-    opening cell at or before it (a running max over the cell summary).
+    opening cell at or before it.
     """
-    w = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    linked = cell_links(alerts, gap, keys)
-    owner = F.max(F.when(F.col("opens"), F.col("_cell"))).over(w)
+    owned = with_owner(cell_links(alerts, gap, keys), keys, "opens", "_incident")
     return (
-        linked.withColumn("_incident", owner)
-        .groupBy(*keys, "_incident")
+        owned.groupBy(*keys, "_incident")
         .agg(F.min("first_time").alias("start_time"), F.max("last_time").alias("last_time"),
              F.sum("n_alerts").alias("n_alerts"))
         .drop("_incident")
@@ -109,29 +109,13 @@ def incident_sessions(alerts: DataFrame, gap: str = INCIDENT_GAP, keys: Sequence
 
 
 def _gaps(alerts: DataFrame, gap: str, keys: Sequence[str], tie_col: str) -> DataFrame:
-    """Every alert with its predecessor's time (see :func:`alert_gaps`).
-
-    One shuffle of the alerts by (keys, cell): a window inside each cell gives
-    the predecessor in the cell and the cell's last time; the first row of
-    each cell then forms the compact cell summary, whose ``lag`` supplies the
-    predecessor of first rows. ``event_time`` travels as exact micros and is
-    rebuilt afterwards, so both branches share the same exchange.
-    """
+    """Every alert with its predecessor's time (see :func:`alert_gaps`)."""
     gap_us = as_interval_micros(gap)
     others = [c for c in alerts.columns if c not in (*keys, EVENT_TIME, tie_col)]
-    rows = _with_cell(alerts, gap_us, keys).drop(EVENT_TIME)
-    in_cell = Window.partitionBy(*keys, "_cell")
-    rows = rows.withColumns({
-        "_prev_us": F.lag("_us").over(in_cell.orderBy("_us", tie_col)),
-        "_cell_last": F.max("_us").over(in_cell),
-    })
-    across = Window.partitionBy(*keys).orderBy("_cell")
-    cells = (rows.filter(F.col("_prev_us").isNull())
-             .select(*keys, "_cell", F.lag("_cell_last").over(across).alias("_prev_cell_us")))
-    p = F.coalesce(F.col("_prev_us"), F.col("_prev_cell_us"))
-    out = rows.join(cells, [*keys, "_cell"], "left").withColumn("_p", p)
+    rows = _with_cell(alerts, gap_us, keys).drop("_cell")
+    out = with_previous(sorted_runs(rows, keys, ["_us", tie_col], "alerts"), keys, "_us", "_p")
     return out.select(
-        *keys, tie_col, *others, from_epoch_micros("_us").alias(EVENT_TIME),
+        *keys, tie_col, *others, EVENT_TIME,
         F.when(F.col("_p").isNotNull(), from_epoch_micros("_p")).alias("prev_time"),
         ((F.col("_us") - F.col("_p")) / F.lit(1_000_000.0)).alias("time_diff"),
         (F.col("_p").isNull() | ((F.col("_us") - F.col("_p")) > F.lit(gap_us))).alias("_opens"),

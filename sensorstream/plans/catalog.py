@@ -1,7 +1,7 @@
 """Registered queries: one per operator, each over the whole ``events`` table.
 
-Readings are derived from ``events`` (see ``sources.fixtures``) and go through
-the real message path (JSON text -> parse) before the operator under test.
+Readings are derived from all columns of ``events`` (see ``sources.fixtures``)
+and go through the real message path (JSON bytes -> parse) before the operator under test.
 The 12 h horizon is anchored at the latest known-sensor reading instead of
 the wall clock so results are reproducible.
 """
@@ -23,13 +23,13 @@ from ..operators.incidents import (alert_gaps, incident_counts, incident_session
 from ..operators.state import (known_sensors, latest_per_sensor, latest_time, panel_humidity, panel_insects,
                                panel_motion, panel_temperature, panel_water, recent_window)
 from ..schema import ENRICHED_COLUMNS, EVENT_TIME, READING_COLUMNS
-from ..sources.fixtures import control_readings, events, raw_messages, readings_from_events
+from ..sources.fixtures import events, field_control, field_messages, field_readings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_readings(raw_messages(events(spark, sf_dir)), keep=("event_id",))
+    return parse_readings(field_messages(events(spark, sf_dir), binary=True), keep=("event_id",))
 
 
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,13 +148,13 @@ def q_archive_json(spark, d):
 
 
 def q_publish_roundtrip(spark, d):
-    msgs = reading_json(readings_from_events(events(spark, d)), key_col="event_id")
+    msgs = reading_json(field_readings(events(spark, d)), key_col="event_id")
     return parse_readings(msgs, keep=("key",), with_event_time=False).select(
         F.col("key").cast("long").alias("event_id"), *READING_COLUMNS)
 
 
 def q_control_state(spark, d):
-    return control_state(control_readings(events(spark, d)))
+    return control_state(field_control(events(spark, d)))
 
 
 def q_batch_count(spark, d):

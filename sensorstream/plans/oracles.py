@@ -1,13 +1,40 @@
 """DuckDB SQL equivalents of the catalog queries (correctness oracles).
 
-The SQL is generated from the same rule table as the Spark code, over the
+The SQL is generated from a rule table of its own, over the
 ``events`` view, and written independently of the Spark plans (window
 functions and a recursive CTE where Spark uses cell aggregates and segments).
 """
 
 from __future__ import annotations
 
-from ..rules import ACTUATORS, MOTION_SENSOR, PANEL_COLOURS, RULES, VALID_SENSORS, step_size
+from collections import namedtuple
+
+# Fixed values, stated here a second time so that a wrong constant in the library shows.
+_Rule = namedtuple("_Rule", "code label column op threshold message")
+RULES = [
+    _Rule("High_temperature", "Temp. Haute", "temperature", ">", 40.0, "Alerte ! Le détecteur '{sensor}' détecte une température trop haute."),
+    _Rule("Low_temperature", "Temp. Basse", "temperature", "<", 15.0, "Alerte ! Le détecteur '{sensor}' détecte une température trop faible."),
+    _Rule("Low_humidity", "Humidité Basse", "humidity", "<", 35.0, "Alerte ! Le détecteur '{sensor}' détecte une humidité trop faible."),
+    _Rule("High_humidity", "Humidité Haute", "humidity", ">", 75.0, "Alerte ! Le détecteur '{sensor}' détecte une humidité trop haute."),
+    _Rule("Low_Water_Quality", "Eau Mauvaise", "waterQuality", "<", 0.6, "Alerte ! Le détecteur '{sensor}' détecte une qualité de l'eau trop faible."),
+    _Rule("Insect_Detected", "Insectes", "insectPresence", "==", 1.0, "Alerte ! Le détecteur '{sensor}' détecte la présence d'un insecte."),
+    _Rule("Motion_Detected", "Mouvement", "motion", "==", 1.0, "Alerte ! Le détecteur '{sensor}' détecte du mouvement autour de lui."),
+]
+VALID_SENSORS = ["sensor_1", "sensor_2", "sensor_3", "sensor_4", "motion_sensor"]
+MOTION_SENSOR = "motion_sensor"
+PANEL_COLOURS = {
+    "temperature": ("#ff4d4d", "#3498db"), "humidity": ("#e67e22", "#2ecc71"), "waterQuality": ("#e74c3c", "#3498db"),
+    "motion": ("#c0392b", "#bdc3c7"), "insectPresence": ("#8e44ad", "#bdc3c7"),
+}
+ACTUATORS = {
+    "cooling": dict(start=(">", 40.0), stop=("<=", 30.0), duration=10),
+    "heating": dict(start=("<", 15.0), stop=(">=", 30.0), duration=10),
+    "humidifying": dict(start=("<", 35.0), stop=(">=", 55.0), duration=10),
+    "dehumidifying": dict(start=(">", 75.0), stop=("<=", 55.0), duration=10),
+    "purifying": dict(start=("<", 0.6), stop=(">=", 0.8), duration=10),
+}
+#: Command change per reading: the total change over the steps of 5 s in 10 s.
+STEPS = {"cooling": -5.0, "heating": 7.5, "humidifying": 10.0, "dehumidifying": -10.0, "purifying": 0.15}
 
 
 def _q(s: str) -> str:
@@ -20,26 +47,31 @@ def _cond(r) -> str:
 
 
 READINGS = """
+field AS (
+  SELECT event_id, user_id, k, cents, event_type,
+         CASE WHEN user_id % 53 = 7 THEN 'sensor_99' WHEN user_id % 6 <= 1 THEN 'sensor_1' WHEN user_id % 6 = 5 THEN 'motion_sensor'
+              ELSE concat('sensor_', CAST(user_id % 6 AS VARCHAR)) END AS sensor_id,
+         date_trunc('hour', ts) + INTERVAL 1 SECOND * k
+           + INTERVAL 1 MICROSECOND * (CASE WHEN event_type = 'view' THEN epoch_us(ts) % 1000000 ELSE 0 END) AS rts,
+         CAST(cents * 10 + k % 2 * 4 AS DOUBLE) / 1000::DOUBLE AS t,
+         CASE WHEN k % 10 <> 3 THEN CAST(cents * 7 % 10001 AS DOUBLE) / 100::DOUBLE END AS h,
+         CAST(k * 13 % 121 AS DOUBLE) / 100::DOUBLE AS w
+  FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, CAST(round("value" * 100) AS BIGINT) AS cents FROM events)
+),
 readings AS (
-  SELECT event_id, sensor_id, strftime(rts, '%Y-%m-%dT%H:%M:%S.%f') AS "timestamp",
-         CASE WHEN m THEN NULL ELSE CAST(1000 + (event_id * 7919) % 4001 AS DOUBLE) / 100::DOUBLE END AS temperature,
-         CASE WHEN m THEN NULL ELSE CAST(1000 + (event_id * 104729) % 8001 AS DOUBLE) / 100::DOUBLE END AS humidity,
-         CASE WHEN m THEN NULL ELSE CAST((event_id * 1299709) % 101 AS DOUBLE) / 100::DOUBLE END AS "waterQuality",
-         CASE WHEN m THEN NULL WHEN (k * 7 + i * 3) % 10 = 0 THEN 1::DOUBLE ELSE 0::DOUBLE END AS "insectPresence",
-         CASE WHEN m THEN CASE WHEN (k * 7 + i * 3) % 10 = 0 THEN 1::DOUBLE ELSE 0::DOUBLE END END AS motion, rts
-  FROM (SELECT event_id, event_id // 5 AS k, event_id % 5 AS i, event_id % 5 = 4 AS m,
-               CASE WHEN event_id % 53 = 7 THEN 'sensor_99' WHEN event_id % 5 = 4 THEN 'motion_sensor'
-                    ELSE concat('sensor_', CAST(event_id % 5 + 1 AS VARCHAR)) END AS sensor_id,
-               TIMESTAMP '2024-01-01 00:00:00' + INTERVAL 1 SECOND * (30 * (event_id // 5))
-                 + INTERVAL 250000 MICROSECOND AS rts
-        FROM events)
+  SELECT event_id, user_id, sensor_id,
+         CASE WHEN epoch_us(rts) % 1000000 = 0 THEN strftime(rts, '%Y-%m-%dT%H:%M:%S') ELSE strftime(rts, '%Y-%m-%dT%H:%M:%S.%f') END AS "timestamp",
+         CASE WHEN NOT m THEN t END AS temperature, CASE WHEN NOT m THEN h END AS humidity, CASE WHEN NOT m THEN w END AS "waterQuality",
+         CASE WHEN m THEN NULL WHEN event_type = 'error' THEN 1::DOUBLE ELSE 0::DOUBLE END AS "insectPresence",
+         CASE WHEN m THEN CASE WHEN event_type IN ('click', 'purchase') THEN 1::DOUBLE ELSE 0::DOUBLE END END AS motion, rts
+  FROM (SELECT *, sensor_id = 'motion_sensor' AS m FROM field)
 )"""
 
 _FIELDS = ["sensor_id", '"timestamp"', "temperature", "humidity", '"waterQuality"', '"insectPresence"', "motion"]
 
 PARSED = ",\nparsed AS (\n  SELECT event_id, " + ", ".join(
-    f"CASE WHEN event_id % 97 = 13 THEN NULL ELSE {f} END AS {f}" for f in _FIELDS
-) + ",\n  CASE WHEN event_id % 97 = 13 THEN NULL ELSE rts END AS event_time\n  FROM readings\n)"
+    f"CASE WHEN user_id % 97 = 13 THEN NULL ELSE {f} END AS {f}" for f in _FIELDS
+) + ",\n  CASE WHEN user_id % 97 = 13 THEN NULL ELSE rts END AS event_time\n  FROM readings\n)"
 
 _FIRST_CODE = "CASE " + " ".join(f"WHEN {_cond(r)} THEN {_q(r.code)}" for r in RULES) + " END"
 _FIRST_VALUE = "CASE " + " ".join(f'WHEN {_cond(r)} THEN CAST("{r.column}" AS VARCHAR)' for r in RULES) + " END"
@@ -109,12 +141,11 @@ def _binary_panel(col: str, motion: bool) -> str:
 
 def _control_sql() -> str:
     cool, heat, hum, dehum, pur = (ACTUATORS[n] for n in ("cooling", "heating", "humidifying", "dehumidifying", "purifying"))
-    return f"""WITH RECURSIVE r AS MATERIALIZED (
-  SELECT event_id, event_id % 4 + 1 AS s, 5 * (event_id // 4) AS t,
-         CAST(1000 + (event_id * 7919) % 4001 AS DOUBLE) / 100::DOUBLE AS T_,
-         CAST(1000 + (event_id * 104729) % 8001 AS DOUBLE) / 100::DOUBLE AS H_,
-         CAST((event_id * 1299709) % 101 AS DOUBLE) / 100::DOUBLE AS W_, event_id // 4 AS k
-  FROM events),
+    return f"""WITH RECURSIVE {READINGS.strip()},
+r AS MATERIALIZED (
+  SELECT event_id, user_id % 4 + 1 AS s, rts, epoch_us(rts) AS t, t AS T_, h AS H_, w AS W_,
+         row_number() OVER (PARTITION BY user_id % 4 ORDER BY rts, event_id) - 1 AS k
+  FROM field),
 c AS (
   SELECT -1::BIGINT AS event_id, s, -1::BIGINT AS k, false AS c, NULL::BIGINT AS ce, false AS h, NULL::BIGINT AS he,
          false AS u, NULL::BIGINT AS ue, false AS d, NULL::BIGINT AS de, false AS p, NULL::BIGINT AS pe
@@ -123,33 +154,33 @@ c AS (
   SELECT event_id, s, k,
          c1 AND NOT (T_ <= {cool['stop'][1]} OR t >= ce1), ce1,
          CASE WHEN c1 THEN h1 ELSE h1 AND NOT (T_ >= {heat['stop'][1]} OR t >= he1) END, he1,
-         u1 AND NOT (H_ >= {hum['stop'][1]} OR t >= ue1), ue1,
-         CASE WHEN u1 THEN d1 ELSE d1 AND NOT (H_ <= {dehum['stop'][1]} OR t >= de1) END, de1,
+         u1 AND NOT (coalesce(H_ >= {hum['stop'][1]}, false) OR t >= ue1), ue1,
+         CASE WHEN u1 THEN d1 ELSE d1 AND NOT (coalesce(H_ <= {dehum['stop'][1]}, false) OR t >= de1) END, de1,
          p1 AND NOT (W_ >= {pur['stop'][1]}::DOUBLE OR t >= pe1), pe1
   FROM (SELECT *,
           CASE WHEN hs THEN false ELSE c0 END AS c1, ce0 AS ce1,
-          CASE WHEN hs THEN true ELSE h0 END AS h1, CASE WHEN hs THEN t + {heat['duration']} ELSE he0 END AS he1,
+          CASE WHEN hs THEN true ELSE h0 END AS h1, CASE WHEN hs THEN t + {heat['duration']}000000 ELSE he0 END AS he1,
           CASE WHEN ds THEN false ELSE u0 END AS u1, ue0 AS ue1,
-          CASE WHEN ds THEN true ELSE d0 END AS d1, CASE WHEN ds THEN t + {dehum['duration']} ELSE de0 END AS de1,
+          CASE WHEN ds THEN true ELSE d0 END AS d1, CASE WHEN ds THEN t + {dehum['duration']}000000 ELSE de0 END AS de1,
           (p OR W_ < {pur['start'][1]}::DOUBLE) AS p1,
-          CASE WHEN W_ < {pur['start'][1]}::DOUBLE AND NOT p THEN t + {pur['duration']} ELSE pe END AS pe1
-        FROM (SELECT *, T_ < {heat['start'][1]} AND NOT h0 AS hs, H_ > {dehum['start'][1]} AND NOT d0 AS ds FROM (
+          CASE WHEN W_ < {pur['start'][1]}::DOUBLE AND NOT p THEN t + {pur['duration']}000000 ELSE pe END AS pe1
+        FROM (SELECT *, T_ < {heat['start'][1]} AND NOT h0 AS hs, coalesce(H_ > {dehum['start'][1]}, false) AND NOT d0 AS ds FROM (
           SELECT r.event_id, r.s, r.k, r.t, r.T_, r.H_, r.W_, c.p, c.pe,
                  (c.c OR r.T_ > {cool['start'][1]}) AS c0,
-                 CASE WHEN r.T_ > {cool['start'][1]} AND NOT c.c THEN r.t + {cool['duration']} ELSE c.ce END AS ce0,
+                 CASE WHEN r.T_ > {cool['start'][1]} AND NOT c.c THEN r.t + {cool['duration']}000000 ELSE c.ce END AS ce0,
                  CASE WHEN r.T_ > {cool['start'][1]} AND NOT c.c THEN false ELSE c.h END AS h0, c.he AS he0,
-                 (c.u OR r.H_ < {hum['start'][1]}) AS u0,
-                 CASE WHEN r.H_ < {hum['start'][1]} AND NOT c.u THEN r.t + {hum['duration']} ELSE c.ue END AS ue0,
-                 CASE WHEN r.H_ < {hum['start'][1]} AND NOT c.u THEN false ELSE c.d END AS d0, c.de AS de0
+                 (c.u OR coalesce(r.H_ < {hum['start'][1]}, false)) AS u0,
+                 CASE WHEN coalesce(r.H_ < {hum['start'][1]}, false) AND NOT c.u THEN r.t + {hum['duration']}000000 ELSE c.ue END AS ue0,
+                 CASE WHEN coalesce(r.H_ < {hum['start'][1]}, false) AND NOT c.u THEN false ELSE c.d END AS d0, c.de AS de0
           FROM c JOIN r ON r.s = c.s AND r.k = c.k + 1))))
 SELECT c.event_id, 'sensor_' || CAST(c.s AS VARCHAR) AS sensor_id,
-       TIMESTAMP '2024-01-01 00:00:00' + INTERVAL 1 SECOND * r.t AS event_time,
+       r.rts AS event_time,
        c.c AS cooling, c.h AS heating, c.u AS humidifying, c.d AS dehumidifying, c.p AS purifying,
-       CASE WHEN c.c THEN {step_size('cooling')}::DOUBLE
-            WHEN c.h THEN {step_size('heating')}::DOUBLE END AS temperature_command,
-       CASE WHEN c.u THEN {step_size('humidifying')}::DOUBLE
-            WHEN c.d THEN {step_size('dehumidifying')}::DOUBLE END AS humidity_command,
-       CASE WHEN c.p THEN {step_size('purifying')}::DOUBLE END AS water_command
+       CASE WHEN c.c THEN {STEPS['cooling']}::DOUBLE
+            WHEN c.h THEN {STEPS['heating']}::DOUBLE END AS temperature_command,
+       CASE WHEN c.u THEN {STEPS['humidifying']}::DOUBLE
+            WHEN c.d THEN {STEPS['dehumidifying']}::DOUBLE END AS humidity_command,
+       CASE WHEN c.p THEN {STEPS['purifying']}::DOUBLE END AS water_command
 FROM c JOIN r ON r.event_id = c.event_id
 WHERE c.event_id >= 0"""
 

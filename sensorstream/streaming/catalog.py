@@ -17,7 +17,7 @@ from ..plans.oracles import GAPS, KNOWN, _BASE, _exploded, _with, oracle_sql
 from ..operators.state import latest_time
 from ..schema import ENRICHED_COLUMNS
 from ..session import scratch_path
-from ..sources.fixtures import control_readings, raw_messages
+from ..sources.fixtures import field_control, field_messages
 from .control import control_state_stream
 from .jobs import (archive_stream, incident_sessions_stream, incidents_in_horizon, latest_state_stream,
                    read_latest_state, with_event_ts)
@@ -35,7 +35,7 @@ def _run(df: DataFrame, spark: SparkSession, name: str, mode: str = "append") ->
 
 def stream_archive(spark: SparkSession, d: str) -> DataFrame:
     out, ck = scratch_path(spark, "archive"), scratch_path(spark, "archive-checkpoint")
-    q = archive_stream(raw_messages(event_stream(spark, d)), fmt="parquet", target=out, checkpoint=ck, trigger=NOW)
+    q = archive_stream(field_messages(event_stream(spark, d)), fmt="parquet", target=out, checkpoint=ck, trigger=NOW)
     q.awaitTermination()
     back = parse_archive(spark.read.parquet(out)).withColumn("event_id", F.col("key").cast("long"))
     return back.select("event_id", *ENRICHED_COLUMNS)
@@ -43,13 +43,13 @@ def stream_archive(spark: SparkSession, d: str) -> DataFrame:
 
 def stream_latest_per_sensor(spark: SparkSession, d: str) -> DataFrame:
     path, ck = scratch_path(spark, "latest"), scratch_path(spark, "latest-checkpoint")
-    readings = parse_readings(raw_messages(event_stream(spark, d)), keep=("event_id",))
+    readings = parse_readings(field_messages(event_stream(spark, d)), keep=("event_id",))
     latest_state_stream(readings, path, ck, NOW).awaitTermination()
     return read_latest_state(spark, path).select(*batch.STATE_COLUMNS)
 
 
 def _stream_sessions(spark: SparkSession, d: str) -> DataFrame:
-    msgs = raw_messages(event_stream(spark, d)).unionByName(closing_stream(spark))
+    msgs = field_messages(event_stream(spark, d)).unionByName(closing_stream(spark))
     readings = with_event_ts(parse_readings(msgs, keep=("event_id",)))
     return _run(incident_sessions_stream(readings), spark, "sessions")
 
@@ -64,7 +64,7 @@ def stream_incident_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def stream_control_state(spark: SparkSession, d: str) -> DataFrame:
-    return _run(control_state_stream(control_readings(event_stream(spark, d))), spark, "control")
+    return _run(control_state_stream(field_control(event_stream(spark, d))), spark, "control")
 
 
 def stream_queries():

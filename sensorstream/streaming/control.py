@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.time import epoch_micros
-from ..operators.control import CHANNELS, OUTPUT_SCHEMA, replay_rows, tie_columns
+from ..operators.control import CHANNELS, OUTPUT_SCHEMA, named_ties, replay_rows, tie_columns
 from ..rules import MOTION_SENSOR
 from ..schema import EVENT_TIME
 
@@ -59,6 +59,7 @@ def control_state_stream(readings: DataFrame, tie_col: str | Sequence[str] = "ev
                 *[F.col(ch.measure).cast("double").alias(ch.measure) for ch in CHANNELS])
         .withColumn("_us", epoch_micros(EVENT_TIME))
     )
-    return base.groupBy("sensor_id").applyInPandasWithState(
+    out = base.groupBy("sensor_id").applyInPandasWithState(
         _advance, OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
     )
+    return named_ties(out, tie_col)

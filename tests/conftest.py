@@ -29,6 +29,14 @@ def spark():
     s.stop()
 
 
+@pytest.fixture
+def many_runs(spark):
+    """Small shuffles keep their partitions, so that sorted tables have several files."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 @pytest.fixture(scope="session")
 def con():
     from compare import duck

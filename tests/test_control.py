@@ -92,14 +92,59 @@ def _random_rows(seed, n=400):
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_matches_sequential_model_for_any_segment_width(spark, seed):
+def test_matches_sequential_model_for_any_segment_size(spark, many_runs, seed, monkeypatch):
+    from sensorstream.operators import control
+
     rows = _random_rows(seed)
     want = _sequential_model(rows)
     df = _readings(spark, rows)
-    for segment in ["7 seconds", "1 minute", "10 minutes", "1 day"]:
-        assert _flags(control_state(df, segment=segment)) == want, segment
-    # busy segments cut into 2^L parts must give the same answer
-    assert _flags(control_state(df, segment="1 day", max_rows_per_segment=7)) == want
+    assert _flags(control_state(df)) == want
+    monkeypatch.setattr(control, "GROUP", 4)  # three tiers of composed functions
+    for size in (3, 40):
+        assert _flags(control_state(df, max_rows_per_segment=size)) == want, size
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_composed_transfers_equal_one_after_the_other(seed):
+    from sensorstream.operators.control import CHANNELS, _Transfer, _transfer
+
+    rnd = random.Random(seed)
+    t, cut = 0, []
+    for _ in range(5):
+        times = []
+        for _ in range(rnd.randint(1, 9)):
+            t += rnd.choice([0, 400_000, 1_000_000, 3_000_000, 11_000_000])
+            times.append(t)
+        cut.append((times, [round(rnd.uniform(5, 50), 2) for _ in times]))
+    ch = CHANNELS[0]
+    parts = [_Transfer(_transfer(ch, *c)) for c in cut]
+    whole = parts[0]
+    for p in parts[1:]:
+        whole = whole.then(p)
+    first = cut[0][0][0]
+    for mode, end in [(0, None)] + [(m, first + d) for m in (1, 2) for d in range(-1_000_000, 10_000_000, 250_000)]:
+        one = (mode, end)
+        for p in parts:
+            one = p.at(*one)
+        assert whole.at(mode, end) == one
+
+
+def test_a_burst_in_one_instant_is_cut_by_rank(spark, many_runs, monkeypatch):
+    """Readings twenty times the limit at one time: no task gets more than the limit."""
+    from sensorstream.operators import control
+
+    limit, seen = 25, spark.sparkContext.accumulator(0)
+    whole = control._segment_transfers
+
+    def watched(key, pdf):
+        assert len(pdf) <= limit
+        seen.add(len(pdf))
+        return whole(key, pdf)
+
+    monkeypatch.setattr(control, "_segment_transfers", watched)
+    rows = [("sensor_1", 5.0, 20.0 + k % 30, 50.0, 0.7) for k in range(20 * limit)]
+    assert _flags(control_state(_readings(spark, rows), max_rows_per_segment=limit)) == _sequential_model(rows)
+    assert seen.value >= len(rows)
 
 
 @pytest.mark.parametrize("seed", [7, 8])
@@ -190,9 +235,9 @@ def test_two_column_tie_keeps_rows_from_other_partitions(spark):
     q = (control_state_stream(stream, tie_col=("partition", "offset")).writeStream.format("parquet")
          .option("checkpointLocation", ck).trigger(availableNow=True).start(out))
     q.awaitTermination()
-    got = sorted((r["event_time"], r["event_id"], r["cooling"]) for r in spark.read.parquet(out).collect())
-    want = sorted((r["event_time"], r["event_id"], r["cooling"]) for r in batch.collect())
-    assert len(got) == 3 and got == want
+    got = sorted((r["event_time"], r["partition"], r["offset"], r["cooling"]) for r in spark.read.parquet(out).collect())
+    want = sorted((r["event_time"], r["partition"], r["offset"], r["cooling"]) for r in batch.collect())
+    assert got == want and [g[1:3] for g in got] == [(0, 5), (0, 6), (1, 6)]  # rows can be joined back
 
 
 def test_transfer_is_linear_on_a_sensor_stuck_in_alarm():

@@ -3,12 +3,12 @@
 from pyspark.sql import functions as F
 
 from sensorstream.operators import control_state, first_alert, known_sensors, latest_per_sensor
-from sensorstream.sources import control_readings, readings_from_events
+from sensorstream.sources import control_readings, tick_readings
 
 
 def _typed(spark, sf):
     ev = spark.read.parquet(f"/root/testdata/sf{sf}/events.parquet")
-    return readings_from_events(ev).withColumn("event_time", F.col("rts")).drop("rts")
+    return tick_readings(ev).withColumn("event_time", F.col("rts")).drop("rts")
 
 
 def test_first_match_counts_sf0001(spark):

@@ -35,9 +35,9 @@ def test_incident_goldens_on_typed_readings(spark):
 
     from sensorstream.operators import (explode_alerts, incident_counts, known_sensors, latest_time,
                                         recent_window)
-    from sensorstream.sources import readings_from_events
+    from sensorstream.sources import tick_readings
 
-    typed = readings_from_events(spark.read.parquet(f"{SF_SMALL}/events.parquet")).withColumn("event_time", F.col("rts"))
+    typed = tick_readings(spark.read.parquet(f"{SF_SMALL}/events.parquet")).withColumn("event_time", F.col("rts"))
     known = known_sensors(typed)
     alerts = explode_alerts(recent_window(known, latest_time(known)))
     rows = {r["alert_type"]: r["n_incidents"] for r in incident_counts(alerts).collect()}

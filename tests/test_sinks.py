@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sensorstream.functions import parse_archive, parse_readings
 from sensorstream.operators import first_alert
 from sensorstream.session import scratch_path
-from sensorstream.sources import history, publish_readings, raw_messages, readings_from_events, write_archive
+from sensorstream.sources import history, publish_readings, raw_messages, tick_readings, write_archive
 from sensorstream.sources.readers import MESSAGE_SCHEMA
 from sensorstream.streaming import (incident_sessions_stream, rows_dropped_by_watermark, start_archive_and_history,
                                     stop_all, with_event_ts)
@@ -22,7 +22,7 @@ def _events(spark):
 
 def test_batch_publish_then_read_back(spark):
     out = scratch_path(spark, "publish")
-    publish_readings(readings_from_events(_events(spark)), fmt="json", target=out, key_col="event_id")
+    publish_readings(tick_readings(_events(spark)), fmt="json", target=out, key_col="event_id")
     msgs = spark.read.json(out, schema="key string, value string")
     parsed = parse_readings(msgs, keep=("key",))
     assert parsed.count() == 1000 and parsed.filter(F.col("sensor_id").isNull()).count() == 0
@@ -175,7 +175,7 @@ def test_streaming_history_partitioned_by_day(spark):
 def test_streaming_publish(spark):
     events_dir = scratch_path(spark, "pub-ev")
     _events(spark).write.mode("append").parquet(events_dir)
-    stream = readings_from_events(spark.readStream.schema(_events(spark).schema).parquet(events_dir))
+    stream = tick_readings(spark.readStream.schema(_events(spark).schema).parquet(events_dir))
     out, ck = scratch_path(spark, "pub-out"), scratch_path(spark, "pub-ck")
     q = publish_readings(stream, fmt="parquet", target=out, checkpoint=ck, trigger={"availableNow": True},
                          key_col="event_id")
