@@ -12,16 +12,22 @@ from pyspark.sql import functions as F
 
 from ..functions.jsonio import parse_archive
 from ..functions.parse import parse_readings
+from ..functions.time import as_interval_micros
 from ..plans import catalog as batch
 from ..plans.oracles import GAPS, KNOWN, _BASE, _exploded, _with, oracle_sql
 from ..operators.state import latest_time
-from ..schema import ENRICHED_COLUMNS
+from ..rules import INCIDENT_GAP
+from ..schema import ENRICHED_COLUMNS, EVENT_DATE, EVENT_TIME
 from ..session import scratch_path
-from ..sources.fixtures import field_control, field_messages
+from ..sources.fixtures import events, field_control, field_messages
+from ..sources.readers import MESSAGE_SCHEMA
+from ..sources.sinks import write_history
 from .control import control_state_stream
 from .jobs import (archive_stream, incident_sessions_stream, incidents_in_horizon, latest_state_stream,
-                   read_latest_state, with_event_ts)
-from .replay import closing_stream, event_stream
+                   read_latest_state, rolling_incident_counts_stream, watermark_of, with_event_ts)
+from .late import late_rows_stream, read_sessions, recount_late
+from .live import STATE_STORE, current_incidents, live_incidents
+from .replay import append_closing, closing_stream, event_stream, message_files
 
 NOW = {"availableNow": True}
 
@@ -63,6 +69,61 @@ def stream_incident_counts(spark: SparkSession, d: str) -> DataFrame:
     return incidents_in_horizon(sessions, as_of=latest_time(batch.known(spark, d)))
 
 
+def _message_stream(spark: SparkSession, d: str, closing: bool = False) -> DataFrame:
+    """All messages over several micro-batches, out of order; ``closing``: then two that end every window."""
+    path = message_files(field_messages(events(spark, d)))
+    if closing:
+        append_closing(spark, path)
+    return spark.readStream.schema(MESSAGE_SCHEMA).option("maxFilesPerTrigger", "1").parquet(path)
+
+
+#: The replayed files hold five days each and overlap: no row is older than this when it arrives.
+WIDE_DELAY = "10 days"
+
+
+def stream_open_incidents(spark: SparkSession, d: str) -> DataFrame:
+    """Every incident of the live change table after the last micro-batch, and whether it is open at the data's end."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    readings = with_event_ts(parse_readings(_message_stream(own, d), keep=("event_id",)), WIDE_DELAY)
+    path, ck = scratch_path(spark, "live"), scratch_path(spark, "live-checkpoint")
+    q = live_incidents(readings).writeStream.format("parquet").option("checkpointLocation", ck).trigger(**NOW).start(path)
+    q.awaitTermination()
+    found = current_incidents(spark.read.parquet(path))
+    end = F.timestamp_add("MICROSECOND", F.lit(-as_interval_micros(INCIDENT_GAP)), latest_time(batch.known(spark, d)))
+    return found.select("sensor_id", "alert_type", "start_time", "last_time", "n_alerts", (F.col("last_time") >= end).alias("is_open"))
+
+
+def stream_rolling_incident_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Incidents per alert type in 12 h windows, one starting every hour."""
+    readings = with_event_ts(parse_readings(_message_stream(spark, d, closing=True), keep=("event_id",)), WIDE_DELAY)
+    return _run(rolling_incident_counts_stream(readings), spark, "rolling-counts")
+
+
+def stream_late_sessions(spark: SparkSession, d: str) -> DataFrame:
+    """Incidents of a stream whose watermark drops late rows, corrected from the history.
+
+    The delay is an hour and files overlap by days, so a fifth of the rows is late.
+    """
+    root = scratch_path(spark, "late")
+    stream = _message_stream(spark, d)
+    readings = parse_readings(stream, keep=("event_id",))
+    delay = "1 hour"
+    queries = [
+        write_history(readings, f"{root}/history", checkpoint=f"{root}/ck/history", trigger=NOW, partition_by=(EVENT_DATE,)),
+        late_rows_stream(readings, f"{root}/late", f"{root}/ck/late", delay, NOW),
+        incident_sessions_stream(with_event_ts(readings, delay)).writeStream.format("parquet").option("checkpointLocation", f"{root}/ck/sessions").trigger(**NOW).start(f"{root}/sessions"),
+    ]
+    for q in queries:
+        q.awaitTermination()
+    history = spark.read.parquet(f"{root}/history")
+    # what the stream had not closed when it ended is as good as late
+    rest = history.where(F.col(EVENT_TIME) >= F.lit(watermark_of(queries[2])).cast("timestamp_ntz") - F.expr("interval 1 day"))
+    rest.drop(EVENT_DATE).write.parquet(f"{root}/late/rows/epoch={2 ** 40}")
+    recount_late(spark, history, f"{root}/late", f"{root}/sessions", f"{root}/corrections")
+    return read_sessions(spark, f"{root}/sessions", f"{root}/corrections")
+
+
 def stream_control_state(spark: SparkSession, d: str) -> DataFrame:
     return _run(control_state_stream(field_control(event_stream(spark, d))), spark, "control")
 
@@ -73,6 +134,9 @@ def stream_queries():
         "stream_latest_per_sensor": stream_latest_per_sensor,
         "stream_incident_sessions": stream_incident_sessions,
         "stream_incident_counts": stream_incident_counts,
+        "stream_open_incidents": stream_open_incidents,
+        "stream_late_sessions": stream_late_sessions,
+        "stream_rolling_incident_counts": stream_rolling_incident_counts,
         "stream_control_state": stream_control_state,
     }
 
@@ -89,5 +153,13 @@ FROM s GROUP BY sensor_id, alert_type, sid"""
         "stream_latest_per_sensor": sql["latest_per_sensor"],
         "stream_incident_sessions": whole,
         "stream_incident_counts": sql["incident_counts"],
+        "stream_open_incidents": whole.replace("count(*) AS n_alerts", "count(*) AS n_alerts,\n"
+                                               "       max(event_time) >= (SELECT max(event_time) FROM known) - INTERVAL 60 SECOND AS is_open"),
+        "stream_late_sessions": whole,
+        "stream_rolling_incident_counts": f"""WITH incident AS ({whole}),
+ended AS (SELECT alert_type, last_time + INTERVAL 60 SECOND - INTERVAL 1 MICROSECOND AS e FROM incident),
+held AS (SELECT alert_type, date_trunc('hour', e) - INTERVAL 1 HOUR * k AS window_start FROM ended, range(12) hours(k))
+SELECT window_start, window_start + INTERVAL 12 HOUR AS window_end, alert_type, count(*) AS n_incidents
+FROM held GROUP BY window_start, alert_type""",
         "stream_control_state": sql["control_state"],
     }

@@ -20,7 +20,7 @@ from ..functions.time import from_instant, to_instant
 from ..operators.alerts import explode_alerts, first_alert
 from ..operators.incidents import incidents_in_horizon  # noqa: F401  (re-exported)
 from ..operators.state import known_sensors, latest_per_sensor
-from ..rules import INCIDENT_GAP, VALID_SENSORS
+from ..rules import ALERT_HORIZON, INCIDENT_GAP, VALID_SENSORS
 from ..schema import EVENT_DATE, EVENT_TIME
 from ..sources.config import ARCHIVE_TOPIC
 from ..sources.sinks import write_archive, write_history
@@ -162,12 +162,33 @@ def incident_sessions_stream(readings: DataFrame, gap: str = INCIDENT_GAP, senso
     A session is emitted once the watermark passes its end (last alert + gap);
     state holds only open sessions.
     """
+    return _sessions(readings, gap, sensors).select(
+        "sensor_id", "alert_type", from_instant("_start").alias("start_time"), from_instant("_last").alias("last_time"), "n_alerts")
+
+
+def _sessions(readings: DataFrame, gap: str, sensors) -> DataFrame:
     alerts = explode_alerts(known_sensors(readings, sensors))
     return (
         alerts.groupBy(F.session_window(EVENT_TS, gap).alias("w"), "sensor_id", "alert_type")
         .agg(F.min(EVENT_TS).alias("_start"), F.max(EVENT_TS).alias("_last"), F.count(F.lit(1)).alias("n_alerts"))
-        .select("sensor_id", "alert_type", from_instant("_start").alias("start_time"),
-                from_instant("_last").alias("last_time"), "n_alerts")
+    )
+
+
+def rolling_incident_counts_stream(readings: DataFrame, gap: str = INCIDENT_GAP, horizon: str = ALERT_HORIZON, every: str = "1 hour",
+                                   sensors=VALID_SENSORS) -> DataFrame:
+    """Incidents per alert type in windows of ``horizon``, one starting each ``every``, append mode.
+
+    Two chained stateful operators on one watermark: session windows, then
+    their count by the window that holds their end (last alert + gap). State:
+    open incidents and one counter per alert type and open window; the second
+    operator pre-aggregates in each task, so a busy sensor sends counters.
+    ``readings`` must carry a watermark on ``event_ts``; a window is emitted
+    once the watermark passes its end.
+    """
+    ends = _sessions(readings, gap, sensors).select("alert_type", F.window_time("w").alias("_end"))
+    return (
+        ends.groupBy(F.window("_end", horizon, every).alias("h"), "alert_type").agg(F.count(F.lit(1)).alias("n_incidents"))
+        .select(from_instant("h.start").alias("window_start"), from_instant("h.end").alias("window_end"), "alert_type", "n_incidents")
     )
 
 
@@ -205,6 +226,13 @@ def stop_all(queries) -> None:
         raise errors[0]
 
 
+def watermark_of(query: StreamingQuery) -> str | None:
+    """The event-time watermark of the query's last micro-batch (ISO text without a zone), None before the first."""
+    progress = query.lastProgress
+    mark = (progress["eventTime"] if progress else {}).get("watermark")
+    return mark.rstrip("Z") if mark else None
+
+
 def rows_dropped_by_watermark(query: StreamingQuery) -> int:
     """Rows that stateful operators discarded as too late (recent progress)."""
     return sum(op.get("numRowsDroppedByWatermark", 0) or 0

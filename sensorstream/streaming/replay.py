@@ -5,7 +5,9 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..operators.runs import written
 from ..session import scratch_path
 from ..sources.readers import MESSAGE_SCHEMA
 
@@ -28,6 +30,25 @@ def event_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None)
     return reader.parquet(f"{sf_dir.rstrip('/')}/event[s].parquet")
 
 
+def message_files(messages: DataFrame, parts: int = 6) -> str:
+    """Messages written as ``parts`` files that arrive one per micro-batch, and their folder.
+
+    Files follow the order of ``event_id``; every fifth message comes one file
+    late, so each file but the first overlaps the one before it. Rows equal in
+    number a file, whatever the table's size.
+    """
+    spark = messages.sparkSession
+    path = scratch_path(spark, "message-files")
+    messages = written(messages, "messages")
+    lo, hi = messages.agg(F.min("event_id"), F.max("event_id")).first()
+    width = max(1, -(-((hi or 0) - (lo or 0) + 1) // parts))
+    part = F.expr(f"(event_id - {lo or 0}L) div {width}") + F.when(F.col("event_id") % 5 == 0, 1).otherwise(0)
+    rows = messages.withColumn("_part", F.least(part, F.lit(parts - 1)))
+    for k in range(parts):  # one write after the other: the file source takes files by their time
+        rows.where(F.col("_part") == k).drop("_part").coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
 def append_closing(spark: SparkSession, path: str) -> None:
     """Append two closing-message files to a message folder (after its data).
 

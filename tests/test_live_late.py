@@ -1,0 +1,182 @@
+"""Live incidents and late rows: several micro-batches, out of order, without a closing message."""
+
+import datetime as dt
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from sensorstream.functions import parse_readings
+from sensorstream.session import scratch_path
+from sensorstream.sources import write_history
+from sensorstream.sources.readers import MESSAGE_SCHEMA
+from sensorstream.streaming import (current_incidents, incident_sessions_stream, late_rows_stream, live_incidents,
+                                    open_incidents, read_sessions, recount_late, with_event_ts)
+from sensorstream.streaming.live import STATE_STORE, OpenIncidents
+
+T0 = dt.datetime(2024, 1, 1)
+NOW = {"availableNow": True}
+
+
+def _merged(times, gap):
+    """start -> (last, count) of sorted times merged while gaps stay within ``gap``."""
+    out, start, last = {}, None, None
+    for t in sorted(times):
+        if start is None or t - last > gap:
+            start = t
+            out[start] = [t, 0]
+        out[start][0], out[start][1], last = t, out[start][1] + 1, t
+    return out
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_open_incidents_merge_in_any_order(seed):
+    rnd = random.Random(seed)
+    times = [rnd.randrange(0, 400) for _ in range(40)]
+    state, shown = OpenIncidents(10, {}), {}
+    for k in range(0, 40, 8):
+        before = {s: list(v) for s, v in state.rows.items()}
+        state = OpenIncidents(10, before)
+        for t in times[k : k + 8]:
+            state.add(t)
+        assert state.rows == _merged(times[: k + 8], 10)
+        # the changes alone give the same table
+        for s in state.gone:
+            assert state.merged_into(s) in state.rows and s not in state.rows
+            shown.pop(s, None)
+        shown.update({s: state.rows[s] for s in state.touched})
+        assert shown == state.rows
+
+
+def _files(spark, batches):
+    """One message file per batch of (sensor, seconds)."""
+    path, n = scratch_path(spark, "messages"), 0
+    for batch in batches:
+        rows = []
+        for sensor, seconds in batch:
+            at = (T0 + dt.timedelta(seconds=seconds)).isoformat()
+            rows.append((n, json.dumps({"sensor_id": sensor, "timestamp": at, "temperature": 45.0, "humidity": 50.0, "waterQuality": 0.9, "insectPresence": 0.0})))
+            n += 1
+        spark.createDataFrame(rows, MESSAGE_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def _stream(spark, path):
+    return parse_readings(spark.readStream.schema(MESSAGE_SCHEMA).option("maxFilesPerTrigger", "1").parquet(path), keep=("event_id",))
+
+
+@pytest.fixture
+def rocks(spark):
+    own = spark.newSession()
+    own.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    return own
+
+
+def test_live_incidents_open_extend_merge_and_close(rocks):
+    """Five micro-batches; the watermark is one minute behind."""
+    batches = [
+        [("sensor_1", 0), ("sensor_2", 0)],
+        [("sensor_1", 110), ("sensor_1", 150)],  # more than 60 s after 0: another incident
+        [("sensor_1", 55)],  # within 60 s of both: they are one
+        [("sensor_1", 170), ("sensor_1", 600)],
+        [("sensor_1", 610)],
+        [("sensor_1", 615)],
+    ]
+    out, ck = scratch_path(rocks, "live"), scratch_path(rocks, "live-ck")
+    changes = live_incidents(with_event_ts(_stream(rocks, _files(rocks, batches)), "60 seconds"))
+    changes.writeStream.format("parquet").option("checkpointLocation", ck).trigger(**NOW).start(out).awaitTermination()
+    log = rocks.read.parquet(out)
+    at = lambda t: None if t is None else (t - T0).total_seconds()
+    got = [(at(r["start_time"]), at(r["last_time"]), r["n_alerts"], r["status"], at(r["into"])) for r in log.where("sensor_id = 'sensor_1'").orderBy("version", "start_time").collect()]
+    assert got == [
+        (0, 0, 1, "opened", None), (110, 150, 2, "opened", None), (0, 150, 4, "extended", None), (110, 150, 2, "merged", 0),
+        (0, 170, 5, "extended", None), (600, 600, 1, "opened", None), (600, 610, 2, "extended", None), (0, 170, 5, "closed", None), (600, 615, 3, "extended", None),
+    ]
+    now = {(r["sensor_id"], at(r["start_time"])): (at(r["last_time"]), r["n_alerts"], r["status"]) for r in current_incidents(log).collect()}
+    assert now[("sensor_1", 0)] == (170, 5, "closed") and now[("sensor_1", 600)][:2] == (615, 3) and now[("sensor_2", 0)] == (0, 1, "closed")
+    still = open_incidents(log, F.lit("2024-01-01T00:11:00").cast("timestamp_ntz")).collect()
+    assert [(r["sensor_id"], at(r["start_time"])) for r in still] == [("sensor_1", 600)]
+
+
+def test_live_incidents_restart_keeps_open_ones(rocks):
+    path = _files(rocks, [[("sensor_1", 0)], [("sensor_1", 30)]])
+    out, ck = scratch_path(rocks, "live"), scratch_path(rocks, "live-ck")
+
+    def run():
+        changes = live_incidents(with_event_ts(_stream(rocks, path), "10 minutes"))
+        changes.writeStream.format("parquet").option("checkpointLocation", ck).trigger(**NOW).start(out).awaitTermination()
+
+    run()
+    rows = [(9, json.dumps({"sensor_id": "sensor_1", "timestamp": (T0 + dt.timedelta(seconds=70)).isoformat(), "temperature": 45.0}))]
+    rocks.createDataFrame(rows, MESSAGE_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    run()
+    r = current_incidents(rocks.read.parquet(out)).collect()
+    assert [(x["n_alerts"], x["last_time"]) for x in r] == [(3, T0 + dt.timedelta(seconds=70))]
+
+
+def test_live_incidents_refuse_another_state_store(spark):
+    with pytest.raises(ValueError, match="RocksDB"):
+        live_incidents(with_event_ts(_stream(spark, _files(spark, [[("sensor_1", 0)]]))))
+
+
+DAY = 86_400
+
+
+def _run_all(spark, root, path, delay):
+    readings = _stream(spark, path)
+    for q in (
+        write_history(readings, f"{root}/history", checkpoint=f"{root}/ck/h", trigger=NOW, partition_by=("event_date",)),
+        late_rows_stream(readings, f"{root}/late", f"{root}/ck/l", delay, NOW),
+        incident_sessions_stream(with_event_ts(readings, delay)).writeStream.format("parquet").option("checkpointLocation", f"{root}/ck/s").trigger(**NOW).start(f"{root}/sessions"),
+    ):
+        q.awaitTermination()
+    return spark.read.parquet(f"{root}/history")
+
+
+def _table(frame):
+    return sorted(((r["sensor_id"], (r["start_time"] - T0).total_seconds(), (r["last_time"] - T0).total_seconds(), r["n_alerts"]) for r in frame.collect()))
+
+
+def _wanted(batches, until=None):
+    keys = {}
+    for batch in batches:
+        for sensor, t in batch:
+            keys.setdefault(sensor, []).append(t)
+    return sorted((k, s, last, n) for k, times in keys.items() for s, (last, n) in _merged(times, 60).items() if until is None or last < until)
+
+
+def test_late_rows_are_counted_again_and_only_where_they_fall(spark):
+    rnd = random.Random(4)
+    base = [[("sensor_1" if rnd.random() < 0.7 else "sensor_2", day * DAY + rnd.randrange(0, DAY) // 40 * 40) for _ in range(60)] for day in range(6)]
+    end = [("sensor_1", 20 * DAY), ("sensor_2", 20 * DAY)]
+    # late by days: between known alerts, bridging midnight, before all others, and twice the same
+    late = [("sensor_1", base[1][0][1] + 30), ("sensor_1", 2 * DAY - 20), ("sensor_1", 2 * DAY + 20), ("sensor_1", -50), ("sensor_1", -50)]
+    batches = [*base, late, end, end]
+    root = scratch_path(spark, "late")
+    history = _run_all(spark, root, _files(spark, batches), "1 hour")
+    assert history.count() == sum(map(len, batches))  # nothing is lost
+    closed = _wanted(batches, until=10 * DAY)
+    missing = spark.read.parquet(f"{root}/sessions")
+    assert _table(missing) != closed
+    args = (f"{root}/late", f"{root}/sessions", f"{root}/corrections")
+    ranges = recount_late(spark, history, *args, closed_before="2024-01-15T00:00:00").collect()
+    got = read_sessions(spark, *args[1:])
+    assert _table(got) == closed
+    # only the late rows' days, widened by the gap and to whole incidents
+    days = {T0.date() + dt.timedelta(seconds=t) // dt.timedelta(days=1) * dt.timedelta(days=1) for s, t in late}
+    assert all({(r["lo"] + dt.timedelta(days=d)).date() for d in range((r["hi"] - r["lo"]).days + 1)} & days for r in ranges)
+    assert {r["sensor_id"] for r in ranges} <= {"sensor_1", "sensor_2"} and sum((r["hi"] - r["lo"]).total_seconds() for r in ranges) < 20 * DAY
+    n = spark.read.parquet(args[2]).count()
+    recount_late(spark, history, *args, closed_before="2024-01-15T00:00:00")
+    assert spark.read.parquet(args[2]).count() == n and _table(read_sessions(spark, *args[1:])) == closed
+
+
+def test_a_day_that_is_not_over_waits_for_a_later_recount(spark):
+    batches = [[("sensor_1", 0)], [("sensor_1", 5 * DAY)], [("sensor_1", 40), ("sensor_1", 5 * DAY + 30)], [("sensor_1", 9 * DAY)], [("sensor_1", 9 * DAY)]]
+    root = scratch_path(spark, "late")
+    history = _run_all(spark, root, _files(spark, batches), "1 hour")
+    args = (f"{root}/late", f"{root}/sessions", f"{root}/corrections")
+    assert recount_late(spark, history, *args, closed_before="2024-01-01T12:00:00").count() == 0
+    assert recount_late(spark, history, *args, closed_before="2024-01-08T00:00:00").count() >= 1
+    assert _table(read_sessions(spark, *args[1:])) == _wanted(batches, until=9 * DAY)
