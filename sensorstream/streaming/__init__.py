@@ -7,6 +7,7 @@ from .jobs import (archive_stream, compact_latest_state, incident_sessions_strea
                    start_dashboard_job, stop_all, watermark_of, with_event_ts)
 from .late import late_rows_stream, read_sessions, recount_late
 from .live import current_incidents, live_incidents, open_incidents
+from .metrics import RunMetrics, counted, run_totals
 from .replay import append_closing, closing_stream, event_stream, message_files
 
 __all__ = [
@@ -14,5 +15,5 @@ __all__ = [
     "incidents_in_horizon", "latest_state_stream", "read_latest_state", "refresh_latest_state", "rolling_incident_counts_stream", "rows_dropped_by_watermark",
     "start_archive_and_history", "start_dashboard_job", "stop_all", "watermark_of", "with_event_ts",
     "append_closing", "closing_stream", "current_incidents", "event_stream", "late_rows_stream", "live_incidents",
-    "message_files", "open_incidents", "read_sessions", "recount_late",
+    "RunMetrics", "counted", "message_files", "open_incidents", "read_sessions", "recount_late", "run_totals",
 ]

@@ -27,6 +27,7 @@ from .jobs import (archive_stream, incident_sessions_stream, incidents_in_horizo
                    read_latest_state, rolling_incident_counts_stream, watermark_of, with_event_ts)
 from .late import late_rows_stream, read_sessions, recount_late
 from .live import STATE_STORE, current_incidents, live_incidents
+from .metrics import RunMetrics, counted, run_totals
 from .replay import append_closing, closing_stream, event_stream, message_files
 
 NOW = {"availableNow": True}
@@ -124,6 +125,21 @@ def stream_late_sessions(spark: SparkSession, d: str) -> DataFrame:
     return read_sessions(spark, f"{root}/sessions", f"{root}/corrections")
 
 
+def stream_run_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of the archive stream over its whole run, counted on the write itself."""
+    listener = RunMetrics()
+    spark.streams.addListener(listener)
+    try:
+        rows = counted(parse_readings(_message_stream(spark, d), keep=("event_id",)))
+        q = rows.writeStream.format("parquet").option("checkpointLocation", scratch_path(spark, "metrics-checkpoint")).trigger(**NOW).start(scratch_path(spark, "metrics"))
+        q.awaitTermination()
+        listener.wait_for(q)
+        found = run_totals(listener.table(spark).where(F.col("query") == str(q.id)))
+    finally:
+        spark.streams.removeListener(listener)
+    return found.select("rows_in", "rows_written", "rows_dropped")
+
+
 def stream_control_state(spark: SparkSession, d: str) -> DataFrame:
     return _run(control_state_stream(field_control(event_stream(spark, d))), spark, "control")
 
@@ -137,6 +153,7 @@ def stream_queries():
         "stream_open_incidents": stream_open_incidents,
         "stream_late_sessions": stream_late_sessions,
         "stream_rolling_incident_counts": stream_rolling_incident_counts,
+        "stream_run_metrics": stream_run_metrics,
         "stream_control_state": stream_control_state,
     }
 
@@ -161,5 +178,6 @@ ended AS (SELECT alert_type, last_time + INTERVAL 60 SECOND - INTERVAL 1 MICROSE
 held AS (SELECT alert_type, date_trunc('hour', e) - INTERVAL 1 HOUR * k AS window_start FROM ended, range(12) hours(k))
 SELECT window_start, window_start + INTERVAL 12 HOUR AS window_end, alert_type, count(*) AS n_incidents
 FROM held GROUP BY window_start, alert_type""",
+        "stream_run_metrics": "SELECT count(*) AS rows_in, count(*) AS rows_written, 0::BIGINT AS rows_dropped FROM events",
         "stream_control_state": sql["control_state"],
     }

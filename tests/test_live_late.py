@@ -180,3 +180,36 @@ def test_a_day_that_is_not_over_waits_for_a_later_recount(spark):
     assert recount_late(spark, history, *args, closed_before="2024-01-01T12:00:00").count() == 0
     assert recount_late(spark, history, *args, closed_before="2024-01-08T00:00:00").count() >= 1
     assert _table(read_sessions(spark, *args[1:])) == _wanted(batches, until=9 * DAY)
+
+
+def test_run_metrics_are_exact_over_many_batches_and_a_restart(spark):
+    """More micro-batches than recent progress keeps, some with late rows."""
+    from sensorstream.streaming import RunMetrics, counted, run_totals
+
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
+    listener = RunMetrics()
+    spark.streams.addListener(listener)
+    try:
+        batches = [[("sensor_1", k * DAY), ("sensor_2", k * DAY)] + ([("sensor_1", (k - 4) * DAY + 7)] if k in (5, 6, 9) else []) for k in range(8)]
+        path, saved = _files(spark, batches), scratch_path(spark, "run-metrics") + "/table"
+        root = scratch_path(spark, "metrics")
+
+        def run():
+            sessions = incident_sessions_stream(with_event_ts(_stream(spark, path), "1 hour"))
+            q = counted(sessions).writeStream.format("parquet").option("checkpointLocation", f"{root}/ck").trigger(**NOW).start(f"{root}/out")
+            q.awaitTermination()
+            listener.wait_for(q)
+            assert len(q.recentProgress) <= 3
+            listener.save(spark, saved)
+            return str(q.id)
+
+        query = run()
+        more = spark.read.schema(MESSAGE_SCHEMA).parquet(_files(spark, [[("sensor_1", 9 * DAY), ("sensor_1", 2 * DAY)]]))
+        more.coalesce(1).write.mode("append").parquet(path)
+        assert run() == query
+    finally:
+        spark.streams.removeListener(listener)
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    r = run_totals(spark.read.parquet(saved)).where(F.col("query") == query).collect()[0]
+    assert (r["rows_in"], r["rows_dropped"]) == (20, 3)
+    assert r["rows_written"] == spark.read.parquet(f"{root}/out").count() and r["n_batches"] >= 9
