@@ -109,11 +109,11 @@ def _write_panels(spark: SparkSession, args) -> None:
     days' partitions), so open ones and late rows count too."""
     from .operators import known_sensors, latest_time
     from .plans import dashboard, write_dashboard
-    from .streaming.jobs import refresh_latest_state
+    from .streaming.snapshots import refresh_state
 
     if not args.root:
         raise SystemExit("--root is required")
-    state = refresh_latest_state(spark, f"{args.root}/latest", f"{args.root}/latest-snapshots")
+    state = refresh_state(spark, f"{args.root}/latest", f"{args.root}/latest-snapshots")
     readings = spark.read.parquet(f"{args.root}/history")
     as_of = latest_time(known_sensors(readings)) if args.as_of == "data" else None
     write_dashboard(dashboard(readings, as_of, state=state), args.out or f"{args.root}/panels")

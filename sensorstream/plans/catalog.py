@@ -21,9 +21,11 @@ from ..operators.control import control_state
 from ..operators.incidents import (alert_gaps, incident_counts, incident_sessions, incident_starts,
                                    incident_total, incidents_in_horizon)
 from ..operators.state import (known_sensors, latest_per_sensor, latest_time, panel_humidity, panel_insects,
-                               panel_motion, panel_temperature, panel_water, recent_window)
+                               panel_motion, panel_temperature, panel_water)
 from ..schema import ENRICHED_COLUMNS, EVENT_TIME, READING_COLUMNS
+from ..session import scratch_path
 from ..sources.fixtures import events, field_control, field_messages, field_readings
+from ..sources.manifest import append_history, recent_history
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,8 +43,10 @@ def known(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def recent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = known(spark, sf_dir)
-    return recent_window(k, as_of=latest_time(k))
+    # parsed once, into a stored history; the horizon's end comes from its manifest
+    root = scratch_path(spark, "history")
+    append_history(parsed(spark, sf_dir), root)
+    return recent_history(spark, root)
 
 
 def recent_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:

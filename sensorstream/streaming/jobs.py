@@ -7,10 +7,8 @@ an optional trigger; tests use ``{"availableNow": True}``.
 from __future__ import annotations
 
 import json
-import time
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -24,6 +22,7 @@ from ..rules import ALERT_HORIZON, INCIDENT_GAP, VALID_SENSORS
 from ..schema import EVENT_DATE, EVENT_TIME
 from ..sources.config import ARCHIVE_TOPIC
 from ..sources.sinks import write_archive, write_history
+from .snapshots import refresh_state
 
 EVENT_TS = "event_ts"  # event time as TIMESTAMP: watermarks reject TIMESTAMP_NTZ
 DEFAULT_DELAY = "10 minutes"  # >= expected lateness + incident gap
@@ -139,20 +138,11 @@ def compact_latest_state(spark: SparkSession, path: str, snapshot: str, previous
 
 def refresh_latest_state(spark: SparkSession, path: str, snapshots: str,
                          tie_col: str | Sequence[str] | None = None) -> DataFrame:
-    """Current state, compacted on the way: a new snapshot is written under
+    """Current state, compacted on the way: a new version is written under
     ``snapshots`` from the newest one there and the epochs after it, so each
-    refresh reads only what changed since the last. Returns the snapshot."""
-    previous = None
-    try:
-        known = spark.read.parquet(snapshots)
-        last = known.agg(F.max("at")).first()[0]
-        previous = known.filter(F.col("at") == last).drop("at") if last is not None else None
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-    target = f"{snapshots}/at={time.time_ns()}"
-    _newest(_change_log(spark, path, previous), tie_col).write.parquet(target)
-    return spark.read.parquet(target).drop("run", "epoch")
+    refresh reads only what changed since the last. Nothing expires (see
+    :func:`snapshots.refresh_state`). Returns the new version."""
+    return refresh_state(spark, path, snapshots, tie_col, expire=False)
 
 
 def incident_sessions_stream(readings: DataFrame, gap: str = INCIDENT_GAP, sensors=VALID_SENSORS) -> DataFrame:
