@@ -1,8 +1,9 @@
 """Streaming queries for the driver catalog.
 
 Each one replays ``events`` through a streaming query with an
-``availableNow`` trigger into a table under the checkpoint root, then returns
-that table; results must equal the batch twins (same DuckDB oracles).
+``availableNow`` trigger, six or more files out of order and one per
+micro-batch, into a table under the checkpoint root, then returns that table;
+results must equal the batch twins (same DuckDB oracles).
 """
 
 from __future__ import annotations
@@ -28,11 +29,23 @@ from .jobs import (archive_stream, incident_sessions_stream, incidents_in_horizo
 from .late import late_rows_stream, read_sessions, recount_late
 from .live import STATE_STORE, current_incidents, live_incidents
 from .metrics import RunMetrics, counted, run_totals
-from .replay import append_closing, closing_stream, event_stream, message_files
+from .replay import append_closing, message_files, time_files
 
 NOW = {"availableNow": True}
 
 
+#: The replayed files hold five days each and overlap: no row is older than this when it arrives.
+WIDE_DELAY = "10 days"
+
+
+def _message_stream(spark: SparkSession, d: str, closing: bool = False) -> DataFrame:
+    """All messages over several micro-batches, out of order; ``closing``: then two that end every window."""
+    path = message_files(field_messages(events(spark, d)))
+    if closing:
+        append_closing(spark, path)
+    return spark.readStream.schema(MESSAGE_SCHEMA).option("maxFilesPerTrigger", "1").parquet(path)
+
+
 def _run(df: DataFrame, spark: SparkSession, name: str, mode: str = "append") -> DataFrame:
     out, ck = scratch_path(spark, name), scratch_path(spark, f"{name}-checkpoint")
     q = df.writeStream.format("parquet").option("checkpointLocation", ck).outputMode(mode).trigger(**NOW).start(out)
@@ -42,7 +55,7 @@ def _run(df: DataFrame, spark: SparkSession, name: str, mode: str = "append") ->
 
 def stream_archive(spark: SparkSession, d: str) -> DataFrame:
     out, ck = scratch_path(spark, "archive"), scratch_path(spark, "archive-checkpoint")
-    q = archive_stream(field_messages(event_stream(spark, d)), fmt="parquet", target=out, checkpoint=ck, trigger=NOW)
+    q = archive_stream(_message_stream(spark, d), fmt="parquet", target=out, checkpoint=ck, trigger=NOW)
     q.awaitTermination()
     back = parse_archive(spark.read.parquet(out)).withColumn("event_id", F.col("key").cast("long"))
     return back.select("event_id", *ENRICHED_COLUMNS)
@@ -50,14 +63,13 @@ def stream_archive(spark: SparkSession, d: str) -> DataFrame:
 
 def stream_latest_per_sensor(spark: SparkSession, d: str) -> DataFrame:
     path, ck = scratch_path(spark, "latest"), scratch_path(spark, "latest-checkpoint")
-    readings = parse_readings(field_messages(event_stream(spark, d)), keep=("event_id",))
+    readings = parse_readings(_message_stream(spark, d), keep=("event_id",))
     latest_state_stream(readings, path, ck, NOW).awaitTermination()
     return read_latest_state(spark, path).select(*batch.STATE_COLUMNS)
 
 
 def _stream_sessions(spark: SparkSession, d: str) -> DataFrame:
-    msgs = field_messages(event_stream(spark, d)).unionByName(closing_stream(spark))
-    readings = with_event_ts(parse_readings(msgs, keep=("event_id",)))
+    readings = with_event_ts(parse_readings(_message_stream(spark, d, closing=True), keep=("event_id",)), WIDE_DELAY)
     return _run(incident_sessions_stream(readings), spark, "sessions")
 
 
@@ -70,18 +82,6 @@ def stream_incident_counts(spark: SparkSession, d: str) -> DataFrame:
     return incidents_in_horizon(sessions, as_of=latest_time(batch.known(spark, d)))
 
 
-def _message_stream(spark: SparkSession, d: str, closing: bool = False) -> DataFrame:
-    """All messages over several micro-batches, out of order; ``closing``: then two that end every window."""
-    path = message_files(field_messages(events(spark, d)))
-    if closing:
-        append_closing(spark, path)
-    return spark.readStream.schema(MESSAGE_SCHEMA).option("maxFilesPerTrigger", "1").parquet(path)
-
-
-#: The replayed files hold five days each and overlap: no row is older than this when it arrives.
-WIDE_DELAY = "10 days"
-
-
 def stream_open_incidents(spark: SparkSession, d: str) -> DataFrame:
     """Every incident of the live change table after the last micro-batch, and whether it is open at the data's end."""
     own = spark.newSession()
@@ -141,7 +141,10 @@ def stream_run_metrics(spark: SparkSession, d: str) -> DataFrame:
 
 
 def stream_control_state(spark: SparkSession, d: str) -> DataFrame:
-    return _run(control_state_stream(field_control(event_stream(spark, d))), spark, "control")
+    # a controller's input is in time order from file to file, in any order inside one
+    path, kind = time_files(field_control(events(spark, d)), EVENT_TIME)
+    stream = spark.readStream.schema(kind).option("maxFilesPerTrigger", "1").parquet(path)
+    return _run(control_state_stream(stream), spark, "control")
 
 
 def stream_queries():

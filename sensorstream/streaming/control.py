@@ -1,9 +1,11 @@
 """Control state on a stream: keyed state per sensor (``applyInPandasWithState``).
 
 The state of one sensor is three (mode, end) pairs plus the last processed
-(time, id). Rows of a micro-batch are replayed in time order; a row not newer
-than the stored state (late data) is skipped, so replays and restarts from the
-checkpoint give the same answer.
+(time, id). Rows of a micro-batch are replayed in time order. A row not newer
+than the stored state is late: it cannot change what was decided, so it comes
+out with null flags and commands, to be counted and joined back, never lost.
+A micro-batch bounds what one task holds of a sensor (``maxFilesPerTrigger``,
+``maxOffsetsPerTrigger``).
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.time import epoch_micros
-from ..operators.control import CHANNELS, OUTPUT_SCHEMA, named_ties, replay_rows, tie_columns
+from ..operators.control import CHANNELS, FLAG_COLUMNS, OUTPUT_SCHEMA, named_ties, replay_rows, tie_columns
 from ..rules import MOTION_SENSOR
 from ..schema import EVENT_TIME
 
@@ -38,7 +40,10 @@ def _advance(key, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator
         same_us, same_tie = pdf["_us"] == last_us, pdf["_tie"] == last_tie
         newer = ((pdf["_us"] > last_us) | (same_us & (pdf["_tie"] > last_tie))
                  | (same_us & same_tie & (pdf["_tie2"] > last_tie2)))
-        pdf = pdf[newer]  # older rows are late: the state has moved past them
+        late = pdf[~newer]  # the state has moved past them
+        pdf = pdf[newer]
+        if not late.empty:
+            yield late.reindex(columns=OUTPUT_SCHEMA.fieldNames()).astype({c: "object" for c in FLAG_COLUMNS})
     else:
         starts = [(0, None)] * len(CHANNELS)
     if pdf.empty:

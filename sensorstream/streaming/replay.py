@@ -6,6 +6,7 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.runs import written
 from ..session import scratch_path
@@ -49,6 +50,20 @@ def message_files(messages: DataFrame, parts: int = 6) -> str:
     return path
 
 
+def time_files(rows: DataFrame, time_col: str, parts: int = 6) -> tuple[str, T.StructType]:
+    """Rows written as ``parts`` files, each a range of time after the one before; the folder and its schema."""
+    spark, kind = rows.sparkSession, rows.schema
+    path, rows = scratch_path(spark, "time-files"), written(rows, "timed")
+    ends = rows.select(F.unix_date(F.to_date(time_col)).alias("d"), F.hour(time_col).alias("h")).select((F.col("d") * 24 + F.col("h")).alias("hour"))
+    cuts = ends.approxQuantile("hour", [k / parts for k in range(1, parts)], 0.01) or [0]
+    hour = F.unix_date(F.to_date(time_col)) * 24 + F.hour(time_col)
+    for lo, hi in zip([None, *cuts], [*cuts, None]):
+        inside = F.lit(True) if lo is None else hour > lo
+        inside = inside if hi is None else inside & (hour <= hi)
+        rows.where(inside).coalesce(1).write.mode("append").parquet(path)
+    return path, kind
+
+
 def append_closing(spark: SparkSession, path: str) -> None:
     """Append two closing-message files to a message folder (after its data).
 

@@ -249,3 +249,19 @@ def test_transfer_is_linear_on_a_sensor_stuck_in_alarm():
     t0 = time.perf_counter()
     rows = _transfer(CHANNELS[0], list(range(0, 1000 * n, 1000)), [41.0] * n)  # 1 kHz for 40 seconds
     assert time.perf_counter() - t0 < 5 and len(rows) <= n + 3
+
+
+def test_late_rows_of_the_stream_come_out_without_flags(spark):
+    from sensorstream.session import scratch_path
+    from sensorstream.streaming import control_state_stream
+
+    src, out, ck = (scratch_path(spark, n) for n in ("ctl-late", "ctl-late-out", "ctl-late-ck"))
+    first, second = [("sensor_1", 100, 41.0, 50.0, 0.7)], [("sensor_1", 20, 10.0, 50.0, 0.7), ("sensor_1", 105, 36.0, 50.0, 0.7)]
+    df = _readings(spark, first + second)
+    df.where("event_id < 1").coalesce(1).write.mode("append").parquet(src)
+    df.where("event_id >= 1").coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", "1").parquet(src)
+    q = control_state_stream(stream).writeStream.format("parquet").option("checkpointLocation", ck).trigger(availableNow=True).start(out)
+    q.awaitTermination()
+    got = {r["event_id"]: (r["cooling"], r["heating"], r["temperature_command"]) for r in spark.read.parquet(out).collect()}
+    assert got == {0: (True, False, -5.0), 1: (None, None, None), 2: (True, False, -5.0)}
