@@ -98,15 +98,28 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _joined(lists: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """One sorted list of distinct numbers with their summed counts."""
+    keys, counts = (np.concatenate(c) for c in zip(*lists, strict=True))
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(counts[order], first)
+
+
 def _grams(depth: int):
     """Distinct n-grams of a partition with their training counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, count, part = np.zeros(0, np.int64), np.zeros(0, np.int64), None
+        # lists of about doubling sizes: every n-gram is merged a logarithmic number of times
+        lists, part = [], None
         for part, train, texts in _lowered(batches):
             u, c = np.unique(ngrams(texts, depth)[0], return_counts=True)
-            found, at = np.unique(np.concatenate([found, u]), return_inverse=True)
-            count = np.bincount(at, np.concatenate([count, c * train])).astype(np.int64)
+            lists.append((u, c * train))
+            while len(lists) > 1 and len(lists[-2][0]) < 2 * len(lists[-1][0]):
+                lists[-2:] = [_joined(lists[-2:])]
+        found, count = _joined(lists) if lists else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        del lists
         for at in range(0, len(found), 1 << 17):
             some = found[at : at + (1 << 17)]
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), part, np.int32)), pa.array(some), pa.array(count[at : at + (1 << 17)])], names=["part", "gram", "n"])
@@ -269,7 +282,10 @@ def _score(depth: int, ends: int):
                 n_known.append(int(known[w].sum()) + (ends > 0))
                 base.append(float(logs[w].sum() + math.log10(ends + ALPHA)))
             g, sizes = ngrams(part, depth)
-            score.extend(np.add.reduceat(lp[np.searchsorted(gram, g)], np.cumsum(sizes) - sizes).tolist())
+            by = np.argsort(g)  # looked up in order: neighbours lie in the same cache lines
+            each = np.empty(len(g))
+            each[by] = lp[np.searchsorted(gram, g[by])]
+            score.extend(np.add.reduceat(each, np.cumsum(sizes) - sizes).tolist())
         nulls, m = [None], len(n_tokens)
         return pa.table({
             "id": pa.array(docs.column("id").to_pylist() + nulls, pa.int64()), "held_out": pa.array(docs.column("held_out").to_pylist() + nulls, pa.bool_()),
