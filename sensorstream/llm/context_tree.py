@@ -44,6 +44,7 @@ FOLDS = 10
 EDGE = 0xFF
 ALPHA = 0.1
 _CHUNK = 1 << 20  # bytes counted at a time
+_SCORED = 1 << 18  # bytes scored at a time, beside the partition's tables
 
 
 def ngrams(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -272,7 +273,7 @@ def _score(depth: int, ends: int):
         at, texts = 0, docs.column("text")
         while at < len(texts):
             part, size = [], 0
-            while at < len(texts) and (not part or size < _CHUNK):
+            while at < len(texts) and (not part or size < _SCORED):
                 part.append(texts[at].as_py().lower())
                 size += len(part[-1])
                 at += 1
