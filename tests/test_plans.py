@@ -3,8 +3,9 @@
 import pytest
 
 import __spark_entry__ as E
+from paths import SF_SMALL
 
-SF = "/root/testdata/sf0.001"
+SF = SF_SMALL
 
 
 def _plan(spark, name, aqe=False):
@@ -21,15 +22,29 @@ def test_latest_state_is_a_hash_aggregate(spark):
     assert "partial_max_by" in plan and "HashAggregate" in plan and "SortAggregate" not in plan
 
 
-@pytest.mark.parametrize("name", ["alert_gaps", "control_state"])
-def test_one_shuffle_of_the_rows_is_reused(spark, name):
-    assert "ReusedExchange" in _plan(spark, name)
+def test_alerts_meet_by_run_not_by_key(spark):
+    """The scan shuffles alerts by (run, key); across runs goes one row per run."""
+    import re
+
+    keys = re.findall(r"hashpartitioning\(([^)]*)", _plan(spark, "alert_gaps"))
+    assert keys and all("_run" in k for k in keys), keys
+
+
+def test_control_groups_hold_a_segment(spark):
+    """Readings meet by (sensor, segment), functions by (sensor, group); by sensor alone only one row per run, for the ranks."""
+    import re
+
+    keys = re.findall(r"hashpartitioning\(([^)]*)", _plan(spark, "control_state"))
+    alone = [k for k in keys if not any(c in k for c in ("_seg", "_group", "_run"))]
+    assert len(keys) > 3 and len(alone) == 1, keys
 
 
 def test_incidents_aggregate_before_the_shuffle(spark):
-    plan = _plan(spark, "incident_counts")
+    from sensorstream.operators.incidents import cell_summary
+    from sensorstream.plans.catalog import recent_alerts
+
+    plan = cell_summary(recent_alerts(spark, SF_SMALL))._jdf.queryExecution().executedPlan().toString()
     assert "partial_min(_us" in plan and "partial_max(_us" in plan
-    assert "MergingSessions" not in plan  # no per-key session merge of raw alerts
 
 
 def test_parsing_is_not_repeated_in_filters(spark):
