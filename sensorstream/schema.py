@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# One sensor sample as it travels on the input topic. Declared once, never
+# Field names and types are the wire format of the input topic.
+# One sensor sample as it travels there. Declared once, never
 # inferred: unknown JSON fields are ignored, missing ones come back null.
 READING_SCHEMA = T.StructType(
     [
