@@ -27,6 +27,7 @@ from __future__ import annotations
 import base64
 import re
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,7 @@ UNITS = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 LONG = 256
 SLICE_CHARS = 1 << 21
 SLICE_PIECES = 1 << 16
-MOST_PIECES, MOST_UNITS = 400_000, 300_000
+MOST_PIECES, MOST_UNITS = 500_000, 500_000
 
 _RECURSION = """
 WITH RECURSIVE step(wid, pos, tok, busy) AS (
@@ -83,6 +84,53 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
+def _spans(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Indexes of ``size`` places from each ``start`` on, one after the other."""
+    ends = np.cumsum(size)
+    return np.repeat(start - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
+
+
+class _Numbers(dict):
+    """Numbers strings in the order in which they are first asked for."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.fresh: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        self.fresh.append(key)
+        n = self[key] = len(self)
+        return n
+
+
+class _Known:
+    """Numbered strings, their ids in one flat array, and the bytes these decode to."""
+
+    def __init__(self) -> None:
+        self.number, self.back = _Numbers(), []
+        self.flat, self.size, self.start = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def numbers(self, strings: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.number.__getitem__, strings), np.int64, len(strings))
+
+    def new(self) -> list[str]:
+        """Strings numbered since the last call."""
+        fresh, self.number.fresh = self.number.fresh, []
+        return fresh
+
+    def add(self, ids: np.ndarray, size: np.ndarray, back: list[bytes]) -> None:
+        """Ids and bytes of the next numbers."""
+        if len(size):
+            self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(size) - size])
+            self.size, self.flat = np.concatenate([self.size, size]), np.concatenate([self.flat, ids])
+            self.back += back
+
+    def ids_of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the strings in order, and the number of ids of each."""
+        size = self.size[numbers]
+        return self.flat[_spans(self.start[numbers], size)], size
+
+
 class Codec:
     """The merge table in an in-memory DuckDB, and what has been encoded so far."""
 
@@ -105,10 +153,7 @@ class Codec:
         self._forget()
 
     def _forget(self) -> None:
-        self.pieces: dict[str, tuple[np.ndarray, bytes]] = {}
-        self.units: dict[str, int] = {}
-        self.unit_bytes: list[bytes] = []
-        self.flat, self.size, self.start = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pieces, self.units = _Known(), _Known()
 
     def _contract_long(self, piece: bytes) -> np.ndarray:
         toks = self.single[np.frombuffer(piece, np.uint8)]
@@ -123,74 +168,64 @@ class Codec:
                 return np.asarray(self.db.sql("SELECT tok FROM long_rows ORDER BY pos").to_arrow_table().column("tok"), np.int32)
             n = now
 
-    def encode_pieces(self, pieces: list[bytes]) -> list[np.ndarray]:
-        """Ids of each piece."""
-        out: list = [None] * len(pieces)
-        rows, size = [], 0
-        for k, p in enumerate(pieces):
-            if (whole := self.ranks.get(p)) is not None:
-                out[k] = np.array([whole], np.int32)
-            elif len(p) > LONG:
-                out[k] = self._contract_long(p)
-            else:
-                rows.append(k)
-        for at in range(0, len(rows), SLICE_PIECES):
-            part = rows[at : at + SLICE_PIECES]
-            size = np.array([len(pieces[k]) for k in part])
-            flat = np.frombuffer(b"".join(pieces[k] for k in part), np.uint8)
-            wid = np.repeat(np.arange(len(part), dtype=np.int32), size)
+    def encode_pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the pieces in order, and the number of ids of each."""
+        whole = np.fromiter(map(self.ranks.get, pieces, repeat(-1)), np.int32, len(pieces))
+        length = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        size = np.where(whole >= 0, 1, 0)
+        found = [(np.flatnonzero(whole >= 0), whole[whole >= 0])]  # numbers of pieces, and their ids
+        for k in np.flatnonzero((whole < 0) & (length > LONG)).tolist():
+            ids = self._contract_long(pieces[k])
+            size[k] = len(ids)
+            found.append((np.array([k]), ids))
+        rest = np.flatnonzero((whole < 0) & (length <= LONG))
+        for at in range(0, len(rest), SLICE_PIECES):
+            part = rest[at : at + SLICE_PIECES]
+            flat = np.frombuffer(b"".join(map(pieces.__getitem__, part.tolist())), np.uint8)
+            wid = np.repeat(np.arange(len(part), dtype=np.int32), length[part])
             self.db.register("start_rows", pa.table({"wid": wid, "pos": np.arange(len(flat), dtype=np.int64), "tok": self.single[flat]}))
             got = self.db.sql(_RECURSION).to_arrow_table()
-            wid, tok = got.column("wid").to_numpy(), got.column("tok").to_numpy()
-            for k, ids in zip(part, np.split(tok, np.flatnonzero(wid[1:] != wid[:-1]) + 1), strict=True):
-                out[k] = ids
-        return out
-
-    def decode(self, ids: list[np.ndarray]) -> list[bytes]:
-        """Bytes of each list of ids."""
-        size = np.array([len(x) for x in ids], np.int64)
-        out = [b""] * len(ids)
-        if size.sum():
-            flat = np.concatenate(ids).astype(np.int32)
-            self.db.register("id_rows", pa.table({"wid": np.repeat(np.arange(len(ids)), size), "pos": np.arange(len(flat)), "tok": flat}))
-            got = self.db.sql("SELECT wid, string_agg(bytes, '' ORDER BY pos) AS hex FROM id_rows JOIN vocabulary USING (tok) GROUP BY wid").to_arrow_table()
-            for w, h in zip(got.column("wid").to_pylist(), got.column("hex").to_pylist(), strict=True):
-                out[w] = bytes.fromhex(h)
-        return out
-
-    def _learn(self, units: list[str]) -> None:
-        """Encode units that are not known yet."""
-        split = [self.pattern.findall(u) for u in units]
-        new = list(dict.fromkeys(p for s in split for p in s if p not in self.pieces))
+            size[part] = np.bincount(got.column("wid").to_numpy(), minlength=len(part))
+            found.append((part, got.column("tok").to_numpy()))
+        ids, start = np.zeros(int(size.sum()), np.int32), np.cumsum(size) - size
+        for k, toks in found:
+            ids[_spans(start[k], size[k])] = toks
+        return ids, size
+
+    def decode(self, ids: np.ndarray, size: np.ndarray) -> list[bytes]:
+        """Bytes of each run of ``size`` ids; no run is empty."""
+        if not len(ids):
+            return []
+        self.db.register("id_rows", pa.table({"wid": np.repeat(np.arange(len(size)), size), "pos": np.arange(len(ids)), "tok": ids}))
+        got = self.db.sql("SELECT string_agg(bytes, '' ORDER BY pos) AS hex FROM id_rows JOIN vocabulary USING (tok) GROUP BY wid ORDER BY wid").to_arrow_table()
+        return list(map(bytes.fromhex, got.column("hex").to_pylist()))
+
+    def _learn(self) -> None:
+        """Encode the units that have a number, but no ids yet."""
+        units = self.units.new()
+        split = list(map(self.pattern.findall, units))
+        codes = self.pieces.numbers(list(chain.from_iterable(split)))
+        new = self.pieces.new()
         for at in range(0, len(new), SLICE_PIECES):
-            part = new[at : at + SLICE_PIECES]
-            ids = self.encode_pieces([p.encode() for p in part])
-            self.pieces.update(zip(part, zip(ids, self.decode(ids), strict=True), strict=True))
-        ids = [self.flat]
-        for u, s in zip(units, split, strict=True):
-            self.units[u] = len(self.units)
-            found = [self.pieces[p] for p in s]
-            ids.extend(x[0] for x in found)
-            self.unit_bytes.append(b"".join(x[1] for x in found))
-        size = [sum(len(self.pieces[p][0]) for p in s) for s in split]
-        self.flat = np.concatenate(ids)
-        self.size = np.concatenate([self.size, np.array(size, np.int64)])
-        self.start = np.cumsum(self.size) - self.size
+            ids, size = self.encode_pieces([p.encode() for p in new[at : at + SLICE_PIECES]])
+            self.pieces.add(ids, size, self.decode(ids, size))
+        ids, size = self.pieces.ids_of(codes)
+        count = np.fromiter(map(len, split), np.int64, len(split))
+        ends = np.concatenate([[0], np.cumsum(count)])
+        back = list(map(self.pieces.back.__getitem__, codes.tolist()))
+        whole = [back[i] if n == 1 else b"".join(back[i : i + n]) for i, n in zip(ends.tolist(), count.tolist(), strict=False)]
+        upto = np.concatenate([[0], np.cumsum(size)])
+        self.units.add(ids, upto[ends[1:]] - upto[ends[:-1]], whole)
 
     def encode_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
         """All ids of the units in order, the number of ids of each unit, and each unit's decoded bytes."""
-        codes = list(map(self.units.get, units))
-        if None in codes:
-            if len(self.units) > MOST_UNITS or len(self.pieces) > MOST_PIECES:
-                self._forget()
-                codes = [None] * len(units)
-            self._learn(list(dict.fromkeys(u for u, c in zip(units, codes, strict=True) if c is None)))
-            codes = list(map(self.units.get, units))
-        at = np.array(codes, np.int64)
-        size = self.size[at]
-        ends = np.cumsum(size)
-        ids = self.flat[np.repeat(self.start[at] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
-        return ids, size, list(map(self.unit_bytes.__getitem__, codes))
+        full = len(self.units.number) > MOST_UNITS or len(self.pieces.number) > MOST_PIECES
+        if full or any(len(x.number) != len(x.size) for x in (self.units, self.pieces)):  # the second: a call that failed
+            self._forget()
+        codes = self.units.numbers(units)
+        self._learn()
+        ids, size = self.units.ids_of(codes)
+        return ids, size, list(map(self.units.back.__getitem__, codes.tolist()))
 
 
 def _unit_slices(text: str) -> Iterator[list[str]]:
