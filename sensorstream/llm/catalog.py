@@ -34,8 +34,8 @@ def op2_best_fit_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every page's URL judged by listed and mined rules."""
-    return url_filter.judge(_table(spark, sf_dir, "pages"))
+    """Every page's URL judged by listed and mined rules; a mined rule rests on at least five pages."""
+    return url_filter.judge(_table(spark, sf_dir, "pages"), min_count=5)
 
 
 def op4_metric_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -74,13 +74,18 @@ def listed_rule(host: Column, path: Column, listed=LISTED) -> Column:
     return out if out is not None else F.lit(None).cast("struct<rule:string,verdict:string>")
 
 
-def mine(labelled: DataFrame, min_support: float = 0.01, min_confidence: float = 0.9) -> DataFrame:
-    """Rules from labelled token sets (tokens, verdict): tokens, verdict, confidence, support."""
+def mine(labelled: DataFrame, min_support: float = 0.01, min_confidence: float = 0.9, min_count: int = 1) -> DataFrame:
+    """Rules from labelled token sets (tokens, verdict): tokens, verdict, confidence, support.
+
+    A rule needs the share ``min_support`` of the labelled sets and at least ``min_count`` of them.
+    """
     empty = session(labelled).createDataFrame([], "tokens array<string>, verdict string, confidence double, support double")
-    if labelled.isEmpty():
+    n = labelled.count()
+    if n < max(min_count, 1):
         return empty
+    least = max(min_support, (min_count - 0.5) / n)  # half a set less: no rounding asks for one more
     baskets = labelled.select(F.concat("tokens", F.array(F.concat(F.lit(_MARK), "verdict"))).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
+    model = FPGrowth(itemsCol="items", minSupport=least, minConfidence=min_confidence).fit(baskets)
     found = model.associationRules.where(
         F.col("consequent")[0].startswith(_MARK) & ~F.exists("antecedent", lambda x: x.startswith(_MARK))
     ).select(F.array_sort("antecedent").alias("tokens"), F.substr(F.col("consequent")[0], F.lit(2)).alias("verdict"), "confidence", "support")
@@ -112,7 +117,7 @@ def match(token_sets: DataFrame, rules: DataFrame) -> DataFrame:
 
 def judge(
     pages: DataFrame, id_col: str = "page_id", url_col: str = "url", listed=LISTED, default: str = DEFAULT,
-    min_support: float = 0.01, min_confidence: float = 0.9,
+    min_support: float = 0.01, min_confidence: float = 0.9, min_count: int = 1,
 ) -> DataFrame:
     """page id, host, path, rule (listed, else null), verdict, and the mined rule's tokens and confidence."""
     url = F.col(url_col)
@@ -120,7 +125,7 @@ def judge(
         F.col(id_col), host_of(url).alias("host"), path_of(url).alias("path"), tokens_of(url).alias("tokens")
     ).withColumn("listed", listed_rule(F.col("host"), F.col("path"), listed))
     rows = cut(rows, "url-tokens")
-    rules = mine(rows.where("listed is not null").select("tokens", "listed.verdict"), min_support, min_confidence)
+    rules = mine(rows.where("listed is not null").select("tokens", "listed.verdict"), min_support, min_confidence, min_count)
     open_sets = rows.where("listed is null").select("tokens").distinct()
     judged = match(open_sets, rules)
     out = rows.join(judged, (F.col("tokens") == F.col("judged")) & F.col("listed").isNull(), "left")
