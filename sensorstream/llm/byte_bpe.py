@@ -19,7 +19,8 @@ tasks. Memory is bounded by the batch, the caches' sizes and the largest text.
 
 Defined results: a null or empty text has no ids (an empty array) and decodes
 to no bytes; repeated rows are encoded alike; an empty table gives an empty
-result; extra columns are kept, whatever their names.
+result; extra columns are kept whatever their names, but for one called
+``__bpe``, which the result replaces.
 """
 
 from __future__ import annotations
@@ -34,6 +35,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .common import others
 
 #: White space as the pattern's own engine has it (Unicode White_Space).
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -299,8 +303,8 @@ def _encoded(c: Codec, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray,
 
 def encode_decode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns (default all) + a struct ``__bpe``: ids array<int>, decoded binary."""
-    keep = docs.columns if keep is None else keep
+    keep = others(docs.columns if keep is None else keep, "__bpe")
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row"), F.col(text_col).cast("string").alias("text"))
-    kind = rows.schema["row"].dataType.simpleString()
-    out = rows.mapInArrow(_round_trip(path, pattern), f"row {kind}, ids array<int>, decoded binary")
+    kind = T.StructType([rows.schema["row"], T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.BinaryType())])
+    out = rows.mapInArrow(_round_trip(path, pattern), kind)
     return out.select("row.*", F.struct("ids", "decoded").alias("__bpe"))

@@ -29,6 +29,11 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def others(columns: list[str], reserved: str) -> list[str]:
+    """The columns without one that has the name of an operator's result, which replaces it (names meet whatever their case)."""
+    return [c for c in columns if c.lower() != reserved]
+
+
 def text_of(col: str = "text") -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(col), F.lit(""))

@@ -31,7 +31,8 @@ empty text; white space inside a block (``br`` included) is one space, blocks
 are joined by two line feeds; unclosed and misnested tags, an unfinished tag
 or comment at the end, and unknown character references are taken as browsers
 take them; a null URL or one without ``://`` has no site, so only names decide;
-equal rows give equal rows; columns keep their names, whatever they are.
+equal rows give equal rows; columns keep their names, whatever they are, but
+for one called ``__main``, which the result replaces.
 """
 
 from __future__ import annotations
@@ -47,8 +48,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import cut
+from .common import cut, others
 
 #: A branch goes below this share of the greatest entropy its pages allow.
 THRESHOLD = 0.5
@@ -363,7 +365,7 @@ def extract(
     pages: DataFrame, url_col: str = "url", html_col: str = "html", keep: list[str] | None = None, max_broadcast: int = MAX_BROADCAST,
 ) -> DataFrame:
     """``keep`` columns (default all) + ``__main``: struct of the main text and its number of characters."""
-    keep = pages.columns if keep is None else keep
+    keep = others(pages.columns if keep is None else keep, "__main")
     tree = site_style_tree(pages, url_col, html_col)
     low = cut(tree.where((F.col("importance") < THRESHOLD) & (F.col("n_pages") >= MIN_PAGES)).select("node", "importance"), "style-tree")
     asked = pages.select(
@@ -376,5 +378,5 @@ def extract(
         sent = held["node"].to_numpy(np.int64), held["importance"].to_numpy(float)
     else:
         asked = _low_of_pages(asked, low)
-    out = asked.mapInArrow(_extract(sent), f"row {asked.schema['row'].dataType.simpleString()}, text string")
+    out = asked.mapInArrow(_extract(sent), T.StructType([asked.schema["row"], T.StructField("text", T.StringType())]))
     return out.select("row.*", F.struct("text", F.char_length("text").cast("long").alias("n_chars")).alias("__main"))

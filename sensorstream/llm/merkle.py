@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from .common import cut
+from .common import cut, others
 
 ARITY, BAND = 3, 7
 CHUNK = ARITY**BAND
@@ -171,13 +171,13 @@ def manifest(
     docs: DataFrame, fields: list[str], group_col: str = "source", order_col: str = "doc_id", keep: list[str] | None = None,
     presented: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """``keep`` columns (default all) + ``__merkle``: leaf, subroot, root, proof, folded_root, verified.
+    """``keep`` columns (default all) + ``__merkle``: leaf, subroot, root, proof, folded_root, verified (in place of a column of that name).
 
     ``fields``: what a leaf is made of. ``presented``: fields as a holder presents them (default: as
     they are); ``folded_root`` is what their leaf gives with the manifest's siblings, ``verified``
     whether that is the root.
     """
-    keep = docs.columns if keep is None else keep
+    keep = others(docs.columns if keep is None else keep, "__merkle")
     col = lambda c: F.col(f"`{c}`")
     shown = [(presented or {}).get(f, col(f)) for f in fields]
     # '=' before a source's name tells it from null and keeps the order

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .common import cut, text_of, words
+from .common import cut, others, text_of, words
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -109,7 +109,7 @@ def mix(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", keep: list[str] | None = None,
 ) -> DataFrame:
     """``keep`` columns (default all) + a struct ``__mix``: size, source_size, target, copies, taken."""
-    keep = docs.columns if keep is None else keep
+    keep = others(docs.columns if keep is None else keep, "__mix")
     cols = _columns(docs, id_col, text_col, source_col)
     rows = cut(docs.select(*cols), "mix-sizes")
     limits = thresholds(rows).withColumnRenamed(_S, "__mix_key")
@@ -123,7 +123,6 @@ def mix(
 
 def take_mix(docs: DataFrame) -> DataFrame:
     """The mixed documents with their columns: one row per pass that takes the document."""
-    return (
-        mix(docs).where("__mix.copies > 0")
-        .withColumn("__mix", F.explode(F.sequence(F.lit(1), F.col("__mix.copies")))).drop("__mix")
-    )
+    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), "doc_id", "text", "source")
+    mixed = mix(packed, keep=["doc"]).where("__mix.copies > 0")
+    return mixed.select("doc", F.explode(F.sequence(F.lit(1), F.col("__mix.copies")))).select("doc.*")

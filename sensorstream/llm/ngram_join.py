@@ -322,7 +322,7 @@ def _links(rows: DataFrame, texts: DataFrame, groups: DataFrame, n: int, thresho
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The first document (smallest id) of each class, with its columns."""
-    first = classes(docs).where("first").select(F.col("rid").alias("__first_rid"))
-    numbered = docs.withColumn("__rid", F.monotonically_increasing_id())
-    return numbered.join(first, F.col("__rid") == F.col("__first_rid"), "left_semi").drop("__rid")
+    """The first document (smallest id) of each class, with its columns, whatever these are called."""
+    first = classes(docs).where("first").select(F.col("rid").alias("first_rid"))
+    numbered = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.monotonically_increasing_id().alias("rid"))
+    return numbered.join(first, F.col("rid") == F.col("first_rid"), "left_semi").select("row.*")

@@ -16,8 +16,8 @@ Defined results: a null or empty text has zero measures and fails the base
 rule; labels with null quality, and ids labelled both ways, are not learned
 from; no usable labels (or an empty table) give an empty list, which keeps all
 that the base rule passes; repeated rows are judged alike, each one; extra
-columns are kept, and clash with nothing because the measures travel in one
-struct column with a reserved name.
+columns are kept whatever their names, as they travel in one struct; only one
+called ``__verdict`` is replaced by the result (``keep_good`` keeps that too).
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, let, text_of, words
+from .common import cut, let, others, text_of, words
 
 WINDOW = 8
 SYMBOLS = "[^#*$%&|<>]+"
@@ -254,17 +254,20 @@ def judge(
     The texts are measured once; what is kept and the measures are written, and
     both learning and judging read them from there.
     """
-    keep = docs.columns if keep is None else keep
-    measured = cut(docs.select(*(F.col(f"`{c}`") for c in keep), measures(text_of(text_col)).alias(MEASURES)), "quality-measures")
-    rules = learn(measured, labels, id_col)
+    keep = others(docs.columns if keep is None else keep, "__verdict")
+    # the kept columns travel in a struct, so that no name of theirs meets one of the rules'
+    kept = F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row") if keep else F.lit(0).alias("row")
+    measured = cut(docs.select(kept, F.col(f"`{id_col}`").alias("id"), measures(text_of(f"`{text_col}`")).alias(MEASURES)), "quality-measures")
+    rules = learn(measured, labels, "id")
     failed = base_failed()
     rule = rules.rejecting_rule()
     return measured.select(
-        *(F.col(f"`{c}`") for c in keep),
+        *([F.col("row.*")] if keep else []),
         F.struct(f"{MEASURES}.*", failed.alias("base_failed"), rule.alias("rule"), (~failed & rule.isNull()).alias("kept")).alias("__verdict"),
     )
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are not rejected, with their columns."""
-    return judge(docs, labels).where("__verdict.kept").drop("__verdict")
+    """The documents that are not rejected, with their columns, whatever these are called."""
+    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), F.col("doc_id"), F.col("text"))
+    return judge(packed, labels, keep=["doc"]).where("__verdict.kept").select("doc.*")

@@ -16,7 +16,8 @@ Defined results: sizes are UTF-8 bytes plus 1, so a null or empty text has size
 1 (both share one group); a group larger than a shard's fair share has a shard
 to itself as far as possible, the others share the rest evenly; ties in size
 are broken by the group's hash; repeated rows each get a slot; an empty table
-gives an empty result; extra columns are kept.
+gives an empty result; extra columns are kept whatever their names, but for one
+called ``__shard``, which the result replaces.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .common import cut, text_of
+from .common import cut, others, text_of
 
 #: Blocks a shard is made of, about: the second level packs at most 2 x shards x this, plus one block a partition.
 BLOCKS_PER_SHARD = 256
@@ -137,7 +138,7 @@ def _place(shards: int):
 
 def shard(docs: DataFrame, shards: int = 16, text_col: str = "text", keep: list[str] | None = None, order_col: str = "doc_id") -> DataFrame:
     """``keep`` columns (default all) + a struct ``__shard``: size, text_crc32, shard, slot."""
-    keep = docs.columns if keep is None else keep
+    keep = others(docs.columns if keep is None else keep, "__shard")
     text = text_of(text_col)
     rows = cut(docs.select(
         F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row"), F.col(order_col).alias("o"),
