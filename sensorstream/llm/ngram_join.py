@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, text_of, words
-from .components import components
+from .components import cells_for, components, with_least
 
 N = 5
 THRESHOLD = 0.8
@@ -263,8 +263,8 @@ def classes(
         signed.groupBy("key").agg(F.min(least).alias("rep"), F.count("*").alias("copies"), F.max("n_grams").alias("n_grams")), "ngram-texts"
     )
     buckets = signed.select("key", F.explode("bands").alias("band")).distinct()
-    smallest = buckets.groupBy("band").agg(F.min("key").alias("v"), F.max("key").alias("w")).where("v <> w").select(F.col("band").alias("b"), "v")
-    stars = buckets.join(smallest, F.col("band") == F.col("b")).where("key <> v").select(F.col("key").alias("u"), "v")
+    n_cells = cells_for(texts.count())
+    stars = with_least(buckets, "band", "key", "v", n_cells).where("key <> v").select(F.col("key").alias("u"), "v")
     groups = components(stars)
 
     found = cut(_links(rows, texts, groups, n, threshold), "ngram-links")
@@ -279,8 +279,7 @@ def classes(
         )
     )
     placed = cut(placed, "ngram-placed")
-    heads = placed.groupBy("root").agg(F.min("rep").alias("head")).withColumnRenamed("root", "r")
-    done = placed.join(heads, F.col("root") == F.col("r")).select(F.col("key").alias("k"), "head", "copies", "n_links", "n_text_links")
+    done = with_least(placed, "root", "rep", "head", n_cells).select(F.col("key").alias("k"), "head", "copies", "n_links", "n_text_links")
     return signed.select("rid", "id", "key").join(done, F.col("key") == F.col("k")).select(
         "rid", "id", F.col("head.id").alias("class_id"),
         (F.col("n_links") + F.col("copies") - 1).alias("n_links"), "n_text_links", (F.col("copies") - 1).alias("n_copies"),
