@@ -127,7 +127,8 @@ def judge(
     rows = cut(rows, "url-tokens")
     rules = mine(rows.where("listed is not null").select("tokens", "listed.verdict"), min_support, min_confidence, min_count)
     open_sets = rows.where("listed is null").select("tokens").distinct()
-    judged = match(open_sets, rules)
+    # written, so that both sides of the join are plain shuffles and a hot token set's pages are split over tasks
+    judged = cut(match(open_sets, rules), "url-judged")
     out = rows.join(judged, (F.col("tokens") == F.col("judged")) & F.col("listed").isNull(), "left")
     return out.select(
         id_col, "host", "path", F.col("listed.rule").alias("rule"),
