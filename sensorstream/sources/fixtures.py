@@ -15,6 +15,8 @@ count and work grow with ``events`` in both.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -121,12 +123,12 @@ def tick_readings(ev: DataFrame) -> DataFrame:
     )
 
 
-def field_messages(ev: DataFrame, binary: bool = False) -> DataFrame:
+def field_messages(ev: DataFrame, binary: bool = False, keep: Sequence[str] = ()) -> DataFrame:
     """JSON messages ``(event_id, value)`` of :func:`field_readings` as sensors publish them, ``value``
-    as text or (as from Kafka) bytes; those of ``user_id % 97 = 13`` are malformed."""
+    as text or (as from Kafka) bytes; those of ``user_id % 97 = 13`` are malformed. ``keep``: columns of the readings beside them."""
     r = field_readings(ev.withColumn("event_id", F.struct("event_id", "user_id")))
     value = F.when(F.col("event_id.user_id") % 97 == 13, F.lit(BAD_JSON)).otherwise(payload(READING_COLUMNS, keep_nulls=False))
-    return r.select("event_id.event_id", (value.cast("binary") if binary else value).alias("value"))
+    return r.select("event_id.event_id", (value.cast("binary") if binary else value).alias("value"), *keep)
 
 
 def raw_messages(ev: DataFrame) -> DataFrame:

@@ -34,16 +34,27 @@ from .replay import append_closing, message_files, time_files
 NOW = {"availableNow": True}
 
 
-#: The replayed files hold five days each and overlap: no row is older than this when it arrives.
+#: The least delay of a stream that drops no row.
 WIDE_DELAY = "10 days"
 
 
-def _message_stream(spark: SparkSession, d: str, closing: bool = False) -> DataFrame:
-    """All messages over several micro-batches, out of order; ``closing``: then two that end every window."""
-    path = message_files(field_messages(events(spark, d)))
+def _replay(spark: SparkSession, d: str, closing: bool = False) -> tuple[DataFrame, int]:
+    """All messages over several micro-batches, out of order, and by how many seconds one may be late; ``closing``: then two batches that end every window."""
+    files = message_files(field_messages(events(spark, d), keep=("rts",)), "rts")
     if closing:
-        append_closing(spark, path)
-    return spark.readStream.schema(MESSAGE_SCHEMA).option("maxFilesPerTrigger", "1").parquet(path)
+        append_closing(spark, files.path, files.files)
+    return spark.readStream.schema(MESSAGE_SCHEMA).option("maxFilesPerTrigger", str(files.files)).parquet(files.path), files.late_seconds
+
+
+def _message_stream(spark: SparkSession, d: str) -> DataFrame:
+    return _replay(spark, d)[0]
+
+
+def _wide_readings(spark: SparkSession, d: str, closing: bool = False) -> DataFrame:
+    """Readings with a watermark that no row is older than when it arrives."""
+    stream, late = _replay(spark, d, closing)
+    wide = max(late, as_interval_micros(WIDE_DELAY) // 1_000_000)
+    return with_event_ts(parse_readings(stream, keep=("event_id",)), f"{wide} seconds")
 
 
 def _run(df: DataFrame, spark: SparkSession, name: str, mode: str = "append") -> DataFrame:
@@ -69,7 +80,7 @@ def stream_latest_per_sensor(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _stream_sessions(spark: SparkSession, d: str) -> DataFrame:
-    readings = with_event_ts(parse_readings(_message_stream(spark, d, closing=True), keep=("event_id",)), WIDE_DELAY)
+    readings = _wide_readings(spark, d, closing=True)
     return _run(incident_sessions_stream(readings), spark, "sessions")
 
 
@@ -86,7 +97,7 @@ def stream_open_incidents(spark: SparkSession, d: str) -> DataFrame:
     """Every incident of the live change table after the last micro-batch, and whether it is open at the data's end."""
     own = spark.newSession()
     own.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-    readings = with_event_ts(parse_readings(_message_stream(own, d), keep=("event_id",)), WIDE_DELAY)
+    readings = _wide_readings(own, d)
     path, ck = scratch_path(spark, "live"), scratch_path(spark, "live-checkpoint")
     q = live_incidents(readings).writeStream.format("parquet").option("checkpointLocation", ck).trigger(**NOW).start(path)
     q.awaitTermination()
@@ -97,7 +108,7 @@ def stream_open_incidents(spark: SparkSession, d: str) -> DataFrame:
 
 def stream_rolling_incident_counts(spark: SparkSession, d: str) -> DataFrame:
     """Incidents per alert type in 12 h windows, one starting every hour."""
-    readings = with_event_ts(parse_readings(_message_stream(spark, d, closing=True), keep=("event_id",)), WIDE_DELAY)
+    readings = _wide_readings(spark, d, closing=True)
     return _run(rolling_incident_counts_stream(readings), spark, "rolling-counts")
 
 

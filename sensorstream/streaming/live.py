@@ -1,9 +1,10 @@
 """Live incidents: open sessions as stream state, changes as rows.
 
-Per (sensor, alert type) the state maps an open incident's start to its last
-alert and alert count; an event-time timer per key closes them once the watermark has
-passed their end, so nothing waits for a closing message. Every micro-batch
-writes only what changed:
+Per (sensor, alert type) the state holds the open incidents' starts, last alerts
+and alert counts, a block of neighbouring incidents per map entry, so that a
+micro-batch costs a state call per block and not per incident; an event-time
+timer per key closes them once the watermark has passed their end, so nothing
+waits for a closing message. Every micro-batch writes only what changed:
 
 * ``opened``   an incident's first row;
 * ``extended`` a later alert joined it;
@@ -20,6 +21,7 @@ from __future__ import annotations
 import bisect
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +35,8 @@ from ..schema import EVENT_TIME
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 KEYS = ("sensor_id", "alert_type")
+#: An entry of the state spans so many gaps, and so holds at most as many incidents, which lie more than a gap apart.
+BLOCK_GAPS = 1024
 _CHANGES = "sensor_id string, alert_type string, start_us long, last_us long, n_alerts long, status string, into_us long, version long"
 
 
@@ -44,16 +48,17 @@ class OpenIncidents:
         self.touched: dict[int, str] = {}
         self.gone: dict[int, int] = {}
 
-    def add(self, at: int, n: int = 1) -> None:
-        """``n`` alerts at one time."""
-        # the incidents it may join: those that start up to a gap after it, back to the first that ended more than a gap before
-        hi = bisect.bisect_right(self.starts, at + self.gap)
+    def add(self, at: int, n: int = 1, until: int | None = None) -> None:
+        """``n`` alerts at one time, or from ``at`` to ``until`` without a longer gap between them."""
+        until = at if until is None else until
+        # the incidents it may join: those that start up to a gap after its end, back to the first that ended more than a gap before
+        hi = bisect.bisect_right(self.starts, until + self.gap)
         lo = hi
         while lo and self.rows[self.starts[lo - 1]][0] >= at - self.gap:
             lo -= 1
         joined = self.starts[lo:hi]
         start = min([at, *joined])
-        last = max([at, *(self.rows[s][0] for s in joined)])
+        last = max([until, *(self.rows[s][0] for s in joined)])
         count = n + sum(self.rows[s][1] for s in joined)
         known = any(s == start for s in joined)
         for s in joined:
@@ -72,13 +77,22 @@ class OpenIncidents:
         return self.starts[bisect.bisect_right(self.starts, start) - 1]
 
 
+def spans(times: np.ndarray, gap_us: int) -> Iterator[tuple[int, int, int]]:
+    """(first, number, last) of the times in one batch that no gap parts, in any order."""
+    at = np.sort(times)
+    cuts = np.flatnonzero(np.diff(at) > gap_us) + 1
+    first, end = np.append(0, cuts)[: len(at)], np.append(cuts, len(at))[: len(at)]
+    return zip(at[first].tolist(), (end - first).tolist(), at[end - 1].tolist(), strict=True)
+
+
 class _Processor(StatefulProcessor):
     def __init__(self, gap_us: int) -> None:
         self.gap = gap_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getMapState("open", "start_us long", "last_us long, n long")
+        # block -> its incidents as triples of 64-bit numbers: start, last alert, alerts
+        self.blocks = handle.getMapState("blocks", "block long", "incidents binary")
         # the key's one timer: at or before the first end of an open incident
         self.timer = handle.getValueState("timer", "at_ms long")
         self.version = handle.getValueState("version", "version long")
@@ -91,21 +105,39 @@ class _Processor(StatefulProcessor):
     def _close_at(self, last_us: int) -> int:
         return (last_us + self.gap) // 1000 + 1  # first whole millisecond after the last alert's gap
 
+    def _block(self, start: int) -> int:
+        return start // (BLOCK_GAPS * self.gap)
+
+    def _load(self) -> dict[int, tuple[int, int]]:
+        """The key's open incidents: start -> (last, count)."""
+        return {s: (last, n) for _, (raw,) in self.blocks.iterator() for s, last, n in np.frombuffer(raw, np.int64).reshape(-1, 3).tolist()}
+
+    def _store(self, rows, changed: set[int], before) -> None:
+        """Write the blocks of the ``changed`` starts anew; ``rows`` and ``before``: the open incidents now and as loaded."""
+        had, held = {self._block(s) for s in before}, {self._block(s): [] for s in changed}
+        for s in sorted(rows):
+            if self._block(s) in held:
+                held[self._block(s)].append((s, *rows[s]))
+        for b, found in held.items():
+            if found:
+                self.blocks.updateValue((b,), (np.array(found, np.int64).tobytes(),))
+            elif b in had:
+                self.blocks.removeKey((b,))
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        before = {k[0]: list(v) for k, v in self.open.iterator()}
+        before = self._load()
         state = OpenIncidents(self.gap, {s: list(v) for s, v in before.items()})
         for frame in rows:
-            for at, n in frame.groupby("alert_us").size().items():
-                state.add(int(at), int(n))
+            for at, n, until in spans(frame["alert_us"].to_numpy(np.int64), self.gap):
+                state.add(at, n, until)
         version, out = self._next_version(), []
         for s in sorted(state.gone):
             if s in before:
-                self.open.removeKey((s,))
                 out.append((*key, s, *before[s], "merged", state.merged_into(s), version))
         for s, status in sorted(state.touched.items()):
             last, n = state.rows[s]
-            self.open.updateValue((s,), (last, n))
             out.append((*key, s, last, n, "extended" if s in before else "opened", None, version))
+        self._store(state.rows, {*state.gone, *state.touched}, before)
         self._watch(state.rows.values())
         yield _frame(out)
 
@@ -121,11 +153,12 @@ class _Processor(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.timer.clear()
         passed, out, version = timerValues.getCurrentWatermarkInMs(), [], self._next_version()
-        rows = {k[0]: tuple(v) for k, v in self.open.iterator()}
-        for s in sorted(rows):
-            if self._close_at(rows[s][0]) <= passed:
-                self.open.removeKey((s,))
+        before = self._load()
+        rows = dict(before)
+        for s in sorted(before):
+            if self._close_at(before[s][0]) <= passed:
                 out.append((*key, s, *rows.pop(s), "closed", None, version))
+        self._store(rows, before.keys() - rows.keys(), before)
         self._watch(rows.values())
         yield _frame(out)
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import itertools
 import json
+import math
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.time import to_instant
 from ..operators.runs import written
 from ..session import scratch_path
 from ..sources.readers import MESSAGE_SCHEMA
@@ -20,6 +24,9 @@ from ..sources.readers import MESSAGE_SCHEMA
 # emitted.
 CLOSING_MESSAGE = json.dumps({"sensor_id": "sensor_1", "timestamp": "2100-01-01T00:00:00", "temperature": 99.0})
 
+#: Rows of a message file, about.
+FILE_ROWS = 100_000
+
 
 def event_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
     """The ``events`` parquet file as a streaming source."""
@@ -31,23 +38,45 @@ def event_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None)
     return reader.parquet(f"{sf_dir.rstrip('/')}/event[s].parquet")
 
 
-def message_files(messages: DataFrame, parts: int = 6) -> str:
-    """Messages written as ``parts`` files that arrive one per micro-batch, and their folder.
+class Replay(NamedTuple):
+    """Message files of one folder: its path, files a micro-batch, and how many seconds a row may be older than one before it."""
+
+    path: str
+    files: int
+    late_seconds: int
+
+
+def message_files(messages: DataFrame, time_col: str, parts: int = 6) -> Replay:
+    """Messages written in ``parts`` micro-batches of equally many files each.
 
-    Files follow the order of ``event_id``; every fifth message comes one file
-    late, so each file but the first overlaps the one before it. Rows equal in
-    number a file, whatever the table's size.
+    Parts follow the order of the messages' times in ``time_col`` (not written;
+    those without one come first); every fifth message comes one part late, so
+    each part but the first overlaps the one before it. Rows about equal in
+    number a part, whatever the table's size and whatever order its ids have; a
+    part takes as many files as its rows need, so writing and reading it is
+    spread. A batch that begins or ends inside a part is no later than one that
+    does not.
     """
-    spark = messages.sparkSession
-    path = scratch_path(spark, "message-files")
-    messages = written(messages, "messages")
-    lo, hi = messages.agg(F.min("event_id"), F.max("event_id")).first()
-    width = max(1, -(-((hi or 0) - (lo or 0) + 1) // parts))
-    part = F.expr(f"(event_id - {lo or 0}L) div {width}") + F.when(F.col("event_id") % 5 == 0, 1).otherwise(0)
-    rows = messages.withColumn("_part", F.least(part, F.lit(parts - 1)))
+    spark, at = messages.sparkSession, F.unix_micros(to_instant(time_col)) / 1e6
+    found = messages.select(at.alias("at"))
+    n, lo, hi = found.agg(F.count(F.lit(1)), F.min("at"), F.max("at")).first()
+    cuts = found.approxQuantile("at", [k / parts for k in range(1, parts)], 0.01) or [0.0] * (parts - 1)
+    part = sum((F.coalesce(at > c, F.lit(False)).cast("int") for c in cuts), F.lit(0))
+    late = F.when(F.col("event_id") % 5 == 0, 1).otherwise(0)
+    dealt, path = scratch_path(spark, "message-parts"), scratch_path(spark, "message-files")
+    rows = messages.withColumn("_part", F.least(part + late, F.lit(parts - 1))).drop(time_col)
+    rows.write.mode("append").partitionBy("_part").parquet(dealt)
+    files = max(1, -(-n // (parts * FILE_ROWS)))
     for k in range(parts):  # one write after the other: the file source takes files by their time
-        rows.where(F.col("_part") == k).drop("_part").coalesce(1).write.mode("append").parquet(path)
-    return path
+        one = spark.read.schema(rows.drop("_part").schema).parquet(f"{dealt}/_part={k}") if _has(spark, f"{dealt}/_part={k}") else rows.drop("_part").limit(0)
+        (one.coalesce(1) if files == 1 else one.repartition(files)).write.mode("append").parquet(path)
+    ends = [lo or 0, *cuts, hi or 0]
+    return Replay(path, files, math.ceil(max(b - a for a, b in itertools.pairwise(ends))) + 1)
+
+
+def _has(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
 
 
 def time_files(rows: DataFrame, time_col: str, parts: int = 6) -> tuple[str, T.StructType]:
@@ -64,20 +93,20 @@ def time_files(rows: DataFrame, time_col: str, parts: int = 6) -> tuple[str, T.S
     return path, kind
 
 
-def append_closing(spark: SparkSession, path: str) -> None:
-    """Append two closing-message files to a message folder (after its data).
+def append_closing(spark: SparkSession, path: str, files: int = 1) -> None:
+    """Append closing-message files for two micro-batches to a message folder (after its data).
 
-    Read the folder with ``maxFilesPerTrigger=1``: the first closing file moves
+    Read the folder with ``maxFilesPerTrigger=files``: the first closing batch moves
     the watermark past all data, the second makes the stream run one more
     batch in which every open session is emitted (an ``availableNow`` trigger
     runs no trailing empty batch by itself).
     """
-    _write_closing(spark, path)
+    _write_closing(spark, path, 2 * files)
 
 
-def _write_closing(spark: SparkSession, path: str) -> None:
-    """Two one-message files in one write job (identical, so their order is irrelevant)."""
-    one_per_slice = spark.sparkContext.parallelize([(-1, CLOSING_MESSAGE)] * 2, 2)
+def _write_closing(spark: SparkSession, path: str, n: int = 2) -> None:
+    """``n`` one-message files in one write job (identical, so their order is irrelevant)."""
+    one_per_slice = spark.sparkContext.parallelize([(-1, CLOSING_MESSAGE)] * n, n)
     spark.createDataFrame(one_per_slice, MESSAGE_SCHEMA).write.mode("append").parquet(path)
 
 

@@ -1,0 +1,61 @@
+"""Replayed streams: batches follow the messages' times, whatever order the ids have, and have as many files as their rows need."""
+
+import datetime as dt
+import random
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as E
+from compare import compare
+from sensorstream.session import scratch_path
+from sensorstream.sources.fixtures import EVENTS_SCHEMA
+from sensorstream.streaming import replay
+from sensorstream.streaming.live import OpenIncidents, spans
+
+
+@pytest.fixture(scope="module")
+def unsorted(spark):
+    """Events over 60 days whose ids say nothing of their time."""
+    rnd, first = random.Random(3), dt.datetime(2024, 1, 1)
+    rows = [(e, first + dt.timedelta(hours=rnd.randrange(24 * 60), seconds=rnd.randrange(3600)), rnd.randrange(30),
+             rnd.choice(["view", "click", "error"]), rnd.randrange(15000) / 100, f'{{"k": {rnd.randrange(100)}}}') for e in range(600)]
+    folder = scratch_path(spark, "events")
+    spark.createDataFrame(rows, EVENTS_SCHEMA).write.parquet(f"{folder}/events.parquet")
+    return folder
+
+
+@pytest.mark.parametrize("name", ["stream_open_incidents", "stream_incident_sessions"])
+def test_ids_out_of_time_order_lose_no_row(spark, unsorted, monkeypatch, name):
+    monkeypatch.setattr(replay, "FILE_ROWS", 20)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{unsorted}/events.parquet/*.parquet')")
+    diff = compare(E.queries()[name](spark, unsorted), con, E.oracle_sql()[name])
+    assert diff is None, diff
+
+
+def test_a_batch_has_as_many_files_as_its_rows_need(spark, monkeypatch):
+    monkeypatch.setattr(replay, "FILE_ROWS", 25)
+    rows = spark.range(600).select(F.col("id").alias("event_id"), F.lit("x").alias("value"), F.timestamp_seconds(F.pmod(F.col("id") * 77, F.lit(600)) * 60).cast("timestamp_ntz").alias("at"))
+    found = replay.message_files(rows, "at")
+    back = spark.read.parquet(found.path)
+    assert found.files == 4 and len(back.inputFiles()) == 24 and back.columns == ["event_id", "value"]
+    assert sorted(r["event_id"] for r in back.collect()) == list(range(600))
+    assert 5700 <= found.late_seconds <= 6600  # a sixth of the time
+
+
+@pytest.mark.parametrize("seed", range(10))
+def test_spans_of_a_batch_join_like_single_alerts(seed):
+    rnd = random.Random(seed)
+    before = {0: [5, 2], 100: [130, 4], 300: [300, 1]}
+    one, many = (OpenIncidents(10, {s: list(v) for s, v in before.items()}) for _ in range(2))
+    times = [rnd.randrange(0, 400) for _ in range(60)]
+    for t in times:
+        one.add(t)
+    for at, n, until in spans(np.array(times), 10):
+        many.add(at, n, until)
+    assert many.rows == one.rows and many.starts == one.starts
+    assert {s for s in many.gone if s in before} == {s for s in one.gone if s in before} and many.touched.keys() == one.touched.keys()
+    assert list(spans(np.zeros(0, np.int64), 10)) == []
