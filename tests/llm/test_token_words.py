@@ -1,6 +1,8 @@
 """Words to ids as the library's plain call gives them; words of Latin letters and closing marks by the model alone."""
 
+import json
 import random
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -55,3 +57,36 @@ def test_ids_of_any_width_are_counted(monkeypatch):
     rows = pa.Table.from_batches(token_files._count(iter([batch]))).to_pydict()
     assert dict(zip(rows["token"], rows["times"], strict=True)) == {1: 2, 2: 2, 65_535: 1, 65_536: 1, 70_000: 1}
     assert pa.Table.from_batches(token_files._count(iter([]))).num_rows == 0
+
+
+def test_each_piece_of_a_slice_is_looked_up_once(path):
+    class Asked(dict):
+        def get(self, *key):
+            asked.append(key[0])
+            return super().get(*key)
+
+    words, asked = token_files._Words(path), []
+    words.pieces = Asked(words.pieces)
+    texts = ["Élan, one; one, élan", "one ONE one. ", "one,\nÉLAN."] * 50
+    got = words.encode(texts, 2)
+    wanted = [[*words.tokenizer.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == wanted
+    assert sorted(asked) == ["", ",", ".", ";", "one", "Élan", "élan"]  # only A-Z is lowered before
+
+
+@pytest.mark.parametrize("change", ["none", "added", "splitter"])
+def test_many_texts_at_once_as_the_library_does(path, tmp_path, change):
+    rules = json.loads(Path(path).read_text())
+    if change == "added":  # strings of letters and of marks, also inside words
+        rules["added_tokens"] += [{**rules["added_tokens"][0], "id": 49408 + k, "content": x} for k, x in enumerate(["on", "!?", "Ab"])]
+    if change == "splitter":  # each mark alone: the model alone won't do
+        rules["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] = r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]"
+    (tmp_path / "rules.json").write_text(json.dumps(rules))
+    words, rnd = token_files._Words(str(tmp_path / "rules.json")), random.Random(2)
+    assert words.simple == (change != "splitter")
+    some = ["one", "One,", "on", "ab", "Ab", "aB!?", "!?", "...", "naïve;", "ÉTÉ", "it's", "'tis", "a1b2", "中文", "x<|endoftext|>y", "<|ENDOFTEXT|>", "", "\t", "<", "Ð"]
+    for _ in range(40):
+        texts = ["".join(rnd.choice(some[: rnd.choice([9, 14, 20])]) + rnd.choice(" \n") for _ in range(rnd.randrange(8))) for _ in range(6)]
+        wanted = [[*words.tokenizer.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+        for given in (texts, pa.array(["before", *texts, "after"]).slice(1, 6)):
+            assert [np.frombuffer(x, "<u4").tolist() for x in words.encode(given, 2)] == wanted, texts
